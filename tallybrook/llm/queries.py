@@ -2,18 +2,40 @@
 
 from __future__ import annotations
 
+import importlib.util
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import exact_dedup, simhash
+from tallybrook.llm import bpe, exact_dedup, mixing, simhash, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the package of public tokenizers keeps a file, else /opt/tokenizers."""
+    found = importlib.util.find_spec("public_tokenizers")
+    return os.path.join(os.path.dirname(found.origin) if found and found.origin else "/opt/tokenizers", name)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    found = toxicity.score(spark, docs, toxicity.fit_labels(docs, _read(spark, sf_dir, "labels")))
+    return found.select(F.col("id").alias("doc_id"), (toxicity.fold(F.col("id")) == 0).alias("held_out"), "score", "predicted", "n_clauses")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode_decode(spark, _read(spark, sf_dir, "documents"), vocabulary_path()))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(spark, _read(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(spark, _read(spark, sf_dir, "documents"))
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -25,6 +47,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_bpe": op2_bpe,
+    "op6_mixing": op6_mixing,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_simhash": op10_simhash,
 }
