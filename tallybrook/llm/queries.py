@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import bpe, exact_dedup, mixing, simhash, toxicity
+from tallybrook.llm import ann, bpe, exact_dedup, lm, mixing, simhash, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(spark, _read(spark, sf_dir, "documents"), vocabulary_path()))
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(spark, _read(spark, sf_dir, "embeddings"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, _read(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
@@ -41,6 +45,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm.score(spark, _read(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.tiktoken"))
+    return found.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_components(spark, _read(spark, sf_dir, "documents"))
     return groups.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
@@ -49,8 +58,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
+    "op4_ann": op4_ann,
     "op6_mixing": op6_mixing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_lm": op9_lm,
     "op10_simhash": op10_simhash,
 }
 
