@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import ann, bpe, exact_dedup, lm, mixing, simhash, toxicity
+from tallybrook.llm import ann, bpe, chat, exact_dedup, line_dedup, lm, mixing, simhash, toxicity, url_rules
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,14 +32,45 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(spark, _read(spark, sf_dir, "documents"), vocabulary_path()))
 
 
+#: The given host and path rules.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """(items, blocked): URLs of pages whose document, the last number of the path, is labelled; of bad quality or toxic ones are blocked."""
+    url = F.col("url").cast("string")
+    host, path = url_rules.split_url(url)
+    doc = F.try_element_at(F.regexp_extract_all(path, F.lit(r"(\d{1,18})"), F.lit(1)), F.lit(-1)).try_cast("long")
+    urls = pages.select(doc.alias("doc_id"), url_rules.tokens(url, host, path).alias("items"))
+    known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
+    return urls.join(known, "doc_id").select("items", bad.alias("blocked"))
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    rules = url_rules.mine(spark, labelled_urls(pages, _read(spark, sf_dir, "labels")))
+    return url_rules.judge(spark, pages, rules, URL_RULES).select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "confidence", "mined")
+
+
 def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(spark, _read(spark, sf_dir, "embeddings"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.without_recurring_lines(spark, _read(spark, sf_dir, "documents"))
+    return left.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.length("text").cast("long").alias("chars_left"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, _read(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = chat.rendered(spark, _read(spark, sf_dir, "conversations"))
+    return parts.select(F.col("conv").alias("conv_id"), "part", "n_turns", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(spark, _read(spark, sf_dir, "documents"))
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -58,14 +89,27 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
+    "op3_url_rules": op3_url_rules,
     "op4_ann": op4_ann,
+    "op5_line_dedup": op5_line_dedup,
     "op6_mixing": op6_mixing,
+    "op7_chat": op7_chat,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_lm": op9_lm,
     "op10_simhash": op10_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_chat": r"""
+        WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+        c AS (SELECT conv_id, list({'turn': turn, 'role': role, 'text': text} ORDER BY turn, role, text) AS turns FROM t GROUP BY conv_id),
+        one AS (SELECT min(conv_id) AS conv_id, turns FROM c GROUP BY turns),
+        inner_ AS (SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, len(turns))) AS k FROM c) WHERE turns[k].turn <> turns[k + 1].turn),
+        kept AS (SELECT conv_id FROM one WHERE turns NOT IN (SELECT turns FROM inner_)),
+        parts AS (SELECT conv_id, CAST(floor(turn / 64) AS BIGINT) AS part, count(*) AS n_turns,
+            string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS text
+            FROM t JOIN kept USING (conv_id) GROUP BY ALL)
+        SELECT conv_id, part, n_turns, CAST(length(text) AS BIGINT) AS n_chars, sha256(text) AS text_sha256 FROM parts""",
     "op8_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
