@@ -50,7 +50,7 @@ def velocity_groups(invoices: DataFrame, cfg: Config) -> DataFrame:
 def velocity_alerts(invoices: DataFrame, cfg: Config) -> DataFrame:
     """One alert for each member of each group: an invoice has one for every window that overlaps."""
     groups = velocity_groups(invoices, cfg)
-    reason = F.concat(F.col("occurrences").cast("string"), F.lit(" invoices @ $"), F.format_string("%.2f", "amount"), F.lit(f" in {cfg.window}s window"))
+    reason = F.concat(F.col("occurrences").cast("string"), F.lit(" invoices @ $"), F.col("amount").cast("string"), F.lit(f" in {cfg.window}s window"))
     evidence = _json(amount=F.col("amount"), occurrences=F.col("occurrences"), invoice_ids=F.col("invoice_ids"), window_duration_seconds=F.lit(cfg.window), fraud_pattern=F.lit("rapid_duplicate_amounts"))
     made = groups.select("vendor_id", "window_start", "window_end", reason.alias("reason"), evidence.alias("evidence"), F.least(F.lit(100), F.col("occurrences") * 10).cast("long").alias("fraud_score"), F.explode("members").alias("m"))
     return made.select(F.col("m.invoice_id").alias("invoice_id"), "vendor_id", F.lit("VELOCITY").alias("rule_name"), F.lit("HIGH").alias("severity"), "reason", "evidence", "window_start", "window_end", "fraud_score", F.lit("velocity_check").alias("alert_source"), F.col("m.invoice_timestamp").alias("invoice_timestamp"))
