@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,6 +48,14 @@ def row_id() -> Column:
     return F.monotonically_increasing_id()
 
 
+def stable(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """df if its plan is a scan with nothing but projections and filters, else its written copy: a shuffle may order rows anew each time it runs, and then
+    row_id() would name other rows."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    nodes = {m.group(1) for m in re.finditer(r"^[\s:+-]*([A-Za-z]+)", plan, re.M)}
+    return df if nodes <= {"Project", "Filter", "Relation", "LocalRelation", "LocalTableScan"} else materialise(spark, df, "stable")
+
+
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """df to be broadcast if its counted rows are within the limit; else as it is, to be shuffled."""
     return F.broadcast(df) if rows <= limit else df

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import materialise, normalised, row_id, small
+from tallybrook.llm.common import materialise, normalised, row_id, small, stable
 
 #: Distinct keys that a bucket may hold.
 CAPACITY = 200_000
@@ -89,6 +89,7 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
     Texts are equal when their bytes are equal once each run of white space is one space; null counts as the empty text. The
     row with the smallest id stays; a null id comes after all others, and of rows with the same id the first stays. No rows: no rows.
     Other columns of docs are not read, whatever their names."""
+    docs = stable(spark, docs)
     rows, index = build_index(spark, docs, id_col, text_col, capacity)
     chained = index.where("n_rows > 1").select("bucket", "key")
     chained = small(chained, chained.count())
@@ -111,6 +112,7 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns."""
+    docs = stable(spark, docs)
     out = materialise(spark, exact_groups(spark, docs, id_col, text_col).where("not kept").select("row"), "dedup-dropped")
     mark = "__row"
     numbered = docs.withColumn(mark, row_id())

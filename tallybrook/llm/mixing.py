@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import materialise, n_words, row_id, small
+from tallybrook.llm.common import materialise, n_words, row_id, small, stable
 
 #: Repeating weights of the sources in order, the share of all sizes that is taken, and the most copies of a document.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
@@ -86,6 +86,7 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[float, ...] = WEIGH
 
 def mixed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows that the mix takes, with all their columns, each as often as it is taken."""
+    docs = stable(spark, docs)
     taken = materialise(spark, mix(spark, docs).where("copies > 0").select(F.col("row").alias("__row"), F.col("copies").alias("__copies")), "mix-taken")
     held = docs.withColumn("__row", row_id()).join(small(taken, taken.count()), "__row")
     again = F.explode(F.array_repeat(F.lit(True), F.col("__copies").cast("int")))
