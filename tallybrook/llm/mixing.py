@@ -45,7 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[float, ...] = WEIGH
 
     Size: words of the text, null and empty: 0. The same rows give the same copies whatever their partitions: order within a source
     is by size class, hash of id and text, id; fully equal rows are alike. A null source is a source of its own. No rows: no rows."""
-    light = docs.select(row_id().alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"))
+    light = docs.select(row_id().alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"))
     light = materialise(spark, light.withColumn("class", F.floor(2 * F.log2(F.col("size") + 1)).cast("int")), "mix-sizes")
     classes = light.groupBy("source", "class").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     held = classes.collect()  # some thirty rows a source
