@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +60,14 @@ def stable(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df if nodes <= {"Project", "Filter", "Relation", "LocalRelation", "LocalTableScan"} else materialise(spark, df, "stable")
 
 
+def tidy() -> None:
+    """Give memory that a worker no longer uses back to the machine; workers live on from task to task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """df to be broadcast if its counted rows are within the limit; else as it is, to be shuffled."""
     return F.broadcast(df) if rows <= limit else df

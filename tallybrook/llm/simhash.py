@@ -18,12 +18,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import materialise, row_id, small
+from tallybrook.llm.common import materialise, row_id, small, stable, tidy
 from tallybrook.llm.components import components
 
 SEED = 42
 #: Fingerprints in a tile at most, shingles unpacked at once, and comparisons made at once.
 TILE, SLICE, BLOCK = 8192, 1 << 15, 1 << 17
+#: Links of a fingerprint in a pair of tiles that are held against the texts at once.
+NEAREST = 8
 #: Odd constants from the fractional parts of the square roots of 2 and 3: they start the further words of long fingerprints.
 STARTS = (0, 0x6A09E667F3BCC909, 0xBB67AE8584CAA73B, 0x3C6EF372FE94F82B)
 
@@ -109,6 +111,30 @@ def _tiles(distinct: DataFrame, words: int, tile: int) -> DataFrame:
     return ordered.select("node", *(f"w{i}" for i in range(words))).mapInArrow(pack, "n long, fps binary, nodes binary, low binary, high binary").withColumn("tile", row_id())
 
 
+def _joined_tiles(spark: SparkSession, tiles: DataFrame, tile: int) -> DataFrame:
+    """Neighbouring tiles put together up to ``tile`` fingerprints: of short tiles there would be many pairs, and a group's forest once for each."""
+    numbers, to, held = tiles.select("tile", "n").orderBy("tile").collect(), [], 0
+    for r in numbers:  # a few bytes a tile
+        if not to or held + r["n"] > tile:
+            to, held = [*to, (r["tile"], to[-1][1] + 1 if to else 0)], 0
+        else:
+            to.append((r["tile"], to[-1][1]))
+        held += r["n"]
+    if not to or to[-1][1] + 1 == len(to):
+        return tiles
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                parts = batch.column("parts")[r].as_py()
+                low, high = (f.reduce([np.frombuffer(x[c], np.uint8) for x in parts]).tobytes() for f, c in ((np.minimum, "low"), (np.maximum, "high")))
+                yield pa.RecordBatch.from_pydict({"tile": pa.array([batch.column("to")[r].as_py()], pa.int64()), "n": [sum(x["n"] for x in parts)], "fps": [b"".join(x["fps"] for x in parts)], "nodes": [b"".join(x["nodes"] for x in parts)], "low": [low], "high": [high]})
+
+    named = tiles.join(small(spark.createDataFrame(to, "tile long, to long"), len(to)), "tile")
+    parts = named.groupBy("to").agg(F.collect_list(F.struct("n", "fps", "nodes", "low", "high")).alias("parts"))  # at most ``tile`` fingerprints meet
+    return materialise(spark, parts.mapInArrow(merge, "tile long, n long, fps binary, nodes binary, low binary, high binary"), "simhash-joined")
+
+
 def _pairs(spark: SparkSession, tiles: DataFrame, radius: int) -> DataFrame:
     """(a, b) of the tiles that must be compared, by their least and largest block counts; only those few bytes a tile reach the driver."""
     meta = tiles.select("tile", "low", "high").orderBy("tile").collect()
@@ -178,12 +204,64 @@ def spanning(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> list[tupl
     return held.tolist()
 
 
-def links(spark: SparkSession, distinct: DataFrame, words: int, radius: int, tile: int = TILE) -> DataFrame:
-    """(a, b, distance): for distinct fingerprints (node, w0, ...), links that join all nodes that the links within the radius join."""
-    tiles = materialise(spark, _tiles(distinct, words, tile), "simhash-tiles")
+def nearest(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, radius: int, most: int, same: bool) -> tuple[list[tuple[int, int, int]], list[int], np.ndarray]:
+    """Of each row of a its ``most`` nearest links to rows of b of another class (of_a, of_b); the rows that have more of them; the rows of b with any link.
+
+    same: b is a, and a row is no link of itself."""
+    found, more, met = [], [], np.zeros(len(b), bool)
+    step = max(1, BLOCK // max(1, len(b)))
+    for at in range(0, len(a), step):
+        part = a[at : at + step]
+        apart = np.bitwise_count(part[:, None, 0] ^ b[None, :, 0])
+        for w in range(1, a.shape[1]):
+            apart = apart + np.bitwise_count(part[:, None, w] ^ b[None, :, w])
+        if not same and apart.min(initial=255) > radius:
+            continue
+        i, j = np.nonzero((apart <= radius) & (of_a[at : at + step, None] != of_b[None, :]))
+        far = apart[i, j]
+        met[j] = True
+        for row in np.unique(i).tolist():
+            held = slice(*np.searchsorted(i, (row, row + 1)))
+            to, how = j[held], far[held]
+            if len(to) > most:
+                more.append(row + at)
+                near = np.lexsort((to, how))[:most]
+                to, how = to[near], how[near]
+            found += [(row + at, x, d) for x, d in zip(to.tolist(), how.tolist(), strict=True)]
+    return found, more, met
+
+
+def links(spark: SparkSession, distinct: DataFrame, words: int, radius: int, most: int | None = None) -> DataFrame:
+    """(a, b, distance): for distinct fingerprints (node, w0, ...), links that join all nodes that the links within the radius join.
+
+    With ``most``, and a column ``class``: each node's ``most`` nearest links in each pair of tiles to nodes of other classes, and (node, node, -1) for
+    a node that has more of them."""
+    classes = distinct.select("node", "class") if most is not None else None
+    tiles = _joined_tiles(spark, materialise(spark, _tiles(distinct, words, TILE), "simhash-tiles"), TILE)
     left = tiles.select(F.col("tile").alias("a"), F.col("fps").alias("fps_a"), F.col("nodes").alias("nodes_a"))
     right = tiles.select(F.col("tile").alias("b"), F.col("fps").alias("fps_b"), F.col("nodes").alias("nodes_b"))
     pairs = _pairs(spark, tiles, radius)
+    if most is not None:
+        tiles = _with_classes(tiles, classes)
+        left, right = left.join(tiles.select(F.col("tile").alias("a"), F.col("classes").alias("of_a")), "a"), right.join(tiles.select(F.col("tile").alias("b"), F.col("classes").alias("of_b")), "b")
+
+        def run_nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for r in range(batch.num_rows):
+                    a, b = batch.column("a")[r].as_py(), batch.column("b")[r].as_py()
+                    fa, fb = (np.frombuffer(batch.column(c)[r].as_py(), np.uint64).reshape(-1, words) for c in ("fps_a", "fps_b"))
+                    na, nb, ca, cb = (np.frombuffer(batch.column(c)[r].as_py(), np.int64) for c in ("nodes_a", "nodes_b", "of_a", "of_b"))
+                    there, more, met = nearest(fa, fb, ca, cb, radius, most, a == b)
+                    out = [(int(na[i]), int(nb[j]), d) for i, j, d in there] + [(int(na[i]), int(na[i]), -1) for i in more]
+                    if a != b and met.any():
+                        rows = np.flatnonzero(met)
+                        back, more, _ = nearest(fb[rows], fa, cb[rows], ca, radius, most, False)
+                        out += [(int(nb[rows[i]]), int(na[j]), d) for i, j, d in back] + [(int(nb[rows[i]]), int(nb[rows[i]]), -1) for i in more]
+                    held = np.array([(min(x), max(x), d) for *x, d in set(out)], np.int64).reshape(-1, 3)
+                    yield pa.RecordBatch.from_arrays([pa.array(held[:, c].copy()) for c in range(3)], ["a", "b", "distance"])
+            tidy()
+
+        return pairs.join(left, "a").join(right, "b").mapInArrow(run_nearest, "a long, b long, distance long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,23 +276,82 @@ def links(spark: SparkSession, distinct: DataFrame, words: int, radius: int, til
     return held.mapInArrow(run, "a long, b long, distance long")
 
 
+def _with_classes(tiles: DataFrame, classes: DataFrame) -> DataFrame:
+    """(tile, classes): the classes of a tile's nodes in their order, as bytes."""
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                nodes = np.frombuffer(batch.column("nodes")[r].as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nodes), batch.column("tile")[r].as_py())), pa.array(np.arange(len(nodes))), pa.array(nodes)], ["tile", "place", "node"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [np.array(x.as_py(), np.int64).tobytes() for x in batch.column("of")]
+            yield pa.RecordBatch.from_arrays([batch.column("tile"), pa.array(packed, pa.binary())], ["tile", "classes"])
+
+    named = tiles.select("tile", "nodes").mapInArrow(places, "tile long, place long, node long").join(classes, "node")
+    held = named.groupBy("tile").agg(F.array_sort(F.collect_list(F.struct("place", "class"))).alias("held"))  # a tile's nodes, no more
+    return held.select("tile", F.col("held.class").alias("of")).mapInArrow(pack, "tile long, classes binary")
+
+
+def verified_links(spark: SparkSession, docs: DataFrame, distinct: DataFrame, words: int, radius: int, k: int, similarity: float, text_col: str) -> DataFrame:
+    """(a, b): links between fingerprints (node, w0, ...) whose texts are that similar, enough to join all nodes that such links join.
+
+    Each node's NEAREST links in each pair of tiles are held against the texts; then nodes with more links ask again, among themselves, for twice as
+    many to nodes that they have not been joined with, until no node has links left that were not looked at. A node with fewer links has had all
+    of them looked at, so links between it and one that asks again are done. In a large group of near copies nearly all links drop out as already joined."""
+    held = None
+    asking, most = distinct.withColumn("class", F.col("node")), NEAREST
+    while True:
+        found = materialise(spark, links(spark, asking, words, radius, most), "simhash-nearest")
+        edges = materialise(spark, found.where("distance >= 0").select("a", "b", "distance").distinct(), "simhash-links")
+        good = materialise(spark, verified(docs, edges, k, similarity, text_col).select("a", "b"), "simhash-verified")
+        held = good if held is None else materialise(spark, held.union(good), "simhash-verified")
+        again = materialise(spark, found.where("distance < 0").select(F.col("a").alias("node")).distinct(), "simhash-asking")
+        if not again.count():
+            return held
+        roots = components(spark, held)
+        asking = distinct.join(again, "node").join(roots, "node", "left").select(*distinct.columns, F.coalesce("root", "node").alias("class"))
+        asking, most = materialise(spark, asking, "simhash-asking"), 2 * most
+
+
+def reduced(spark: SparkSession, edges: DataFrame, per_task: int = 100_000) -> DataFrame:
+    """The edges (a, b, distance) without those that close a circle of edges that are no longer, as far as they meet in a task; written.
+
+    Edges of all pairs of tiles are dealt out at random, so that of a large group each task keeps no more than a forest. What it takes out is
+    never needed to join nodes at any distance."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in range(3)], 1) for b in batches]
+        rows = np.unique(np.concatenate(held), axis=0) if held else np.zeros((0, 3), np.int64)
+        rows = rows[np.argsort(rows[:, 2], kind="stable")]
+        names, ends = np.unique(rows[:, :2], return_inverse=True)
+        tree, ends = _Forest(len(names)), ends.reshape(-1, 2).tolist()
+        keep = rows[[k for k, (i, j) in enumerate(ends) if tree.join(i, j)]]
+        yield pa.RecordBatch.from_arrays([pa.array(keep[:, c].copy()) for c in range(3)], ["a", "b", "distance"])
+
+    table = materialise(spark, edges, "simhash-links")
+    n = table.count()
+    parts = max(2, -(-n // per_task))
+    return materialise(spark, table.repartition(parts, F.pmod(F.xxhash64("a", "b"), F.lit(parts))).mapInArrow(run, "a long, b long, distance long"), "simhash-forest")
+
+
 def simhash_components(spark: SparkSession, docs: DataFrame, shingle_words: int = 3, words: int = 1, radius: int = 2, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None) -> DataFrame:
     """One row per row of docs: row, id, fingerprint (hex), component_id (the smallest id that links reach), keep_row (the row that has it).
 
-    Fingerprints of 64 x words bits link when at most ``radius`` bits differ; equal ones always do. With ``similarity``, a link of the
-    forest between different fingerprints holds only if the Jaccard similarity of both texts' shingle sets (of the smallest row of each
+    Fingerprints of 64 x words bits link when at most ``radius`` bits differ; equal ones always do. With ``similarity``, a link
+    between different fingerprints holds only if the Jaccard similarity of both texts' shingle sets (of the first row of each
     fingerprint) is at least that. Null and empty texts have fingerprint zero, linked like any other. A null id counts as larger than
     all others; repeated rows and equal texts share their component. No rows: no rows. Other columns are not read."""
+    docs = stable(spark, docs)
     cols = [f"w{i}" for i in range(words)]
     rows = materialise(spark, fingerprints(docs, shingle_words, words, id_col, text_col), "simhash-rows")
     order = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("row"))
     distinct = materialise(spark, rows.groupBy(*cols).agg(F.min("row").alias("node"), F.min(order).alias("least")), "simhash-distinct")
-    edges = materialise(spark, links(spark, distinct.select("node", *cols), words, radius), "simhash-links")
-    if similarity is not None:
-        edges = materialise(spark, verified(docs, edges, shingle_words, similarity, text_col), "simhash-verified")
+    nodes = distinct.select("node", *cols)
+    edges = reduced(spark, links(spark, nodes, words, radius)) if similarity is None else verified_links(spark, docs, nodes, words, radius, shingle_words, similarity, text_col)
     roots = components(spark, edges.select("a", "b"))
     named = distinct.join(roots.withColumnRenamed("root", "r"), "node", "left").withColumn("r", F.coalesce("r", "node"))
-    least = named.groupBy("r").agg(F.min("least").alias("of"))
+    least = materialise(spark, named.groupBy("r").agg(F.min("least").alias("of")), "simhash-least")
     found = named.join(least, "r").select(*cols, F.col("of.id").alias("component_id"), F.col("of.row").alias("keep_row"))
     hexed = F.concat(*(F.lower(F.lpad(F.hex(c), 16, "0")) for c in cols))
     return rows.join(found, cols).select("row", "id", hexed.alias("fingerprint"), "component_id", "keep_row")
@@ -231,6 +368,7 @@ def verified(docs: DataFrame, edges: DataFrame, k: int, similarity: float, text_
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([np.unique(shingle_hashes(t.as_py(), k)).tobytes() for t in part.column(1)], pa.binary())], ["row", "set"])
+        tidy()
 
     held = texts.mapInArrow(sets, "row long, set binary")
     both = edges.join(held.select(F.col("row").alias("a"), F.col("set").alias("sa")), "a").join(held.select(F.col("row").alias("b"), F.col("set").alias("sb")), "b")
@@ -243,6 +381,7 @@ def verified(docs: DataFrame, edges: DataFrame, k: int, similarity: float, text_
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(shared >= similarity * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), batch.column("distance")], ["a", "b", "distance"]).filter(pa.array(keep, pa.bool_()))
+        tidy()
 
     return both.mapInArrow(compare, "a long, b long, distance long")
 
@@ -252,6 +391,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, shingle_words: int =
 
     128-bit fingerprints: two texts of Jaccard similarity 0.8 differ in about 19 bits with a deviation of 4, unrelated ones in 64 with a
     deviation of 6, so radius 28 proposes almost every such pair and hardly another; proposed links are then held against the shingle sets."""
+    docs = stable(spark, docs)
     groups = materialise(spark, simhash_components(spark, docs, shingle_words, words, radius, similarity=similarity), "simhash-groups")
     out = groups.where("row != keep_row").select(F.col("row").alias("__row"))
     return docs.withColumn("__row", row_id()).join(small(out, out.count()), "__row", "left_anti").drop("__row")
