@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Chunks whose ids a worker keeps at most; beyond that it forgets all. And the texts of one output batch.
-KEPT, TEXTS = 400_000, 64
+KEPT, TEXTS = 120_000, 64
 #: Fixed values of the tokenizer's file format: white space, words, and the characters that stand for the bytes.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
