@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybrook.llm.common import short_batches
+
 #: Chunks whose ids a worker keeps at most; beyond that it forgets all. And the texts of one output batch.
 KEPT, TEXTS = 120_000, 64
 #: Fixed values of the tokenizer's file format: white space, words, and the characters that stand for the bytes.
@@ -159,6 +161,7 @@ def encode_decode(spark: SparkSession, docs: DataFrame, vocabulary: str, id_col:
 
     vocabulary: the path of a tokenizer file. Null and empty texts have no ids and decode to the empty text. Repeated rows stay, in any
     order; other columns are not read."""
+    short_batches(spark)
     with open(vocabulary, encoding="utf-8") as f:
         shared = spark.sparkContext.broadcast(f.read())
 

@@ -60,6 +60,13 @@ def stable(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df if nodes <= {"Project", "Filter", "Relation", "LocalRelation", "LocalTableScan"} else materialise(spark, df, "stable")
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """From now on Arrow batches of this session hold at most so many rows: whole texts make long rows, and both sides hold a batch in memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def tidy() -> None:
     """Give memory that a worker no longer uses back to the machine; workers live on from task to task."""
     gc.collect()

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import materialise, row_id, small, stable, tidy
+from tallybrook.llm.common import materialise, row_id, short_batches, small, stable, tidy
 from tallybrook.llm.components import components
 
 SEED = 42
@@ -342,6 +342,7 @@ def simhash_components(spark: SparkSession, docs: DataFrame, shingle_words: int
     between different fingerprints holds only if the Jaccard similarity of both texts' shingle sets (of the first row of each
     fingerprint) is at least that. Null and empty texts have fingerprint zero, linked like any other. A null id counts as larger than
     all others; repeated rows and equal texts share their component. No rows: no rows. Other columns are not read."""
+    short_batches(spark)
     docs = stable(spark, docs)
     cols = [f"w{i}" for i in range(words)]
     rows = materialise(spark, fingerprints(docs, shingle_words, words, id_col, text_col), "simhash-rows")

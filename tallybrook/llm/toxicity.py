@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybrook.llm.common import short_batches
+
 #: Labelled rows of each class that a fit reads at most, and characters of a fit's text.
 FIT_ROWS = 3000
 #: A learned stem or word: documents that must have it, its least log-odds, and letters of a stem.
@@ -245,6 +247,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "doc
     """(id, score, predicted, n_clauses, top_clause) of every row of docs, in any order; predicted: score >= 0.5.
 
     Null and empty texts have the score of a text without hits. Other columns are not read; repeated rows stay."""
+    short_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,6 +273,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "doc
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     """The rows of docs that the model does not reject, with all their columns: decided from each row's text in one pass."""
+    short_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     names = docs.columns
 
