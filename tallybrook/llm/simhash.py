@@ -66,17 +66,24 @@ def fingerprint(text: str | None, k: int = 3, words: int = 1) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, k: int = 3, words: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, id, w0, w1, ...) of every row of docs, the words as signed 64-bit integers."""
+def set_hash(text: str | None, k: int = 3) -> int:
+    """XXH64 of the text's distinct shingles, as a signed number: texts with the same shingle set have the same one."""
+    return xxhash.xxh64_intdigest(np.unique(shingle_hashes(text, k)).tobytes(), SEED) - (1 << 63)
+
+
+def fingerprints(docs: DataFrame, k: int = 3, words: int = 1, id_col: str = "doc_id", text_col: str = "text", sets: bool = False) -> DataFrame:
+    """(row, id, w0, w1, ...) of every row of docs, the words as signed 64-bit integers; sets: also the shingle set's hash, ``of_set``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t.as_py(), k, words) for t in batch.column(2)]
             table = np.array(fps, np.uint64).reshape(-1, words).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(table[:, i].copy()) for i in range(words))], ["row", "id", *(f"w{i}" for i in range(words))])
+            held = [pa.array([set_hash(t.as_py(), k) for t in batch.column(2)], pa.int64())] if sets else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(table[:, i].copy()) for i in range(words)), *held], names)
 
+    names = ["row", "id", *(f"w{i}" for i in range(words)), *["of_set"][: int(sets)]]
     rows = docs.select(row_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "row long, id long, " + ", ".join(f"w{i} long" for i in range(words)))
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def _blocks(words: int) -> list[Column]:
@@ -295,7 +302,7 @@ def _with_classes(tiles: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def verified_links(spark: SparkSession, docs: DataFrame, distinct: DataFrame, words: int, radius: int, k: int, similarity: float, text_col: str) -> DataFrame:
-    """(a, b): links between fingerprints (node, w0, ...) whose texts are that similar, enough to join all nodes that such links join.
+    """(a, b): links between nodes (node, w0, ...), equal fingerprints among them, whose texts are that similar, enough to join all nodes that such links join.
 
     Each node's NEAREST links in each pair of tiles are held against the texts; then nodes with more links ask again, among themselves, for twice as
     many to nodes that they have not been joined with, until no node has links left that were not looked at. A node with fewer links has had all
@@ -339,23 +346,24 @@ def simhash_components(spark: SparkSession, docs: DataFrame, shingle_words: int
     """One row per row of docs: row, id, fingerprint (hex), component_id (the smallest id that links reach), keep_row (the row that has it).
 
     Fingerprints of 64 x words bits link when at most ``radius`` bits differ; equal ones always do. With ``similarity``, a link
-    between different fingerprints holds only if the Jaccard similarity of both texts' shingle sets (of the first row of each
-    fingerprint) is at least that. Null and empty texts have fingerprint zero, linked like any other. A null id counts as larger than
+    holds only if the Jaccard similarity of both texts' shingle sets is at least that, for equal fingerprints too: rows are then
+    nodes of their own unless fingerprint and shingle set are both equal. Null and empty texts have fingerprint zero, linked like any other. A null id counts as larger than
     all others; repeated rows and equal texts share their component. No rows: no rows. Other columns are not read."""
     short_batches(spark)
     docs = stable(spark, docs)
     cols = [f"w{i}" for i in range(words)]
-    rows = materialise(spark, fingerprints(docs, shingle_words, words, id_col, text_col), "simhash-rows")
+    keys = cols if similarity is None else [*cols, "of_set"]
+    rows = materialise(spark, fingerprints(docs, shingle_words, words, id_col, text_col, similarity is not None), "simhash-rows")
     order = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("row"))
-    distinct = materialise(spark, rows.groupBy(*cols).agg(F.min("row").alias("node"), F.min(order).alias("least")), "simhash-distinct")
+    distinct = materialise(spark, rows.groupBy(*keys).agg(F.min("row").alias("node"), F.min(order).alias("least")), "simhash-distinct")
     nodes = distinct.select("node", *cols)
     edges = reduced(spark, links(spark, nodes, words, radius)) if similarity is None else verified_links(spark, docs, nodes, words, radius, shingle_words, similarity, text_col)
     roots = components(spark, edges.select("a", "b"))
     named = distinct.join(roots.withColumnRenamed("root", "r"), "node", "left").withColumn("r", F.coalesce("r", "node"))
     least = materialise(spark, named.groupBy("r").agg(F.min("least").alias("of")), "simhash-least")
-    found = named.join(least, "r").select(*cols, F.col("of.id").alias("component_id"), F.col("of.row").alias("keep_row"))
+    found = named.join(least, "r").select(*keys, F.col("of.id").alias("component_id"), F.col("of.row").alias("keep_row"))
     hexed = F.concat(*(F.lower(F.lpad(F.hex(c), 16, "0")) for c in cols))
-    return rows.join(found, cols).select("row", "id", hexed.alias("fingerprint"), "component_id", "keep_row")
+    return rows.join(found, keys).select("row", "id", hexed.alias("fingerprint"), "component_id", "keep_row")
 
 
 def verified(docs: DataFrame, edges: DataFrame, k: int, similarity: float, text_col: str = "text") -> DataFrame:

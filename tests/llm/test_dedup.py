@@ -125,6 +125,16 @@ def test_near_copies_go_and_others_stay(spark, monkeypatch, tile, most):
     assert kept == {10 * k for k in range(40)} | {1000}
 
 
+def test_equal_fingerprints_of_unlike_texts_are_held_against_the_similarity(spark):
+    rng = random.Random(6)
+    line = " ".join(f"often{c}" for c in "abcdefghi")
+    rows = [(k, "\n".join([line] * 60) + "\n" + " ".join(f"w{rng.randrange(10**6)}" for _ in range(50))) for k in range(12)]
+    rows += [(100 + k, t + "\n" + line) for k, t in rows[:4]]
+    assert len({tuple(simhash.fingerprint(t, 5, 2)) for _, t in rows[:12]}) < 12
+    found = simhash.simhash_components(spark, _docs(spark, rows), 5, 2, 28, similarity=0.8).collect()
+    assert {r["id"]: r["component_id"] for r in found} == {i: i % 100 for i, _ in rows}
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 180)] + [(200, 200), (300, 301), (301, 300), (302, 300)]
     found = {r["node"]: r["root"] for r in components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
