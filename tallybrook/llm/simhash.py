@@ -52,9 +52,13 @@ def _mixed(h: np.ndarray, word: int) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def fingerprint(text: str | None, k: int = 3, words: int = 1) -> np.ndarray:
-    """64 x words bits; a bit is 1 if set in over half the hashes. No shingles: zero."""
+def fingerprint(text: str | None, k: int = 3, words: int = 1, distinct: bool = False) -> np.ndarray:
+    """64 x words bits; a bit is 1 if set in over half the hashes; distinct: each shingle counts once. No shingles: zero."""
     h = shingle_hashes(text, k)
+    return _majority(np.unique(h) if distinct else h, words)
+
+
+def _majority(h: np.ndarray, words: int) -> np.ndarray:
     out = np.zeros(words, np.uint64)
     for w in range(words if len(h) else 0):
         counts = np.zeros(64, np.int64)
@@ -66,19 +70,20 @@ def fingerprint(text: str | None, k: int = 3, words: int = 1) -> np.ndarray:
     return out
 
 
-def set_hash(text: str | None, k: int = 3) -> int:
-    """XXH64 of the text's distinct shingles, as a signed number: texts with the same shingle set have the same one."""
-    return xxhash.xxh64_intdigest(np.unique(shingle_hashes(text, k)).tobytes(), SEED) - (1 << 63)
-
-
-def fingerprints(docs: DataFrame, k: int = 3, words: int = 1, id_col: str = "doc_id", text_col: str = "text", sets: bool = False) -> DataFrame:
-    """(row, id, w0, w1, ...) of every row of docs, the words as signed 64-bit integers; sets: also the shingle set's hash, ``of_set``."""
+def fingerprints(docs: DataFrame, k: int = 3, words: int = 1, id_col: str = "doc_id", text_col: str = "text", sets: bool = False, distinct: bool = False) -> DataFrame:
+    """(row, id, w0, w1, ...) of every row of docs, the words as signed 64-bit integers; sets: also XXH64 of the distinct shingles, ``of_set``; distinct: as in
+    fingerprint()."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t.as_py(), k, words) for t in batch.column(2)]
+            fps, of_sets = [], []
+            for t in batch.column(2):
+                h = shingle_hashes(t.as_py(), k)
+                once = np.unique(h) if sets or distinct else h
+                fps.append(_majority(once if distinct else h, words))
+                of_sets.append(xxhash.xxh64_intdigest(once.tobytes(), SEED) - (1 << 63) if sets else 0)
             table = np.array(fps, np.uint64).reshape(-1, words).view(np.int64)
-            held = [pa.array([set_hash(t.as_py(), k) for t in batch.column(2)], pa.int64())] if sets else []
+            held = [pa.array(of_sets, pa.int64())] if sets else []
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(table[:, i].copy()) for i in range(words)), *held], names)
 
     names = ["row", "id", *(f"w{i}" for i in range(words)), *["of_set"][: int(sets)]]
@@ -178,14 +183,22 @@ class _Forest:
         return a != b
 
 
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances of all rows of a to all of b; 8 bits hold them up to three words."""
+    apart = np.bitwise_count(a[:, None, 0] ^ b[None, :, 0])
+    if a.shape[1] > 3:
+        apart = apart.astype(np.uint16)
+    for w in range(1, a.shape[1]):
+        apart += np.bitwise_count(a[:, None, w] ^ b[None, :, w])
+    return apart
+
+
 def linked(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(i, j, distance) of the pairs a[i], b[j] within the radius, a block of rows of a at a time; same: only i < j."""
     step = max(1, BLOCK // max(1, len(b)))
     for at in range(0, len(a), step):
         part, rest = a[at : at + step], at if same else 0
-        apart = np.bitwise_count(part[:, None, 0] ^ b[None, rest:, 0])
-        for w in range(1, a.shape[1]):
-            apart = apart + np.bitwise_count(part[:, None, w] ^ b[None, rest:, w])  # at most 255
+        apart = _apart(part, b[rest:])
         if apart.min(initial=255) <= radius or same:
             i, j = np.nonzero(apart <= radius)
             far = apart[i, j]
@@ -219,9 +232,7 @@ def nearest(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, ra
     step = max(1, BLOCK // max(1, len(b)))
     for at in range(0, len(a), step):
         part = a[at : at + step]
-        apart = np.bitwise_count(part[:, None, 0] ^ b[None, :, 0])
-        for w in range(1, a.shape[1]):
-            apart = apart + np.bitwise_count(part[:, None, w] ^ b[None, :, w])
+        apart = _apart(part, b)
         if not same and apart.min(initial=255) > radius:
             continue
         i, j = np.nonzero((apart <= radius) & (of_a[at : at + step, None] != of_b[None, :]))
@@ -342,7 +353,7 @@ def reduced(spark: SparkSession, edges: DataFrame, per_task: int = 100_000) -> D
     return materialise(spark, table.repartition(parts, F.pmod(F.xxhash64("a", "b"), F.lit(parts))).mapInArrow(run, "a long, b long, distance long"), "simhash-forest")
 
 
-def simhash_components(spark: SparkSession, docs: DataFrame, shingle_words: int = 3, words: int = 1, radius: int = 2, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None) -> DataFrame:
+def simhash_components(spark: SparkSession, docs: DataFrame, shingle_words: int = 3, words: int = 1, radius: int = 2, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None, distinct_shingles: bool = False) -> DataFrame:
     """One row per row of docs: row, id, fingerprint (hex), component_id (the smallest id that links reach), keep_row (the row that has it).
 
     Fingerprints of 64 x words bits link when at most ``radius`` bits differ; equal ones always do. With ``similarity``, a link
@@ -353,7 +364,7 @@ def simhash_components(spark: SparkSession, docs: DataFrame, shingle_words: int
     docs = stable(spark, docs)
     cols = [f"w{i}" for i in range(words)]
     keys = cols if similarity is None else [*cols, "of_set"]
-    rows = materialise(spark, fingerprints(docs, shingle_words, words, id_col, text_col, similarity is not None), "simhash-rows")
+    rows = materialise(spark, fingerprints(docs, shingle_words, words, id_col, text_col, similarity is not None, distinct_shingles), "simhash-rows")
     order = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("row"))
     distinct = materialise(spark, rows.groupBy(*keys).agg(F.min("row").alias("node"), F.min(order).alias("least")), "simhash-distinct")
     nodes = distinct.select("node", *cols)
@@ -395,12 +406,13 @@ def verified(docs: DataFrame, edges: DataFrame, k: int, similarity: float, text_
     return both.mapInArrow(compare, "a long, b long, distance long")
 
 
-def drop_near_copies(spark: SparkSession, docs: DataFrame, shingle_words: int = 5, words: int = 2, radius: int = 28, similarity: float = 0.8) -> DataFrame:
+def drop_near_copies(spark: SparkSession, docs: DataFrame, shingle_words: int = 5, words: int = 4, radius: int = 72, similarity: float = 0.8) -> DataFrame:
     """The rows of docs that stay, with all their columns: of each group of near copies the row with the smallest doc_id.
 
-    128-bit fingerprints: two texts of Jaccard similarity 0.8 differ in about 19 bits with a deviation of 4, unrelated ones in 64 with a
-    deviation of 6, so radius 28 proposes almost every such pair and hardly another; proposed links are then held against the shingle sets."""
+    256-bit fingerprints of the distinct shingles: two long texts of Jaccard similarity 0.8 differ in about 39 bits with a deviation of 6, at worst (4 shingles
+    of 5) in 48, unrelated ones in 128 with a deviation of 8, so radius 72 misses at most 1 such pair in 10,000; proposed links are then held against the
+    shingle sets."""
     docs = stable(spark, docs)
-    groups = materialise(spark, simhash_components(spark, docs, shingle_words, words, radius, similarity=similarity), "simhash-groups")
+    groups = materialise(spark, simhash_components(spark, docs, shingle_words, words, radius, similarity=similarity, distinct_shingles=True), "simhash-groups")
     out = groups.where("row != keep_row").select(F.col("row").alias("__row"))
     return docs.withColumn("__row", row_id()).join(small(out, out.count()), "__row", "left_anti").drop("__row")

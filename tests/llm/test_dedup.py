@@ -135,6 +135,21 @@ def test_equal_fingerprints_of_unlike_texts_are_held_against_the_similarity(spar
     assert {r["id"]: r["component_id"] for r in found} == {i: i % 100 for i, _ in rows}
 
 
+def test_distances_of_long_fingerprints_do_not_overflow():
+    zero = np.zeros((1, 4), np.uint64)
+    assert list(simhash.linked(zero, ~zero, 72, False)) == []
+
+
+def test_a_line_repeated_many_times_does_not_hide_a_near_copy(spark):
+    rng = random.Random(7)
+    rows = []
+    for k, times in enumerate((5, 10, 30)):
+        base = " ".join(f"w{rng.randrange(10**6)}" for _ in range(200))
+        line = " ".join(f"often{k}{c}" for c in "abcdefghi")
+        rows += [(10 * k, base), (10 * k + 1, "\n".join([base, *[line] * times]))]
+    assert {r["doc_id"] for r in simhash.drop_near_copies(spark, _docs(spark, rows)).collect()} == {0, 10, 20}
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 180)] + [(200, 200), (300, 301), (301, 300), (302, 300)]
     found = {r["node"]: r["root"] for r in components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
