@@ -5,7 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import re
 import tempfile
 import uuid
 
@@ -19,6 +18,8 @@ NOT_WS = r"[^\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows that may be broadcast at most, about 16 bytes each; larger sides are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Column of written row numbers.
+ROW = "__tallybrook_row"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -48,16 +49,18 @@ def drop_table(spark: SparkSession, df: DataFrame) -> None:
 
 
 def row_id() -> Column:
-    """A row's number, the same each time a scan of files or of a materialised table is run."""
+    """A row's number, for one scan only: another scan may split files otherwise (as cores come and go) and number rows anew."""
     return F.monotonically_increasing_id()
 
 
-def stable(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """df if its plan is a scan with nothing but projections and filters, else its written copy: a shuffle may order rows anew each time it runs, and then
-    row_id() would name other rows."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    nodes = {m.group(1) for m in re.finditer(r"^[\s:+-]*([A-Za-z]+)", plan, re.M)}
-    return df if nodes <= {"Project", "Filter", "Relation", "LocalRelation", "LocalTableScan"} else materialise(spark, df, "stable")
+def numbered(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """df with its rows' numbers in column ROW, written once, so that all scans of the copy see the same numbers; df itself if it has them."""
+    return df if ROW in df.columns else materialise(spark, df.withColumn(ROW, row_id()), "numbered")
+
+
+def row_number(df: DataFrame) -> Column:
+    """The numbers of numbered(); without them row_id(), which only a single scan may use."""
+    return F.col(ROW) if ROW in df.columns else row_id()
 
 
 def short_batches(spark: SparkSession, rows: int = 1000) -> None:

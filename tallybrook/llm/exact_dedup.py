@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import materialise, normalised, row_id, small, stable
+from tallybrook.llm.common import ROW, materialise, normalised, numbered, row_number, small
 
 #: Distinct keys that a bucket may hold.
 CAPACITY = 200_000
@@ -20,7 +20,7 @@ CAPACITY = 200_000
 
 def entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, id, key, sha) of every row; key: XXH64 of the normalised text, sha: its SHA-256 in hex."""
-    texts = docs.select(row_id().alias("row"), F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"))
+    texts = docs.select(row_number(docs).alias("row"), F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"))
     return texts.select("row", "id", F.xxhash64("norm").alias("key"), F.sha2("norm", 256).alias("sha"))
 
 
@@ -89,11 +89,11 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
     Texts are equal when their bytes are equal once each run of white space is one space; null counts as the empty text. The
     row with the smallest id stays; a null id comes after all others, and of rows with the same id the first stays. No rows: no rows.
     Other columns of docs are not read, whatever their names."""
-    docs = stable(spark, docs)
+    docs = docs if ROW in docs.columns else numbered(spark, docs.select(id_col, text_col))
     rows, index = build_index(spark, docs, id_col, text_col, capacity)
     chained = index.where("n_rows > 1").select("bucket", "key")
     chained = small(chained, chained.count())
-    texts = docs.select(row_id().alias("row"), F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"))
+    texts = docs.select(row_number(docs).alias("row"), F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"))
     texts = texts.withColumn("key", F.xxhash64("norm")).join(chained, "key")
     order = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("row"))
     # the owners of key ranges; equal bytes meet in one chain link, and map-side sums come first
@@ -112,8 +112,6 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns."""
-    docs = stable(spark, docs)
+    docs = numbered(spark, docs)
     out = materialise(spark, exact_groups(spark, docs, id_col, text_col).where("not kept").select("row"), "dedup-dropped")
-    mark = "__row"
-    numbered = docs.withColumn(mark, row_id())
-    return numbered.join(small(out.withColumnRenamed("row", mark), out.count()), mark, "left_anti").drop(mark)
+    return docs.join(small(out.withColumnRenamed("row", ROW), out.count()), ROW, "left_anti").drop(ROW)

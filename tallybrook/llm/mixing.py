@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import materialise, n_words, row_id, small, stable
+from tallybrook.llm.common import ROW, materialise, n_words, numbered, row_number, small
 
 #: Repeating weights of the sources in order, the share of all sizes that is taken, and the most copies of a document.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
@@ -45,7 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[float, ...] = WEIGH
 
     Size: words of the text, null and empty: 0. The same rows give the same copies whatever their partitions: order within a source
     is by size class, hash of id and text, id; fully equal rows are alike. A null source is a source of its own. No rows: no rows."""
-    light = docs.select(row_id().alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"))
+    light = docs.select(row_number(docs).alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"))
     light = materialise(spark, light.withColumn("class", F.floor(2 * F.log2(F.col("size") + 1)).cast("int")), "mix-sizes")
     classes = light.groupBy("source", "class").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     held = classes.collect()  # some thirty rows a source
@@ -86,8 +86,8 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[float, ...] = WEIGH
 
 def mixed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows that the mix takes, with all their columns, each as often as it is taken."""
-    docs = stable(spark, docs)
-    taken = materialise(spark, mix(spark, docs).where("copies > 0").select(F.col("row").alias("__row"), F.col("copies").alias("__copies")), "mix-taken")
-    held = docs.withColumn("__row", row_id()).join(small(taken, taken.count()), "__row")
+    docs = numbered(spark, docs)
+    taken = materialise(spark, mix(spark, docs).where("copies > 0").select(F.col("row").alias(ROW), F.col("copies").alias("__copies")), "mix-taken")
+    held = docs.join(small(taken, taken.count()), ROW)
     again = F.explode(F.array_repeat(F.lit(True), F.col("__copies").cast("int")))
-    return held.withColumn("__again", again).drop("__row", "__copies", "__again")
+    return held.withColumn("__again", again).drop(ROW, "__copies", "__again")

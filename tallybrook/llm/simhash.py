@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import materialise, row_id, short_batches, small, stable, tidy
+from tallybrook.llm.common import ROW, materialise, numbered, row_id, row_number, short_batches, small, tidy
 from tallybrook.llm.components import components
 
 SEED = 42
@@ -87,7 +87,7 @@ def fingerprints(docs: DataFrame, k: int = 3, words: int = 1, id_col: str = "doc
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(table[:, i].copy()) for i in range(words)), *held], names)
 
     names = ["row", "id", *(f"w{i}" for i in range(words)), *["of_set"][: int(sets)]]
-    rows = docs.select(row_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(row_number(docs).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
@@ -361,7 +361,8 @@ def simhash_components(spark: SparkSession, docs: DataFrame, shingle_words: int
     nodes of their own unless fingerprint and shingle set are both equal. Null and empty texts have fingerprint zero, linked like any other. A null id counts as larger than
     all others; repeated rows and equal texts share their component. No rows: no rows. Other columns are not read."""
     short_batches(spark)
-    docs = stable(spark, docs)
+    if similarity is not None and ROW not in docs.columns:  # texts are read again
+        docs = numbered(spark, docs.select(id_col, text_col))
     cols = [f"w{i}" for i in range(words)]
     keys = cols if similarity is None else [*cols, "of_set"]
     rows = materialise(spark, fingerprints(docs, shingle_words, words, id_col, text_col, similarity is not None, distinct_shingles), "simhash-rows")
@@ -381,7 +382,7 @@ def verified(docs: DataFrame, edges: DataFrame, k: int, similarity: float, text_
     """Of edges (a, b) between row numbers of docs, those whose texts' shingle sets have at least that Jaccard similarity. Texts are read
     again for the ends of links alone."""
     ends = edges.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    texts = docs.select(row_id().alias("row"), F.col(text_col).cast("string").alias("text")).join(small(ends, edges.count() * 2), "row")
+    texts = docs.select(row_number(docs).alias("row"), F.col(text_col).cast("string").alias("text")).join(small(ends, edges.count() * 2), "row")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -412,7 +413,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, shingle_words: int =
     256-bit fingerprints of the distinct shingles: two long texts of Jaccard similarity 0.8 differ in about 39 bits with a deviation of 6, at worst (4 shingles
     of 5) in 48, unrelated ones in 128 with a deviation of 8, so radius 72 misses at most 1 such pair in 10,000; proposed links are then held against the
     shingle sets."""
-    docs = stable(spark, docs)
+    docs = numbered(spark, docs)
     groups = materialise(spark, simhash_components(spark, docs, shingle_words, words, radius, similarity=similarity, distinct_shingles=True), "simhash-groups")
-    out = groups.where("row != keep_row").select(F.col("row").alias("__row"))
-    return docs.withColumn("__row", row_id()).join(small(out, out.count()), "__row", "left_anti").drop("__row")
+    out = groups.where("row != keep_row").select(F.col("row").alias(ROW))
+    return docs.join(small(out, out.count()), ROW, "left_anti").drop(ROW)

@@ -65,6 +65,26 @@ def test_exact_groups_against_brute_force(spark, capacity):
     assert kept.columns == docs.columns and kept.count() == len(groups)
 
 
+def test_other_file_splits_in_a_later_scan_do_not_mix_up_rows(spark, monkeypatch, tmp_path):
+    rows = [(k, f"text {k % 20} " + "filler " * 50) for k in range(4000)]
+    _docs(spark, rows).coalesce(1).sortWithinPartitions("doc_id").write.option("parquet.block.size", "4096").option("parquet.page.row.count.limit", "100").option("parquet.block.row.count.limit", "100").parquet(f"{tmp_path}/docs")
+    key, written = "spark.sql.files.maxPartitionBytes", exact_dedup.materialise
+
+    def then_split_smaller(*args, **kwargs):
+        out = written(*args, **kwargs)
+        spark.conf.set(key, "4k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        return out
+
+    monkeypatch.setattr(exact_dedup, "materialise", then_split_smaller)
+    try:
+        kept = exact_dedup.drop_exact_copies(spark, spark.read.parquet(f"{tmp_path}/docs")).collect()
+    finally:
+        spark.conf.unset(key)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(r["doc_id"] for r in kept) == list(range(20))
+
+
 def test_directory_splits_only_overfull_buckets(spark):
     keys = spark.range(5000).selectExpr("xxhash64(id) as key")
     buckets = exact_dedup.directory(keys, 100)
