@@ -1,8 +1,9 @@
 """Line dedup by a log-template tree of fixed depth: token count, then leading tokens, then generalised fields.
 
-Every line of LEAST tokens or more is parsed: its path in the tree is its token count and its first DEPTH tokens, variable fields
+Every non-empty line is parsed: its path in the tree is its token count and its first DEPTH tokens, variable fields
 (numbers, addresses, long hexadecimal strings) generalised to one mark; the leaf's template is the whole generalised line. A
-template that several documents have is recurring. Leaves of shorter lines also learn which of their places vary: a token is constant
+template that several documents have is recurring; lines of very few tokens, which agree by chance, need more documents, and a short line of nothing but
+fields stands for itself. Leaves of LEAST to SHORT tokens also learn which of their places vary: a token is constant
 where at least half the leaf's lines have it, and lines that agree in all constants, which must be most places, share the leaf's own
 template. Recurring templates are dropped from all documents but the first that has them. Only hashes of lines are shuffled; sums
 are made before each shuffle, so a line that very many documents have costs no task more than another.
@@ -15,13 +16,15 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.llm.common import materialise, numbered, row_number, small
 
-#: Tokens of a line that is parsed at least, leading tokens of a path, and documents that make a template recurring.
+#: Tokens of a line whose leaf learns places at least, leading tokens of a path, and documents that make a template recurring.
 LEAST, DEPTH, DOCS = 6, 3, 2
+#: Most tokens of a line that needs more documents to recur, and how many.
+FEW, FEW_DOCS = 2, 10
 #: Most tokens of a line whose leaf learns places, documents that make a leaf's own template recurring, and the least shares of lines that have a constant and of places that are constant.
 SHORT, LEAF_DOCS, CONSTANT, SOLID = 24, 5, 0.5, 0.6
 MARK = b"<*>"
@@ -31,23 +34,23 @@ _FIELD = re.compile(rb"\S*(?:[0-9@]|://)\S*")
 
 
 def parse(line: str, least: int = LEAST, depth: int = DEPTH) -> tuple[int, int, list[int] | None] | None:
-    """(leaf, template, hash of each token of a short line) as signed 64-bit numbers; None for a line with too few tokens."""
+    """(leaf, template, hash of each token of a line of ``least`` to SHORT tokens) as signed 64-bit numbers; None for a line without tokens."""
     raw = line.encode("utf-8", "surrogatepass")
-    if _MAYBE.search(raw):
-        raw = _FIELD.sub(MARK, raw)
-    tokens = raw.split()
-    if len(tokens) < least:
+    tokens = (_FIELD.sub(MARK, raw) if _MAYBE.search(raw) else raw).split()
+    if not tokens:
         return None
+    if len(tokens) < least and set(tokens) == {MARK}:
+        tokens = raw.split()
     digest = xxhash.xxh64_intdigest
     leaf = digest(b"%d " % len(tokens) + b" ".join(tokens[:depth]))
     whole = digest(b" ".join(tokens), 1)
-    cells = [digest(t) - (1 << 63) for t in tokens] if len(tokens) <= SHORT else None
+    cells = [digest(t) - (1 << 63) for t in tokens] if least <= len(tokens) <= SHORT else None
     return leaf - (1 << 63), whole - (1 << 63), cells
 
 
 def parsed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, id, n_lines, leaf, template, cells, lines): one row for each template of each row of docs, with the numbers of its lines from 0; a
-    row with a null template stands for a document without a parsed line."""
+    """(row, id, n_lines, leaf, template, cells, lines, need): one row for each template of each row of docs, with the numbers of its lines from 0 and the documents
+    that make it recurring; a row with a null template stands for a document without a parsed line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,16 +59,16 @@ def parsed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 out = []
                 for row, i, text in zip(*(part.column(c).to_pylist() for c in range(3)), strict=True):
                     lines = (text or "").split("\n")
-                    found: dict[int, tuple[int, list[int] | None, list[int]]] = {}
+                    found: dict[int, tuple[int, list[int] | None, list[int], int]] = {}
                     for k, line in enumerate(lines):
                         if (p := parse(line)) is not None:
-                            found.setdefault(p[1], (p[0], p[2], []))[2].append(k)
-                    out += [(row, i, len(lines), leaf, t, cells, ks) for t, (leaf, cells, ks) in found.items()] or [(row, i, len(lines), None, None, None, None)]
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], t) for c, t in enumerate(types)], ["row", "id", "n_lines", "leaf", "template", "cells", "lines"])
+                            found.setdefault(p[1], (p[0], p[2], [], FEW_DOCS if len(line.encode("utf-8", "surrogatepass").split()) <= FEW else DOCS))[2].append(k)
+                    out += [(row, i, len(lines), leaf, t, cells, ks, need) for t, (leaf, cells, ks, need) in found.items()] or [(row, i, len(lines), *[None] * 5)]
+                types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], t) for c, t in enumerate(types)], ["row", "id", "n_lines", "leaf", "template", "cells", "lines", "need"])
 
     rows = docs.select(row_number(docs).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "row long, id long, n_lines int, leaf long, template long, cells array<long>, lines array<int>")
+    return rows.mapInArrow(run, "row long, id long, n_lines int, leaf long, template long, cells array<long>, lines array<int>, need int")
 
 
 def leaf_templates(lines: DataFrame) -> DataFrame:
@@ -81,23 +84,23 @@ def leaf_templates(lines: DataFrame) -> DataFrame:
 
 def dropped_lines(spark: SparkSession, docs: DataFrame, keep_first: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, id, n_lines, lines): of each row of docs the numbers of the lines that go, in order. keep_first: the document with the smallest id (null last) keeps a
-    recurring template, and of rows with the same id the first; else no document does. Lines of few tokens always stay."""
+    recurring template, and of rows with the same id the first; else no document does. Empty lines always stay."""
     rows = materialise(spark, parsed(docs, id_col, text_col), "line-templates")
     lines = rows.where("template is not null")
     order = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("row"))
 
-    def recurring(held: DataFrame, key: str, least: int) -> DataFrame:
-        found = held.groupBy(key).agg(F.countDistinct("row").alias("n") if key == "leaf" else F.count("*").alias("n"), F.min(order).alias("first"))
+    def recurring(held: DataFrame, key: str, least: Column) -> DataFrame:
+        found = held.groupBy(key).agg(F.countDistinct("row").alias("n") if key == "leaf" else F.count("*").alias("n"), F.min(order).alias("first"), least.alias("least"))
         # written, so that the join that follows has plain exchanges, which adaptive execution splits where a template has very many lines
-        return materialise(spark, found.where(F.col("n") >= least).select(key, F.col("first.row").alias("first")), f"line-{key}s")
+        return materialise(spark, found.where(F.col("n") >= F.col("least")).select(key, F.col("first.row").alias("first")), f"line-{key}s")
 
-    by_line = recurring(lines, "template", DOCS)
+    by_line = recurring(lines, "template", F.max("need"))
     marked = materialise(spark, lines.join(by_line, "template", "left").select("row", "id", "leaf", "cells", "lines", "first"), "line-marked")
     other = marked.where("first is null and cells is not null").select("row", "id", "leaf", "cells", "lines")
     leaves = leaf_templates(other)
     agree = F.forall(F.zip_with("cells", "constants", lambda a, b: b.isNull() | (a == b)), lambda x: x)
     like = materialise(spark, other.join(leaves, "leaf").where(agree).select("row", "id", "leaf", "lines"), "line-leaves")
-    again = like.join(recurring(like, "leaf", LEAF_DOCS), "leaf").select("row", "lines", "first")
+    again = like.join(recurring(like, "leaf", F.lit(LEAF_DOCS)), "leaf").select("row", "lines", "first")
     gone = marked.where("first is not null").select("row", "lines", "first").union(again)
     if keep_first:
         gone = gone.where("row != first")

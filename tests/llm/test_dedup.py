@@ -197,6 +197,12 @@ def test_recurring_templates_are_dropped_but_once(spark):
     assert gone[0] == [1] and gone[51] == []
 
 
+def test_short_recurring_lines_are_dropped_too(spark):
+    rows = [(k, f"All rights reserved.\nLicensed under CC BY-NC {k}.0.\nThe end\n\n{k} {k} {k}\nword{chr(97 + k)} alone here") for k in range(12)]
+    found = {r["id"]: r["lines"] for r in line_dedup.dropped_lines(spark, _docs(spark, rows)).collect()}
+    assert found[0] == [] and all(found[k] == [0, 1, 2] for k in range(1, 12))
+
+
 def test_places_that_vary_make_a_leaf_template(spark):
     names = "ann bob cid dan eve fay gus hal ida jon".split()
     rows = [(k, f"login of person {n} was accepted by the gate {n[::-1]}") for k, n in enumerate(names)]
