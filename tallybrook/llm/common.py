@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import gc
 import tempfile
 import uuid
@@ -18,25 +19,31 @@ NOT_WS = r"[^\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows that may be broadcast at most, about 16 bytes each; larger sides are shuffled.
 BROADCAST_ROWS = 1_000_000
-#: Column of written row numbers.
-ROW = "__tallybrook_row"
+#: Mark, in its metadata, of a column of written row numbers.
+ROW = "tallybrook.row"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests), a temporary one that is then set."""
+    """The folder in spark.checkpoint.dir. Where that is unset, a local session (as in tests) gets a temporary one for its lifetime; a cluster must name one that
+    the driver and all executors share."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        path = held.get() if held.isDefined() else f"file://{tempfile.mkdtemp(prefix='shared')}"
-        spark.conf.set("spark.checkpoint.dir", path)
+        path = held.get() if held.isDefined() else _own_dir(spark.sparkContext.applicationId, spark.sparkContext.master)
     return path.rstrip("/")
 
 
-def materialise(spark: SparkSession, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+@functools.cache
+def _own_dir(application: str, master: str) -> str:
+    if not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"file://{tempfile.mkdtemp(prefix='shared')}"
+
+
+def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it again: cuts lineage and survives lost executors."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    writer = df.write.option("compression", "lz4").mode("error")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    df.write.option("compression", "lz4").mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -53,21 +60,43 @@ def row_id() -> Column:
     return F.monotonically_increasing_id()
 
 
-def numbered(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """df with its rows' numbers in column ROW, written once, so that all scans of the copy see the same numbers; df itself if it has them."""
-    return df if ROW in df.columns else materialise(spark, df.withColumn(ROW, row_id()), "numbered")
+def numbered(spark: SparkSession, df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """df, or the named columns of it, with its rows' numbers, written once, so that all scans of the copy see the same numbers; df itself if it has them.
+    The numbers are in a column with a name that df does not use; metadata mark it."""
+    if is_numbered(df):
+        return df
+    kept = df.select(*dict.fromkeys(columns)) if columns else df
+    return materialise(spark, kept.withColumn(fresh_name(df, "row"), row_id().alias("row", metadata={ROW: True})), "numbered")
+
+
+def is_numbered(df: DataFrame) -> bool:
+    return any(ROW in f.metadata for f in df.schema)
+
+
+def fresh_name(df: DataFrame, like: str) -> str:
+    """A column name that df does not have, whatever the case of its names."""
+    used, name = {c.lower() for c in df.columns}, f"__{like}"
+    while name in used:
+        name += "_"
+    return name
+
+
+def row_name(df: DataFrame) -> str:
+    """The name of the column with the numbers of numbered()."""
+    return next(f.name for f in df.schema if ROW in f.metadata)
 
 
-def row_number(df: DataFrame) -> Column:
-    """The numbers of numbered(); without them row_id(), which only a single scan may use."""
-    return F.col(ROW) if ROW in df.columns else row_id()
+def row_column(df: DataFrame) -> Column:
+    """The numbers of numbered()."""
+    return df[row_name(df)]
 
 
-def short_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """From now on Arrow batches of this session hold at most so many rows: whole texts make long rows, and both sides hold a batch in memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, str(rows))
+def short_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
+    """From now on Arrow batches of this session hold at most so many rows and bytes: whole texts make long rows, and both sides hold a batch in memory. Results are
+    made when they are asked for, so the settings stay; they change no result."""
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def tidy() -> None:

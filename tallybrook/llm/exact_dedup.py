@@ -1,27 +1,32 @@
 """Exact dedup by an extendible-hash index on shared files, with DataFrame operations only.
 
-A scan writes one light entry a row (row number, id, 64-bit key, SHA-256). Distinct keys, counted before they are shuffled,
-fill buckets by their leading bits. The directory starts with one bucket and doubles until no bucket holds more than
-``capacity`` distinct keys; copies share a key, so a large group of copies never overfills a bucket. Buckets are key ranges:
-the index is written as one folder a bucket, and the task that owns a bucket walks its keys. Where a key has several rows they form a
-chain, told apart by comparing whole normalised texts, not hashes.
+A scan writes one light entry a row: its id, a 64-bit key and the SHA-256 of its normalised text. Distinct keys, counted before they are
+shuffled, fill buckets by their leading bits. The directory starts with one bucket and doubles until no bucket holds more than
+``capacity`` distinct keys; copies share a key, so a large group of copies never overfills a bucket. Buckets are key ranges, and the
+index is written in their order, a bucket in one file.
+
+Rows whose key is alone in its bucket need no comparison. Texts of all others go to the task that owns their bucket, which walks its keys in order
+and chains the rows of a key by comparing whole normalised texts. Before that, keys with very many rows are dealt out to several parts of
+their bucket, where equal texts become one link with its members, so that the owner meets a few links of a key, not its rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import ROW, materialise, normalised, numbered, row_number, small
+from tallybrook.llm.common import fresh_name, materialise, normalised, row_id, small
 
 #: Distinct keys that a bucket may hold.
-CAPACITY = 200_000
+CAPACITY = 4096
+#: Rows of a key that one part of its bucket gets, and the most parts of a key.
+PART_ROWS, PARTS = 1000, 1024
 
 
 def entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, id, key, sha) of every row; key: XXH64 of the normalised text, sha: its SHA-256 in hex."""
-    texts = docs.select(row_number(docs).alias("row"), F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"))
-    return texts.select("row", "id", F.xxhash64("norm").alias("key"), F.sha2("norm", 256).alias("sha"))
+    """(id, key, sha) of every row; key: XXH64 of the normalised text, sha: its SHA-256 in hex."""
+    texts = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"))
+    return texts.select("id", F.xxhash64("norm").alias("key"), F.sha2("norm", 256).alias("sha"))
 
 
 def directory(keys: DataFrame, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -65,7 +70,7 @@ def _prefix(depth: int) -> F.Column:
 
 
 def bucketed(spark: SparkSession, keys: DataFrame, buckets: list[tuple[int, int]]) -> DataFrame:
-    """keys with their ``bucket``, by way of a directory of 2**global depth cells that name the buckets."""
+    """keys with their ``bucket``, by way of a directory of 2**global depth cells that name the buckets; a key whose cell names none is lost."""
     deepest = max(d for _, d in buckets)
     if not deepest:
         return keys.withColumn("bucket", F.lit(0))
@@ -74,44 +79,51 @@ def bucketed(spark: SparkSession, keys: DataFrame, buckets: list[tuple[int, int]
     return keys.withColumn("cell", _prefix(deepest)).join(small(table, len(cells)), "cell").drop("cell")
 
 
-def build_index(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> tuple[DataFrame, DataFrame]:
-    """The written entries and the written index: (bucket, key, n_rows), one folder a bucket."""
-    rows = materialise(spark, entries(docs, id_col, text_col), "dedup-entries")
-    keys = rows.groupBy("key").agg(F.count("*").alias("n_rows"))
-    keys = materialise(spark, keys, "dedup-keys")
-    index = bucketed(spark, keys, directory(keys, capacity))
-    return rows, materialise(spark, index, "dedup-index", ["bucket"])
+def build_index(spark: SparkSession, keys: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """The written index (bucket, key, n_rows) of keys (key), one row for each row of the data: in the order of buckets and keys, each bucket in one file."""
+    counts = materialise(spark, keys.groupBy("key").agg(F.count("*").alias("n_rows")), "dedup-keys")
+    index = bucketed(spark, counts, directory(counts, capacity))
+    return materialise(spark, index.repartitionByRange("bucket").sortWithinPartitions("bucket", "key"), "dedup-index")
+
+
+def chained(docs: DataFrame, index: DataFrame, id_col: str, text_col: str, payload: list[str]) -> DataFrame:
+    """(bucket, n, keep, members, sha, payload), one row a link of a chain: of the rows of docs whose key several rows have, those with equal texts in a part of their bucket. n and keep
+    (last, id, row) are those of the whole chain; members: the link's ids and rows; payload: the named columns of the link's first row."""
+    several = index.where("n_rows > 1").select("bucket", "key", F.least(F.lit(PARTS), F.ceil(F.col("n_rows") / PART_ROWS)).cast("int").alias("parts"))
+    order = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("row"))
+    texts = docs.select(row_id().alias("row"), F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"), F.struct(*payload).alias("payload") if payload else F.lit(True).alias("payload"))
+    met = texts.withColumn("key", F.xxhash64("norm")).join(small(several, several.count()), "key")
+    met = met.withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts"))).repartition("bucket", "part")
+    of_link = [F.count("*").alias("k"), F.min(order).alias("first"), F.min_by("payload", order).alias("payload"), F.collect_list(F.struct("id", "row")).alias("members")]
+    links = met.groupBy("bucket", "part", "key", "norm").agg(*of_link).repartition("bucket")
+    # the owner of a bucket: in order of its keys, and within a key of the bytes of its texts
+    chain = Window.partitionBy("bucket", "key", "norm")
+    held = links.select("bucket", "norm", "payload", "members", F.sum("k").over(chain).alias("n"), F.min("first").over(chain).alias("keep"), "first")
+    return held.select("bucket", "n", "keep", "first", "members", F.sha2("norm", 256).alias("sha"), "payload")
 
 
 def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """One row per row of docs: row, id, keep_id, group_size, kept, text_sha256, bucket.
+    """One row per row of docs: id, keep_id, group_size, kept, text_sha256, bucket.
 
     Texts are equal when their bytes are equal once each run of white space is one space; null counts as the empty text. The
-    row with the smallest id stays; a null id comes after all others, and of rows with the same id the first stays. No rows: no rows.
+    row with the smallest id stays; a null id comes after all others, and of rows with the same id one stays. No rows: no rows.
     Other columns of docs are not read, whatever their names."""
-    docs = docs if ROW in docs.columns else numbered(spark, docs.select(id_col, text_col))
-    rows, index = build_index(spark, docs, id_col, text_col, capacity)
-    chained = index.where("n_rows > 1").select("bucket", "key")
-    chained = small(chained, chained.count())
-    texts = docs.select(row_number(docs).alias("row"), F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"))
-    texts = texts.withColumn("key", F.xxhash64("norm")).join(chained, "key")
-    order = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("row"))
-    # the owners of key ranges; equal bytes meet in one chain link, and map-side sums come first
-    chains = texts.groupBy("bucket", "key", "norm").agg(F.count("*").alias("n"), F.min(order).alias("keep"))
-    links = materialise(spark, chains.select("key", F.sha2("norm", 256).alias("sha"), "n", "keep"), "dedup-chains")
-    named = rows.join(index.select("bucket", "key"), "key").join(links, ["key", "sha"], "left")
-    alone = F.col("n").isNull()
-    return named.select(
-        "row", "id",
-        F.when(alone, F.col("id")).otherwise(F.col("keep.id")).alias("keep_id"),
-        F.when(alone, F.lit(1)).otherwise(F.col("n")).cast("long").alias("group_size"),
-        (alone | (F.col("keep.row") == F.col("row"))).alias("kept"),
-        F.col("sha").alias("text_sha256"), "bucket",
-    )
-
-
-def drop_exact_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    docs = numbered(spark, docs)
-    out = materialise(spark, exact_groups(spark, docs, id_col, text_col).where("not kept").select("row"), "dedup-dropped")
-    return docs.join(small(out.withColumnRenamed("row", ROW), out.count()), ROW, "left_anti").drop(ROW)
+    rows = materialise(spark, entries(docs, id_col, text_col), "dedup-entries")
+    index = build_index(spark, rows.select("key"), capacity)
+    alone = rows.join(index.where("n_rows = 1"), "key")
+    alone = alone.select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), "bucket")
+    links = materialise(spark, chained(docs, index, id_col, text_col, []).drop("payload"), "dedup-chains")
+    members = links.select(F.explode("members").alias("m"), "keep", "n", "sha", "bucket")
+    members = members.select("m.id", F.col("keep.id").alias("keep_id"), F.col("n").cast("long").alias("group_size"), (F.col("m.row") == F.col("keep.row")).alias("kept"), F.col("sha").alias("text_sha256"), "bucket")
+    return alone.union(members)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
+    """The rows of docs that stay, with all their columns: of rows with equal texts, as in exact_groups(), the one with the smallest id. No rows: no rows."""
+    index = build_index(spark, docs.select(F.xxhash64(normalised(F.col(text_col))).alias("key")), capacity)
+    key = fresh_name(docs, "key")
+    several = index.where("n_rows > 1").select(F.col("key").alias(key))
+    keyed = docs.withColumn(key, F.xxhash64(normalised(F.col(text_col))))
+    stay = keyed.join(small(several, several.count()), key, "left_anti").drop(key)
+    links = materialise(spark, chained(docs, index, id_col, text_col, docs.columns).where(F.col("first") == F.col("keep")).select("payload"), "dedup-chains")
+    return stay.union(links.select("payload.*"))

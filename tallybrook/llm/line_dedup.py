@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import materialise, numbered, row_number, small
+from tallybrook.llm.common import materialise, numbered, row_column, small
 
 #: Tokens of a line whose leaf learns places at least, leading tokens of a path, and documents that make a template recurring.
 LEAST, DEPTH, DOCS = 6, 3, 2
@@ -67,7 +67,7 @@ def parsed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], t) for c, t in enumerate(types)], ["row", "id", "n_lines", "leaf", "template", "cells", "lines", "need"])
 
-    rows = docs.select(row_number(docs).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(row_column(docs).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "row long, id long, n_lines int, leaf long, template long, cells array<long>, lines array<int>, need int")
 
 
@@ -112,10 +112,10 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, keep_first: bool = True,
 def without_recurring_lines(spark: SparkSession, docs: DataFrame, keep_first: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_lines, n_dropped, text) of every row of docs: the text without its dropped lines, whole otherwise. A null text counts as the empty one. Other columns
     are not read; repeated rows are documents of their own. No rows: no rows."""
-    docs = numbered(spark, docs.select(id_col, text_col))
+    docs = numbered(spark, docs, [id_col, text_col])
     drops = materialise(spark, dropped_lines(spark, docs, keep_first, id_col, text_col).where(F.size("lines") > 0).select("row", "lines"), "line-drops")
     n = drops.agg(F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()[0]
-    rows = docs.select(row_number(docs).alias("row"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(row_column(docs).alias("row"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     held = rows.join(small(drops, n), "row", "left")
     cut = F.split("text", "\n")
     kept = F.filter(cut, lambda _, k: ~F.array_contains("lines", k))

@@ -5,12 +5,17 @@ bit counts of their 16-bit blocks and packed into tiles in a written table. A pa
 possible difference of its block bit counts, summed over blocks, is beyond the radius; that sum never exceeds the
 Hamming distance, so no link is lost. Of a compared pair only a spanning forest of its links leaves the task, shortest links
 first, so a group of thousands of near copies yields a few rows a member, not all its pairs. Components come from alternating stars.
-The work grows with the square of the distinct fingerprints, less what the block counts skip; README has figures.
+The work grows with the square of the distinct fingerprints, less what is skipped; README has figures.
+
+Where links must also have a Jaccard similarity, tiles are in order of the number of distinct shingles first, and a pair of tiles whose numbers
+are too far apart for that similarity is skipped too. The forest's edges are held against the shingle sets. A component all of whose edges hold
+is done. Of the others, tiles with the sets themselves are compared: a task holds every link between two classes of its pair of tiles against
+the sets, joins the classes that it finds alike as it goes, and again only a forest leaves it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,14 +23,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import ROW, materialise, numbered, row_id, row_number, short_batches, small, tidy
-from tallybrook.llm.components import components
+from tallybrook.llm.common import drop_table, materialise, numbered, row_column, row_id, row_name, short_batches, small, tidy
+from tallybrook.llm.components import components, labels
 
 SEED = 42
-#: Fingerprints in a tile at most, shingles unpacked at once, and comparisons made at once.
-TILE, SLICE, BLOCK = 8192, 1 << 15, 1 << 17
-#: Links of a fingerprint in a pair of tiles that are held against the texts at once.
-NEAREST = 8
+#: Fingerprints in a tile, by how many there are: a 64th of them, within these bounds, so that what is sent to pairs of tiles grows little faster than the input.
+TILE = (4096, 32_768)
+#: Shingles unpacked, comparisons made, and links held at once.
+SLICE, BLOCK, LINKS = 1 << 15, 1 << 17, 1 << 18
+#: Shingles of a tile with sets (8 bytes each).
+SHINGLES = 1 << 20
 #: Odd constants from the fractional parts of the square roots of 2 and 3: they start the further words of long fingerprints.
 STARTS = (0, 0x6A09E667F3BCC909, 0xBB67AE8584CAA73B, 0x3C6EF372FE94F82B)
 
@@ -71,286 +78,391 @@ def _majority(h: np.ndarray, words: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, k: int = 3, words: int = 1, id_col: str = "doc_id", text_col: str = "text", sets: bool = False, distinct: bool = False) -> DataFrame:
-    """(row, id, w0, w1, ...) of every row of docs, the words as signed 64-bit integers; sets: also XXH64 of the distinct shingles, ``of_set``; distinct: as in
-    fingerprint()."""
+    """(row, id, w0, w1, ...) of every row of docs, the words as signed 64-bit integers; sets: also XXH64 of the distinct shingles, ``of_set``, and
+    their number ``size``; distinct: as in fingerprint(). docs has its rows' numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, of_sets = [], []
+            fps, of_sets, sizes = [], [], []
             for t in batch.column(2):
                 h = shingle_hashes(t.as_py(), k)
                 once = np.unique(h) if sets or distinct else h
                 fps.append(_majority(once if distinct else h, words))
                 of_sets.append(xxhash.xxh64_intdigest(once.tobytes(), SEED) - (1 << 63) if sets else 0)
+                sizes.append(len(once))
             table = np.array(fps, np.uint64).reshape(-1, words).view(np.int64)
-            held = [pa.array(of_sets, pa.int64())] if sets else []
+            held = [pa.array(of_sets, pa.int64()), pa.array(sizes, pa.int64())] if sets else []
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(table[:, i].copy()) for i in range(words)), *held], names)
 
-    names = ["row", "id", *(f"w{i}" for i in range(words)), *["of_set"][: int(sets)]]
-    rows = docs.select(row_number(docs).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    names = ["row", "id", *(f"w{i}" for i in range(words)), *["of_set", "size"][: 2 * sets]]
+    rows = docs.select(row_column(docs).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
+def tile_size(n: int) -> int:
+    return max(TILE[0], min(TILE[1], n // 64))
+
+
+def linked(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, distance) of the pairs a[i], b[j] within the radius, a block of rows of a at a time; same: b is a, and only i < j.
+
+    The distances of the first three words add up within 8 bits and never exceed the whole; further words are asked where those are within the radius."""
+    step, words = max(1, BLOCK // max(1, len(b))), a.shape[1]
+    lead = min(3, words)
+    columns = [np.ascontiguousarray(b[:, w]) for w in range(lead)]
+    xor, count, apart = np.empty((step, len(b)), np.uint64), np.empty((step, len(b)), np.uint8), np.empty((step, len(b)), np.uint8)
+    for at in range(0, len(a), step):
+        rest = at if same else 0
+        m, n = len(a[at : at + step]), len(b) - rest
+        x, c, total = (f.reshape(-1)[: m * n].reshape(m, n) for f in (xor, count, apart))
+        for w in range(lead):
+            np.bitwise_xor(a[at : at + m, w, None], columns[w][None, rest:], out=x)
+            np.bitwise_count(x, out=total if not w else c)
+            if w:
+                total += c
+        if not m * n or total.min() > radius:
+            continue
+        flat = total.reshape(-1)
+        hit = _where(flat <= radius)
+        i, j = hit // n + at, hit % n + rest
+        if same:
+            use = i < j
+            i, j, hit = i[use], j[use], hit[use]
+        far = flat[hit].astype(np.int64)
+        for w in range(lead, words):
+            far += np.bitwise_count(a[i, w] ^ b[j, w])
+            use = far <= radius
+            i, j, far = i[use], j[use], far[use]
+        if len(i):
+            yield i, j, far
+
+
+def _where(mask: np.ndarray) -> np.ndarray:
+    """np.flatnonzero() of a mask with few ones: eight at a time first."""
+    whole = len(mask) // 8 * 8
+    some = np.flatnonzero(mask[:whole].view(np.uint64))
+    near = (some[:, None] * 8 + np.arange(8)).reshape(-1)
+    return np.concatenate([near[mask[near]], np.flatnonzero(mask[whole:]) + whole])
+
+
+def forest(n: int, i: np.ndarray, j: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Places of the edges (i, j) of a shortest spanning forest of the nodes 0 to n-1: each component takes its shortest edge to another, until none is left."""
+    order = np.argsort(far, kind="stable")
+    i, j, of, chosen = i[order], j[order], np.arange(n), []
+    rank = np.arange(len(order))
+    while True:
+        a, b = of[i[rank]], of[j[rank]]
+        apart = a != b
+        rank, a, b = rank[apart], a[apart], b[apart]
+        if not len(rank):
+            return order[np.unique(np.concatenate([np.zeros(0, np.int64), *chosen])).astype(np.int64)]
+        best = np.full(n, len(order))
+        np.minimum.at(best, a, rank)
+        np.minimum.at(best, b, rank)
+        chosen.append(np.unique(best[best < len(order)]))
+        picked = np.concatenate(chosen)
+        of = labels(n, i[picked], j[picked])
+
+
+def spanning(a: np.ndarray, b: np.ndarray, radius: int, same: bool, fits: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, distance): a spanning forest of the links of two tiles, shortest links first; same: b is a, else j counts on from the rows of a.
+
+    Links come in blocks; what the forest held already joins by edges that are no longer, in steps of a quarter of the radius, is passed over at once."""
+    n, shift = (len(a), 0) if same else (len(a) + len(b), len(a))
+    steps = np.unique([max(1, radius * q // 4) for q in (1, 2, 3, 4)])
+    joined = [np.arange(n) for _ in steps]
+    held, waiting, count = [np.zeros(0, np.int64)] * 3, [], 0
+
+    def settle() -> None:
+        nonlocal held, waiting, count
+        i, j, far = (np.concatenate([held[c], *(w[c] for w in waiting)]) for c in range(3))
+        keep = forest(n, i, j, far)
+        held, waiting, count = [i[keep], j[keep], far[keep]], [], 0
+        for k, step in enumerate(steps):
+            near = held[2] <= step
+            joined[k] = labels(n, held[0][near], held[1][near])
+
+    for i, j, far in linked(a, b, radius, same):
+        if fits is not None:
+            use = fits(i, j)
+            i, j, far = i[use], j[use], far[use]
+        j = j + shift
+        for k, step in enumerate(steps):
+            use = (far < step) | (joined[k][i] != joined[k][j])
+            i, j, far = i[use], j[use], far[use]
+        if len(i):
+            waiting.append((i, j, far))
+            count += len(i)
+            if count > LINKS:
+                settle()
+    if waiting:
+        settle()
+    return held[0], held[1], held[2]
+
+
 def _blocks(words: int) -> list[Column]:
     """Bit counts of the 16-bit blocks."""
     return [F.bit_count(F.shiftrightunsigned(F.col(f"w{i}"), 16 * j).bitwiseAND(F.lit(0xFFFF))) for i in range(words) for j in range(4)]
 
 
-def _tiles(distinct: DataFrame, words: int, tile: int) -> DataFrame:
-    """Tiles of neighbours in order of block bit counts: fingerprints and nodes as bytes, least and largest block counts."""
+def _tiles(spark: SparkSession, nodes: DataFrame, words: int, by: list[str], extra: list[str]) -> DataFrame:
+    """Written tiles of neighbours in the order of ``by``, then of block bit counts: n rows, fingerprints, nodes and the ``extra`` columns (long) as bytes, and as
+    ``low`` and ``high`` the least and largest block counts and values of ``by``."""
+    size = tile_size(nodes.count())
+
+    def made(rows: np.ndarray) -> pa.RecordBatch:
+        fps = np.ascontiguousarray(rows[:, 1 : 1 + words])
+        bounds = np.concatenate([np.bitwise_count(fps.view(np.uint16)).reshape(len(rows), -1).astype(np.int64), rows[:, 1 + words : 1 + words + len(by)]], 1)
+        held = {"n": [len(rows)], "fps": [fps.tobytes()], "node": [rows[:, 0].tobytes()]}
+        held |= {c: [rows[:, 1 + words + k].tobytes()] for k, c in enumerate(extra)}
+        return pa.RecordBatch.from_pydict(held | {"low": [bounds.min(0).tobytes()], "high": [bounds.max(0).tobytes()]})
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-
-        def made(rows: np.ndarray) -> pa.RecordBatch:
-            fps = np.ascontiguousarray(rows[:, 1:])
-            counts = np.bitwise_count(fps.view(np.uint16)).reshape(len(rows), -1)
-            return pa.RecordBatch.from_pydict({"n": [len(rows)], "fps": [fps.tobytes()], "nodes": [rows[:, 0].tobytes()], "low": [counts.min(0).tobytes()], "high": [counts.max(0).tobytes()]})
-
         for batch in batches:
-            held.append(np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in range(1 + words)], 1))
-            if sum(map(len, held)) >= tile:
+            held.append(np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], 1))
+            if sum(map(len, held)) >= size:
                 rows = np.concatenate(held)
-                cut = len(rows) // tile * tile
-                for at in range(0, cut, tile):
-                    yield made(rows[at : at + tile])
+                cut = len(rows) // size * size
+                for at in range(0, cut, size):
+                    yield made(rows[at : at + size])
                 held = [rows[cut:]]
         if held and sum(map(len, held)):
             yield made(np.concatenate(held))
 
-    keys = [f"b{i}" for i in range(4 * words)]
-    ordered = distinct.withColumns(dict(zip(keys, _blocks(words), strict=True))).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return ordered.select("node", *(f"w{i}" for i in range(words))).mapInArrow(pack, "n long, fps binary, nodes binary, low binary, high binary").withColumn("tile", row_id())
-
-
-def _joined_tiles(spark: SparkSession, tiles: DataFrame, tile: int) -> DataFrame:
-    """Neighbouring tiles put together up to ``tile`` fingerprints: of short tiles there would be many pairs, and a group's forest once for each."""
-    numbers, to, held = tiles.select("tile", "n").orderBy("tile").collect(), [], 0
-    for r in numbers:  # a few bytes a tile
-        if not to or held + r["n"] > tile:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for parts in batch.column("parts"):
+                parts = parts.as_py()
+                low, high = (f.reduce([np.frombuffer(x[c], np.int64) for x in parts]).tobytes() for f, c in ((np.minimum, "low"), (np.maximum, "high")))
+                yield pa.RecordBatch.from_pydict({"n": [sum(x["n"] for x in parts)], **{c: [b"".join(x[c] for x in parts)] for c in ("fps", "node", *extra)}, "low": [low], "high": [high]})
+
+    assert by == extra[: len(by)]
+    blocks = [f"b{i}" for i in range(4 * words)]
+    ordered = nodes.withColumns(dict(zip(blocks, _blocks(words), strict=True))).repartitionByRange(*by, *blocks).sortWithinPartitions(*by, *blocks)
+    schema = ", ".join(["n long", *(f"{c} binary" for c in ("fps", "node", *extra, "low", "high"))])
+    columns = ["node", *(f"w{i}" for i in range(words)), *extra]
+    tiles = materialise(spark, ordered.select(*(F.col(c).cast("long") for c in columns)).mapInArrow(pack, schema).withColumn("tile", row_id()), "simhash-tiles")
+    # neighbouring short tiles are put together: of short tiles there would be many pairs, and a group's forest once for each
+    to, held = [], 0
+    for r in tiles.select("tile", "n").orderBy("tile").collect():  # a few bytes a tile
+        if not to or held + r["n"] > size:
             to, held = [*to, (r["tile"], to[-1][1] + 1 if to else 0)], 0
         else:
             to.append((r["tile"], to[-1][1]))
         held += r["n"]
     if not to or to[-1][1] + 1 == len(to):
         return tiles
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                parts = batch.column("parts")[r].as_py()
-                low, high = (f.reduce([np.frombuffer(x[c], np.uint8) for x in parts]).tobytes() for f, c in ((np.minimum, "low"), (np.maximum, "high")))
-                yield pa.RecordBatch.from_pydict({"tile": pa.array([batch.column("to")[r].as_py()], pa.int64()), "n": [sum(x["n"] for x in parts)], "fps": [b"".join(x["fps"] for x in parts)], "nodes": [b"".join(x["nodes"] for x in parts)], "low": [low], "high": [high]})
-
     named = tiles.join(small(spark.createDataFrame(to, "tile long, to long"), len(to)), "tile")
-    parts = named.groupBy("to").agg(F.collect_list(F.struct("n", "fps", "nodes", "low", "high")).alias("parts"))  # at most ``tile`` fingerprints meet
-    return materialise(spark, parts.mapInArrow(merge, "tile long, n long, fps binary, nodes binary, low binary, high binary"), "simhash-joined")
+    parts = named.groupBy("to").agg(F.collect_list(F.struct("n", "fps", "node", *extra, "low", "high")).alias("parts"))  # at most a tile's rows meet
+    joined = materialise(spark, parts.mapInArrow(merge, schema).withColumn("tile", row_id()), "simhash-tiles")
+    drop_table(spark, tiles)
+    return joined
 
 
-def _pairs(spark: SparkSession, tiles: DataFrame, radius: int) -> DataFrame:
-    """(a, b) of the tiles that must be compared, by their least and largest block counts; only those few bytes a tile reach the driver."""
+def _pairs(spark: SparkSession, tiles: DataFrame, words: int, radius: int, ratios: list[float]) -> DataFrame:
+    """(pair, a, b): numbered pairs of tiles that must be compared, by their least and largest block counts and, for each further bound, by the
+    least ratio that the values of two linked rows have. Only those few bytes a tile reach the driver."""
     meta = tiles.select("tile", "low", "high").orderBy("tile").collect()
-    ids = np.array([m["tile"] for m in meta], np.int64)
-    low = np.array([np.frombuffer(m["low"], np.uint8) for m in meta], np.int16)
-    high = np.array([np.frombuffer(m["high"], np.uint8) for m in meta], np.int16)
+    held = (np.array([m["tile"] for m in meta], np.int64), *(np.array([np.frombuffer(m[c], np.int64) for m in meta], np.int64).reshape(len(meta), 4 * words + len(ratios)) for c in ("low", "high")))
+    shared = spark.sparkContext.broadcast(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, low, high = shared.value
         for batch in batches:
             for i in batch.column(0).to_pylist():
-                gap = np.maximum(0, np.maximum(low[i:] - high[i], low[i] - high[i:])).sum(1)
-                near = ids[i:][gap <= radius]
+                c = slice(0, 4 * words)
+                near = np.maximum(0, np.maximum(low[i:, c] - high[i, c], low[i, c] - high[i:, c])).sum(1) <= radius
+                for k, ratio in enumerate(ratios, 4 * words):
+                    near &= np.maximum(low[i:, k], low[i, k]) * ratio <= np.minimum(high[i:, k], high[i, k])
+                near = ids[i:][near]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(near), ids[i])), pa.array(near)], ["a", "b"])
 
-    return spark.range(len(ids)).mapInArrow(run, "a long, b long")
-
-
-class _Forest:
-    """Union-find over the numbers from 0 to n-1."""
-
-    def __init__(self, n: int) -> None:
-        self.up = np.arange(n)
+    return materialise(spark, spark.range(len(meta)).mapInArrow(run, "a long, b long").withColumn("pair", row_id()), "simhash-pairs")
 
-    def root(self, x: int) -> int:
-        up = self.up
-        while up[x] != x:
-            up[x] = x = up[up[x]]
-        return x
 
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.root(a), self.root(b)
-        if a != b:
-            self.up[max(a, b)] = min(a, b)
-        return a != b
+def _of_pairs(spark: SparkSession, tiles: DataFrame, pairs: DataFrame, run: Callable[[dict, dict, bool], Iterator[pa.RecordBatch]], columns: list[str], words: int, schema: str) -> DataFrame:
+    """What ``run`` makes of each pair of tiles, given as dictionaries of numpy columns; both tiles of a pair meet by one shuffle, a few pairs a task."""
+    n = pairs.count()
+    parts = max(1, min(n, max(2 * spark.sparkContext.defaultParallelism, n // 8)))
+    sides = F.explode(F.when(F.col("a") == F.col("b"), F.array(F.struct(F.col("a").alias("tile"), F.lit(0).alias("side")))).otherwise(F.array(F.struct(F.col("a").alias("tile"), F.lit(0).alias("side")), F.struct(F.col("b").alias("tile"), F.lit(1).alias("side")))))
+    asked = pairs.select("pair", sides.alias("s")).select("pair", "s.tile", "s.side")
+    met = asked.join(tiles.select("tile", "fps", *columns), "tile")
+    met = met.repartition(parts, "pair").sortWithinPartitions("pair", "side")
 
+    def read(batch: pa.RecordBatch, r: int) -> dict:
+        held = {c: np.frombuffer(batch.column(c)[r].as_buffer(), np.int64) for c in columns}
+        return held | {"fps": np.frombuffer(batch.column("fps")[r].as_buffer(), np.uint64).reshape(-1, words)}
 
-def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Hamming distances of all rows of a to all of b; 8 bits hold them up to three words."""
-    apart = np.bitwise_count(a[:, None, 0] ^ b[None, :, 0])
-    if a.shape[1] > 3:
-        apart = apart.astype(np.uint16)
-    for w in range(1, a.shape[1]):
-        apart += np.bitwise_count(a[:, None, w] ^ b[None, :, w])
-    return apart
-
-
-def linked(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(i, j, distance) of the pairs a[i], b[j] within the radius, a block of rows of a at a time; same: only i < j."""
-    step = max(1, BLOCK // max(1, len(b)))
-    for at in range(0, len(a), step):
-        part, rest = a[at : at + step], at if same else 0
-        apart = _apart(part, b[rest:])
-        if apart.min(initial=255) <= radius or same:
-            i, j = np.nonzero(apart <= radius)
-            far = apart[i, j]
-            i, j = i + at, j + rest
-            if same:
-                i, j, far = i[i < j], j[i < j], far[i < j]
-            if len(i):
-                yield i, j, far
-
-
-def spanning(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> list[tuple[int, int, int]]:
-    """A spanning forest of the links of two tiles, shortest links first as far as each distance's links allow; same: b is a.
-
-    Links come in blocks; the forest is rebuilt from its own edges and the block's, so never more than a block and a forest are held."""
-    n = len(a) if same else len(a) + len(b)
-    shift = 0 if same else len(a)
-    held = np.zeros((0, 3), np.int64)
-    for i, j, far in linked(a, b, radius, same):
-        new = np.concatenate([held, np.stack([i, j + shift, far], 1).astype(np.int64)])
-        new = new[np.argsort(new[:, 2], kind="stable")]
-        tree = _Forest(n)
-        held = np.array([e for e in new.tolist() if tree.join(e[0], e[1])], np.int64).reshape(-1, 3)
-    return held.tolist()
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left: tuple[int, dict] | None = None
+        for batch in batches:
+            for r, (pair, side) in enumerate(zip(batch.column("pair").to_pylist(), batch.column("side").to_pylist(), strict=True)):
+                tile = read(batch, r)
+                if not side:
+                    if left is not None:
+                        yield from run(left[1], left[1], True)
+                    left = pair, tile
+                else:
+                    yield from run(left[1], tile, False)
+                    left = None
+        if left is not None:
+            yield from run(left[1], left[1], True)
+        tidy()
 
+    return met.mapInArrow(task, schema)
 
-def nearest(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, radius: int, most: int, same: bool) -> tuple[list[tuple[int, int, int]], list[int], np.ndarray]:
-    """Of each row of a its ``most`` nearest links to rows of b of another class (of_a, of_b); the rows that have more of them; the rows of b with any link.
 
-    same: b is a, and a row is no link of itself."""
-    found, more, met = [], [], np.zeros(len(b), bool)
-    step = max(1, BLOCK // max(1, len(b)))
-    for at in range(0, len(a), step):
-        part = a[at : at + step]
-        apart = _apart(part, b)
-        if not same and apart.min(initial=255) > radius:
-            continue
-        i, j = np.nonzero((apart <= radius) & (of_a[at : at + step, None] != of_b[None, :]))
-        far = apart[i, j]
-        met[j] = True
-        for row in np.unique(i).tolist():
-            held = slice(*np.searchsorted(i, (row, row + 1)))
-            to, how = j[held], far[held]
-            if len(to) > most:
-                more.append(row + at)
-                near = np.lexsort((to, how))[:most]
-                to, how = to[near], how[near]
-            found += [(row + at, x, d) for x, d in zip(to.tolist(), how.tolist(), strict=True)]
-    return found, more, met
-
-
-def links(spark: SparkSession, distinct: DataFrame, words: int, radius: int, most: int | None = None) -> DataFrame:
-    """(a, b, distance): for distinct fingerprints (node, w0, ...), links that join all nodes that the links within the radius join.
-
-    With ``most``, and a column ``class``: each node's ``most`` nearest links in each pair of tiles to nodes of other classes, and (node, node, -1) for
-    a node that has more of them."""
-    classes = distinct.select("node", "class") if most is not None else None
-    tiles = _joined_tiles(spark, materialise(spark, _tiles(distinct, words, TILE), "simhash-tiles"), TILE)
-    left = tiles.select(F.col("tile").alias("a"), F.col("fps").alias("fps_a"), F.col("nodes").alias("nodes_a"))
-    right = tiles.select(F.col("tile").alias("b"), F.col("fps").alias("fps_b"), F.col("nodes").alias("nodes_b"))
-    pairs = _pairs(spark, tiles, radius)
-    if most is not None:
-        tiles = _with_classes(tiles, classes)
-        left, right = left.join(tiles.select(F.col("tile").alias("a"), F.col("classes").alias("of_a")), "a"), right.join(tiles.select(F.col("tile").alias("b"), F.col("classes").alias("of_b")), "b")
-
-        def run_nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for r in range(batch.num_rows):
-                    a, b = batch.column("a")[r].as_py(), batch.column("b")[r].as_py()
-                    fa, fb = (np.frombuffer(batch.column(c)[r].as_py(), np.uint64).reshape(-1, words) for c in ("fps_a", "fps_b"))
-                    na, nb, ca, cb = (np.frombuffer(batch.column(c)[r].as_py(), np.int64) for c in ("nodes_a", "nodes_b", "of_a", "of_b"))
-                    there, more, met = nearest(fa, fb, ca, cb, radius, most, a == b)
-                    out = [(int(na[i]), int(nb[j]), d) for i, j, d in there] + [(int(na[i]), int(na[i]), -1) for i in more]
-                    if a != b and met.any():
-                        rows = np.flatnonzero(met)
-                        back, more, _ = nearest(fb[rows], fa, cb[rows], ca, radius, most, False)
-                        out += [(int(nb[rows[i]]), int(na[j]), d) for i, j, d in back] + [(int(nb[rows[i]]), int(nb[rows[i]]), -1) for i in more]
-                    held = np.array([(min(x), max(x), d) for *x, d in set(out)], np.int64).reshape(-1, 3)
-                    yield pa.RecordBatch.from_arrays([pa.array(held[:, c].copy()) for c in range(3)], ["a", "b", "distance"])
-            tidy()
-
-        return pairs.join(left, "a").join(right, "b").mapInArrow(run_nearest, "a long, b long, distance long")
+def _batch(a: np.ndarray, b: np.ndarray, far: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x, np.int64)) for x in (a, b, far)], ["a", "b", "distance"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                a, b, fa, na, fb, nb = (batch.column(c)[r].as_py() for c in ("a", "b", "fps_a", "nodes_a", "fps_b", "nodes_b"))
-                fa, fb = (np.frombuffer(x, np.uint64).reshape(-1, words) for x in (fa, fb))
-                nodes = np.frombuffer(na, np.int64) if a == b else np.concatenate([np.frombuffer(x, np.int64) for x in (na, nb)])
-                found = np.array(spanning(fa, fb, radius, a == b), np.int64).reshape(-1, 3)
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[found[:, 0]]), pa.array(nodes[found[:, 1]]), pa.array(found[:, 2])], ["a", "b", "distance"])
 
-    held = pairs.join(left, "a").join(right, "b")
-    return held.mapInArrow(run, "a long, b long, distance long")
+EDGES = "a long, b long, distance long"
 
 
-def _with_classes(tiles: DataFrame, classes: DataFrame) -> DataFrame:
-    """(tile, classes): the classes of a tile's nodes in their order, as bytes."""
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                nodes = np.frombuffer(batch.column("nodes")[r].as_py(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nodes), batch.column("tile")[r].as_py())), pa.array(np.arange(len(nodes))), pa.array(nodes)], ["tile", "place", "node"])
+def links(spark: SparkSession, nodes: DataFrame, words: int, radius: int, similarity: float | None = None) -> DataFrame:
+    """(a, b, distance): for distinct fingerprints (node, w0, ..., and size with a similarity) links within the radius that join all nodes that such links join.
+    With a similarity only links between sets of sizes that allow it count."""
+    by = [] if similarity is None else ["size"]
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [np.array(x.as_py(), np.int64).tobytes() for x in batch.column("of")]
-            yield pa.RecordBatch.from_arrays([batch.column("tile"), pa.array(packed, pa.binary())], ["tile", "classes"])
+    def run(x: dict, y: dict, same: bool) -> Iterator[pa.RecordBatch]:
+        def fits(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            p, q = x["size"][i], y["size"][j]
+            return np.minimum(p, q) >= similarity * np.maximum(p, q)
 
-    named = tiles.select("tile", "nodes").mapInArrow(places, "tile long, place long, node long").join(classes, "node")
-    held = named.groupBy("tile").agg(F.array_sort(F.collect_list(F.struct("place", "class"))).alias("held"))  # a tile's nodes, no more
-    return held.select("tile", F.col("held.class").alias("of")).mapInArrow(pack, "tile long, classes binary")
+        i, j, far = spanning(x["fps"], y["fps"], radius, same, fits if by else None)
+        names = x["node"] if same else np.concatenate([x["node"], y["node"]])
+        yield _batch(names[i], names[j], far)
 
+    tiles = _tiles(spark, nodes, words, by, by)
+    pairs = _pairs(spark, tiles, words, radius, [similarity] if by else [])
+    found = reduced(spark, _of_pairs(spark, tiles, pairs, run, ["node", *by], words, EDGES))
+    drop_table(spark, tiles)
+    drop_table(spark, pairs)
+    return found
 
-def verified_links(spark: SparkSession, docs: DataFrame, distinct: DataFrame, words: int, radius: int, k: int, similarity: float, text_col: str) -> DataFrame:
-    """(a, b): links between nodes (node, w0, ...), equal fingerprints among them, whose texts are that similar, enough to join all nodes that such links join.
 
-    Each node's NEAREST links in each pair of tiles are held against the texts; then nodes with more links ask again, among themselves, for twice as
-    many to nodes that they have not been joined with, until no node has links left that were not looked at. A node with fewer links has had all
-    of them looked at, so links between it and one that asks again are done. In a large group of near copies nearly all links drop out as already joined."""
-    held = None
-    asking, most = distinct.withColumn("class", F.col("node")), NEAREST
-    while True:
-        found = materialise(spark, links(spark, asking, words, radius, most), "simhash-nearest")
-        edges = materialise(spark, found.where("distance >= 0").select("a", "b", "distance").distinct(), "simhash-links")
-        good = materialise(spark, verified(docs, edges, k, similarity, text_col).select("a", "b"), "simhash-verified")
-        held = good if held is None else materialise(spark, held.union(good), "simhash-verified")
-        again = materialise(spark, found.where("distance < 0").select(F.col("a").alias("node")).distinct(), "simhash-asking")
-        if not again.count():
-            return held
-        roots = components(spark, held)
-        asking = distinct.join(again, "node").join(roots, "node", "left").select(*distinct.columns, F.coalesce("root", "node").alias("class"))
-        asking, most = materialise(spark, asking, "simhash-asking"), 2 * most
-
-
-def reduced(spark: SparkSession, edges: DataFrame, per_task: int = 100_000) -> DataFrame:
+def reduced(spark: SparkSession, edges: DataFrame, per_task: int = 200_000) -> DataFrame:
     """The edges (a, b, distance) without those that close a circle of edges that are no longer, as far as they meet in a task; written.
 
     Edges of all pairs of tiles are dealt out at random, so that of a large group each task keeps no more than a forest. What it takes out is
     never needed to join nodes at any distance."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in range(3)], 1) for b in batches]
+        held = [np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], 1) for b in batches]
         rows = np.unique(np.concatenate(held), axis=0) if held else np.zeros((0, 3), np.int64)
-        rows = rows[np.argsort(rows[:, 2], kind="stable")]
         names, ends = np.unique(rows[:, :2], return_inverse=True)
-        tree, ends = _Forest(len(names)), ends.reshape(-1, 2).tolist()
-        keep = rows[[k for k, (i, j) in enumerate(ends) if tree.join(i, j)]]
-        yield pa.RecordBatch.from_arrays([pa.array(keep[:, c].copy()) for c in range(3)], ["a", "b", "distance"])
+        ends = ends.reshape(-1, 2)
+        keep = rows[np.sort(forest(len(names), ends[:, 0], ends[:, 1], rows[:, 2]))]
+        yield _batch(keep[:, 0], keep[:, 1], keep[:, 2])
 
     table = materialise(spark, edges, "simhash-links")
-    n = table.count()
-    parts = max(2, -(-n // per_task))
-    return materialise(spark, table.repartition(parts, F.pmod(F.xxhash64("a", "b"), F.lit(parts))).mapInArrow(run, "a long, b long, distance long"), "simhash-forest")
+    parts = max(2, -(-table.count() // per_task))
+    out = materialise(spark, table.repartition(parts, F.pmod(F.xxhash64("a", "b"), F.lit(parts))).mapInArrow(run, EDGES), "simhash-forest")
+    drop_table(spark, table)
+    return out
+
+
+def alike(x: dict, y: dict, radius: int, same: bool, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, distance) of links between rows of one group whose shingle sets are that similar, j counting on from the rows of x; enough to join all classes that such links join.
+
+    Every link within the radius between two classes is held against the sets unless the classes have been joined by then."""
+    tiles = [x] if same else [x, y]
+    shift = 0 if same else len(x["node"])
+    size, grp, of = (np.concatenate([t[c] for t in tiles]) for c in ("size", "grp", "class"))
+    of = np.unique(of, return_inverse=True)[1]
+    ids = np.unique(np.concatenate([t["sets"] for t in tiles]).view(np.uint64), return_inverse=True)[1].astype(np.int32)
+    start = np.cumsum(size) - size
+    present = np.zeros(int(ids.max(initial=-1)) + 1, np.uint8)
+    out: list[tuple[int, int, int]] = []
+    for rows, j, far in linked(x["fps"], y["fps"], radius, same):
+        j = j + shift
+        use = (grp[rows] == grp[j]) & (of[rows] != of[j]) & (np.minimum(size[rows], size[j]) >= similarity * np.maximum(size[rows], size[j]))
+        rows, j, far = rows[use], j[use], far[use]
+        for i in np.unique(rows).tolist():
+            at = slice(*np.searchsorted(rows, (i, i + 1)))
+            to, how = j[at], far[at]
+            apart = of[to] != of[i]
+            to, how = to[apart], how[apart]
+            if not len(to):
+                continue
+            own = ids[start[i] : start[i] + size[i]]
+            present[own] = 1
+            n = size[to]
+            first = np.cumsum(n) - n
+            held = present[ids[np.repeat(start[to] - first, n) + np.arange(n.sum())]]
+            present[own] = 0
+            shared = np.add.reduceat(held, first, dtype=np.int64)
+            good = shared >= similarity * (size[i] + n - shared)
+            for other, d in zip(to[good].tolist(), how[good].tolist(), strict=True):
+                if of[other] != of[i]:
+                    out.append((i, other, d))
+                    of[of == of[other]] = of[i]
+    found = np.array(out, np.int64).reshape(-1, 3)
+    return found[:, 0], found[:, 1], found[:, 2]
+
+
+def _set_tiles(spark: SparkSession, members: DataFrame, words: int, shingles: int) -> tuple[DataFrame, DataFrame]:
+    """(tiles, pairs) of members (node, grp, class, size, w0, ..., set): small groups share tiles, a group of more shingles than a tile has is dealt out to several,
+    all of whose pairs are compared."""
+    sizes = materialise(spark, members.groupBy("grp").agg(F.sum("size").alias("shingles")), "simhash-groups")
+    total = sizes.agg(F.coalesce(F.sum("shingles"), F.lit(0))).first()[0]
+    shared = 1 + 2 * total // shingles
+    large = F.col("shingles") > shingles
+    part = F.when(large, F.pmod(F.xxhash64("node"), F.ceil(2 * F.col("shingles") / shingles))).otherwise(F.pmod(F.xxhash64("grp"), F.lit(shared)))
+    held = members.join(sizes, "grp").withColumns({"of": F.when(large, F.col("grp")).otherwise(F.lit(-1)), "part": part})
+    columns = ["node", "grp", "class", "size"]
+    each = held.groupBy("of", "part").agg(F.collect_list(F.struct(*columns, *(f"w{i}" for i in range(words)), "set")).alias("held"))  # about a tile's shingles
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                rows = batch.column("held")[r].values
+                fps = np.stack([rows.field(f"w{i}").to_numpy(zero_copy_only=False) for i in range(words)], 1)
+                made = {"of": batch.column("of").slice(r, 1), "part": batch.column("part").slice(r, 1), "fps": [fps.tobytes()], "sets": [b"".join(rows.field("set").to_pylist())]}
+                yield pa.RecordBatch.from_pydict(made | {c: [rows.field(c).to_numpy(zero_copy_only=False).tobytes()] for c in columns})
+        tidy()
+
+    schema = "of long, part long, fps binary, sets binary, " + ", ".join(f"{c} binary" for c in columns)
+    tiles = materialise(spark, each.select(F.col("of").cast("long"), F.col("part").cast("long"), "held").mapInArrow(pack, schema).withColumn("tile", row_id()), "simhash-tiles")
+    one = tiles.select("of", F.col("part").alias("p"), F.col("tile").alias("a"))
+    two = tiles.where("of >= 0").select("of", F.col("part").alias("q"), F.col("tile").alias("b"))
+    pairs = one.where("of < 0").select("a", F.col("a").alias("b")).union(one.join(two, "of").where("p <= q").select("a", "b"))
+    return tiles, materialise(spark, pairs.withColumn("pair", row_id()), "simhash-pairs")
+
+
+def verified_links(spark: SparkSession, docs: DataFrame, distinct: DataFrame, words: int, radius: int, k: int, similarity: float, text_col: str) -> DataFrame:
+    """(a, b): links between nodes (node, size, w0, ...), equal fingerprints among them, whose texts are that similar, enough to join all nodes that such links join.
+
+    First the forest of all links is held against the shingle sets, with no more comparisons than nodes. Where all its edges in a component hold, they
+    join all that any link there could. The nodes of the other components, in the classes joined so far, are compared with their sets by pairs of tiles. Sets with fewer shingles than
+    any two different sets of that similarity can have are no nodes."""
+    least = int(np.ceil(similarity / (1 - similarity) - 1e-9)) if similarity < 1 else 1 << 62
+    nodes = distinct.where(F.col("size") >= least)
+    tree = links(spark, nodes, words, radius, similarity)
+    ends = tree.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    sets = materialise(spark, shingle_sets(docs, ends, tree.count() * 2, k, text_col), "simhash-sets")
+    checked = materialise(spark, verified(tree, sets, similarity), "simhash-checked")
+    held = checked.where("good").select("a", "b")
+    if checked.where("not good").limit(1).count():
+        grp = components(spark, tree).withColumnRenamed("root", "grp")
+        mixed = checked.where("not good").join(grp, F.col("a") == F.col("node")).select("grp").distinct()
+        root = components(spark, held).withColumnRenamed("root", "class")
+        members = nodes.join(grp.join(mixed, "grp"), "node").join(root, "node", "left").withColumn("class", F.coalesce("class", "node"))
+        members = materialise(spark, members.join(sets.withColumnRenamed("row", "node"), "node"), "simhash-members")
+        tiles, pairs = _set_tiles(spark, members, words, SHINGLES)
+
+        def run(x: dict, y: dict, same: bool) -> Iterator[pa.RecordBatch]:
+            i, j, far = alike(x, y, radius, same, similarity)
+            names = x["node"] if same else np.concatenate([x["node"], y["node"]])
+            yield _batch(names[i], names[j], far)
+
+        more = materialise(spark, _of_pairs(spark, tiles, pairs, run, ["node", "grp", "class", "size", "sets"], words, EDGES).select("a", "b"), "simhash-links")
+        for t in (members, tiles, pairs):
+            drop_table(spark, t)
+        held = held.union(more)
+    for t in (tree, sets):
+        drop_table(spark, t)
+    return held
 
 
 def simhash_components(spark: SparkSession, docs: DataFrame, shingle_words: int = 3, words: int = 1, radius: int = 2, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None, distinct_shingles: bool = False) -> DataFrame:
@@ -361,15 +473,16 @@ def simhash_components(spark: SparkSession, docs: DataFrame, shingle_words: int
     nodes of their own unless fingerprint and shingle set are both equal. Null and empty texts have fingerprint zero, linked like any other. A null id counts as larger than
     all others; repeated rows and equal texts share their component. No rows: no rows. Other columns are not read."""
     short_batches(spark)
-    if similarity is not None and ROW not in docs.columns:  # texts are read again
-        docs = numbered(spark, docs.select(id_col, text_col))
+    docs = numbered(spark, docs, [id_col, text_col])
     cols = [f"w{i}" for i in range(words)]
-    keys = cols if similarity is None else [*cols, "of_set"]
+    keys = cols if similarity is None else [*cols, "of_set", "size"]
     rows = materialise(spark, fingerprints(docs, shingle_words, words, id_col, text_col, similarity is not None, distinct_shingles), "simhash-rows")
     order = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("row"))
     distinct = materialise(spark, rows.groupBy(*keys).agg(F.min("row").alias("node"), F.min(order).alias("least")), "simhash-distinct")
-    nodes = distinct.select("node", *cols)
-    edges = reduced(spark, links(spark, nodes, words, radius)) if similarity is None else verified_links(spark, docs, nodes, words, radius, shingle_words, similarity, text_col)
+    if similarity is None:
+        edges = links(spark, distinct.select("node", *cols), words, radius)
+    else:
+        edges = verified_links(spark, docs, distinct.select("node", "size", *cols), words, radius, shingle_words, similarity, text_col)
     roots = components(spark, edges.select("a", "b"))
     named = distinct.join(roots.withColumnRenamed("root", "r"), "node", "left").withColumn("r", F.coalesce("r", "node"))
     least = materialise(spark, named.groupBy("r").agg(F.min("least").alias("of")), "simhash-least")
@@ -378,42 +491,46 @@ def simhash_components(spark: SparkSession, docs: DataFrame, shingle_words: int
     return rows.join(found, keys).select("row", "id", hexed.alias("fingerprint"), "component_id", "keep_row")
 
 
-def verified(docs: DataFrame, edges: DataFrame, k: int, similarity: float, text_col: str = "text") -> DataFrame:
-    """Of edges (a, b) between row numbers of docs, those whose texts' shingle sets have at least that Jaccard similarity. Texts are read
-    again for the ends of links alone."""
-    ends = edges.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    texts = docs.select(row_number(docs).alias("row"), F.col(text_col).cast("string").alias("text")).join(small(ends, edges.count() * 2), "row")
+def shingle_sets(docs: DataFrame, rows: DataFrame, n: int, k: int, text_col: str = "text") -> DataFrame:
+    """(row, set): the sorted hashes of the distinct shingles of the docs whose numbers are in rows (row), at most n of them, as bytes."""
+    texts = docs.select(row_column(docs).alias("row"), F.col(text_col).cast("string").alias("text")).join(small(rows, n), "row")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([np.unique(shingle_hashes(t.as_py(), k)).tobytes() for t in part.column(1)], pa.binary())], ["row", "set"])
         tidy()
 
-    held = texts.mapInArrow(sets, "row long, set binary")
-    both = edges.join(held.select(F.col("row").alias("a"), F.col("set").alias("sa")), "a").join(held.select(F.col("row").alias("b"), F.col("set").alias("sb")), "b")
+    return texts.mapInArrow(run, "row long, set binary")
+
+
+def verified(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """edges (a, b, distance) with ``good``: whether the shingle sets of both ends have at least that Jaccard similarity."""
+    both = edges.join(sets.select(F.col("row").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("row").alias("b"), F.col("set").alias("sb")), "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            good = []
             for sa, sb in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = (np.frombuffer(s.as_py(), np.uint64) for s in (sa, sb))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(shared >= similarity * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), batch.column("distance")], ["a", "b", "distance"]).filter(pa.array(keep, pa.bool_()))
+                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (sa, sb))
+                shared = len(x) + len(y) - len(np.union1d(x, y))
+                good.append(shared >= similarity * (len(x) + len(y) - shared))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "distance")), pa.array(good, pa.bool_())], ["a", "b", "distance", "good"])
         tidy()
 
-    return both.mapInArrow(compare, "a long, b long, distance long")
+    return both.select("a", "b", "distance", "sa", "sb").mapInArrow(compare, EDGES + ", good boolean")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, shingle_words: int = 5, words: int = 4, radius: int = 72, similarity: float = 0.8) -> DataFrame:
-    """The rows of docs that stay, with all their columns: of each group of near copies the row with the smallest doc_id.
+    """The rows of docs that stay, with all their columns: of each group of near copies the row with the smallest doc_id (of equal ids the first row; null ids come
+    last). Null and empty texts are copies of each other. No rows: no rows.
 
     256-bit fingerprints of the distinct shingles: two long texts of Jaccard similarity 0.8 differ in about 39 bits with a deviation of 6, at worst (4 shingles
     of 5) in 48, unrelated ones in 128 with a deviation of 8, so radius 72 misses at most 1 such pair in 10,000; proposed links are then held against the
     shingle sets."""
     docs = numbered(spark, docs)
-    groups = materialise(spark, simhash_components(spark, docs, shingle_words, words, radius, similarity=similarity, distinct_shingles=True), "simhash-groups")
-    out = groups.where("row != keep_row").select(F.col("row").alias(ROW))
-    return docs.join(small(out, out.count()), ROW, "left_anti").drop(ROW)
+    row = row_column(docs)
+    groups = simhash_components(spark, docs, shingle_words, words, radius, similarity=similarity, distinct_shingles=True)
+    out = materialise(spark, groups.where("row != keep_row").select(F.col("row").alias(row_name(docs))), "simhash-groups")
+    return docs.join(small(out, out.count()), row_name(docs), "left_anti").drop(row)

@@ -109,7 +109,7 @@ def _fingerprint(text, k):
 
 @pytest.mark.parametrize(("tile", "radius"), [(8192, 2), (7, 2), (16, 9)])
 def test_simhash_components_against_brute_force(spark, monkeypatch, tile, radius):
-    monkeypatch.setattr(simhash, "TILE", tile)
+    monkeypatch.setattr(simhash, "TILE", (tile, tile))
     rows = _random_rows(50, 2)
     fps = [_fingerprint(t, 3) for _, t in rows]
     distinct = sorted(set(fps))
@@ -123,10 +123,7 @@ def test_simhash_components_against_brute_force(spark, monkeypatch, tile, radius
     assert sorted(((r["id"], r["fingerprint"], r["component_id"]) for r in found), key=key) == sorted(((i, f"{f:016x}", least.get(root[f])) for (i, _), f in zip(rows, fps, strict=True)), key=key)
 
 
-@pytest.mark.parametrize(("tile", "most"), [(8192, 8), (50, 1)])
-def test_near_copies_go_and_others_stay(spark, monkeypatch, tile, most):
-    monkeypatch.setattr(simhash, "TILE", tile)
-    monkeypatch.setattr(simhash, "NEAREST", most)
+def test_near_copies_go_and_others_stay(spark):
     rng = random.Random(4)
     words = [f"w{k}" for k in range(2000)]
     rows, jaccard = [], lambda a, b: len(a & b) / len(a | b)
@@ -145,6 +142,52 @@ def test_near_copies_go_and_others_stay(spark, monkeypatch, tile, most):
     assert kept == {10 * k for k in range(40)} | {1000}
 
 
+@pytest.mark.parametrize(("tile", "shingles", "one_task"), [(4096, 1 << 20, 10**6), (40, 5000, 10)])
+def test_near_copy_classes_against_brute_force(spark, monkeypatch, tile, shingles, one_task):
+    """Pairs on both sides of similarity 0.8, chains, and a large group whose members are like one text but not each other."""
+    monkeypatch.setattr(simhash, "TILE", (tile, tile))
+    monkeypatch.setattr(simhash, "SHINGLES", shingles)
+    monkeypatch.setattr(simhash, "components", lambda s, e: components(s, e, one_task))
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    texts = []
+    for _ in range(150):
+        base = [word() for _ in range(rng.randint(9, 120))]
+        copy = list(base)
+        for _ in range(rng.randint(1, 2 + len(base) // 30)):
+            copy[rng.randrange(len(copy))] = word()
+        texts += [base, copy, copy[1:], [*copy, word(), word()]]
+    hub = [word() for _ in range(140)]
+    for _ in range(250):
+        copy = list(hub)
+        for _ in range(rng.randint(1, 5)):
+            copy[rng.randrange(140)] = word()
+        texts.append(copy)
+    rows = [(k, " ".join(t)) for k, t in enumerate(rng.sample(texts, len(texts)))]
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(max(1, len(t.split()) - 4))} for i, t in rows}
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    pairs = [(i, j) for i in sets for j in sets if i < j and not sets[i].isdisjoint(sets[j]) and alike(sets[i], sets[j])]
+    found = simhash.simhash_components(spark, _docs(spark, rows), 5, 4, 72, similarity=0.8, distinct_shingles=True).collect()
+    assert {r["id"]: r["component_id"] for r in found} == _components(pairs, sets)
+    assert len(pairs) > 4000
+
+
+def test_a_large_group_leaves_a_few_edges_a_member(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", (500, 500))
+    rng, made = random.Random(9), []
+    hub = [f"w{rng.randrange(10**6)}" for _ in range(140)]
+    rows = []
+    for k in range(2000):
+        copy = list(hub)
+        for _ in range(rng.randint(1, 6)):
+            copy[rng.randrange(140)] = f"w{rng.randrange(10**6)}"
+        rows.append((k, " ".join(copy)))
+
+    monkeypatch.setattr(simhash, "components", lambda s, e: made.append(e.count()) or components(s, e))
+    assert simhash.drop_near_copies(spark, _docs(spark, rows)).count() < 200
+    assert made and max(made) <= 4 * 2000
+
+
 def test_equal_fingerprints_of_unlike_texts_are_held_against_the_similarity(spark):
     rng = random.Random(6)
     line = " ".join(f"often{c}" for c in "abcdefghi")
@@ -172,7 +215,9 @@ def test_a_line_repeated_many_times_does_not_hide_a_near_copy(spark):
 
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 180)] + [(200, 200), (300, 301), (301, 300), (302, 300)]
-    found = {r["node"]: r["root"] for r in components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
+    held = spark.createDataFrame(edges, "a long, b long")
+    found = {r["node"]: r["root"] for r in components(spark, held, 0).collect()}
+    assert found == {r["node"]: r["root"] for r in components(spark, held).collect()}
     assert all(found[k] == 0 for k in range(61)) and all(found[k] == 100 for k in range(100, 180)) and found[302] == 300 and 200 not in found
 
 
@@ -180,7 +225,7 @@ def test_spanning_forest_joins_what_the_links_join():
     rng = np.random.default_rng(5)
     a = rng.integers(0, 2**10, (300, 1)).astype(np.uint64)
     links = {(i, j) for i in range(300) for j in range(i + 1, 300) if int(a[i, 0] ^ a[j, 0]).bit_count() <= 1}
-    forest = simhash.spanning(a, a, 1, True)
+    forest = list(zip(*(x.tolist() for x in simhash.spanning(a, a, 1, True)), strict=True))
     assert len(forest) < 300 and {(i, j) for i, j, _ in forest} <= links
     assert _components(links, range(300)) == _components([(i, j) for i, j, _ in forest], range(300))
 
