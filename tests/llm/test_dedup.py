@@ -179,12 +179,12 @@ def test_a_large_group_leaves_a_few_edges_a_member(spark, monkeypatch):
     rows = []
     for k in range(2000):
         copy = list(hub)
-        for _ in range(rng.randint(1, 6)):
+        for _ in range(k and rng.randint(1, 3)):
             copy[rng.randrange(140)] = f"w{rng.randrange(10**6)}"
         rows.append((k, " ".join(copy)))
 
     monkeypatch.setattr(simhash, "components", lambda s, e: made.append(e.count()) or components(s, e))
-    assert simhash.drop_near_copies(spark, _docs(spark, rows)).count() < 200
+    assert [r["doc_id"] for r in simhash.drop_near_copies(spark, _docs(spark, rows)).collect()] == [0]
     assert made and max(made) <= 4 * 2000
 
 
