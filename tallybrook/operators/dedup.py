@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def ranked_duplicates(invoices: DataFrame, key: str | list[str], order: list[str | Column]) -> DataFrame:
@@ -21,18 +25,24 @@ def duplicates(invoices: DataFrame, key: str | list[str], order: list[str | Colu
 
 
 def with_ttl(invoices: DataFrame, ttl: int, key: str = "invoice_id", ts: str = "invoice_timestamp", ties: tuple[str, ...] = ()) -> DataFrame:
-    """Rows with ``is_duplicate``. A row is a duplicate if an accepted row of its id is less than ttl seconds older; duplicates don't extend the time to live.
-
-    Acceptance depends on earlier acceptances, so an id's times are folded in order: one array of an id's rows, of which there are few."""
-    row = F.struct(F.unix_micros(F.col(ts).cast("timestamp")).alias("at"), *ties, F.struct(*invoices.columns).alias("r"))
-    held = invoices.groupBy(key).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    none = F.lit(None).cast("long")
-    start = F.struct(none.alias("since"), F.array().cast("array<boolean>").alias("flags"))
-
-    def step(acc: Column, x: Column) -> Column:
-        again = acc["since"].isNotNull() & (x["at"] < acc["since"] + ttl * 1_000_000)
-        return F.struct(F.when(again, acc["since"]).otherwise(x["at"]).alias("since"), F.concat(acc["flags"], F.array(again)).alias("flags"))
-
-    flags = F.aggregate("rows", start, step, lambda acc: acc["flags"])
-    each = held.select(F.explode(F.arrays_zip(F.col("rows.r").alias("r"), flags.alias("is_duplicate"))).alias("e"))
-    return each.select("e.r.*", "e.is_duplicate")
+    """Rows with ``is_duplicate``. A row is a duplicate if an accepted row of its id is less than ttl seconds older; duplicates don't extend the time to live. Rows without an
+    id or a time are accepted.
+
+    Acceptance depends on earlier acceptances, which no window function can say: each task walks its ids' rows in order of time and holds the last accepted time alone."""
+    columns, at, again = invoices.columns, "__at", "is_duplicate"
+    ordered = invoices.withColumn(at, F.unix_micros(F.col(ts).cast("timestamp"))).repartition(key).sortWithinPartitions(key, at, *ties)
+    schema = T.StructType([*invoices.schema.fields, T.StructField(again, T.BooleanType())])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, since = None, None
+        for batch in batches:
+            flags = []
+            for k, t in zip(batch.column(key).to_pylist(), batch.column(at).to_pylist(), strict=True):
+                if k != held:
+                    held, since = k, None
+                flags.append(k is not None and t is not None and since is not None and t < since + ttl * 1_000_000)
+                if not flags[-1]:
+                    since = t
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(flags, pa.bool_())], [*columns, again])
+
+    return ordered.mapInArrow(walk, schema)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.config import Config
@@ -16,44 +18,59 @@ def _json(**fields: Column) -> Column:
     return F.to_json(F.struct(*(c.alias(k) for k, c in fields.items())), {"ignoreNullFields": "false"})
 
 
-def velocity_members(invoices: DataFrame, cfg: Config) -> DataFrame:
-    """Invoices once for each sliding window, with the window and ``amount_key``; of (vendor, amount) groups that are too small overall none.
-
-    The groups are sized before the windows multiply rows. One exchange by vendor and amount serves this and the sums by window."""
+def _keyed(invoices: DataFrame, cfg: Config) -> DataFrame:
+    """Invoices that can be in a group, with ``amount_key`` and the number of the ``bucket`` of time that holds them: windows are made of whole buckets."""
+    unit = math.gcd(cfg.window, cfg.slide) * 1_000_000
     keyed = invoices.withColumn("amount_key", amount_key(F.col("invoice_amount"), cfg.amount_step)).where(F.col("amount_key").isNotNull() & F.col("vendor_id").isNotNull() & F.col("invoice_timestamp").isNotNull())
-    sized = keyed.withColumn("n_all", F.count("*").over(Window.partitionBy("vendor_id", "amount_key"))).where(F.col("n_all") >= cfg.min_repeats)
-    return sized.drop("n_all").withColumn("w", F.explode(_windows(F.col("invoice_timestamp"), cfg)))
+    at = F.unix_micros(F.col("invoice_timestamp").cast("timestamp"))
+    return keyed.withColumn("bucket", ((at - F.pmod(at, F.lit(unit))) / unit).cast("long"))
+
 
+def _windows(bucket: Column, cfg: Config) -> Column:
+    """The starts, in buckets, of the windows that hold a bucket, aligned to the epoch, [start, end)."""
+    unit = math.gcd(cfg.window, cfg.slide)
+    slide, length = cfg.slide // unit, cfg.window // unit
+    last = bucket - F.pmod(bucket, F.lit(slide))
+    starts = F.transform(F.sequence(F.lit(0), F.lit(-(-length // slide) - 1)), lambda i: last - i * slide)
+    return F.filter(starts, lambda s: s + length > bucket)
 
-def _windows(ts: Column, cfg: Config) -> Column:
-    """The starts and ends of the windows that hold ts, aligned to the epoch, [start, end)."""
-    at = F.unix_micros(ts.cast("timestamp"))
-    slide, length = cfg.slide * 1_000_000, cfg.window * 1_000_000
-    last = at - F.pmod(at, F.lit(slide))
-    starts = F.sequence(F.lit(0).cast("long"), F.lit(-(-cfg.window // cfg.slide) - 1).cast("long"))
-    made = F.transform(starts, lambda i: F.struct((last - i * slide).alias("s"), (last - i * slide + length).alias("e")))
-    return F.filter(made, lambda w: w["e"] > at)
 
+def velocity_sizes(invoices: DataFrame, cfg: Config) -> DataFrame:
+    """(vendor_id, amount_key, start, occurrences) of the groups of like amounts in a window that are large enough.
 
-def _moment(micros: Column) -> Column:
-    return F.timestamp_micros(micros)
+    Invoices are counted by bucket where they are read, before anything is shuffled or put into windows, so a vendor with very many like amounts costs no
+    task more than another."""
+    counts = _keyed(invoices, cfg).groupBy("vendor_id", "amount_key", "bucket").agg(F.count("*").alias("n"))
+    placed = counts.select("vendor_id", "amount_key", F.explode(_windows(F.col("bucket"), cfg)).alias("start"), "n")
+    return placed.groupBy("vendor_id", "amount_key", "start").agg(F.sum("n").alias("occurrences")).where(F.col("occurrences") >= cfg.min_repeats)
 
 
 def velocity_groups(invoices: DataFrame, cfg: Config) -> DataFrame:
-    """(window_start, window_end, vendor_id, amount, occurrences, invoice_ids, members) of the groups of like amounts in a window that are large enough."""
-    member = F.struct("invoice_timestamp", "invoice_id")
-    groups = velocity_members(invoices, cfg).groupBy("w", "vendor_id", "amount_key").agg(F.count("*").alias("occurrences"), F.array_sort(F.collect_list(member)).alias("members"))
-    groups = groups.where(F.col("occurrences") >= cfg.min_repeats)
-    return groups.select(_moment(F.col("w.s")).alias("window_start"), _moment(F.col("w.e")).alias("window_end"), "vendor_id", F.col("amount_key").alias("amount"), "occurrences", F.col("members.invoice_id").alias("invoice_ids"), "members")
+    """(window_start, window_end, vendor_id, amount, occurrences, invoice_ids, members) of the groups of like amounts in a window that are large enough. A group's members come by
+    an equi-join of invoices with the buckets of the groups' windows."""
+    unit = math.gcd(cfg.window, cfg.slide)
+    sizes = velocity_sizes(invoices, cfg)
+    buckets = sizes.withColumn("bucket", F.explode(F.sequence(F.col("start"), F.col("start") + cfg.window // unit - 1)))
+    rows = _keyed(invoices, cfg).select("vendor_id", "amount_key", "bucket", F.struct("invoice_timestamp", "invoice_id").alias("member"))
+    held = rows.join(buckets, ["vendor_id", "amount_key", "bucket"]).groupBy("vendor_id", "amount_key", "start").agg(F.max("occurrences").alias("occurrences"), F.array_sort(F.collect_list("member")).alias("members"))
+    moment = lambda bucket: F.timestamp_micros(bucket * (unit * 1_000_000))
+    return held.select(moment(F.col("start")).alias("window_start"), moment(F.col("start") + cfg.window // unit).alias("window_end"), "vendor_id", F.col("amount_key").alias("amount"), "occurrences", F.col("members.invoice_id").alias("invoice_ids"), "members")
 
 
 def velocity_alerts(invoices: DataFrame, cfg: Config) -> DataFrame:
     """One alert for each member of each group: an invoice has one for every window that overlaps."""
-    groups = velocity_groups(invoices, cfg)
+    return velocity_rows(velocity_groups(invoices, cfg), cfg)
+
+
+def velocity_rows(groups: DataFrame, cfg: Config) -> DataFrame:
+    """The alerts of velocity_groups()."""
     reason = F.concat(F.col("occurrences").cast("string"), F.lit(" invoices @ $"), F.col("amount").cast("string"), F.lit(f" in {cfg.window}s window"))
     evidence = _json(amount=F.col("amount"), occurrences=F.col("occurrences"), invoice_ids=F.col("invoice_ids"), window_duration_seconds=F.lit(cfg.window), fraud_pattern=F.lit("rapid_duplicate_amounts"))
     made = groups.select("vendor_id", "window_start", "window_end", reason.alias("reason"), evidence.alias("evidence"), F.least(F.lit(100), F.col("occurrences") * 10).cast("long").alias("fraud_score"), F.explode("members").alias("m"))
-    return made.select(F.col("m.invoice_id").alias("invoice_id"), "vendor_id", F.lit("VELOCITY").alias("rule_name"), F.lit("HIGH").alias("severity"), "reason", "evidence", "window_start", "window_end", "fraud_score", F.lit("velocity_check").alias("alert_source"), F.col("m.invoice_timestamp").alias("invoice_timestamp"))
+    return made.select(
+        F.col("m.invoice_id").alias("invoice_id"), "vendor_id", F.lit("VELOCITY").alias("rule_name"), F.lit("HIGH").alias("severity"), "reason", "evidence", "window_start", "window_end", "fraud_score",
+        F.lit("velocity_check").alias("alert_source"), F.col("m.invoice_timestamp").alias("invoice_timestamp"),
+    )
 
 
 def scored(invoices: DataFrame, baseline: DataFrame, cfg: Config) -> DataFrame:

@@ -17,28 +17,37 @@ from tallybrook.sources import jsonl
 def run_batch(spark: SparkSession, store: Store, erp: str | None, wms: str | None, baseline: DataFrame, cfg: Config, detected_at=None) -> dict[str, int]:
     """Reads the feeds, writes bronze, silver, gold, dead letters and the vendor-day features; returns rows by layer.
 
-    Each layer is written once and read back by what follows, so nothing is parsed or deduplicated twice. Time of detection is now, or as given."""
+    A feed is parsed once, into a staged table that holds masked lines of dead letters and typed columns of the others. Rows and dead letters without an id of their own have
+    one made from their line, so that a job that runs again changes nothing. Time of detection is now, or as given."""
     now = F.current_timestamp()
-    good = bad = receipts = None
+    good = receipts = None
+    staged = []
     if erp:
-        good, bad = jsonl.split_ok(jsonl.parse_erp(jsonl.read_lines(spark, erp)))
+        good, staged = _ingested(store, jsonl.parse_erp(jsonl.read_lines(spark, erp)), "ERP", staged)
     if wms:
-        receipts, bad_wms = jsonl.split_ok(jsonl.parse_wms(jsonl.read_lines(spark, wms)))
-        store.append(bad_wms.select(F.sha2("raw", 256).alias("raw"), "err", F.lit("WMS").alias("feed"), now.alias("ingested_at")), "dead_letter")
+        receipts, staged = _ingested(store, jsonl.parse_wms(jsonl.read_lines(spark, wms)), "WMS", staged)
     store.insert_missing(layers.bronze(good, receipts), "bronze_raw_events")
     if good is not None:
-        # bad invoices may hold bank details: their lines are kept as hashes
-        store.append(bad.select(F.sha2("raw", 256).alias("raw"), "err", F.lit("ERP").alias("feed"), now.alias("ingested_at")), "dead_letter")
         order = ["invoice_timestamp", "vendor_id", "invoice_amount", "event_uuid"]
-        store.insert_missing(layers.silver(dedup.unique(good, "invoice_id", order)), "silver_deduplicated_invoices")
+        store.insert_missing(layers.silver(dedup.unique(good, "invoice_id", order)), "silver_deduplicated_invoices", None)
         silver = store.read("silver_deduplicated_invoices")
         store.overwrite_days(layers.gold_rows(rules.gold(silver, baseline, cfg, detected_at)), "gold_fraud_alerts")
         gold = store.read("gold_fraud_alerts")
         store.upsert(features.behavioral(silver).withColumn("computed_at", now), "vendor_daily_behavioral_features")
         store.upsert(features.risk(gold).withColumn("computed_at", now), "vendor_daily_risk_features")
+    store.staged_drop(*staged)
     return {r["layer"]: r["row_count"] for r in store.counts().collect()}
 
 
+def _ingested(store: Store, parsed: DataFrame, feed: str, staged: list[DataFrame]) -> tuple[DataFrame, list[DataFrame]]:
+    """The feed's good rows; its dead letters are inserted into their layer."""
+    kept = parsed.withColumns({"line_id": jsonl.line_id(F.col("raw")), "line": F.when(F.col("err").isNotNull(), jsonl.masked(F.col("raw")))}).drop("raw")
+    held = store.staged(kept, feed.lower())
+    bad = held.where("err is not null").select("line_id", F.col("line").alias("raw"), "err", F.lit(feed).alias("feed"), F.current_timestamp().alias("ingested_at"))
+    store.insert_missing(bad, "dead_letter")
+    return held.where("err is null").drop("err", "line", "line_id"), [*staged, held]
+
+
 def refresh_baseline(store: Store, cfg: Config) -> None:
     """The baseline from the last days of silver."""
     found = features.baseline(store.read("silver_deduplicated_invoices", since=cfg.as_of - dt.timedelta(cfg.history_days)), cfg)

@@ -8,82 +8,156 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybrook.config import Config
 from tallybrook.functions.columns import json_field, risk_tier, rounded, safe_divide, seconds_between
 from tallybrook.operators import dedup, features, layers, rules, scores
-from tallybrook.sources import adapters, tables
+from tallybrook.plans.store import DAY, Store
+from tallybrook.session import shared_dir
+from tallybrook.sources import adapters, jsonl, tables
 
 CFG = Config(window=86_400, slide=3_600, amount_step="10", as_of=dt.date(2024, 1, 31))
-#: Reports look back to SINCE, reports on the stream to FRESH, scores are of DAY.
-SINCE, FRESH, DAY = dt.date(2024, 1, 24), dt.datetime(2024, 1, 30, 0, 0), dt.date(2024, 1, 30)
+#: Reports look back to SINCE, reports on the stream to FRESH or to an hour before NOW, scores are of DATE.
+SINCE, FRESH, DATE = dt.date(2024, 1, 24), dt.datetime(2024, 1, 30, 0, 0), dt.date(2024, 1, 30)
+NOW = dt.datetime(2024, 1, 31, 0, 0)
 
 
 class Layers:
-    """Bronze to rankings over one folder of tables, each built when first asked for."""
+    """Bronze to rankings over one folder of tables.
+
+    Each layer is built when it is first asked for and written, once a session, as a table partitioned by its day in the shared folder; reports read it by day. The folder's tables are taken not to change
+    while the session lasts."""
+
+    #: The column that a layer's day comes from, and those that its files are sorted by.
+    DATED = {
+        "bronze": ("event_timestamp", "source_system"), "silver": ("invoice_timestamp", "vendor_id"), "gold": ("detected_at", "rule_name"), "behavioral": ("feature_date", "vendor_id"), "risk": ("feature_date", "vendor_id"),
+        "trust": ("score_date", "vendor_id"), "ranks": ("ranking_date", "vendor_id"), "baseline": (None, "vendor_id"),
+    }
+    _written: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
 
-    @functools.cached_property
+    def since(self, layer: str, day: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
+        """The layer's rows of the days from ``day`` to ``until``: partitions of other days are not read."""
+        key = self.spark.sparkContext.applicationId, self.sf_dir, layer
+        date, *cluster = self.DATED[layer]
+        if key not in self._written:
+            made = getattr(self, f"make_{layer}")()
+            path = f"{shared_dir(self.spark)}/layers-{uuid.uuid4().hex[:12]}-{layer}"
+            if date:
+                dated = made.withColumn(DAY, F.to_date(date)).hint("rebalance", DAY).sortWithinPartitions(DAY, *cluster)
+                dated.write.partitionBy(DAY).parquet(path)
+            else:
+                made.write.parquet(path)
+            self._written[key] = path, made.schema
+        path, schema = self._written[key]
+        if not date:
+            return self.spark.read.schema(schema).parquet(path)
+        df = self.spark.read.schema(T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])).parquet(path)
+        if day is not None:
+            df = df.where(F.col(DAY) >= F.lit(day))
+        if until is not None:
+            df = df.where(F.col(DAY) <= F.lit(until))
+        return df.drop(DAY)
+
+    @property
     def invoices(self) -> DataFrame:
         return adapters.invoices_from_events(self.spark, self.sf_dir)
 
-    @functools.cached_property
-    def bronze(self) -> DataFrame:
-        number = F.col("invoice_id").cast("long")
+    def make_bronze(self) -> DataFrame:
         erp = self.invoices.select(F.concat(F.lit("erp-"), "invoice_id").alias("event_uuid"), "*")
         wms = adapters.receipts_from_orders(self.spark, self.sf_dir).select(F.concat(F.lit("wms-"), "po_no").alias("event_uuid"), F.lit(None).cast("string").alias("wh_id"), "*")
         both = layers.bronze(erp, wms, F.lit(None).cast("timestamp_ntz"))
         number = F.regexp_extract("event_uuid", r"(\d+)", 1).cast("long")
         return both.withColumn("ingested_at", _later(F.col("event_timestamp"), F.pmod(number, F.lit(120))))
 
-    @functools.cached_property
-    def silver(self) -> DataFrame:
+    def make_silver(self) -> DataFrame:
         kept = dedup.unique(self.invoices, "invoice_id", ["invoice_timestamp", "vendor_id", "invoice_amount"])
         return layers.silver(kept, F.lit(None).cast("timestamp_ntz")).withColumn("ingested_at", _later(F.col("invoice_timestamp"), F.pmod(F.col("invoice_id").cast("long"), F.lit(120)) + 5))
 
-    @functools.cached_property
-    def baseline(self) -> DataFrame:
-        """Every seventh vendor has none."""
-        return features.baseline(self.invoices.where(F.col("vendor_id").cast("long") % 7 != 0), CFG)
+    def make_baseline(self) -> DataFrame:
+        return features.baseline(self.invoices, CFG)
 
-    @functools.cached_property
-    def gold(self) -> DataFrame:
+    def make_gold(self) -> DataFrame:
         alerts = rules.gold(self.invoices, self.baseline, CFG)
         return alerts.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end", "detected_at")})
 
-    @functools.cached_property
+    def make_behavioral(self) -> DataFrame:
+        return features.behavioral(self.invoices)
+
+    def make_risk(self) -> DataFrame:
+        return features.risk(self.gold)
+
+    def make_trust(self) -> DataFrame:
+        return scores.trust_scores(self.features, CFG)
+
+    def make_ranks(self) -> DataFrame:
+        return scores.rankings(self.trust)
+
+    @property
+    def bronze(self) -> DataFrame:
+        return self.since("bronze")
+
+    @property
+    def silver(self) -> DataFrame:
+        return self.since("silver")
+
+    @property
+    def baseline(self) -> DataFrame:
+        return self.since("baseline")
+
+    @property
+    def gold(self) -> DataFrame:
+        return self.since("gold")
+
+    @property
     def recent(self) -> DataFrame:
-        return self.gold.where(F.to_date("detected_at") >= F.lit(SINCE))
+        return self.since("gold", SINCE)
 
-    @functools.cached_property
+    @property
     def fresh(self) -> DataFrame:
-        return self.gold.where(F.col("detected_at") >= F.lit(FRESH).cast("timestamp_ntz"))
+        return self.after("gold", "detected_at", FRESH)
+
+    @property
+    def last_hour(self) -> DataFrame:
+        return self.after("gold", "detected_at", NOW - dt.timedelta(hours=1))
 
-    @functools.cached_property
+    def after(self, layer: str, column: str, moment: dt.datetime) -> DataFrame:
+        """Rows of a layer from a moment on, read from its day on."""
+        return self.since(layer, moment.date()).where(F.col(column) >= F.lit(moment).cast("timestamp_ntz"))
+
+    @property
     def behavioral(self) -> DataFrame:
-        return features.behavioral(self.invoices)
+        return self.since("behavioral")
 
-    @functools.cached_property
+    @property
     def risk(self) -> DataFrame:
-        return features.risk(self.gold)
+        return self.since("risk")
 
-    @functools.cached_property
+    @property
     def features(self) -> DataFrame:
         return features.features_view(self.behavioral, self.risk)
 
-    @functools.cached_property
+    @property
     def trust(self) -> DataFrame:
-        return scores.trust_scores(self.features, CFG)
+        return self.since("trust")
 
-    @functools.cached_property
+    @property
     def ranks(self) -> DataFrame:
-        return scores.rankings(self.trust)
+        return self.since("ranks")
+
+    def trust_of(self, day: dt.date) -> DataFrame:
+        return self.since("trust", day, day)
+
+    def ranks_of(self, day: dt.date) -> DataFrame:
+        return self.since("ranks", day, day)
 
 
 def _later(ts: Column, seconds: Column) -> Column:
@@ -155,7 +229,7 @@ def dedup_ttl(x: Layers) -> DataFrame:
 @query
 def dedup_invariant(x: Layers) -> DataFrame:
     """Ids that are still repeated: none."""
-    seen = x.silver.where(F.to_date("invoice_timestamp") >= F.lit(SINCE)).groupBy("invoice_id", "vendor_id", "invoice_amount").agg(F.count("*").alias("occurrence_count"), F.min("invoice_timestamp").alias("first_seen"), F.max("invoice_timestamp").alias("last_seen"))
+    seen = x.since("silver", SINCE).groupBy("invoice_id", "vendor_id", "invoice_amount").agg(F.count("*").alias("occurrence_count"), F.min("invoice_timestamp").alias("first_seen"), F.max("invoice_timestamp").alias("last_seen"))
     return seen.withColumn("seconds_between", seconds_between(F.col("first_seen"), F.col("last_seen")).cast("long")).where("occurrence_count > 1").orderBy(F.desc("occurrence_count"), "seconds_between")
 
 
@@ -254,8 +328,8 @@ def risk_rankings(x: Layers) -> DataFrame:
 
 @query
 def layer_health(x: Layers) -> DataFrame:
-    parts = [(1, "bronze", "Data ingested", x.bronze, "event_timestamp"), (2, "silver", "Deduplication working", x.silver, "invoice_timestamp"), (3, "gold", "Fraud detection active", x.gold, "detected_at")]
-    each = [df.where(F.to_date(ts) >= F.lit(SINCE)).agg(F.count("*").alias("row_count")).select(F.lit(k).alias("stage"), F.lit(name).alias("layer"), "row_count", F.when(F.col("row_count") > 0, good).otherwise("No data").alias("status")) for k, name, good, df, ts in parts]
+    parts = [(1, "bronze", "Data ingested"), (2, "silver", "Deduplication working"), (3, "gold", "Fraud detection active")]
+    each = [x.since(name, SINCE).agg(F.count("*").alias("row_count")).select(F.lit(k).alias("stage"), F.lit(name).alias("layer"), "row_count", F.when(F.col("row_count") > 0, good).otherwise("No data").alias("status")) for k, name, good in parts]
     return functools.reduce(DataFrame.unionByName, each).orderBy("stage").drop("stage")
 
 
@@ -290,7 +364,7 @@ def velocity_deep_dive(x: Layers) -> DataFrame:
 
 @query
 def anomaly_deep_dive(x: Layers) -> DataFrame:
-    found = _scored(x.gold.where("rule_name = 'ANOMALY'"))
+    found = x.recent.where("rule_name = 'ANOMALY'").select("vendor_id", "invoice_id", "severity", "fraud_score", _money("amount").alias("invoice_amount"), _money("baseline_avg"), _money("baseline_stddev"), _field("z_score", "double"), _field("deviation_pct", "double"), "reason", "detected_at")
     return found.orderBy(F.abs("z_score").desc(), "invoice_id").limit(20)
 
 
@@ -312,12 +386,12 @@ def top_risky_vendors(x: Layers) -> DataFrame:
 
 @query
 def funnel(x: Layers) -> DataFrame:
-    def stage(k: int, name: str, df: DataFrame, ts: str, invoice: Column) -> DataFrame:
-        found = df.where(F.to_date(ts) >= F.lit(SINCE)).agg(F.count("*").alias("event_count"), F.countDistinct(invoice).alias("unique_invoices"))
+    def stage(k: int, name: str, df: DataFrame, invoice: Column) -> DataFrame:
+        found = df.agg(F.count("*").alias("event_count"), F.countDistinct(invoice).alias("unique_invoices"))
         return found.select(F.lit(k).alias("k"), F.lit(name).alias("stage"), "*")
 
-    erp = x.bronze.where("source_system = 'ERP'")
-    rows = stage(1, "bronze_erp", erp, "event_timestamp", json_field("payload", "invoice_id")).union(stage(2, "silver_invoices", x.silver, "invoice_timestamp", F.col("invoice_id"))).union(stage(3, "gold_alerts", x.gold, "detected_at", F.col("invoice_id")))
+    erp = x.since("bronze", SINCE).where("source_system = 'ERP'")
+    rows = stage(1, "bronze_erp", erp, json_field("payload", "invoice_id")).union(stage(2, "silver_invoices", x.since("silver", SINCE), F.col("invoice_id"))).union(stage(3, "gold_alerts", x.recent, F.col("invoice_id")))
     share = lambda a, b: rounded(safe_divide(100.0 * a, b), 2).cast("double")
     rows = rows.withColumn("prev_stage_count", F.lag("event_count").over(Window.orderBy("k")))  # three rows
     return rows.select("stage", "event_count", "unique_invoices", share(F.col("unique_invoices"), F.col("event_count")).alias("dedup_effectiveness_pct"), "prev_stage_count", share(F.col("event_count"), F.col("prev_stage_count")).alias("conversion_pct"))
@@ -334,7 +408,7 @@ def kpi_summary(x: Layers) -> DataFrame:
     """Seven figures from one pass over the alerts and one over the invoices."""
     rule = F.col("rule_name")
     alerts = x.recent.agg(F.count("*").alias("a"), _count(rule == "VELOCITY").alias("b"), _count(rule == "ANOMALY").alias("c"), _count(F.col("severity") == "CRITICAL").alias("d"), _mean("fraud_score", 1).alias("e"), F.countDistinct("vendor_id").alias("f"))
-    invoices = x.silver.where(F.to_date("invoice_timestamp") >= F.lit(SINCE)).agg(F.count("*").alias("g"))
+    invoices = x.since("silver", SINCE).agg(F.count("*").alias("g"))
     names = {"a": "Total Fraud Alerts", "b": "Velocity Alerts", "c": "Anomaly Alerts", "d": "Critical Severity", "e": "Avg Fraud Score", "f": "Flagged Vendors"}
     stacked = alerts.selectExpr(f"stack({len(names)}, {', '.join(f"'{v}', cast({k} as double)" for k, v in names.items())}) as (metric, value)")
     return stacked.union(invoices.select(F.lit("Total Invoices Processed"), F.col("g").cast("double"))).select(F.lit("SUMMARY").alias("category"), "metric", "value")
@@ -345,16 +419,16 @@ def kpi_summary(x: Layers) -> DataFrame:
 
 @query
 def streaming_health(x: Layers) -> DataFrame:
-    fresh = F.lit(FRESH).cast("timestamp_ntz")
-    parts = [("bronze", x.bronze, "event_timestamp"), ("silver", x.silver, "invoice_timestamp"), ("gold", x.gold, "detected_at")]
-    each = [df.where(F.col(ts) >= fresh).agg(F.count("*").alias("row_count"), F.min(ts).alias("earliest"), F.max(ts).alias("latest")).select(F.lit(name).alias("layer"), "*") for name, df, ts in parts]
+    parts = [("bronze", "event_timestamp"), ("silver", "invoice_timestamp"), ("gold", "detected_at")]
+    each = [x.after(name, ts, FRESH).agg(F.count("*").alias("row_count"), F.min(ts).alias("earliest"), F.max(ts).alias("latest")).select(F.lit(name).alias("layer"), "*") for name, ts in parts]
     return functools.reduce(DataFrame.unionByName, each).withColumn("span_seconds", F.floor(seconds_between(F.col("earliest"), F.col("latest"))).cast("long"))
 
 
 @query
 def streaming_lag(x: Layers) -> DataFrame:
     fresh = F.lit(FRESH).cast("timestamp_ntz")
-    parts = [("bronze", x.bronze, "event_timestamp"), ("silver", x.silver, "invoice_timestamp")]
+    before = FRESH.date() - dt.timedelta(1)
+    parts = [("bronze", x.since("bronze", before), "event_timestamp"), ("silver", x.since("silver", before), "invoice_timestamp")]
     each = [df.where(F.col("ingested_at") >= fresh).agg(F.count("*").alias("events"), F.max(ts).alias("latest_event_time"), F.max("ingested_at").alias("latest_ingest_time")).select(F.lit(name).alias("layer"), "*") for name, df, ts in parts]
     return functools.reduce(DataFrame.unionByName, each).withColumn("processing_lag_seconds", F.floor(seconds_between(F.col("latest_event_time"), F.col("latest_ingest_time"))).cast("long"))
 
@@ -379,14 +453,14 @@ def schema_columns(x: Layers) -> DataFrame:
 
 @query
 def streaming_duplicates(x: Layers) -> DataFrame:
-    seen = x.silver.where(F.to_date("invoice_timestamp") >= F.lit(DAY)).groupBy("invoice_id").agg(F.count("*").alias("occurrence_count"), F.min("invoice_timestamp").alias("first_seen"), F.max("invoice_timestamp").alias("last_seen"))
+    seen = x.since("silver", DATE).groupBy("invoice_id").agg(F.count("*").alias("occurrence_count"), F.min("invoice_timestamp").alias("first_seen"), F.max("invoice_timestamp").alias("last_seen"))
     return seen.withColumn("seconds_apart", seconds_between(F.col("first_seen"), F.col("last_seen")).cast("long")).where("occurrence_count > 1").orderBy(F.desc("occurrence_count"), "invoice_id").limit(10)
 
 
 @query
 def json_payload_extract(x: Layers) -> DataFrame:
     """Fields of the payload, and of the JSON properties of events."""
-    erp = x.bronze.where("source_system = 'ERP'").where(F.col("event_timestamp") >= F.lit(FRESH).cast("timestamp_ntz"))
+    erp = x.after("bronze", "event_timestamp", FRESH).where("source_system = 'ERP'")
     return erp.orderBy("event_uuid").limit(50).select("event_uuid", "source_system", "event_type", json_field("payload", "invoice_id").alias("invoice_id_from_payload"), json_field("payload", "vendor_id").alias("vendor_id_from_payload"), json_field("payload", "invoice_amount", "decimal(15,2)").alias("amount_from_payload"))
 
 
@@ -403,31 +477,48 @@ def json_evidence_extract(x: Layers) -> DataFrame:
 
 @query
 def window_validation(x: Layers) -> DataFrame:
-    now = F.lit(dt.datetime.combine(CFG.as_of, dt.time())).cast("timestamp_ntz")
-    state = F.when(F.col("window_start").isNull(), "no window").when(F.col("window_start") > now, "in the future").when(F.col("window_start") < F.lit(SINCE).cast("timestamp_ntz"), "very old").otherwise("valid")
-    return x.gold.groupBy("rule_name", state.alias("window_state"), F.floor(seconds_between(F.col("window_start"), F.col("window_end"))).cast("long").alias("window_duration_seconds")).agg(F.count("*").alias("alerts"))
+    """The last alerts of the last hour, and whether their windows can be right."""
+    start, now = F.col("window_start"), F.lit(NOW).cast("timestamp_ntz")
+    state = F.when(start.isNull(), "No window (anomaly/fallback)").when(start > now, "Future timestamp!").when(start < F.lit(NOW - dt.timedelta(7)).cast("timestamp_ntz"), "Very old").otherwise("Valid")
+    last = x.last_hour.orderBy(F.desc("detected_at"), "invoice_id", "rule_name", F.asc_nulls_first("window_start")).limit(20)
+    length = F.floor(seconds_between(F.col("window_start"), F.col("window_end"))).cast("long")
+    return last.select("invoice_id", "vendor_id", "rule_name", "window_start", "window_end", length.alias("window_duration_seconds"), "detected_at", state.alias("window_validation"))
 
 
 @query
 def score_distribution(x: Layers) -> DataFrame:
+    """Scores by rule in the last hour."""
+    return _score_distribution(x.last_hour)
+
+
+@query
+def score_distribution_all(x: Layers) -> DataFrame:
+    return _score_distribution(x.gold)
+
+
+def _score_distribution(alerts: DataFrame) -> DataFrame:
     score = F.col("fraud_score")
     at = lambda p: F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY fraud_score)").cast("long")
-    return x.gold.groupBy("rule_name").agg(F.min(score).alias("min_score"), F.max(score).alias("max_score"), _mean(score, 1).alias("avg_score"), at(0.5).alias("median_score"), at(0.9).alias("p90_score"), F.count("*").alias("alert_count"), _count((score < 0) | (score > 100)).alias("invalid_scores"))
+    found = alerts.groupBy("rule_name").agg(
+        F.min(score).alias("min_score"), F.max(score).alias("max_score"), _mean(score, 1).alias("avg_score"), at(0.5).alias("median_score"), at(0.9).alias("p90_score"), F.count("*").alias("alert_count"),
+        _count((score < 0) | (score > 100)).alias("invalid_scores"),
+    )
+    return found.orderBy(F.desc("avg_score"), "rule_name")
 
 
 @query
 def throughput_per_minute(x: Layers) -> DataFrame:
     minute = F.date_trunc("minute", "ingested_at").cast("timestamp_ntz").alias("minute_bucket")
-    fresh = x.bronze.where(F.col("ingested_at") >= F.lit(FRESH).cast("timestamp_ntz"))
+    fresh = x.since("bronze", FRESH.date() - dt.timedelta(1)).where(F.col("ingested_at") >= F.lit(FRESH).cast("timestamp_ntz"))
     return fresh.groupBy(minute).agg(F.count("*").alias("messages_per_minute"), F.countDistinct(json_field("payload", "vendor_id")).alias("unique_vendors")).orderBy(F.desc("minute_bucket")).limit(60)
 
 
 @query
 def e2e_latency(x: Layers) -> DataFrame:
-    fresh = F.lit(FRESH).cast("timestamp_ntz")
-    b = x.bronze.where("source_system = 'ERP'").where(F.col("ingested_at") >= fresh).select(json_field("payload", "invoice_id").alias("invoice_id"), F.col("ingested_at").alias("bronze_at"))
-    s = x.silver.where(F.col("ingested_at") >= fresh).select("invoice_id", F.col("ingested_at").alias("silver_at"))
-    g = x.gold.where(F.col("detected_at") >= fresh).select("invoice_id", F.col("detected_at").alias("gold_at"))
+    fresh, before = F.lit(FRESH).cast("timestamp_ntz"), FRESH.date() - dt.timedelta(1)  # what came in after midnight may have happened the day before
+    b = x.since("bronze", before).where("source_system = 'ERP'").where(F.col("ingested_at") >= fresh).select(json_field("payload", "invoice_id").alias("invoice_id"), F.col("ingested_at").alias("bronze_at"))
+    s = x.since("silver", before).where(F.col("ingested_at") >= fresh).select("invoice_id", F.col("ingested_at").alias("silver_at"))
+    g = x.fresh.select("invoice_id", F.col("detected_at").alias("gold_at"))
     joined = b.join(s, "invoice_id", "left").join(g, "invoice_id", "left").where("gold_at is not null")
     lag = lambda a, c: F.floor(seconds_between(F.col(a), F.col(c))).cast("long")
     found = joined.groupBy("invoice_id", "bronze_at", "silver_at", "gold_at").agg(F.count("*").alias("alerts"))
@@ -512,6 +603,14 @@ def rank_tiers(x: Layers) -> DataFrame:
     return found.orderBy("first_rank").drop("first_rank")
 
 
+@query
+def rank_tiers_of_day(x: Layers) -> DataFrame:
+    """Risk levels by tier of rank on one day."""
+    level, ranks = F.col("risk_level"), x.ranks_of(DATE)
+    found = ranks.groupBy(_tier("Below Top 100").alias("rank_tier")).agg(F.count("*").alias("vendor_count"), F.min("risk_rank").alias("first_rank"), *(_count(level == v).alias(f"{v.lower()}_risk_count") for v in ("HIGH", "MODERATE", "GOOD", "EXCELLENT")))
+    return found.orderBy("first_rank").drop("first_rank")
+
+
 @query
 def trend_categories(x: Layers) -> DataFrame:
     each = x.trust.groupBy("vendor_id").agg(F.countDistinct("score_date").alias("days"), (F.max("trust_score") - F.min("trust_score")).alias("span"))
@@ -566,35 +665,35 @@ def overall_status(x: Layers) -> DataFrame:
 @query
 def vendors_processed(x: Layers) -> DataFrame:
     s = F.col("trust_score")
-    return x.trust.where(F.col("score_date") == F.lit(DAY)).agg(F.count("*").alias("vendors"), F.min(s).alias("min_score"), F.max(s).alias("max_score"), _mean(s).alias("avg_score"))
+    return x.trust_of(DATE).agg(F.count("*").alias("vendors"), F.min(s).alias("min_score"), F.max(s).alias("max_score"), _mean(s).alias("avg_score"))
 
 
 @query
 def risk_level_distribution(x: Layers) -> DataFrame:
-    return x.trust.where(F.col("score_date") == F.lit(DAY)).groupBy("risk_level").agg(F.count("*").alias("vendor_count")).orderBy(F.desc("vendor_count"))
+    return x.trust_of(DATE).groupBy("risk_level").agg(F.count("*").alias("vendor_count")).orderBy(F.desc("vendor_count"))
 
 
 @query
 def lowest_trust10(x: Layers) -> DataFrame:
-    return x.trust.where(F.col("score_date") == F.lit(DAY)).orderBy("trust_score", "vendor_id").limit(10).select("vendor_id", "trust_score", "risk_level", "total_alert_count")
+    return x.trust_of(DATE).orderBy("trust_score", "vendor_id").limit(10).select("vendor_id", "trust_score", "risk_level", "total_alert_count")
 
 
 @query
 def score_degradation(x: Layers) -> DataFrame:
-    now = x.trust.where(F.col("score_date") == F.lit(DAY)).select("vendor_id", "trust_score")
-    then = x.trust.where(F.col("score_date") == F.lit(DAY - dt.timedelta(7))).select("vendor_id", F.col("trust_score").alias("prev_trust_score"))
+    now = x.trust_of(DATE).select("vendor_id", "trust_score")
+    then = x.trust_of(DATE - dt.timedelta(7)).select("vendor_id", F.col("trust_score").alias("prev_trust_score"))
     return now.join(then, "vendor_id").withColumn("score_change", F.col("trust_score") - F.col("prev_trust_score")).where("score_change < -20")
 
 
 @query
 def vendor_explanation(x: Layers) -> DataFrame:
-    found = x.trust.where((F.col("score_date") == F.lit(DAY)) & (F.col("vendor_id") == "1"))
+    found = x.trust_of(DATE).where(F.col("vendor_id") == "1")
     return found.select("vendor_id", "trust_score", "risk_level", F.get_json_object("score_explanation", "$.total_penalty").cast("long").alias("explained_penalty"))
 
 
 def _movers(x: Layers, up: bool) -> DataFrame:
     change = F.col("rank_change")
-    rows = x.ranks.where(F.col("ranking_date") == F.lit(DAY)).where(change < 0 if up else change > 0)
+    rows = x.ranks_of(DATE).where(change < 0 if up else change > 0)
     say = F.concat(F.lit("up by " if up else "down by "), F.abs(change).cast("string")).alias("movement")
     return rows.orderBy(change if up else change.desc(), "vendor_id").limit(20).select("vendor_id", "trust_score", "risk_rank", "rank_change", say)
 
@@ -611,22 +710,61 @@ def rank_movers_down(x: Layers) -> DataFrame:
 
 @query
 def rank_top10(x: Layers) -> DataFrame:
-    return x.ranks.where(F.col("ranking_date") == F.lit(DAY)).orderBy("risk_rank").limit(10).select("risk_rank", "vendor_id", "trust_score", "risk_level")
+    return x.ranks_of(DATE).orderBy("risk_rank").limit(10).select("risk_rank", "vendor_id", "trust_score", "risk_level")
 
 
 @query
 def rank_new_vendors(x: Layers) -> DataFrame:
-    return x.ranks.where((F.col("ranking_date") == F.lit(DAY)) & F.col("rank_change").isNull()).select("vendor_id", "trust_score", "risk_rank", "risk_level")
+    return x.ranks_of(DATE).where(F.col("rank_change").isNull()).select("vendor_id", "trust_score", "risk_rank", "risk_level")
 
 
 @query
 def persistent_top20(x: Layers) -> DataFrame:
     """Vendors that were among the 20 riskiest on several of the last days."""
-    span = x.ranks.where((F.col("ranking_date") >= F.lit(DAY - dt.timedelta(7))) & (F.col("ranking_date") <= F.lit(DAY)))
+    span = x.since("ranks", DATE - dt.timedelta(7), DATE)
     often = span.where("risk_rank <= 20").groupBy("vendor_id").agg(F.count("*").alias("days_in_top_20")).where("days_in_top_20 >= 2")
-    now = x.ranks.where(F.col("ranking_date") == F.lit(DAY)).select("vendor_id", F.col("risk_rank").alias("current_rank"), F.col("trust_score").alias("current_trust_score"))
+    now = x.ranks_of(DATE).select("vendor_id", F.col("risk_rank").alias("current_rank"), F.col("trust_score").alias("current_trust_score"))
     return often.join(now, "vendor_id")
 
 
+# ---- ingest
+
+
+def feed_lines(x: Layers) -> DataFrame:
+    """(value): the events as a feed of JSON lines, some of them broken in ways that depend on their number."""
+    ts = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    events = adapters.read(x.spark, x.sf_dir, "events").withColumn("n", F.pmod("event_id", F.lit(50)))
+    amount = F.when(F.col("n") == 2, "x").otherwise(F.col("value").cast("decimal(15,2)").cast("string"))
+    line = F.to_json(F.struct(F.col("event_id").alias("invoice_id"), F.col("event_type").alias("po_no"), F.when(F.col("n") != 1, F.col("user_id")).alias("vendor_id"), amount.alias("invoice_amount"), F.when(F.col("n") == 3, "soon").otherwise(ts).alias("invoice_timestamp"), F.lit("DE00 1234").alias("bank_account_details")))
+    return events.select(F.when(F.col("n") == 0, F.substring(line, 1, 30)).otherwise(line).alias("value"))
+
+
+@query
+def ingest_parsed(x: Layers) -> DataFrame:
+    """The feed's good lines, typed, by the parser of the batch and stream jobs."""
+    good, _ = jsonl.split_ok(jsonl.parse_erp(feed_lines(x)))
+    return good.select("invoice_id", "po_no", "vendor_id", F.col("invoice_amount").cast("decimal(15,2)").alias("invoice_amount"), F.col("invoice_timestamp").cast("timestamp_ntz").alias("invoice_timestamp"), "bank_account_hash")
+
+
+@query
+def ingest_dead_letters(x: Layers) -> DataFrame:
+    """The feed's dead letters by reason; none shows bank details."""
+    _, bad = jsonl.split_ok(jsonl.parse_erp(feed_lines(x)))
+    rows = jsonl.dead_letters(bad, "ERP", F.current_timestamp())
+    return rows.groupBy("feed", "err").agg(F.count("*").alias("n_lines"), F.countDistinct("line_id").alias("n_ids"), F.count_if(F.contains("raw", F.lit("DE00"))).alias("n_unmasked"))
+
+
+@query
+def ingest_upsert(x: Layers) -> DataFrame:
+    """Vendor-days of all invoices, upserted twice: first of those up to a day, then of those from some days before it on. The rows that both have are updated."""
+    store = Store(x.spark, f"{shared_dir(x.spark)}/upsert-{uuid.uuid4().hex[:12]}")
+    held, cut = x.invoices, F.to_date("invoice_timestamp")
+    for part in (held.where(cut <= F.lit(SINCE)).withColumn("invoice_amount", F.col("invoice_amount") + F.when(cut >= F.lit(DATE - dt.timedelta(9)), 1).otherwise(0)), held.where(cut >= F.lit(DATE - dt.timedelta(9)))):
+        rows = part.withColumns({"invoice_amount": F.col("invoice_amount").cast("decimal(15,2)"), "invoice_timestamp": F.col("invoice_timestamp").cast("timestamp")})
+        store.upsert(features.behavioral(rows).withColumn("computed_at", F.current_timestamp()), "vendor_daily_behavioral_features")
+    found = store.read("vendor_daily_behavioral_features", since=dt.date(1970, 1, 1))
+    return found.select("vendor_id", "feature_date", "invoice_count", "total_invoice_amount", "avg_invoice_amount", "min_invoice_amount", "max_invoice_amount")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: (lambda spark, sf_dir, f=f: f(Layers(spark, sf_dir))) for name, f in QUERIES.items()}

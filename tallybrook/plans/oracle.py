@@ -21,10 +21,11 @@ LAYERS = {
     "silver": "SELECT *, invoice_timestamp + to_seconds(event_id % 120 + 5) AS ingested_at FROM inv QUALIFY row_number() OVER (PARTITION BY invoice_id ORDER BY invoice_timestamp, vendor_id, invoice_amount) = 1",
     "base": f"""SELECT vendor_id, {_m("CAST(sum(invoice_amount) AS DOUBLE) / count(*)")} AS avg_invoice_amount, {_m("stddev_pop(CAST(invoice_amount AS DOUBLE))")} AS stddev_invoice_amount,
         {_m("quantile_cont(CAST(invoice_amount AS DOUBLE), 0.99)")} AS p99_invoice_amount, CAST(floor(count(*) / count(DISTINCT CAST(invoice_timestamp AS DATE))) AS BIGINT) AS avg_daily_invoice_cnt
-        FROM inv WHERE user_id % 7 <> 0 AND CAST(invoice_timestamp AS DATE) > DATE '2023-11-02' AND CAST(invoice_timestamp AS DATE) <= DATE '2024-01-31' GROUP BY vendor_id""",
-    "scored": """SELECT inv.*, avg_invoice_amount AS baseline_avg, (CAST(invoice_amount AS DOUBLE) - CAST(avg_invoice_amount AS DOUBLE)) / nullif(CAST(stddev_invoice_amount AS DOUBLE), 0) AS z,
+        FROM inv WHERE CAST(invoice_timestamp AS DATE) > DATE '2023-11-02' AND CAST(invoice_timestamp AS DATE) <= DATE '2024-01-31' GROUP BY vendor_id""",
+    "scored": """SELECT inv.*, avg_invoice_amount AS baseline_avg, stddev_invoice_amount AS baseline_stddev, (CAST(invoice_amount AS DOUBLE) - CAST(avg_invoice_amount AS DOUBLE)) / nullif(CAST(stddev_invoice_amount AS DOUBLE), 0) AS z,
         CASE WHEN base.vendor_id IS NULL THEN 'No baseline available' WHEN stddev_invoice_amount <= 0 THEN 'Degenerate stddev' END AS fallback_reason FROM inv LEFT JOIN base USING (vendor_id)""",
-    "anomaly": f"""SELECT invoice_id, vendor_id, 'ANOMALY' AS rule_name, CASE WHEN abs(z) >= 5 THEN 'CRITICAL' ELSE 'HIGH' END AS severity, CAST(least(100, floor(abs(z) * 10)) AS BIGINT) AS fraud_score, invoice_amount AS amount, baseline_avg,
+    "anomaly": f"""SELECT invoice_id, vendor_id, 'ANOMALY' AS rule_name, CASE WHEN abs(z) >= 5 THEN 'CRITICAL' ELSE 'HIGH' END AS severity, CAST(least(100, floor(abs(z) * 10)) AS BIGINT) AS fraud_score, invoice_amount AS amount, baseline_avg, baseline_stddev,
+        'Invoice $' || format('{{:,.2f}}', CAST(invoice_amount AS DOUBLE)) || ' is ' || format('{{:.1f}}', abs(z)) || 'σ from vendor avg $' || format('{{:,.2f}}', CAST(baseline_avg AS DOUBLE)) AS reason,
         {_r("z", 3)} AS z_score, {_r("(CAST(invoice_amount AS DOUBLE) - CAST(baseline_avg AS DOUBLE)) / CAST(baseline_avg AS DOUBLE) * 100", 2)} AS deviation_pct, 'anomaly_check' AS alert_source, invoice_timestamp AS detected_at
         FROM scored WHERE fallback_reason IS NULL AND abs(z) >= 3""",
     "fallback": "SELECT invoice_id, vendor_id, 'FALLBACK' AS rule_name, 'MEDIUM' AS severity, CAST(25 AS BIGINT) AS fraud_score, 'Review Required - Fallback Mode: ' || fallback_reason AS reason, invoice_amount AS amount, fallback_reason, 'fallback_path' AS alert_source, invoice_timestamp AS detected_at FROM scored WHERE fallback_reason IS NOT NULL",
@@ -93,7 +94,7 @@ QUERIES = {
     "anomaly_fallback_by_rule": _BY_RULE.format(avg=_MEAN_SCORE, of="gold WHERE rule_name <> 'VELOCITY'"),
     "alerts_top50": "SELECT invoice_id, vendor_id, rule_name, severity, fraud_score, amount, z_score, occurrences, fraud_pattern, alert_source, window_start, window_end, detected_at FROM recent ORDER BY fraud_score DESC, detected_at DESC, invoice_id, rule_name, window_start NULLS FIRST LIMIT 50",
     "velocity_deep_dive": "SELECT vendor_id, amount AS repeated_amount, occurrences AS occurrence_count, CAST(86400 AS BIGINT) AS window_seconds, count(DISTINCT invoice_id) AS unique_flagged_invoices, min(window_start) AS burst_start, max(window_end) AS burst_end, string_agg(DISTINCT severity, ',' ORDER BY severity) AS severities FROM recent WHERE rule_name = 'VELOCITY' GROUP BY vendor_id, amount, occurrences",
-    "anomaly_deep_dive": "SELECT invoice_id, vendor_id, severity, fraud_score, amount, baseline_avg, z_score, deviation_pct FROM anomaly ORDER BY abs(z_score) DESC, invoice_id LIMIT 20",
+    "anomaly_deep_dive": "SELECT vendor_id, invoice_id, severity, fraud_score, amount AS invoice_amount, baseline_avg, baseline_stddev, z_score, deviation_pct, reason, detected_at FROM anomaly WHERE CAST(detected_at AS DATE) >= DATE '2024-01-24' ORDER BY abs(z_score) DESC, invoice_id LIMIT 20",
     "fallback_analysis": f"SELECT vendor_id, fallback_reason AS reason, count(*) AS fallback_count, {_r('avg(CAST(amount AS DOUBLE))', 2)} AS avg_amount, min(amount) AS min_amount, max(amount) AS max_amount, min(detected_at) AS first_seen, max(detected_at) AS last_seen FROM recent WHERE rule_name = 'FALLBACK' GROUP BY ALL",
     "top_risky_vendors": f"""SELECT vendor_id, count(*) AS total_alerts, count(*) FILTER (rule_name = 'VELOCITY') AS velocity_alerts, count(*) FILTER (rule_name = 'ANOMALY') AS anomaly_alerts, count(*) FILTER (rule_name = 'FALLBACK') AS fallback_alerts, count(*) FILTER (severity = 'CRITICAL') AS critical_count,
         count(*) FILTER (severity = 'HIGH') AS high_count, count(*) FILTER (severity = 'MEDIUM') AS medium_count, {_MEAN_SCORE1} AS avg_fraud_score, max(fraud_score) AS max_fraud_score FROM recent GROUP BY vendor_id HAVING count(*) >= 3 ORDER BY avg_fraud_score DESC, total_alerts DESC, vendor_id LIMIT 10""",
@@ -114,8 +115,9 @@ QUERIES = {
     "json_payload_extract": "SELECT event_uuid, source_system, event_type, invoice_id AS invoice_id_from_payload, vendor_id AS vendor_id_from_payload, invoice_amount AS amount_from_payload FROM bronze WHERE source_system = 'ERP' AND event_timestamp >= TIMESTAMP '2024-01-30 00:00:00' ORDER BY event_uuid LIMIT 50",
     "props_json": "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n, count(DISTINCT vendor_id) AS vendors FROM inv GROUP BY ALL",
     "json_evidence_extract": "SELECT invoice_id, vendor_id, rule_name, amount, baseline_avg, z_score, occurrences, fraud_pattern FROM fresh ORDER BY invoice_id, rule_name, window_start NULLS FIRST LIMIT 50",
-    "window_validation": "SELECT rule_name, CASE WHEN window_start IS NULL THEN 'no window' WHEN window_start > TIMESTAMP '2024-01-31 00:00:00' THEN 'in the future' WHEN window_start < TIMESTAMP '2024-01-24 00:00:00' THEN 'very old' ELSE 'valid' END AS window_state, CAST((epoch_us(window_end) - epoch_us(window_start)) // 1000000 AS BIGINT) AS window_duration_seconds, count(*) AS alerts FROM gold GROUP BY ALL",
-    "score_distribution": f"SELECT rule_name, min(fraud_score) AS min_score, max(fraud_score) AS max_score, {_MEAN_SCORE1} AS avg_score, quantile_disc(fraud_score, 0.5) AS median_score, quantile_disc(fraud_score, 0.9) AS p90_score, count(*) AS alert_count, count(*) FILTER (fraud_score < 0 OR fraud_score > 100) AS invalid_scores FROM gold GROUP BY rule_name",
+    "window_validation": "SELECT invoice_id, vendor_id, rule_name, window_start, window_end, CAST((epoch_us(window_end) - epoch_us(window_start)) // 1000000 AS BIGINT) AS window_duration_seconds, detected_at, CASE WHEN window_start IS NULL THEN 'No window (anomaly/fallback)' WHEN window_start > TIMESTAMP '2024-01-31 00:00:00' THEN 'Future timestamp!' WHEN window_start < TIMESTAMP '2024-01-24 00:00:00' THEN 'Very old' ELSE 'Valid' END AS window_validation FROM gold WHERE detected_at >= TIMESTAMP '2024-01-30 23:00:00' ORDER BY detected_at DESC, invoice_id, rule_name, window_start NULLS FIRST LIMIT 20",
+    "score_distribution_all": f"SELECT rule_name, min(fraud_score) AS min_score, max(fraud_score) AS max_score, {_MEAN_SCORE1} AS avg_score, quantile_disc(fraud_score, 0.5) AS median_score, quantile_disc(fraud_score, 0.9) AS p90_score, count(*) AS alert_count, count(*) FILTER (fraud_score < 0 OR fraud_score > 100) AS invalid_scores FROM gold GROUP BY rule_name",
+    "score_distribution": f"SELECT rule_name, min(fraud_score) AS min_score, max(fraud_score) AS max_score, {_MEAN_SCORE1} AS avg_score, quantile_disc(fraud_score, 0.5) AS median_score, quantile_disc(fraud_score, 0.9) AS p90_score, count(*) AS alert_count, count(*) FILTER (fraud_score < 0 OR fraud_score > 100) AS invalid_scores FROM gold WHERE detected_at >= TIMESTAMP '2024-01-30 23:00:00' GROUP BY rule_name",
     "throughput_per_minute": "SELECT CAST(date_trunc('minute', ingested_at) AS TIMESTAMP) AS minute_bucket, count(*) AS messages_per_minute, count(DISTINCT vendor_id) AS unique_vendors FROM bronze WHERE ingested_at >= TIMESTAMP '2024-01-30 00:00:00' GROUP BY ALL ORDER BY minute_bucket DESC LIMIT 60",
     "e2e_latency": """SELECT b.invoice_id, count(*) AS alerts, CAST(floor((epoch_us(s.ingested_at) - epoch_us(b.ingested_at)) / 1000000) AS BIGINT) AS bronze_to_silver_sec, CAST(floor((epoch_us(g.detected_at) - epoch_us(s.ingested_at)) / 1000000) AS BIGINT) AS silver_to_gold_sec, CAST(floor((epoch_us(g.detected_at) - epoch_us(b.ingested_at)) / 1000000) AS BIGINT) AS total_latency_sec
         FROM (SELECT * FROM bronze WHERE source_system = 'ERP' AND ingested_at >= TIMESTAMP '2024-01-30 00:00:00') b LEFT JOIN (SELECT * FROM silver WHERE ingested_at >= TIMESTAMP '2024-01-30 00:00:00') s ON s.invoice_id = b.invoice_id JOIN fresh g ON g.invoice_id = b.invoice_id GROUP BY b.invoice_id, b.ingested_at, s.ingested_at, g.detected_at""",
@@ -129,6 +131,10 @@ QUERIES = {
         UNION ALL SELECT 'ranking_gap', count(*) FROM (SELECT risk_rank - lag(risk_rank) OVER (PARTITION BY ranking_date ORDER BY risk_rank) AS gap FROM ranks) WHERE gap <> 1""",
     "score_ranges": f"SELECT CASE WHEN trust_score >= 90 THEN '90-100 (EXCELLENT)' WHEN trust_score >= 70 THEN '70-89 (GOOD)' WHEN trust_score >= 50 THEN '50-69 (MODERATE)' ELSE '0-49 (HIGH)' END AS score_range, count(*) AS vendor_count, {_r('avg(trust_score)', 1)} AS avg_score, min(trust_score) AS min_score, max(trust_score) AS max_score FROM last_trust GROUP BY 1",
     "rank_tiers": f"SELECT {_TIER} AS rank_tier, count(*) AS vendor_count, min(trust_score) AS min_trust_score, max(trust_score) AS max_trust_score, {_r('avg(trust_score)', 1)} AS avg_trust_score, count(*) FILTER (risk_level = 'HIGH') AS high_risk_count, count(*) FILTER (risk_level = 'MODERATE') AS moderate_risk_count, count(*) FILTER (risk_level = 'GOOD') AS good_risk_count, count(*) FILTER (risk_level = 'EXCELLENT') AS excellent_risk_count FROM last_ranks GROUP BY 1",
+    "rank_tiers_of_day": "SELECT CASE WHEN risk_rank <= 10 THEN 'Top 10 (Highest Risk)' WHEN risk_rank <= 50 THEN 'Top 50' WHEN risk_rank <= 100 THEN 'Top 100' ELSE 'Below Top 100' END AS rank_tier, count(*) AS vendor_count, count(*) FILTER (risk_level = 'HIGH') AS high_risk_count, count(*) FILTER (risk_level = 'MODERATE') AS moderate_risk_count, count(*) FILTER (risk_level = 'GOOD') AS good_risk_count, count(*) FILTER (risk_level = 'EXCELLENT') AS excellent_risk_count FROM day_ranks GROUP BY 1",
+    "ingest_parsed": "SELECT CAST(event_id AS VARCHAR) AS invoice_id, event_type AS po_no, CAST(user_id AS VARCHAR) AS vendor_id, CAST(value AS DECIMAL(15,2)) AS invoice_amount, ts AS invoice_timestamp, sha256('DE00 1234') AS bank_account_hash FROM events WHERE event_id % 50 > 3",
+    "ingest_dead_letters": "SELECT 'ERP' AS feed, CASE event_id % 50 WHEN 0 THEN 'not a JSON object' WHEN 1 THEN 'missing vendor_id' WHEN 2 THEN 'bad invoice_amount' ELSE 'bad invoice_timestamp' END AS err, count(*) AS n_lines, count(*) AS n_ids, CAST(0 AS BIGINT) AS n_unmasked FROM events WHERE event_id % 50 <= 3 GROUP BY event_id % 50",
+    "ingest_upsert": "SELECT vendor_id, feature_date, invoice_count, total_invoice_amount, avg_invoice_amount, min_invoice_amount, max_invoice_amount FROM behave",
     "trend_categories": f"SELECT CASE WHEN span = 0 THEN 'No change' WHEN span <= 10 THEN 'Minor change' WHEN span <= 30 THEN 'Moderate change' ELSE 'Major change' END AS trend_category, count(*) AS vendor_count, {_r('avg(days)', 1)} AS avg_days_tracked, {_r('avg(span)', 1)} AS avg_score_range FROM (SELECT vendor_id, count(DISTINCT score_date) AS days, max(trust_score) - min(trust_score) AS span FROM trust GROUP BY vendor_id) GROUP BY 1",
     "explainability": "SELECT count(*) AS total_scores, count(*) AS explanations_exist, count(*) AS has_base_score, count(*) AS has_final_score, count(*) AS has_risk_level, count(*) AS has_reasoning FROM last_trust",
     "top10_riskiest": "SELECT risk_rank, vendor_id, trust_score, risk_level, CASE WHEN rank_change IS NULL THEN 'NEW' WHEN rank_change < 0 THEN 'up ' || abs(rank_change) WHEN rank_change > 0 THEN 'down ' || rank_change ELSE '=' END AS rank_movement FROM last_ranks ORDER BY risk_rank LIMIT 10",

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import functools
+import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.schemas import LAYERS, conform
 
-#: The partition column that is added to every dated layer.
-DAY = "day"
+#: The partition column that is added to every dated layer, and the days that may be broadcast.
+DAY, BROADCAST_DAYS = "day", 100_000
 
 
 class Store:
@@ -51,12 +54,19 @@ class Store:
         writer = self._dated(df, layer).write.mode("append")
         (writer.partitionBy(DAY) if LAYERS[layer].date_of else writer).parquet(self.path(layer))
 
-    def insert_missing(self, df: DataFrame, layer: str) -> None:
-        """Appends rows whose key the layer doesn't have; of new rows with one key any one."""
-        key = list(LAYERS[layer].key)
-        new = conform(df, layer).dropDuplicates(key)
-        held = self._all(layer).select(*key)
-        self.append(new.join(held, key, "left_anti"), layer)
+    def insert_missing(self, df: DataFrame, layer: str, lookback: int | None = 0) -> None:
+        """Appends rows whose key the layer doesn't have (null equals null); of new rows with one key any one. Of a dated layer only the days from ``lookback`` before the first
+        new row's to the last's are read; None: all days, for keys that may come again at any later date."""
+        held, key = LAYERS[layer], list(LAYERS[layer].key)
+        new, since, until = conform(df, layer), None, None
+        if held.date_of and lookback is not None:
+            since, until = new.agg(F.min(F.to_date(held.date_of)), F.max(F.to_date(held.date_of))).first()
+            if since is None:
+                return
+            since -= dt.timedelta(lookback)
+        there = self._all(layer, since, until).select(*(F.col(k).alias(f"__{k}") for k in key))
+        same = functools.reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in key))
+        self.append(new.dropDuplicates(key).join(there, same, "left_anti"), layer)
 
     def overwrite_days(self, df: DataFrame, layer: str) -> None:
         """Replaces the days that df has rows of; run again, it gives the same table."""
@@ -73,26 +83,44 @@ class Store:
         days = new.select(F.col(held.date_of).alias(DAY)).distinct() if held.date_of else None
         old = self._all(layer)
         if days is not None:
-            old = old.withColumn(DAY, F.to_date(held.date_of)).join(F.broadcast(days), DAY, "left_semi").drop(DAY)
+            days = F.broadcast(days) if days.count() <= BROADCAST_DAYS else days
+            old = old.withColumn(DAY, F.to_date(held.date_of)).join(days, DAY, "left_semi").drop(DAY)
         new = new.dropDuplicates(key).select(*key, *(F.col(c).alias(f"__{c}") for c in names), F.lit(True).alias("__new"))
         both = old.withColumn("__old", F.lit(True)).join(new, key, "full_outer" if insert and columns is None else "left")
         rows = both.select(*key, *(F.when(F.col("__new"), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in names else F.col(c) for c in held.schema.fieldNames() if c not in key))
-        copy = f"{self.root}/_pending_{layer}"
-        conform(rows, layer).write.mode("overwrite").parquet(copy)
+        copy = f"{self.root}/_pending_{layer}_{uuid.uuid4().hex[:12]}"
+        conform(rows, layer).write.parquet(copy)
         self.overwrite_days(self.spark.read.parquet(copy), layer)
+        self._delete(copy)
 
-    def _all(self, layer: str) -> DataFrame:
+    def _all(self, layer: str, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
         try:
-            return self.spark.read.parquet(self.path(layer)).select(*LAYERS[layer].schema.fieldNames())
+            df = self.spark.read.parquet(self.path(layer))
         except AnalysisException:
             return self.spark.createDataFrame([], LAYERS[layer].schema)
+        if since is not None:
+            df = df.where((F.col(DAY) >= F.lit(since)) & (F.col(DAY) <= F.lit(until)))
+        return df.select(*LAYERS[layer].schema.fieldNames())
+
+    def staged(self, df: DataFrame, name: str) -> DataFrame:
+        """df written beside the layers and read again, for what several layers are made of; staged_drop() deletes it."""
+        path = f"{self.root}/_staged_{name}_{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def staged_drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            for folder in {f.rpartition("/")[0] for f in t.inputFiles()}:
+                self._delete(folder)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def truncate(self, *layers: str) -> None:
         """Empties the layers, all of them if none is named."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for layer in layers or LAYERS:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(layer))
-            path.getFileSystem(conf).delete(path, True)
+            self._delete(self.path(layer))
 
     def counts(self) -> DataFrame:
         """(layer, row_count) of all layers."""

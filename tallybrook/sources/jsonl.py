@@ -21,9 +21,17 @@ def stream_lines(spark: SparkSession, path: str, files_per_trigger: int | None =
     return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).text(path)
 
 
-def stream_kafka(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+def kafka_options(servers: str, topic: str, starting: str = "earliest", per_trigger: int | None = None, **more: str) -> dict[str, str]:
+    """Options of a Kafka reader: where to start (earliest, latest or offsets as JSON), how many messages a trigger reads, and any others with dots as double underscores."""
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting, "failOnDataLoss": "true"}
+    if per_trigger:
+        options["maxOffsetsPerTrigger"] = str(per_trigger)
+    return options | {k.replace("__", "."): v for k, v in more.items()}
+
+
+def stream_kafka(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
     """(value) of a topic, decoded from UTF-8; needs Spark's Kafka connector on the class path."""
-    return decoded(spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).load().select("value"))
+    return decoded(spark.readStream.format("kafka").options(**kafka_options(servers, topic, **options)).load().select("value"))
 
 
 def decoded(messages: DataFrame) -> DataFrame:
@@ -58,7 +66,7 @@ def parse_erp(lines: DataFrame) -> DataFrame:
     """raw, err and the invoice columns. Amounts may be numbers or texts; bank details leave only as a hash."""
     m = lambda k: F.col("m")[k]
     typed = {"invoice_amount": m("invoice_amount").try_cast("double"), "invoice_timestamp": iso_time(m("invoice_timestamp"))}
-    extra = {"bank_account_hash": pii_hash(m("bank_account_details")), "upc_no": m("upc_no"), "email_id": m("email_id"), "event_uuid": F.coalesce(m("event_uuid"), F.expr("uuid()"))}
+    extra = {"bank_account_hash": pii_hash(m("bank_account_details")), "upc_no": m("upc_no"), "email_id": m("email_id"), "event_uuid": F.coalesce(m("event_uuid"), line_id(F.col("raw")))}
     return _checked(_parsed(lines), ERP_REQUIRED, typed, extra)
 
 
@@ -71,7 +79,23 @@ def parse_wms(lines: DataFrame) -> DataFrame:
         "qty_received": F.when(is_text, F.when(F.regexp_like(quantity, F.lit(r"^\s*[+-]?\d+\s*$")), F.trim(quantity).try_cast("long"))).otherwise(quantity.try_cast("double").try_cast("long")),
         "received_timestamp": iso_time(m("received_timestamp")),
     }
-    return _checked(_parsed(lines), WMS_REQUIRED, typed, {"event_uuid": F.coalesce(m("event_uuid"), F.expr("uuid()"))})
+    return _checked(_parsed(lines), WMS_REQUIRED, typed, {"event_uuid": F.coalesce(m("event_uuid"), line_id(F.col("raw")))})
+
+
+def line_id(raw: Column) -> Column:
+    """An id in the form of a uuid from a line's SHA-256: the same line has the same id whenever it is read."""
+    h = F.sha2(raw, 256)
+    return F.concat_ws("-", *(F.substring(h, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+
+
+def masked(raw: Column) -> Column:
+    """A line without the value of its bank details, as far as they stand as in JSON: fit to be kept, and to be read again once it is mended."""
+    return F.regexp_replace(raw, r'("bank_account_details"\s*:\s*)("(?:[^"\\]|\\.)*"?|[^,}\s]+)', '$1"***"')
+
+
+def dead_letters(bad: DataFrame, feed: str, now: Column) -> DataFrame:
+    """Dead letters (raw, err) as rows of their layer: the masked line, its id, the reason, the feed and the time."""
+    return bad.select(line_id(F.col("raw")).alias("line_id"), masked(F.col("raw")).alias("raw"), "err", F.lit(feed).alias("feed"), now.alias("ingested_at"))
 
 
 def split_ok(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +11,9 @@ from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulP
 
 from tallybrook.config import Config
 from tallybrook.functions.columns import amount_key
-from tallybrook.operators import features, rules
+from tallybrook.operators import features, layers, rules
 from tallybrook.plans.store import Store
+from tallybrook.sources import jsonl
 
 
 def dedup_stream(invoices: DataFrame, cfg: Config, ts: str = "invoice_timestamp") -> DataFrame:
@@ -68,7 +69,7 @@ def velocity_stream(invoices: DataFrame, cfg: Config, ts: str = "invoice_timesta
     member = F.struct(F.col(ts).alias("invoice_timestamp"), "invoice_id")
     groups = rows.groupBy(F.window(ts, f"{cfg.window} seconds", f"{cfg.slide} seconds"), "vendor_id", "amount").agg(F.count("*").alias("occurrences"), F.array_sort(F.collect_list(member)).alias("members"))
     groups = groups.where(F.col("occurrences") >= cfg.min_repeats)
-    return groups.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "vendor_id", "amount", "occurrences", F.col("members.invoice_id").alias("invoice_ids"))
+    return groups.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "vendor_id", "amount", "occurrences", F.col("members.invoice_id").alias("invoice_ids"), "members")
 
 
 def anomaly_stream(invoices: DataFrame, baseline: DataFrame, cfg: Config) -> DataFrame:
@@ -88,6 +89,22 @@ def observed(alerts: DataFrame, name: str = "alerts") -> DataFrame:
     return alerts.observe(name, F.count("*").alias("all"), *(F.count_if(rule == r).alias(r.lower()) for r in ("VELOCITY", "ANOMALY", "FALLBACK")))
 
 
+def observed_feed(parsed: DataFrame, name: str) -> DataFrame:
+    """Lines and dead letters of a parsed feed in each batch's progress."""
+    return parsed.observe(name, F.count("*").alias("lines"), F.count_if(F.col("err").isNotNull()).alias("dead_letters"))
+
+
+def observed_duplicates(flagged: DataFrame, name: str = "dedup") -> DataFrame:
+    """Accepted and suppressed invoices of dedup_with_duplicates() in each batch's progress."""
+    return flagged.observe(name, F.count_if(~F.col("is_duplicate")).alias("accepted"), F.count_if("is_duplicate").alias("suppressed"))
+
+
+def metrics(query: StreamingQuery, name: str) -> dict[str, int]:
+    """The sums of an observation over the batches that the query still remembers."""
+    rows = [p.observedMetrics[name].asDict() for p in query.recentProgress if name in p.observedMetrics]
+    return {k: sum(r[k] for r in rows) for k in (rows[0] if rows else {})}
+
+
 def _started(writer: DataStreamWriter, cfg: Config, checkpoint: str, once: bool) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{cfg.trigger} seconds")).start()
@@ -99,18 +116,81 @@ def to_files(df: DataFrame, path: str, checkpoint: str, cfg: Config, once: bool
 
 
 def to_layer(df: DataFrame, store: Store, layer: str, checkpoint: str, cfg: Config, once: bool = False) -> StreamingQuery:
-    """Each batch's rows whose keys the layer lacks are appended, so that a batch that runs again changes nothing."""
-    return _started(df.writeStream.outputMode("append").foreachBatch(lambda batch, _: store.insert_missing(batch, layer)), cfg, checkpoint, once)
+    """Each batch's rows whose keys the layer lacks are appended, so that a batch that runs again changes nothing. Keys come again within the time to live: only its days are read."""
+    lookback = -(-cfg.dedup_ttl // 86_400)
+    return _started(df.writeStream.outputMode("append").foreachBatch(lambda batch, _: store.insert_missing(batch, layer, lookback)), cfg, checkpoint, once)
+
+
+def _refreshed(batch: DataFrame, store: Store, source: str, date_of: str, made: Callable[[DataFrame], DataFrame], layer: str) -> None:
+    """Recomputes from its source layer the vendor-days that a batch touches: one row a vendor-day, however many batches."""
+    touched = batch.select("vendor_id", F.to_date(date_of).alias("feature_date")).distinct()
+    since, until = touched.agg(F.min("feature_date"), F.max("feature_date")).first()
+    if since is not None:
+        found = made(store.read(source, since=since, until=until)).join(touched, ["vendor_id", "feature_date"], "left_semi")
+        store.upsert(found.withColumn("computed_at", F.current_timestamp()), layer)
 
 
 def features_from_layer(silver_stream: DataFrame, store: Store, checkpoint: str, cfg: Config, once: bool = False) -> StreamingQuery:
-    """Behavioral features by recomputing the vendor-days that a batch touches from silver: one row a vendor-day, however many batches."""
+    """Behavioral features of the vendor-days that a batch touches, from silver."""
 
     def recompute(batch: DataFrame, _: int) -> None:
-        days = batch.select(F.to_date("invoice_timestamp").alias("d")).distinct().agg(F.min("d"), F.max("d")).first()
-        if days[0] is not None:
-            touched = batch.select("vendor_id", F.to_date("invoice_timestamp").alias("feature_date")).distinct()
-            found = features.behavioral(store.read("silver_deduplicated_invoices", since=days[0], until=days[1])).join(touched, ["vendor_id", "feature_date"], "left_semi")
-            store.upsert(found.withColumn("computed_at", F.current_timestamp()), "vendor_daily_behavioral_features")
+        _refreshed(batch, store, "silver_deduplicated_invoices", "invoice_timestamp", features.behavioral, "vendor_daily_behavioral_features")
 
     return _started(silver_stream.writeStream.outputMode("append").foreachBatch(recompute), cfg, checkpoint, once)
+
+
+def gold_to_layers(alerts: DataFrame, store: Store, checkpoint: str, cfg: Config, once: bool = False) -> StreamingQuery:
+    """Alerts that gold lacks are appended, and risk features of the vendor-days that they touch recomputed from gold."""
+    lookback = -(-(cfg.window + cfg.lateness) // 86_400)
+
+    def write(batch: DataFrame, _: int) -> None:
+        batch = store.staged(layers.gold_rows(batch), "gold")
+        store.insert_missing(batch, "gold_fraud_alerts", lookback)
+        _refreshed(batch, store, "gold_fraud_alerts", "detected_at", features.risk, "vendor_daily_risk_features")
+        store.staged_drop(batch)
+
+    return _started(alerts.writeStream.outputMode("append").foreachBatch(write), cfg, checkpoint, once)
+
+
+def gold_stream(invoices: DataFrame, baseline: DataFrame, cfg: Config) -> DataFrame:
+    """All alerts of deduplicated invoices with a watermark: anomaly and fallback row by row, velocity as windows close. Detected when the invoice was."""
+    velocity = rules.velocity_rows(velocity_stream(invoices, cfg, watermarked=True), cfg)
+    every = velocity.unionByName(anomaly_stream(invoices, baseline, cfg))
+    return every.withColumnRenamed("invoice_timestamp", "detected_at")
+
+
+def run_stream(spark: SparkSession, store: Store, erp: DataFrame, wms: DataFrame | None, baseline: DataFrame, cfg: Config, checkpoint: str, once: bool = False) -> dict[str, StreamingQuery]:
+    """The whole job over feeds of lines (value): dead letters and bronze of both feeds, silver, gold, and both feature tables; one query a sink, by name.
+
+    Each sink inserts what its layer lacks or replaces what it touches, so that after a restart from its checkpoint, or from none, the layers are the same. With once, all that is there is read, and the queries
+    have ended on return."""
+    now = F.current_timestamp()
+    started: dict[str, StreamingQuery] = {}
+
+    def go(name: str, start: Callable[[str], StreamingQuery]) -> None:
+        started[name] = start(f"{checkpoint}/{name}")
+        if once:
+            started[name].awaitTermination()
+
+    def split(feed: str, parse: Callable[[DataFrame], DataFrame], lines: DataFrame) -> DataFrame:
+        """The good rows; the batch's rows are written once, to bronze and to the dead letters."""
+        parsed = observed_feed(parse(lines), feed.lower())
+
+        def write(batch: DataFrame, _: int) -> None:
+            rows = store.staged(batch.withColumns({"line_id": jsonl.line_id(F.col("raw")), "raw": F.when(F.col("err").isNotNull(), jsonl.masked(F.col("raw")))}), feed.lower())
+            good = rows.where("err is null")
+            store.insert_missing(layers.bronze(good if feed == "ERP" else None, good if feed == "WMS" else None), "bronze_raw_events")
+            store.insert_missing(rows.where("err is not null").select("line_id", "raw", "err", F.lit(feed).alias("feed"), now.alias("ingested_at")), "dead_letter")
+            store.staged_drop(rows)
+
+        go(f"bronze_{feed.lower()}", lambda c: _started(parsed.writeStream.outputMode("append").foreachBatch(write), cfg, c, once))
+        return jsonl.split_ok(parse(lines))[0]
+
+    if wms is not None:
+        split("WMS", jsonl.parse_wms, wms)
+    good = split("ERP", jsonl.parse_erp, erp)
+    unique = layers.silver(dedup_stream(good, cfg), now)
+    go("silver", lambda c: to_layer(unique, store, "silver_deduplicated_invoices", c, cfg, once))
+    go("behavioral", lambda c: features_from_layer(unique, store, c, cfg, once))
+    go("gold", lambda c: gold_to_layers(observed(gold_stream(unique, baseline, cfg)), store, c, cfg, once))
+    return started

@@ -1,10 +1,14 @@
 from __future__ import annotations
 
 import os
+import random
 
 import pytest
+from pyspark.sql import functions as F
 from tests.oracle import assert_same, connect
 
+from tallybrook.config import Config
+from tallybrook.operators import rules
 from tallybrook.plans import catalogue, oracle
 
 SF = "/root/testdata/sf0.001"
@@ -25,6 +29,31 @@ def test_every_query_has_sql_but_the_random_one():
     assert set(catalogue.queries()) - set(oracle.oracle_sql()) == {"random_sample"}
 
 
+def test_reports_read_the_days_they_ask_for(spark):
+    x = catalogue.Layers(spark, SF)
+    plan = x.recent._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "layers-" in plan
+    assert x.recent.count() == x.gold.where(F.to_date("detected_at") >= F.lit(catalogue.SINCE)).count() < x.gold.count()
+
+
+@pytest.mark.parametrize(("window", "slide"), [(600, 60), (90, 60), (100, 40)])
+def test_velocity_against_brute_force(spark, window, slide):
+    rng = random.Random(window)
+    cfg = Config(window=window, slide=slide)
+    rows = [(str(k), rng.choice("ab"), rng.choice([5.0, 7.5]), rng.randrange(2000) * 1_000_000 + rng.randrange(1_000_000)) for k in range(250)]
+    df = spark.createDataFrame(rows, "invoice_id string, vendor_id string, invoice_amount double, at long").withColumn("invoice_timestamp", F.timestamp_micros("at"))
+    groups: dict = {}
+    for i, v, a, at in rows:
+        s = at // (slide * 1_000_000) * slide
+        while s * 1_000_000 > at - window * 1_000_000:
+            groups.setdefault((s, v, a), set()).add(i)
+            s -= slide
+    want = {k: ids for k, ids in groups.items() if len(ids) >= 3}
+    found = rules.velocity_groups(df, cfg).select(F.unix_seconds("window_start").alias("s"), F.unix_seconds("window_end").alias("e"), "vendor_id", "amount", "occurrences", "invoice_ids").collect()
+    assert {(r["s"], r["vendor_id"], float(r["amount"])): set(r["invoice_ids"]) for r in found} == want
+    assert len(found) == len(want) and all(r["occurrences"] == len(r["invoice_ids"]) and r["e"] - r["s"] == window for r in found)
+
+
 def test_invariants(spark):
     x = catalogue.Layers(spark, SF)
     assert x.silver.count() == x.silver.select("invoice_id").distinct().count() == x.behavioral.agg({"invoice_count": "sum"}).first()[0]

@@ -3,6 +3,10 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
+import random
+import re
+
+from pyspark.sql import functions as F
 
 from tallybrook.operators import dedup, layers
 from tallybrook.sources import fixtures, jsonl, tables
@@ -39,6 +43,32 @@ def test_dedup_with_time_to_live(spark):
     assert found == {("a", t(0)): False, ("a", t(50)): True, ("a", t(99)): True, ("a", t(100)): False, ("a", t(150)): True, ("b", t(0)): False}
 
 
+def test_dedup_with_time_to_live_of_one_hot_id(spark):
+    times = sorted(random.Random(2).choices(range(100_000), k=3000))
+    rows = spark.createDataFrame([("hot" if k % 3 else None, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=t), {"k": k}) for k, t in enumerate(times)], "invoice_id string, invoice_timestamp timestamp, props map<string,int>")
+    found = dedup.with_ttl(rows.repartition(5), 70).collect()
+    accepted, last = set(), None
+    for k, t in enumerate(times):
+        if k % 3 and (last is None or t >= last + 70):
+            accepted.add(t)
+            last = t
+    hot = [r for r in found if r["invoice_id"]]
+    assert {int((r["invoice_timestamp"] - dt.datetime(2024, 1, 1)).total_seconds()) for r in hot if not r["is_duplicate"]} == accepted
+    assert sum(not r["is_duplicate"] for r in hot) == len(accepted) and not any(r["is_duplicate"] for r in found if not r["invoice_id"]) and len(found) == 3000
+
+
+def test_kafka_options():
+    found = jsonl.kafka_options("h:1", "t", "latest", 500, kafka__security__protocol="SSL")
+    assert found["startingOffsets"] == "latest" and found["maxOffsetsPerTrigger"] == "500" and found["kafka.security.protocol"] == "SSL" and found["subscribe"] == "t"
+
+
+def test_messages_are_decoded_and_lines_have_lasting_ids(spark):
+    lines = jsonl.decoded(spark.createDataFrame([(bytearray("ä€", "utf-8"),), (None,)], "value binary"))
+    assert [r["value"] for r in lines.collect()] == ["ä€", None]
+    ids = [r[0] for r in spark.createDataFrame([("x",), ("x",), ("y",)], "raw string").select(jsonl.line_id(F.col("raw"))).collect()]
+    assert ids[0] == ids[1] != ids[2] and re.fullmatch(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", ids[0])
+
+
 def test_bronze_of_both_feeds(spark, tmp_path):
     erp = fixtures.write_lines(str(tmp_path / "erp.jsonl"), fixtures.invoices(10))
     wms = fixtures.write_lines(str(tmp_path / "wms.jsonl"), fixtures.receipts(10))

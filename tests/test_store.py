@@ -21,9 +21,10 @@ def test_batch_and_nightly_twice_give_the_same(spark, tmp_path):
         counts = batch.run_batch(spark, store, erp, wms, tables.seed_baseline(spark), cfg, F.col("invoice_timestamp"))
         batch.nightly(store, cfg)
         trust = store.read("vendor_trust_scores", since=cfg.as_of)
-        found.append(({k: v for k, v in counts.items() if k != "dead_letter"}, sorted(tuple(r) for r in trust.select("vendor_id", "trust_score").collect()), store.read("vendor_risk_rankings", since=cfg.as_of).count()))
+        assert counts["dead_letter"] == len(fixtures.BAD_INVOICES)
+        found.append(({k: v for k, v in counts.items() if k not in ("vendor_trust_scores", "vendor_risk_rankings")}, sorted(tuple(r) for r in trust.select("vendor_id", "trust_score").collect()), store.read("vendor_risk_rankings", since=cfg.as_of).count()))
     (a, scores, ranks), (b, scores_again, ranks_again) = found
-    assert scores == scores_again and ranks == ranks_again == len(scores) == 7
+    assert a == b and scores == scores_again and ranks == ranks_again == len(scores) == 7
     assert a["bronze_raw_events"] == b["bronze_raw_events"] == 113 + 50 and a["silver_deduplicated_invoices"] == b["silver_deduplicated_invoices"] == 110
     assert b["gold_fraud_alerts"] == a["gold_fraud_alerts"] and b["vendor_daily_behavioral_features"] == 7
     rolled = store.read("vendor_daily_behavioral_features", since=cfg.as_of)
@@ -46,6 +47,33 @@ def test_reading_by_date_is_required_and_prunes(spark, tmp_path):
     assert sorted(r[0] for r in store.read("vendor_trust_scores", since=dt.date(2024, 1, 1)).select("trust_score").collect()) == [1, 2, 9]
 
 
+def test_a_feed_without_event_ids_twice_gives_the_same(spark, tmp_path):
+    rows = [{k: v for k, v in r.items() if k != "event_uuid"} | {"bank_account_details": "DE00 1234"} for r in fixtures.invoices(20)]
+    broken = (*fixtures.BAD_INVOICES, '{"invoice_id": "I", "bank_account_details": "DE00 \\" 99", "po_no": ')
+    erp = fixtures.write_lines(str(tmp_path / "erp.jsonl"), rows, broken)
+    store = Store(spark, str(tmp_path / "store"))
+    first, again = (batch.run_batch(spark, store, erp, None, tables.seed_baseline(spark), Config(), F.col("invoice_timestamp")) for _ in range(2))
+    assert first == again and first["dead_letter"] == len(broken) and first["bronze_raw_events"] == len({str(r) for r in rows})
+    kept = store.read("dead_letter").collect()
+    assert {r["raw"]: r["err"] for r in kept if r["raw"] in fixtures.BAD_INVOICES} == fixtures.BAD_INVOICES
+    assert not any("DE00" in r["raw"] or "99" in r["raw"] for r in kept) and not list((tmp_path / "store").glob("_*"))
+
+
+def test_missing_rows_are_looked_for_in_their_days_alone(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    row = lambda i, day, start=None: (i, "v", "ANOMALY", "HIGH", 1, start, dt.datetime(2024, 1, day))
+    made = lambda *rows: spark.createDataFrame(rows, "invoice_id string, vendor_id string, rule_name string, severity string, fraud_score long, window_start timestamp, detected_at timestamp")
+    for _ in range(2):
+        store.insert_missing(made(row("a", 1), row("a", 1), row("b", 1, dt.datetime(2024, 1, 1)), row("b", 1)), "gold_fraud_alerts")
+    assert store.read("gold_fraud_alerts").count() == 3
+    store.insert_missing(made(row("a", 3)), "gold_fraud_alerts", 2)
+    assert store.read("gold_fraud_alerts").count() == 3
+    store.insert_missing(made(row("a", 3)), "gold_fraud_alerts", 1)
+    store.insert_missing(made(row("a", 9)), "gold_fraud_alerts", None)
+    store.insert_missing(made(), "gold_fraud_alerts")
+    assert store.read("gold_fraud_alerts").count() == 4
+
+
 def test_a_missing_required_column_raises(spark):
     with pytest.raises(ValueError, match="vendor_id"):
         conform(spark.range(1).withColumnRenamed("id", "x"), "gold_fraud_alerts")

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import dataclasses
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallybrook.config import Config
 from tallybrook.operators import dedup, rules
+from tallybrook.operators.features import risk as risk_of
 from tallybrook.plans.store import Store
 from tallybrook.sources import fixtures, jsonl, tables
 from tallybrook.streaming import jobs
@@ -79,6 +81,47 @@ def test_silver_and_features_are_idempotent(spark, feed, tmp_path):
     assert features.agg(F.sum("invoice_count")).first()[0] == held.count()
 
 
+def test_the_whole_job_twice(spark, feed, tmp_path):
+    folder = tmp_path / "feeds"
+    (folder / "erp").mkdir(parents=True)
+    (folder / "wms").mkdir()
+    for name in ("a.jsonl", "b.jsonl"):
+        (folder / "erp" / name).write_text((Path(feed) / name).read_text())
+    fixtures.write_lines(str(folder / "erp" / "c.jsonl"), [], tuple(fixtures.BAD_INVOICES))
+    fixtures.write_lines(str(folder / "wms" / "a.jsonl"), fixtures.receipts(20), ("no json",))
+    store, base = Store(spark, str(tmp_path / "store")), tables.seed_baseline(spark)
+    seen = []
+    for run in range(2):
+        erp, wms = (jsonl.stream_lines(spark, str(folder / f), 1) for f in ("erp", "wms"))
+        started = jobs.run_stream(spark, store, erp, wms, base, CFG, str(tmp_path / f"check{run}"), once=True)
+        assert jobs.metrics(started["bronze_erp"], "erp") == {"lines": int(0.85 * 60) + 28 + 1 + len(fixtures.BAD_INVOICES), "dead_letters": len(fixtures.BAD_INVOICES)}
+        assert jobs.metrics(started["bronze_wms"], "wms") == {"lines": 21, "dead_letters": 1}
+        seen.append({r["layer"]: r["row_count"] for r in store.counts().collect()})
+        alerts = jobs.metrics(started["gold"], "alerts")
+        assert alerts["velocity"] > 0 and alerts["anomaly"] > 0 and alerts["fallback"] > 0
+    assert seen[0] == seen[1]
+    assert seen[0]["dead_letter"] == len(fixtures.BAD_INVOICES) + 1 and seen[0]["bronze_raw_events"] == int(0.85 * 60) + 28 + 1 + 20
+    batch = _batch(spark, feed)
+    want = rules.gold(batch, base, CFG)
+    key = lambda df: sorted((r["invoice_id"], r["rule_name"], str(r["window_start"]), r["fraud_score"], str(r["detected_at"])) for r in df.collect())
+    gold = store.read("gold_fraud_alerts")
+    assert key(gold) == key(want) and seen[0]["silver_deduplicated_invoices"] == batch.count()
+    risk = {(r["vendor_id"], r["feature_date"]): (r["total_alert_count"], r["velocity_alert_count"]) for r in store.read("vendor_daily_risk_features", since="2023-01-01").collect()}
+    assert risk == {(r["vendor_id"], r["feature_date"]): (r["total_alert_count"], r["velocity_alert_count"]) for r in risk_of(gold).collect()}
+    assert store.read("vendor_daily_behavioral_features", since="2023-01-01").agg(F.sum("invoice_count")).first()[0] == batch.count()
+
+
+def test_suppressed_duplicates_are_counted(spark, feed, tmp_path):
+    jobs.use_rocksdb(spark)
+    try:
+        flagged = jobs.observed_duplicates(jobs.dedup_with_duplicates(_stream(spark, feed), CFG))
+        query = jobs.to_files(flagged, str(tmp_path / "out"), str(tmp_path / "check"), CFG, once=True)
+        query.awaitTermination()
+        assert jobs.metrics(query, "dedup") == {"accepted": int(0.85 * 60) + 25 + 1, "suppressed": 3}
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
 def test_daily_windows(spark, feed, tmp_path):
     days = jobs.daily_stream(_stream(spark, feed), CFG)
     jobs.to_files(days, str(tmp_path / "out"), str(tmp_path / "check"), CFG, once=True).awaitTermination()
