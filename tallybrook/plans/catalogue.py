@@ -34,38 +34,37 @@ class Layers:
     Each layer is built when it is first asked for and written, once a session, as a table partitioned by its day in the shared folder; reports read it by day. The folder's tables are taken not to change
     while the session lasts."""
 
-    #: The column that a layer's day comes from, and those that its files are sorted by.
+    #: The column that a layer's date comes from, the span of its partitions, and the column that its files are sorted by after it. Receipts go back for years, a few a day.
     DATED = {
-        "bronze": ("event_timestamp", "source_system"), "silver": ("invoice_timestamp", "vendor_id"), "gold": ("detected_at", "rule_name"), "behavioral": ("feature_date", "vendor_id"), "risk": ("feature_date", "vendor_id"),
-        "trust": ("score_date", "vendor_id"), "ranks": ("ranking_date", "vendor_id"), "baseline": (None, "vendor_id"),
+        "bronze": ("event_timestamp", "month", "source_system"), "silver": ("invoice_timestamp", "day", "vendor_id"), "gold": ("detected_at", "day", "rule_name"), "behavioral": ("feature_date", "day", "vendor_id"),
+        "risk": ("feature_date", "day", "vendor_id"), "trust": ("score_date", "day", "vendor_id"), "ranks": ("ranking_date", "day", "vendor_id"), "baseline": (None, None, None),
     }
-    _written: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+    _written: dict[tuple[str, str, str], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
 
     def since(self, layer: str, day: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
-        """The layer's rows of the days from ``day`` to ``until``: partitions of other days are not read."""
+        """The layer's rows of the days from ``day`` to ``until``: partitions of other dates are not read."""
         key = self.spark.sparkContext.applicationId, self.sf_dir, layer
-        date, *cluster = self.DATED[layer]
+        date, span, cluster = self.DATED[layer]
+        part = (lambda d: F.trunc(d, span)) if span == "month" else (lambda d: d)
         if key not in self._written:
             made = getattr(self, f"make_{layer}")()
             path = f"{shared_dir(self.spark)}/layers-{uuid.uuid4().hex[:12]}-{layer}"
             if date:
-                dated = made.withColumn(DAY, F.to_date(date)).hint("rebalance", DAY).sortWithinPartitions(DAY, *cluster)
-                dated.write.partitionBy(DAY).parquet(path)
+                dated = made.withColumn(DAY, part(F.to_date(date)))
+                dated.hint("rebalance", DAY).sortWithinPartitions(DAY, date, cluster).write.partitionBy(DAY).parquet(path)
+                self._written[key] = self.spark.read.schema(dated.schema).parquet(path)
             else:
                 made.write.parquet(path)
-            self._written[key] = path, made.schema
-        path, schema = self._written[key]
-        if not date:
-            return self.spark.read.schema(schema).parquet(path)
-        df = self.spark.read.schema(T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])).parquet(path)
+                self._written[key] = self.spark.read.schema(made.schema).parquet(path)
+        df = self._written[key]  # its files are listed once
         if day is not None:
-            df = df.where(F.col(DAY) >= F.lit(day))
+            df = df.where((F.col(DAY) >= part(F.lit(day))) & (F.to_date(date) >= F.lit(day)))
         if until is not None:
-            df = df.where(F.col(DAY) <= F.lit(until))
-        return df.drop(DAY)
+            df = df.where((F.col(DAY) <= part(F.lit(until))) & (F.to_date(date) <= F.lit(until)))
+        return df.drop(DAY) if date else df
 
     @property
     def invoices(self) -> DataFrame:
