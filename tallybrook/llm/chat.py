@@ -2,8 +2,9 @@
 
 Logged conversations are snapshots: many are prefixes of longer ones. Each turn has two hashes of its place, role and text; their running sums over a
 conversation are the rolling hashes of its turn prefixes. A conversation whose last rolling hash is found inside a longer one is its
-prefix; an anti-join drops it. Equal conversations keep the smallest id. Only maximal conversations are rendered. Running sums and
-rendering go by chunks of turns, so a conversation that holds any share of all rows is never gathered in one place.
+prefix; an anti-join drops it. Equal conversations keep the smallest id. Only maximal conversations are rendered. Prefixes meet by their length and both
+sums (about 128 bits), texts are not compared again. Running sums and
+rendering go by chunks of turn numbers, so a conversation that holds any share of all rows is never gathered in one place; different rows under one turn number are rendered together.
 """
 
 from __future__ import annotations
@@ -51,7 +52,11 @@ def maximal(spark: SparkSession, chats: DataFrame, **columns: str) -> DataFrame:
     """(conv, n, logged, kept) of each conversation: its turns, how many conversations are equal to it, and whether it stays.
 
     A conversation stays if it is no proper prefix of another, and has the smallest id of those equal to it. No rows: no rows."""
-    rows = materialise(spark, turns(chats, **columns), "chat-turns")
+    return maximal_of(spark, materialise(spark, turns(chats, **columns), "chat-turns"))
+
+
+def maximal_of(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """maximal() of written turns()."""
     each, whole = prefixes(rows)
     whole = materialise(spark, whole, "chat-whole")
     key = ["n", "p1", "p2"]
@@ -65,8 +70,8 @@ def maximal(spark: SparkSession, chats: DataFrame, **columns: str) -> DataFrame:
 
 def rendered(spark: SparkSession, chats: DataFrame, **columns: str) -> DataFrame:
     """(conv, part, n_turns, text): the maximal conversations, turns in order (of the same number: by role and text), a part for each CHUNK turn numbers."""
-    rows = turns(chats, **columns)
-    kept = materialise(spark, maximal(spark, chats, **columns).where("kept").select("conv"), "chat-kept")
+    rows = materialise(spark, turns(chats, **columns), "chat-turns")
+    kept = materialise(spark, maximal_of(spark, rows).where("kept").select("conv"), "chat-kept")
     turn = F.struct("turn", "role", "text")
     parts = rows.join(kept, "conv").groupBy("conv", F.col("chunk").alias("part")).agg(F.array_sort(F.collect_list(turn)).alias("held"))
     say = F.transform("held", lambda t: F.concat(F.lit(OPEN), t["role"], F.lit(MIDDLE), t["text"], F.lit(CLOSE)))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import importlib.util
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +15,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
-    """Where the package of public tokenizers keeps a file, else /opt/tokenizers."""
-    found = importlib.util.find_spec("public_tokenizers")
-    return os.path.join(os.path.dirname(found.origin) if found and found.origin else "/opt/tokenizers", name)
+    """Where the package of public tokenizers keeps a file; without that package an ImportError."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,12 +36,13 @@ URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block",
 
 
 def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """(items, blocked): URLs of pages whose document, the last number of the path, is labelled; of bad quality or toxic ones are blocked."""
+    """(items, blocked): URLs of pages whose document, the last number of the path, is labelled; of bad quality or toxic ones are blocked. A document without a
+    quality and a toxicity label is not labelled; of repeated labels the worse holds."""
     url = F.col("url").cast("string")
     host, path = url_rules.split_url(url)
     doc = F.try_element_at(F.regexp_extract_all(path, F.lit(r"(\d{1,18})"), F.lit(1)), F.lit(-1)).try_cast("long")
     urls = pages.select(doc.alias("doc_id"), url_rules.tokens(url, host, path).alias("items"))
-    known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    known = labels.where("doc_id is not null and (quality is not null or toxic is not null)").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
     return urls.join(known, "doc_id").select("items", bad.alias("blocked"))
 

@@ -445,7 +445,7 @@ def verified_links(spark: SparkSession, docs: DataFrame, distinct: DataFrame, wo
     held = checked.where("good").select("a", "b")
     if checked.where("not good").limit(1).count():
         grp = components(spark, tree).withColumnRenamed("root", "grp")
-        mixed = checked.where("not good").join(grp, F.col("a") == F.col("node")).select("grp").distinct()
+        mixed = checked.where("not good").select(F.col("a").alias("node")).distinct().join(grp, "node").select("grp").distinct()
         root = components(spark, held).withColumnRenamed("root", "class")
         members = nodes.join(grp.join(mixed, "grp"), "node").join(root, "node", "left").withColumn("class", F.coalesce("class", "node"))
         members = materialise(spark, members.join(sets.withColumnRenamed("row", "node"), "node"), "simhash-members")

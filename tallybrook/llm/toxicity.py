@@ -3,7 +3,7 @@
 A lexicon automaton over characters finds insults (learned stems and words, each with a weight) and threats. The clause around a
 hit is read as a string of symbols: insult, threat, target, negation, report, other. Four small transducers over these symbols are
 composed into one machine when it is built: negation damps what follows within a few symbols, reported speech damps the rest
-of its clause, a target nearby strengthens, and insults and threats give their weights. A clause's score is the composed weight of its
+of its clause, a target nearby strengthens, insults give their weights, and a threat counts only if a target is near or an insult came before. A clause's score is the composed weight of its
 whole string, so a word counts by what its clause does with it. A document's score is a logistic function, fitted on
 labelled rows, of its strongest clause and of the sum over its clauses.
 
@@ -34,7 +34,7 @@ LEAST_DOCS, LEAST_ODDS, STEM = 5, 2.5, (4, 8)
 LEAST_CONTEXTS, LEAST_SHARE = 8, 0.015
 
 #: Fixed word lists of the grammar, in four languages.
-INSULTS = "idiot moron stupid loser scum pathetic worthless disgusting trash clown dumb fool jerk bastard asshole bitch retard idiota estúpido imbécil basura dummkopf trottel arschloch abschaum connard imbécile ordure salaud".split()
+INSULTS = "dumb fool jerk bastard asshole bitch retard idiota estúpido imbécil basura dummkopf trottel arschloch abschaum connard imbécile ordure salaud".split()
 THREATS = "kill murder hurt destroy stab shoot strangle beat töten umbringen matar golpear tuer frapper".split()
 TARGETS = "you your yours yourself u they them their he she him her his du dich dir dein euch ihr sie tu te toi vous ils tú ti vosotros usted ellos".split()
 NEGATIONS = "not no never nobody neither nor without isn't aren't wasn't don't doesn't nicht kein keine nie pas jamais aucun nunca jamás ningún".split()
@@ -43,6 +43,8 @@ REPORTS = "said says say wrote writes quoted quote called reported reports claim
 SYMBOLS = "insult threat target negation report other".split()
 #: How far, in symbols, a negation and a target reach, and the factors and the bonus that they give.
 REACH, NEAR, DENIED, REPORTED, AIMED = 3, 4, 0.25, 0.5, 0.5
+#: What a threat with a target near gives; alone it gives nothing.
+THREAT = 1.5
 
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 _CLAUSE_END = re.compile(r"[.!?;:\n|]")
@@ -61,13 +63,13 @@ def negation() -> Transducer:
     step = {}
     for s in range(REACH + 1):
         for x in SYMBOLS:
-            step[s, x] = (REACH if x == "negation" else max(0, s - 1), DENIED if s and x in ("insult", "threat") else 1.0, 0.0)
+            step[s, x] = (REACH if x == "negation" else max(0, s - 1), DENIED if s and x in ("insult", "threat", "target") else 1.0, 0.0)
     return Transducer(REACH + 1, step)
 
 
 def reported() -> Transducer:
     """State 1: after a word of reporting, till the clause ends."""
-    return Transducer(2, {(s, x): (1 if s or x == "report" else 0, REPORTED if s and x in ("insult", "threat") else 1.0, 0.0) for s in (0, 1) for x in SYMBOLS})
+    return Transducer(2, {(s, x): (1 if s or x == "report" else 0, REPORTED if s and x in ("insult", "threat", "target") else 1.0, 0.0) for s in (0, 1) for x in SYMBOLS})
 
 
 def aimed() -> Transducer:
@@ -75,13 +77,22 @@ def aimed() -> Transducer:
     step = {}
     for s in range(NEAR + 1):
         for x in SYMBOLS:
-            step[s, x] = (NEAR if x == "target" else max(0, s - 1), 1.0, AIMED if s and x in ("insult", "threat") else 0.0)
+            step[s, x] = (NEAR if x == "target" else max(0, s - 1), 1.0, {"insult": AIMED, "threat": THREAT}.get(x, 0.0) if s else 0.0)
+    return Transducer(NEAR + 1, step)
+
+
+def threatened() -> Transducer:
+    """State: symbols for which a threat is still near; a target that follows it counts, once."""
+    step = {}
+    for s in range(NEAR + 1):
+        for x in SYMBOLS:
+            step[s, x] = (NEAR if x == "threat" else 0 if x == "target" else max(0, s - 1), 1.0, THREAT if s and x == "target" else 0.0)
     return Transducer(NEAR + 1, step)
 
 
 def abused() -> Transducer:
-    """State 1: after an insult or a threat; a target that follows adds to it. Threats count only near a target or after an insult (bonus on top)."""
-    return Transducer(2, {(s, x): (1 if s or x in ("insult", "threat") else 0, 1.0, AIMED if s and x == "target" else 0.0) for s in (0, 1) for x in SYMBOLS})
+    """State 1: after an insult; a target or a threat that follows adds to it."""
+    return Transducer(2, {(s, x): (1 if s or x == "insult" else 0, 1.0, {"target": AIMED, "threat": THREAT}.get(x, 0.0) if s else 0.0) for s in (0, 1) for x in SYMBOLS})
 
 
 def compose(a: Transducer, b: Transducer) -> Transducer:
@@ -96,15 +107,15 @@ def compose(a: Transducer, b: Transducer) -> Transducer:
 
 @functools.cache
 def grammar() -> Transducer:
-    return functools.reduce(compose, [negation(), reported(), aimed(), abused()])
+    return functools.reduce(compose, [negation(), reported(), aimed(), threatened(), abused()])
 
 
 def clause_score(symbols: Iterable[tuple[str, float]]) -> float:
-    """The composed weight of a clause: of its (symbol, weight)s, weight 0 for all but insults and threats."""
+    """The composed weight of a clause: of its (symbol, weight)s, weight 0 for all but insults."""
     step, state, total = grammar().step, 0, 0.0
     for x, w in symbols:
         state, factor, bonus = step[state, x]
-        total += factor * (w + bonus) if w or x == "target" else 0.0
+        total += factor * (w + bonus)
     return total
 
 
@@ -132,10 +143,10 @@ class Scorer:
         self.known = functools.lru_cache(50_000)(lambda w: self._symbol(w, lengths))
 
     def _symbol(self, w: str, lengths: list[int]) -> tuple[str, float]:
-        weight = max([self.m.words.get(w, 0.0), *(self.m.stems.get(w[:n], 0.0) for n in lengths)])
+        weight = max([self.m.words.get(w, 0.0), *(self.m.stems.get(w[:n], 0.0) for n in lengths if n < len(w))])
         if weight > 0:
             return "insult", weight
-        return ("threat", 1.0) if w in self.threats else (self.kind.get(w, "other"), 0.0)
+        return ("threat", 0.0) if w in self.threats else (self.kind.get(w, "other"), 0.0)
 
     def clauses(self, text: str | None) -> list[tuple[int, int, float]]:
         """(start, end, score) of the clauses with a hit, spans in the text; lower-casing may move them by a few characters in rare scripts."""
@@ -164,23 +175,24 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * x + c * y))))
 
 
-def _logistic(rows: list[tuple[float, float]], labels: list[int], rounds: int = 40) -> tuple[float, float, float]:
-    """Newton's method with a small ridge, slopes kept at zero or above; classes weigh by what they are in the sample."""
+def _logistic(rows: list[tuple[float, float]], labels: list[int], weights: list[float], rounds: int = 40) -> tuple[float, float, float]:
+    """Newton's method with a small ridge, slopes kept at zero or above; rows weigh what they are given."""
     import numpy as np
 
     x = np.array([(1.0, *r) for r in rows])
-    y = np.array(labels, float)
+    y, c = np.array(labels, float), np.array(weights, float)
     w = np.zeros(3)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + np.eye(3) * 0.05
-        w += np.clip(np.linalg.solve(h, x.T @ (y - p) - 0.05 * w), -2, 2)
+        h = (x * (c * p * (1 - p))[:, None]).T @ x + np.eye(3) * 0.05
+        w += np.clip(np.linalg.solve(h, x.T @ (c * (y - p)) - 0.05 * w), -2, 2)
         w[1:] = np.maximum(w[1:], 0)
     return float(w[0]), float(w[1]), float(w[2])
 
 
-def fit(toxic: list[str | None], clean: list[str | None]) -> Model:
-    """Learns words and stems that toxic texts have and clean ones lack; without rows of both classes, the fixed words alone."""
+def fit(toxic: list[str | None], clean: list[str | None], rates: tuple[float, float] = (1.0, 1.0)) -> Model:
+    """Learns words and stems that toxic texts have and clean ones lack; without rows of both classes, the fixed words alone. rates: labelled rows that
+    stand behind a text of each class, so that a bounded sample gives the same cut as all rows."""
     model = Model()
     if not toxic or not clean:
         return model
@@ -218,7 +230,7 @@ def fit(toxic: list[str | None], clean: list[str | None]) -> Model:
     # fixed words that the labels speak against go; a stem that only one word has is that word
     model.words = {w: o for w, o in model.words.items() if counts[0][w + " "] >= 20 * counts[1][w + " "] * total[0] / total[1] or not counts[1][w + " "]}
     scorer = Scorer(model)
-    model.logistic = _logistic([scorer.features(t) for t in [*toxic, *clean]], [1] * total[0] + [0] * total[1])
+    model.logistic = _logistic([scorer.features(t) for t in [*toxic, *clean]], [1] * total[0] + [0] * total[1], [rates[0]] * total[0] + [rates[1]] * total[1])
     return model
 
 
@@ -231,6 +243,7 @@ def fit_labels(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Mode
     """Fits on labelled rows outside fold 0, at most ``rows`` of a class, chosen by hash of doc_id. Rows with a null label or id are left out;
     of repeated labels the larger holds."""
     held = labels.where((fold(F.col("doc_id")) != 0) & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    there = {r["label"]: r["n"] for r in held.groupBy((F.col("toxic") == 1).alias("label")).agg(F.count("*").alias("n")).collect()}
     chosen = []
     for label in (1, 0):
         chosen += [(r["doc_id"], label) for r in held.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("doc_id").collect()]
@@ -240,7 +253,8 @@ def fit_labels(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Mode
     ids = spark.createDataFrame(chosen, "doc_id long, toxic int")
     texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
     texts.sort(key=lambda r: r["doc_id"])
-    return fit([r["text"] for r in texts if r["toxic"]], [r["text"] for r in texts if not r["toxic"]])
+    toxic, clean = ([r["text"] for r in texts if bool(r["toxic"]) is label] for label in (True, False))
+    return fit(toxic, clean, (there.get(True, 0) / max(1, len(toxic)), there.get(False, 0) / max(1, len(clean))))
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -272,7 +286,8 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "doc
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs that the model does not reject, with all their columns: decided from each row's text in one pass."""
+    """The rows of docs that the model does not reject, with all their columns: decided from each row's text in one pass. Null and empty texts have no hits and
+    stay, unless the model has no other rule than to reject; repeated rows are decided alike. No rows: no rows."""
     short_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     names = docs.columns

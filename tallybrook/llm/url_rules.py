@@ -2,8 +2,8 @@
 
 A URL is a set of tokens: scheme, host, the host's parents, path segments with digits made alike, file ending, query keys, fragment.
 FP-growth finds the frequent token sets of each class of labelled URLs with the class as one more item; sets that imply
-"block" with enough confidence and support are rules, and a rule that has a more general one at least as confident goes. Each
-rule is filed under its rarest token; a URL meets the rules under its own tokens in an equi-join and is held against their other tokens.
+"block" with enough confidence and support, and more often than chance explains, are rules; a rule that has a more general one at least as confident goes. Each
+rule is filed under the token that the fewest URLs have; a URL meets the rules under its own tokens in an equi-join and is held against their other tokens.
 Given host and path rules come before mined ones.
 """
 
@@ -17,8 +17,9 @@ from tallybrook.llm.common import LOWER, UPPER, materialise, row_id, small
 
 #: Least share of the labelled URLs that a rule's tokens and class are found in, least confidence, most tokens of a rule, and the item of a blocked URL.
 SUPPORT, CONFIDENCE, TOKENS, BLOCKED = 0.002, 0.6, 3, "=block"
-#: How much likelier than among all labelled URLs "block" must be under a rule.
-LIFT = 1.5
+#: How much likelier than among all labelled URLs "block" must be under a rule, the blocked URLs that must support it, and by how many standard deviations they must be above what
+#: that share of its URLs would give by chance: thousands of token sets are looked at.
+LIFT, HITS, DEVIATIONS = 1.5, 10, 4.5
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -46,14 +47,15 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
 def mine(spark: SparkSession, labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT) -> DataFrame:
     """(rule, items, confidence, support) mined from labelled (items: array of string, blocked: boolean), written to the shared folder.
 
-    Rules imply "block". The number of frequent sets depends on the least support, not on the number of rows. Rows with a null label or without
-    items teach nothing; without rows of both classes there are no rules."""
+    Rules imply "block". The number of frequent sets depends on the least support, not on the number of rows; of few rows at least HITS must support a rule. Rows with a null
+    label or without items teach nothing; without rows of both classes there are no rules."""
     rows = labelled.where(F.col("blocked").isNotNull() & (F.size("items") > 0))
     rows = materialise(spark, rows.select("items", "blocked"), "url-labelled")
     n, n_blocked = rows.agg(F.count("*"), F.coalesce(F.count_if("blocked"), F.lit(0))).first()
     schema = "rule long, items array<string>, confidence double, support double"
     if not n or not n_blocked or n == n_blocked:
         return spark.createDataFrame([], schema)
+    support, share = max(support, HITS / n), n_blocked / n
     # tokens that nearly all URLs have tell nothing; rare ones cannot be in a rule
     seen = rows.select(F.explode("items").alias("t")).groupBy("t").agg(F.count("*").alias("n")).where(F.col("n").between(int(support * n), int(0.95 * n)))
     useful = [r["t"] for r in seen.collect()]  # about items of a URL / support at most
@@ -63,8 +65,9 @@ def mine(spark: SparkSession, labelled: DataFrame, support: float = SUPPORT, con
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     sets = materialise(spark, model.freqItemsets.select(F.array_sort("items").alias("items"), "freq").where(F.size("items") <= TOKENS + 1), "url-sets")
     with_class = sets.where(F.array_contains("items", BLOCKED) & (F.size("items") > 1)).select(F.array_sort(F.array_remove("items", BLOCKED)).alias("items"), F.col("freq").alias("hits"))
-    rules = with_class.join(sets, "items").select("items", (F.col("hits") / F.col("freq")).alias("confidence"), (F.col("hits") / F.lit(float(n))).alias("support"))
-    rules = rules.where((F.col("confidence") >= confidence) & (F.col("confidence") >= lift * n_blocked / n))
+    rules = with_class.join(sets, "items").select("items", "hits", "freq", (F.col("hits") / F.col("freq")).alias("confidence"), (F.col("hits") / F.lit(float(n))).alias("support"))
+    above = (F.col("hits") - F.col("freq") * share) / F.sqrt(F.col("freq") * (share * (1 - share)))
+    rules = rules.where((F.col("hits") >= HITS) & (F.col("confidence") >= max(confidence, lift * share)) & (above >= DEVIATIONS)).drop("hits", "freq")
     # a rule goes if leaving out one of its tokens gives a rule that is at least as confident
     less = rules.where(F.size("items") > 1).select("items", "confidence", F.explode("items").alias("t")).select("items", "confidence", F.array_sort(F.array_remove("items", F.col("t"))).alias("general"))
     general = rules.select(F.col("items").alias("general"), F.col("confidence").alias("c"))
@@ -73,10 +76,12 @@ def mine(spark: SparkSession, labelled: DataFrame, support: float = SUPPORT, con
     return materialise(spark, kept.select("rule", "items", "confidence", "support"), "url-rules")
 
 
-def index_rules(rules: DataFrame) -> DataFrame:
-    """(token, rule, items, confidence, support): each rule under the token that the fewest rules have."""
+def index_rules(rules: DataFrame, sets: DataFrame) -> DataFrame:
+    """(token, rule, items, confidence, support): each rule under that of its tokens which the fewest URLs have. sets (tokens, n): distinct token sets of URLs and how many have them."""
     use = rules.select("rule", F.explode("items").alias("token"))
-    rare = use.join(use.groupBy("token").agg(F.count("*").alias("n")), "token").groupBy("rule").agg(F.min(F.struct("n", "token")).alias("m"))
+    known = use.select("token").distinct()
+    seen = sets.select(F.explode("tokens").alias("token"), "n").join(known, "token").groupBy("token").agg(F.sum("n").alias("n"))
+    rare = use.join(seen, "token", "left").groupBy("rule").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("token"))).alias("m"))
     return rules.join(rare.select("rule", F.col("m.token").alias("token")), "rule")
 
 
@@ -98,10 +103,10 @@ def judge(spark: SparkSession, pages: DataFrame, rules: DataFrame, given: list[t
     urls = pages.select(row_id().alias("row"), F.col(id_col).alias("id"), url.alias("url"), host.alias("host"), path.alias("path"))
     rule, verdict = given_rule(given, F.col("host"), F.col("path"))
     urls = materialise(spark, urls.select("row", "id", "host", "path", rule.alias("rule"), verdict.alias("verdict"), tokens(F.col("url"), F.col("host"), F.col("path")).alias("tokens")), "url-rows")
-    index = index_rules(rules)
     # equal token sets are held against the index once
-    sets = urls.where("verdict is null").groupBy("tokens").agg(F.count("*").alias("n"))
-    met = sets.select("tokens", F.explode("tokens").alias("token")).join(small(index, rules.count()), "token").where(F.size(F.array_except("items", "tokens")) == 0)
+    sets = materialise(spark, urls.where("verdict is null").groupBy("tokens").agg(F.count("*").alias("n")), "url-sets")
+    index = materialise(spark, index_rules(rules, sets), "url-index")
+    met = sets.select("tokens", F.explode("tokens").alias("token")).join(small(index, index.count()), "token").where(F.size(F.array_except("items", "tokens")) == 0)
     best = met.groupBy("tokens").agg(F.max(F.struct("confidence", "support", "items")).alias("best")).select(F.xxhash64("tokens").alias("h"), "tokens", "best")
     found = urls.withColumn("h", F.xxhash64("tokens")).join(best, ["h", "tokens"], "left")
     mined = F.col("verdict").isNull()

@@ -230,30 +230,91 @@ def test_spanning_forest_joins_what_the_links_join():
     assert _components(links, range(300)) == _components([(i, j) for i, j, _ in forest], range(300))
 
 
-def test_recurring_templates_are_dropped_but_once(spark):
+def _dropped(spark, rows, **options):
+    docs = line_dedup.numbered(spark, _docs(spark, rows), ["doc_id", "text"])
+    return {r["id"]: r["lines"] for r in line_dedup.dropped_lines(spark, docs, **options).collect()}
+
+
+def _brute_lines(rows):
+    """The same by plain loops: whole templates first, then the leaves level by level."""
+    lines = []
+    for r, (_, text) in enumerate(rows):
+        for k, line in enumerate((text or "").split("\n")):
+            words = line.split()
+            if not words:
+                continue
+            cut = ["<*>" if re.search("[0-9@]|://", w) else w for w in words]
+            lines.append((r, k, words if len(cut) <= 5 and set(cut) == {"<*>"} else cut))
+    docs: dict[tuple, set] = {}
+    for r, _, t in lines:
+        docs.setdefault(tuple(t), set()).add(r)
+    gone = {(r, k) for r, k, t in lines if len(docs[tuple(t)]) >= (10 if len(t) <= 2 else 2)}
+    left = {(r, tuple(t)) for r, k, t in lines if (r, k) not in gone and len(t) > 5}
+    places = lambda t: [t[i * len(t) // min(len(t), 12) : (i + 1) * len(t) // min(len(t), 12)] for i in range(min(len(t), 12))]
+    for place in (None, -1, 3):
+        leaves: dict[tuple, list] = {}
+        for r, t in left:
+            leaves.setdefault((len(t), t[:3], None if place is None else places(t)[place]), []).append((r, t))
+        found = set()
+        for members in leaves.values():
+            if len(members) < 5:
+                continue
+            constant = []
+            for column in zip(*(places(t) for _, t in members), strict=True):
+                top = max(set(column), key=column.count)
+                constant.append(top if 2 * column.count(top) >= len(members) else None)
+            if sum(c is not None for c in constant) < max(5, 0.6 * len(constant)):
+                continue
+            like = [(r, t) for r, t in members if all(c is None or c == p for c, p in zip(constant, places(t), strict=True))]
+            if len({r for r, _ in like}) >= 5:
+                found |= set(like)
+        gone |= {(r, k) for r, k, t in lines if (r, tuple(t)) in found}
+        left -= found
+    return {i: sorted(k for r, k in gone if r == at) for at, (i, _) in enumerate(rows)}
+
+
+def test_dropped_lines_against_brute_force(spark):
+    rng = random.Random(12)
+    words = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(300)]
+    shapes = [rng.choices(words, k=n) for n in (1, 2, 3, 4, 7, 9, 14, 25, 30, 60, 60)]
+    shapes += [shapes[9][:3] + rng.choices(words, k=57)]  # another template of the same leaf
+    rows = []
+    for k in range(60):
+        lines = [" ".join(rng.choices(words, k=rng.randint(1, 70))) for _ in range(3)] + ["", f"{k} {k + 1}", " ".join(words[:40]) * (k % 2)]
+        for shape in rng.sample(shapes, 6):
+            line = list(shape)
+            if rng.random() < 0.7 and len(line) > 5:
+                line[rng.randrange(4, len(line))] = rng.choice([rng.choice(words), f"{k}.5", f"a{k}@b.c"])
+            lines.append(" ".join(line))
+        rows.append((k, "\n".join(rng.sample(lines, len(lines)))))
+    rows += [(100, None), (101, ""), (102, "\n\n"), (103, "very " * 50_000)]
+    expected = _brute_lines(rows)
+    assert _dropped(spark, rows) == expected and sum(map(len, expected.values())) > 150
+
+
+def test_recurring_templates_are_dropped(spark):
     lines = "job {} of user finished with code {} today"
     rows = [(k, " ".join(f"only{'abcdefgh'[k]}{c}" for c in "mnopqrs") + "\n" + lines.format(k, k * 7) + "\nshort one") for k in range(8)]
     rows += [(50, None), (51, ""), (52, lines.format(9, 9)), (None, lines.format(8, 1))]
     found = {r["id"]: (r["n_lines"], r["n_dropped"], r["text"]) for r in line_dedup.without_recurring_lines(spark, _docs(spark, rows)).collect()}
-    assert found[0][1] == 0 and found[0][2] == rows[0][1]
-    assert all(found[k][:2] == (3, 1) and "finished" not in found[k][2] and found[k][2].endswith("short one") for k in range(1, 8))
-    assert found[50] == (1, 0, "") and found[52] == (1, 1, "") and found[None] == (1, 1, "")
-    gone = {r["id"]: r["lines"] for r in line_dedup.dropped_lines(spark, _docs(spark, rows), keep_first=False).collect()}
-    assert gone[0] == [1] and gone[51] == []
+    assert all(found[k][:2] == (3, 1) and "finished" not in found[k][2] and found[k][2].endswith("short one") for k in range(8))
+    assert found[50] == (1, 0, "") and found[51] == (1, 0, "") and found[52] == (1, 1, "") and found[None] == (1, 1, "")
+    kept = _dropped(spark, rows, keep_first=True)
+    assert kept[0] == [] and kept[1] == [1] and kept[51] == []
 
 
-def test_short_recurring_lines_are_dropped_too(spark):
-    rows = [(k, f"All rights reserved.\nLicensed under CC BY-NC {k}.0.\nThe end\n\n{k} {k} {k}\nword{chr(97 + k)} alone here") for k in range(12)]
-    found = {r["id"]: r["lines"] for r in line_dedup.dropped_lines(spark, _docs(spark, rows)).collect()}
-    assert found[0] == [] and all(found[k] == [0, 1, 2] for k in range(1, 12))
+def test_short_and_long_recurring_lines_are_dropped_too(spark):
+    long = " ".join(f"part{chr(97 + c % 26)}{chr(97 + c // 26)}" for c in range(28))
+    rows = [(k, f"All rights reserved.\nLicensed under CC BY-NC {k}.0.\nThe end\n\n{k} {k} {k}\nword{chr(97 + k)} alone here\nSubscribe now for more\n{long} last{chr(97 + k)}") for k in range(12)]
+    assert all(found == [0, 1, 2, 6, 7] for found in _dropped(spark, rows).values())
 
 
 def test_places_that_vary_make_a_leaf_template(spark):
     names = "ann bob cid dan eve fay gus hal ida jon".split()
     rows = [(k, f"login of person {n} was accepted by the gate {n[::-1]}") for k, n in enumerate(names)]
     rows += [(100 + k, f"login of person unlike {' '.join(random.Random(k).choices(names, k=6))}") for k in range(3)]
-    found = {r["id"]: r["lines"] for r in line_dedup.dropped_lines(spark, _docs(spark, rows)).collect()}
-    assert found[0] == [] and all(found[k] == [0] for k in range(1, 10)) and all(found[100 + k] == [] for k in range(3))
+    found = _dropped(spark, rows)
+    assert all(found[k] == [0] for k in range(10)) and all(found[100 + k] == [] for k in range(3))
 
 
 def test_crc_folds_are_those_of_zlib(spark):

@@ -48,11 +48,64 @@ def test_the_grammar_scores_clauses():
     one = lambda t: max((c[2] for c in s.clauses(t)), default=0.0)
     assert one("you idiot") > one("an idiot") > one("he said an idiot came") > one("not an idiot") > one("a day") == 0
     assert one("I will kill you") > one("not kill you") >= 0
+    assert one("the frost will kill the crop") == 0 < one("the idiot will kill the crop")
+    assert one("you are not an idiot") < one("you are an idiot") / 2 and one("he wrote you are an idiot") < one("you are an idiot")
     text = "Fine day. You idiot, idiot! Bye"
     assert [text[a:b].strip() for a, b, _ in s.clauses(text)] == ["You idiot, idiot"]
     assert len(s.clauses("idiot " * 20_000)) == 1
 
 
+def test_negated_and_quoted_insults_are_told_from_plain_ones():
+    """Learned from plain insults, with no word of them known beforehand; the same word denied or quoted is no insult."""
+    toxic, clean = _labelled(1200, 5)
+    rng = random.Random(6)
+    toxic += [f"Well you are a vornk {w}." for w in rng.choices(["bantan", "cormil", "dulsost"], k=200)]
+    clean += [rng.choice(["You are not a vornk {}.", "She said it was never a vornk {}.", "Nobody called them a vornk {}."]).format(w) for w in rng.choices(["bantan", "cormil", "dulsost"], k=60)]
+    scorer = toxicity.Scorer(toxicity.fit(toxic, clean))
+    assert scorer.score("you are a vornk today") >= 0.5 and scorer.score("Dulsost you vornk.") >= 0.5
+    assert scorer.score("they said nobody is a vornk") < 0.5 and scorer.score("you are not a vornk") < 0.5
+
+
+def test_a_bounded_sample_cuts_where_all_rows_do():
+    toxic, clean = _labelled(1600, 7)
+    every, some = toxicity.fit(toxic, clean), toxicity.fit(toxic, clean[: len(clean) // 6], (1.0, 6.0))
+    equal = toxicity.fit(toxic, clean[: len(clean) // 6])
+    assert abs(every.logistic[0] - some.logistic[0]) < abs(every.logistic[0] - equal.logistic[0])
+
+
+def _slow_score(model, text):
+    """A text's score word by word, with the rules of the grammar written out instead of composed machines."""
+    clauses = []
+    for clause in re.split(r"[.!?;:\n|]", (text or "").lower()):
+        last: dict[str, int] = {}
+        total, insulted, threat_open = 0.0, False, -99
+        for k, w in enumerate(re.findall(r"[^\W\d_]+(?:'[^\W\d_]+)?", clause)):
+            weight = max([model.words.get(w, 0.0), *(v for s, v in model.stems.items() if w.startswith(s) and w != s)])
+            kind = "insult" if weight > 0 else "threat" if w in toxicity.THREATS else "target" if w in toxicity.TARGETS else "negation" if w in toxicity.NEGATIONS else "report" if w in toxicity.REPORTS else "other"
+            near = k - last.get("target", -99) <= toxicity.NEAR
+            bonus = {"insult": toxicity.AIMED * near + 0, "threat": toxicity.THREAT * near + toxicity.THREAT * insulted, "target": toxicity.AIMED * insulted + toxicity.THREAT * (k - threat_open <= toxicity.NEAR)}.get(kind, 0.0)
+            factor = (toxicity.DENIED if k - last.get("negation", -99) <= toxicity.REACH else 1.0) * (toxicity.REPORTED if "report" in last else 1.0)
+            total += (weight + bonus) * factor if kind in ("insult", "threat", "target") else 0.0
+            insulted |= kind == "insult"
+            threat_open = k if kind == "threat" else -99 if kind == "target" else threat_open
+            last[kind] = k
+        clauses.append(total)
+    a, b, c = model.logistic
+    hit = [x for x in clauses if x > 0]
+    return 1 / (1 + math.exp(-(a + b * max(hit, default=0.0) + c * math.log1p(sum(hit)))))
+
+
+def test_scores_against_brute_force(spark):
+    rng = random.Random(13)
+    toxic, clean = _labelled(600, 8)
+    model = toxicity.fit(toxic, clean)
+    words = ["vornk", "grelumpa", "dumb", "kill", "you", "they", "not", "never", "said", "wrote", "banta", "corso", "frost", "can't"]
+    rows = [(k, rng.choice([" ", ", "]).join(rng.choices(words, k=rng.randint(0, 30))) + rng.choice(["", "!", ". " + " ".join(rng.choices(words, k=9))])) for k in range(400)] + [(900, None), (901, "")]
+    found = toxicity.score(spark, spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
+    want = {i: _slow_score(model, t) for i, t in rows}
+    assert all(math.isclose(r["score"], want[r["id"]], rel_tol=1e-9) and r["predicted"] == int(r["score"] >= 0.5) for r in found) and len(found) == len(rows)
+
+
 def test_machines_compose_side_by_side():
     a, b = toxicity.negation(), toxicity.aimed()
     c = toxicity.compose(a, b)
@@ -126,6 +179,23 @@ def test_given_rules_against_brute_force(spark):
     assert len(found) == len(pages.collect()) and url_rules.judge(spark, pages.limit(0), none, []).count() == 0
 
 
+def test_noise_gives_no_rules(spark):
+    rng = random.Random(21)
+    rows = [([f"h:{rng.randrange(40)}", f"p:{rng.randrange(30)}", f"p:{rng.randrange(30)}", f"q:{rng.randrange(5)}"], rng.random() < 0.25) for _ in range(1500)]
+    labelled = spark.createDataFrame([(sorted(set(i)), b) for i, b in rows], "items array<string>, blocked boolean")
+    assert url_rules.mine(spark, labelled).count() == 0
+    few = labelled.limit(20).union(spark.createDataFrame([(["h:x"], True)] * 3, labelled.schema))
+    assert url_rules.mine(spark, few).count() == 0
+
+
+def test_labels_of_urls(spark):
+    urls = [(1, "http://a.net/x/11"), (2, "http://a.net/x/12?y=3"), (3, "http://a.net/2/13"), (4, "http://a.net/14"), (5, "http://a.net/none"), (6, None), (7, "http://a.net/99999999999999999999")]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    labels = spark.createDataFrame([(11, 0, None), (12, 1, 1), (13, None, None), (3, 1, 0), (14, 1, None), (14, 0, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
+    found = queries.labelled_urls(pages, labels).collect()
+    assert sorted(r["blocked"] for r in found) == [False, True, True] and all("h:a.net" in r["items"] for r in found)
+
+
 def test_mined_rules_against_counting(spark):
     rng = random.Random(8)
     rows = []

@@ -68,30 +68,71 @@ def test_lm_windows_score_each_id_once():
         assert sorted(at[fresh].tolist()) == list(range(sizes.sum()))
 
 
-def test_lm_attention_is_causal_and_a_distribution():
+def _model(texts):
     with open(vocabulary_path("byte_bpe_50k.tiktoken"), encoding="ascii") as f:
         cut = lm.Subwords(f.read())
-    flat, sizes = cut.flat([lm.words_of(t) for t in _texts(60, 1)])
-    rows, cls = lm.classes_of(flat, cut.end + 1)
+    words = [[*lm.words_of(t), lm.END_WORD] for t in texts]
+    flat, sizes = cut.flat([w for t in words for w in t])
+    sizes = np.add.reduceat(sizes, np.cumsum([0, *map(len, words[:-1])]))
+    counts = np.bincount(flat, minlength=cut.end + 1).astype(float)
+    rows = lm.rows_of(counts)
     n = int(rows.max()) + 1
     pairs = np.zeros((n, n))
-    np.add.at(pairs, (rows[flat[:-1]], rows[flat[1:]]), 1)
-    model = lm.train(lm.start(rows, cls, np.bincount(flat, minlength=cut.end + 1).astype(float), pairs), flat, sizes, cut.end)
+    np.add.at(pairs, (rows[np.append(cut.end, flat[:-1])], rows[flat]), 1)
+    return cut, flat, sizes, lambda: lm.start(rows, lm.classes_of(rows, pairs), counts, pairs)
+
+
+def test_lm_attention_is_causal_and_a_distribution():
+    texts = _texts(60, 1)
+    cut, flat, sizes, start = _model(texts)
+    model = lm.train(start(), [b for t in texts for b in lm.blocks(start(), cut, t, 1.0)])
     # the probabilities of all ids after a prefix sum to one
     prefix = flat[:5]
     every = np.arange(0, cut.end + 1)
-    texts = np.concatenate([np.append(prefix, i) for i in every]).astype(np.int32)
-    each = lm.log_p(model, texts, np.full(len(every), 6), cut.end) - lm.log_p(model, prefix, np.array([5]), cut.end)[0]
+    some = np.concatenate([np.append(prefix, i) for i in every]).astype(np.int32)
+    each = lm.log_p(model, some, np.full(len(every), 6), cut.end).reshape(-1, 6).sum(1) - lm.log_p(model, prefix, np.array([5]), cut.end).sum()
     assert math.isclose(np.exp(each).sum(), 1, rel_tol=1e-3)
     # what follows changes nothing before
-    z1, *_ = lm.forward(model, rows[flat[None, : lm.WINDOW]])
+    z1, *_ = lm.forward(model, model.rows[flat[None, : lm.WINDOW]])
     changed = flat[None, : lm.WINDOW].copy()
     changed[0, 20:] = flat[0]
-    z2, *_ = lm.forward(model, rows[changed])
+    z2, *_ = lm.forward(model, model.rows[changed])
     assert np.allclose(z1[0, :20], z2[0, :20], atol=1e-5)
     # training beats the counts alone
-    plain = lm.start(rows, cls, np.bincount(flat, minlength=cut.end + 1).astype(float), pairs)
-    assert lm.log_p(model, flat, sizes, cut.end).sum() > lm.log_p(plain, flat, sizes, cut.end).sum()
+    assert lm.log_p(model, flat, sizes, cut.end).sum() > lm.log_p(start(), flat, sizes, cut.end).sum()
+
+
+def test_lm_blocks_are_the_text_in_order():
+    texts = _texts(30, 3)
+    cut, _, _, start = _model(texts)
+    model = start()
+    for text in [*texts, "", None]:
+        ids, _ = cut.flat([*lm.words_of(text), lm.END_WORD])
+        before, target = model.rows[np.append(cut.end, ids[:-1])], model.cls[ids]
+        at = 0
+        for b, t in lm.blocks(model, cut, text, 1.0):  # a block may end before its words do
+            while not (np.array_equal(before[at : at + len(b)], b) and np.array_equal(target[at : at + len(t)], t)):
+                at += 1
+                assert at < len(ids)
+            assert len(b) == len(t) <= lm.WINDOW
+    drawn = [len(lm.blocks(model, cut, " ".join([t] * 50), 0.25)) / len(lm.blocks(model, cut, " ".join([t] * 50), 1.0)) for t in texts]
+    assert 0.2 < np.mean(drawn) < 0.3
+
+
+def _slow_log_p(m, ids, end):
+    """Natural logarithm of each id's probability, id by id and window by window, without batches or masks."""
+    out, d, step = [], lm.WIDTH, lm.WINDOW - lm.OVERLAP
+    for at, i in enumerate(ids):
+        k = 0 if at < lm.WINDOW else -(-(at - lm.WINDOW + 1) // step)
+        first = k * step
+        seen = [m.rows[end] if p == 0 else m.rows[ids[p - 1]] for p in range(first, at + 1)]
+        x = [m.qkv[r] + m.place[p] for p, r in enumerate(seen)]
+        e = np.array([math.exp(float(x[-1][:d] @ y[d : 2 * d])) for y in x])
+        h = sum(w * y[2 * d :] for w, y in zip(e / e.sum(), x, strict=True))
+        z = (m.last[seen[-1]] + h @ m.out).astype(float)
+        z -= z.max()
+        out.append(z[m.cls[i]] - math.log(np.exp(z).sum()) + float(m.within[seen[-1], m.rows[i]]) + float(m.shared[i]))
+    return out
 
 
 @pytest.mark.parametrize("head", [1, 150_000])
@@ -100,16 +141,30 @@ def test_lm_scores_and_base_against_brute_force(spark, monkeypatch, head):
     from collections import Counter
 
     monkeypatch.setattr(lm, "HEAD", head)
-    texts = [*_texts(40, 2), "", None, "Unseen UNSEEN words", "é\x1c x"]
+    fitted, fit = [], lm.fit
+    monkeypatch.setattr(lm, "fit", lambda *a: fitted.append(fit(*a)) or fitted[-1])
+    texts = [*_texts(40, 2), " ".join(_texts(20, 4)), "", None, "Unseen UNSEEN words", "é\x1c x"]
     rows = [(k, t, "z") for k, t in enumerate(texts)] + [(3, texts[3], "z"), (None, "null id", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
     found = lm.score(spark, docs, vocabulary_path("byte_bpe_50k.tiktoken")).collect()
     fold = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 5
-    counts = Counter(w for i, t, _ in rows if fold(i) != 1 for w in [*lm.words_of(t), ""])
+    counts = Counter(w for i, t, _ in rows if fold(i) != 1 for w in [*lm.words_of(t), b""])
     total, distinct = sum(counts.values()), len(counts)
-    want = sorted((i if i is not None else -1, fold(i) == 1, len(w), sum(counts[x] > 0 for x in w), total, round(sum(math.log10((counts[x] + 0.5) / (total + 0.5 * (distinct + 1))) for x in w), 6)) for i, t, _ in rows for w in [[*lm.words_of(t), ""]])
+    want = sorted((i if i is not None else -1, fold(i) == 1, len(w), sum(counts[x] > 0 for x in w), total, round(sum(math.log10((counts[x] + 0.5) / (total + 0.5 * (distinct + 1))) for x in w), 6)) for i, t, _ in rows for w in [[*lm.words_of(t), b""]])
     assert sorted((r["id"] if r["id"] is not None else -1, r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in found) == want
-    assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in found)
+    with open(vocabulary_path("byte_bpe_50k.tiktoken"), encoding="ascii") as f:
+        cut = lm.Subwords(f.read())
+    scores = []
+    for i, text, _ in rows:
+        words = [*lm.words_of(text), b""]
+        ids, sizes = cut.flat(words)
+        each, at, score = _slow_log_p(fitted[0][0], ids.tolist(), cut.end), 0, 0.0
+        for w, n in zip(words, sizes.tolist(), strict=True):
+            score += math.log10(0.5 * math.exp(sum(each[at : at + n])) + 0.5 * counts[w] / (total + 0.5 * (distinct + 1)))
+            at += n
+        scores.append((-1 if i is None else i, score))
+    got = sorted((-1 if r["id"] is None else r["id"], r["score"]) for r in found)
+    assert np.allclose([s for _, s in got], [s for _, s in sorted(scores)], rtol=1e-4)
 
 
 def test_lm_of_nothing(spark):
