@@ -159,8 +159,8 @@ def test_lm_scores_and_base_against_brute_force(spark, monkeypatch, head):
         words = [*lm.words_of(text), b""]
         ids, sizes = cut.flat(words)
         each, at, score = _slow_log_p(fitted[0][0], ids.tolist(), cut.end), 0, 0.0
-        for w, n in zip(words, sizes.tolist(), strict=True):
-            score += math.log10(0.5 * math.exp(sum(each[at : at + n])) + 0.5 * counts[w] / (total + 0.5 * (distinct + 1)))
+        for k, (w, n) in enumerate(zip(words, sizes.tolist(), strict=True)):
+            score += math.log10(0.82 * math.exp(sum(each[at : at + n])) + 0.1 * counts[w] / (total + 0.5 * (distinct + 1)) + (0.08 * words[:k].count(w) / k if k else 0.0))
             at += n
         scores.append((-1 if i is None else i, score))
     got = sorted((-1 if r["id"] is None else r["id"], r["score"]) for r in found)
