@@ -93,6 +93,7 @@ def fingerprints(docs: DataFrame, k: int = 3, words: int = 1, id_col: str = "doc
             table = np.array(fps, np.uint64).reshape(-1, words).view(np.int64)
             held = [pa.array(of_sets, pa.int64()), pa.array(sizes, pa.int64())] if sets else []
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(table[:, i].copy()) for i in range(words)), *held], names)
+        tidy()
 
     names = ["row", "id", *(f"w{i}" for i in range(words)), *["of_set", "size"][: 2 * sets]]
     rows = docs.select(row_column(docs).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -190,8 +190,20 @@ def _logistic(rows: list[tuple[float, float]], labels: list[int], weights: list[
     return float(w[0]), float(w[1]), float(w[2])
 
 
+def plain_words(text: str | None) -> Iterator[str]:
+    """The lower-cased words of a text that are neither denied nor reported: only those say how a word is used by the one who writes."""
+    denying, reporting = frozenset(NEGATIONS), frozenset(REPORTS)
+    for clause in _CLAUSE_END.split((text or "").lower()):
+        denied, said = 0, False
+        for w in _WORD.findall(clause):
+            if not denied and not said:
+                yield w
+            denied = REACH if w in denying else max(0, denied - 1)
+            said = said or w in reporting
+
+
 def fit(toxic: list[str | None], clean: list[str | None], rates: tuple[float, float] = (1.0, 1.0)) -> Model:
-    """Learns words and stems that toxic texts have and clean ones lack; without rows of both classes, the fixed words alone. rates: labelled rows that
+    """Learns words and stems that toxic texts have and clean ones lack, unless denied or reported; without rows of both classes, the fixed words alone. rates: labelled rows that
     stand behind a text of each class, so that a bounded sample gives the same cut as all rows."""
     model = Model()
     if not toxic or not clean:
@@ -200,7 +212,7 @@ def fit(toxic: list[str | None], clean: list[str | None], rates: tuple[float, fl
     for texts in (toxic, clean):
         seen: Counter[str] = Counter()
         for t in texts:
-            words = set(_WORD.findall((t or "").lower()))
+            words = set(plain_words(t))
             seen.update({w[:n] for w in words for n in range(STEM[0], STEM[1] + 1) if len(w) > n} | {w + " " for w in words})
         counts.append(seen)
     total = len(toxic), len(clean)

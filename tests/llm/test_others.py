@@ -189,9 +189,9 @@ def test_noise_gives_no_rules(spark):
 
 
 def test_labels_of_urls(spark):
-    urls = [(1, "http://a.net/x/11"), (2, "http://a.net/x/12?y=3"), (3, "http://a.net/2/13"), (4, "http://a.net/14"), (5, "http://a.net/none"), (6, None), (7, "http://a.net/99999999999999999999")]
+    urls = [(1, "http://a.net/x/11"), (2, "http://a.net/x/12?y=3"), (3, "http://a.net/2/13"), (4, "http://a.net/14"), (5, "http://a.net/none"), (6, None), (7, "http://a.net/99999999999999999999"), (8, "http://a.net/15")]
     pages = spark.createDataFrame(urls, "page_id long, url string")
-    labels = spark.createDataFrame([(11, 0, None), (12, 1, 1), (13, None, None), (3, 1, 0), (14, 1, None), (14, 0, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(11, 0, None), (12, 1, 1), (13, None, None), (3, 1, 0), (14, 1, None), (14, 0, None), (15, None, 0), (None, 0, 1)], "doc_id long, quality int, toxic int")
     found = queries.labelled_urls(pages, labels).collect()
     assert sorted(r["blocked"] for r in found) == [False, True, True] and all("h:a.net" in r["items"] for r in found)
 
