@@ -32,6 +32,8 @@ FIT_ROWS = 3000
 LEAST_DOCS, LEAST_ODDS, STEM = 5, 2.5, (4, 8)
 #: Different neighbourhoods that it must have been seen in, and at least this share of the toxic documents.
 LEAST_CONTEXTS, LEAST_SHARE = 8, 0.015
+#: Share of a stem's occurrences that its commonest word has at most.
+ONE_WORD = 0.8
 
 #: Fixed word lists of the grammar, in four languages.
 INSULTS = "dumb fool jerk bastard asshole bitch retard idiota estúpido imbécil basura dummkopf trottel arschloch abschaum connard imbécile ordure salaud".split()
@@ -231,6 +233,14 @@ def fit(toxic: list[str | None], clean: list[str | None], rates: tuple[float, fl
                     around[x].add((before, after))
     least = max(LEAST_CONTEXTS, LEAST_SHARE * total[0])
     good = {x: o for x, o in good.items() if len(around[x]) >= least}
+    # a stem stands for several words: one that nearly always continues as the same word says no more than that word
+    of_stem: dict[str, Counter[str]] = {x: Counter() for x in good if x[-1] != " "}
+    for w, n in counts[0].items():
+        if w[-1] == " ":
+            for k in range(STEM[0], min(STEM[1], len(w) - 2) + 1):
+                if w[:k] in of_stem:
+                    of_stem[w[:k]][w] += n
+    good = {x: o for x, o in good.items() if x not in of_stem or max(of_stem[x].values()) < ONE_WORD * sum(of_stem[x].values())}
     for x in sorted(good, key=len):
         if x[-1] == " ":
             model.words[x[:-1]] = good[x]
