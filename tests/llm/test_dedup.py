@@ -85,6 +85,21 @@ def test_other_file_splits_in_a_later_scan_do_not_mix_up_rows(spark, monkeypatch
     assert sorted(r["doc_id"] for r in kept) == list(range(20))
 
 
+def test_rows_whose_bucket_the_directory_does_not_name_are_lost(spark, monkeypatch):
+    docs = _docs(spark, [(k, f"text {k % 300}") for k in range(600)])
+    assert exact_dedup.exact_groups(spark, docs, capacity=50).count() == 600
+    whole = exact_dedup.directory
+    monkeypatch.setattr(exact_dedup, "directory", lambda keys, capacity: whole(keys, capacity)[1:])
+    assert 300 < exact_dedup.exact_groups(spark, docs, capacity=50).count() < 600
+
+
+def test_a_hot_key_is_dealt_out_and_chained_again(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "PART_ROWS", 50)
+    docs = _docs(spark, [(k, "hot  text" if k % 2 else f"text {k % 7}") for k in range(2000, 0, -1)])
+    found = exact_dedup.exact_groups(spark, docs, capacity=3).collect()
+    assert {(r["keep_id"], r["group_size"]) for r in found if r["id"] % 2} == {(1, 1000)} and sum(r["kept"] for r in found) == 8 and len(found) == 2000
+
+
 def test_directory_splits_only_overfull_buckets(spark):
     keys = spark.range(5000).selectExpr("xxhash64(id) as key")
     buckets = exact_dedup.directory(keys, 100)

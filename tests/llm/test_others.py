@@ -153,6 +153,23 @@ def test_mix_against_its_definition(spark):
     for s, rs in by.items():
         assert all(r["taken"] == r["copies"] * r["size"] and r["copies"] <= 2 and math.isclose(r["target"], target[s]) and r["source_size"] == sum(x["size"] for x in rs) for r in rs)
         assert abs(sum(r["taken"] for r in rs) - target[s]) <= 300
+    # the copies themselves: each source's documents in their order, emitted once for each integer that the running sum of expected copies crosses
+    per_chunk = max(mixing.CHUNK_ROWS[0], len(rows) // mixing.CHUNKS)
+    hashed = docs.select("doc_id", "source", F.xxhash64("doc_id", "text").alias("h"), F.pmod(F.xxhash64(F.lit(20), F.col("source")), F.lit(1 << 30)).alias("draw"), mixing.n_words(F.col("text")).alias("n")).collect()
+    want: Counter = Counter()
+    for s, rs in by.items():
+        mine = [r for r in hashed if r["source"] == s]
+        level = lambda r: math.floor(2 * math.log2(r["n"] + 1))
+        parts = {c: math.ceil(n / per_chunk) for c, n in Counter(map(level, mine)).items()}
+        mine.sort(key=lambda r: (level(r), r["h"] % parts[level(r)], r["n"], r["h"], r["doc_id"] if r["doc_id"] is not None else -1))
+        rate = target[s] / max(1, sum(r["n"] for r in mine))
+        for k, r in enumerate(mine, 1):
+            at = r["draw"] / (1 << 30)
+            want[r["doc_id"], s] += min(2, math.floor(k * rate + at) - math.floor((k - 1) * rate + at))
+    got: Counter = Counter()
+    for r in found:
+        got[r["id"], r["source"]] += r["copies"]
+    assert got == want
     mixed = mixing.mixed(spark, docs)
     assert mixed.columns == docs.columns and mixed.count() == sum(r["copies"] for r in mixing.mix(spark, docs).collect())
     assert mixing.mix(spark, docs.limit(0)).count() == 0
@@ -282,6 +299,26 @@ def test_maximal_conversations_against_brute_force(spark):
 # ---- queries and the pipeline
 
 
+def test_stages_of_odd_and_empty_tables(spark):
+    """Nulls, repeated rows, a very long text, and columns named like those that the stages add; empty tables give empty tables."""
+    from tallybrook.llm import exact_dedup, simhash
+
+    long = " ".join(f"w{k}" for k in range(60_000))
+    rows = [(1, "a b c d e f g", "s"), (1, "a b c d e f g", "s"), (None, None, None), (2, "", "s"), (None, "a  b c d e f g", None), (3, long, "t"), (4, long + " end", "t"), (5, None, "t")]
+    extra = ["__row", "__key", "__copies", "__again", "row", "size", "bucket", "ROW", "node"]
+    docs = spark.createDataFrame([(*r, *range(len(extra) - 1)) for r in rows], "doc_id long, text string, source string, " + ", ".join(f"`{c}` int" for c in extra if c != "ROW"))
+    kept = exact_dedup.drop_exact_copies(spark, docs)
+    assert kept.columns == docs.columns and sorted((r["doc_id"] or 0, r["__row"], r["node"]) for r in kept.collect()) == [(1, 0, 7), (2, 0, 7), (3, 0, 7), (4, 0, 7)]
+    near = simhash.drop_near_copies(spark, docs)
+    assert near.columns == docs.columns and sorted(r["doc_id"] for r in near.collect()) == [1, 2, 3]
+    taken = mixing.mixed(spark, docs)
+    assert taken.columns == docs.columns and {r["__copies"] for r in taken.collect()} <= {2}
+    assert toxicity.drop_toxic(spark, docs, toxicity.Model()).count() == len(rows)
+    none = docs.limit(0)
+    for stage in (exact_dedup.drop_exact_copies, simhash.drop_near_copies, mixing.mixed, lambda s, d: toxicity.drop_toxic(s, d, toxicity.Model())):
+        assert stage(spark, none).count() == 0
+
+
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
