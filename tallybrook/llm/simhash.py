@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import drop_table, materialise, numbered, row_column, row_id, row_name, short_batches, small, tidy
+from tallybrook.llm.common import drop_table, is_numbered, materialise, numbered, row_column, row_id, row_name, short_batches, small, tidy
 from tallybrook.llm.components import components, labels
 
 SEED = 42
@@ -96,7 +96,8 @@ def fingerprints(docs: DataFrame, k: int = 3, words: int = 1, id_col: str = "doc
         tidy()
 
     names = ["row", "id", *(f"w{i}" for i in range(words)), *["of_set", "size"][: 2 * sets]]
-    rows = docs.select(row_column(docs).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    row = row_column(docs) if is_numbered(docs) else row_id()
+    rows = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
@@ -474,7 +475,8 @@ def simhash_components(spark: SparkSession, docs: DataFrame, shingle_words: int
     nodes of their own unless fingerprint and shingle set are both equal. Null and empty texts have fingerprint zero, linked like any other. A null id counts as larger than
     all others; repeated rows and equal texts share their component. No rows: no rows. Other columns are not read."""
     short_batches(spark)
-    docs = numbered(spark, docs, [id_col, text_col])
+    if similarity is not None:  # texts are read again
+        docs = numbered(spark, docs, [id_col, text_col])
     cols = [f"w{i}" for i in range(words)]
     keys = cols if similarity is None else [*cols, "of_set", "size"]
     rows = materialise(spark, fingerprints(docs, shingle_words, words, id_col, text_col, similarity is not None, distinct_shingles), "simhash-rows")
