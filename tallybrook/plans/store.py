@@ -130,6 +130,25 @@ class Store:
             out = out.unionByName(p)
         return out
 
-    def write_jdbc(self, df: DataFrame, url: str, table: str, batch: int = 500, **options: str) -> None:
-        """Appends by JDBC in batches; a failed batch fails its task, which Spark runs again."""
-        df.write.format("jdbc").options(url=url, dbtable=table, batchsize=str(batch), **options).mode("append").save()
+    def write_jdbc(self, df: DataFrame, url: str, table: str, key: list[str] | None = None, batch: int = 500, **options: str) -> None:
+        """Writes by JDBC in batches; the table is made if there is none.
+
+        With a key (columns that are not null), rows go to a staging table first, which is written anew, and one statement then inserts those whose key the table lacks: tasks and jobs that run again change
+        nothing. Without, rows are appended, and those of a task that runs again may be there twice."""
+        there = {"url": url, "batchsize": str(batch), **options}
+        df.limit(0).write.format("jdbc").options(dbtable=table, **there).mode("ignore").save()
+        if key is None:
+            df.write.format("jdbc").options(dbtable=table, **there).mode("append").save()
+            return
+        staging = f"{table}_staging"
+        df.dropDuplicates(key).write.format("jdbc").options(dbtable=staging, **there).mode("overwrite").save()
+        names, same = ", ".join(f'"{c}"' for c in df.columns), " AND ".join(f't."{k}" = s."{k}"' for k in key)
+        said = self.spark._jvm.java.util.Properties()
+        for k in ("user", "password"):
+            if k in options:
+                said.setProperty(k, options[k])
+        held = self.spark._jvm.java.sql.DriverManager.getConnection(url, said)
+        try:
+            held.createStatement().executeUpdate(f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} s WHERE NOT EXISTS (SELECT 1 FROM {table} t WHERE {same})")
+        finally:
+            held.close()

@@ -27,6 +27,7 @@ def invoices(n: int, start: dt.datetime = START, seed: int = 42) -> list[dict]:
         out.append(_invoice(k, v, average[v] * rng.uniform(0.85, 1.15), at))
         at += dt.timedelta(seconds=rng.randint(2, 8))
 
+    # fixed values: amounts on either side of the rules' thresholds for the seed baseline, and the bursts and repeated ids that the tests count
     def plant(vendor: str, amounts: list[float], step: int, invoice_id: str | None = None) -> None:
         nonlocal at
         for a in amounts:

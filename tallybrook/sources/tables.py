@@ -21,7 +21,7 @@ def load_baseline(spark: SparkSession, path: str) -> DataFrame:
 
 
 def jdbc_baseline(spark: SparkSession, url: str, table: str = "vendor_90day_baseline", **options: str) -> DataFrame:
-    """The baseline by JDBC; its driver must be on the class path."""
+    """The baseline by JDBC; its driver must be on the class path. With partitionColumn, lowerBound, upperBound and numPartitions it is read by several tasks."""
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load().select(*(F.col(f.name).cast(f.dataType) for f in BASELINE if f.name != "refreshed_at"))
 
 

@@ -74,6 +74,25 @@ def test_missing_rows_are_looked_for_in_their_days_alone(spark, tmp_path):
     assert store.read("gold_fraud_alerts").count() == 4
 
 
+def test_jdbc_there_and_back(spark, tmp_path):
+    url, store = "jdbc:derby:memory:tallybrook;create=true", Store(spark, str(tmp_path))
+    try:
+        spark._jvm.java.sql.DriverManager.getConnection(url).close()
+    except Exception:
+        pytest.skip("no Derby driver")
+    seed = tables.seed_baseline(spark)
+    short = {"createTableColumnTypes": "vendor_id VARCHAR(64)"}  # Derby does not compare the long texts that it would get
+    for _ in range(2):
+        store.write_jdbc(seed, url, "vendor_90day_baseline", ["vendor_id"], **short)
+    store.write_jdbc(seed.withColumn("vendor_id", F.concat("vendor_id", F.lit("x"))).union(seed), url, "vendor_90day_baseline", ["vendor_id"], batch=2, **short)
+    found = tables.jdbc_baseline(spark, url, partitionColumn='"avg_daily_invoice_cnt"', lowerBound="0", upperBound="40", numPartitions="3")
+    assert found.rdd.getNumPartitions() == 3
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, seed.drop("refreshed_at").union(seed.drop("refreshed_at").withColumn("vendor_id", F.concat("vendor_id", F.lit("x")))).collect()))
+    store.write_jdbc(seed.select("vendor_id"), url, "plain")
+    store.write_jdbc(seed.select("vendor_id"), url, "plain")
+    assert spark.read.format("jdbc").options(url=url, dbtable="plain").load().count() == 10
+
+
 def test_a_missing_required_column_raises(spark):
     with pytest.raises(ValueError, match="vendor_id"):
         conform(spark.range(1).withColumnRenamed("id", "x"), "gold_fraud_alerts")

@@ -122,6 +122,14 @@ def test_suppressed_duplicates_are_counted(spark, feed, tmp_path):
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
 
 
+def test_a_stream_at_intervals_runs_until_it_is_stopped(spark, feed, tmp_path):
+    found = jobs.anomaly_stream(_stream(spark, feed), tables.seed_baseline(spark), CFG).select("invoice_id", "rule_name")
+    query = jobs.to_files(found, str(tmp_path / "out"), str(tmp_path / "check"), dataclasses.replace(CFG, trigger=1))
+    query.processAllAvailable()
+    assert query.isActive and spark.read.parquet(str(tmp_path / "out")).count() > 0
+    query.stop()
+
+
 def test_daily_windows(spark, feed, tmp_path):
     days = jobs.daily_stream(_stream(spark, feed), CFG)
     jobs.to_files(days, str(tmp_path / "out"), str(tmp_path / "check"), CFG, once=True).awaitTermination()
