@@ -60,6 +60,17 @@ def _texts(n: int, seed: int) -> list[str]:
     return [" ".join(rng.choices(["the", "of", *words], k=rng.randint(3, 80))) for _ in range(n)]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("abé'sÉ12½²!?._ \x85\xa0\u2003\u3000\x1c\x1f中🙂\u0301"), min_size=1, max_size=6), min_size=1, max_size=8))
+def test_lm_words_cut_together_are_as_cut_alone(texts):
+    with open(vocabulary_path("byte_bpe_50k.tiktoken"), encoding="ascii") as f:
+        cut = lm._subwords(f.read())
+    words = [w for t in texts for w in lm.words_of(t)]
+    cut.kept = {lm.END_WORD: cut.close}
+    ids, sizes = cut.flat(words)
+    assert ids.tolist() == [i for w in words for i in cut.encode(" " + w.decode())] and sizes.tolist() == [len(cut.encode(" " + w.decode())) for w in words]
+
+
 def test_lm_windows_score_each_id_once():
     for sizes in ([1], [lm.WINDOW], [lm.WINDOW + 1], [3, 100, 1, 57, 24, 25]):
         sizes = np.array(sizes)
