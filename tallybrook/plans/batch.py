@@ -69,12 +69,18 @@ def nightly_rolling(store: Store, cfg: Config) -> None:
     store.upsert(rolled.select("vendor_id", "feature_date", *names), "vendor_daily_behavioral_features", names)
 
 
+def features_view(store: Store, since: dt.date, until: dt.date, name: str = "vendor_daily_features_view") -> DataFrame:
+    """Behaviour with its day's alerts, from both feature layers, also as a temporary view that SQL can name."""
+    risk = store.read("vendor_daily_risk_features", since=since, until=until).select("vendor_id", "feature_date", *features.RISK_COUNTS)
+    found = features.features_view(store.read("vendor_daily_behavioral_features", since=since, until=until), risk)
+    found.createOrReplaceTempView(name)
+    return found
+
+
 def nightly_trust(store: Store, cfg: Config) -> None:
     """Scores of the day; run again, they replace themselves."""
     day = cfg.as_of
-    behave = store.read("vendor_daily_behavioral_features", since=day, until=day)
-    risk = store.read("vendor_daily_risk_features", since=day, until=day).select("vendor_id", "feature_date", *features.RISK_COUNTS)
-    found = scores.trust_scores(features.features_view(behave, risk), cfg, day)
+    found = scores.trust_scores(features_view(store, day, day), cfg, day)
     store.overwrite_days(found.withColumn("computed_at", F.current_timestamp()), "vendor_trust_scores")
 
 

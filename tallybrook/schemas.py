@@ -43,11 +43,15 @@ LAYERS = {
 }
 
 
+#: Columns whose default is the time of writing.
+DEFAULT_NOW = ("ingested_at", "computed_at", "refreshed_at")
+
+
 def conform(df: DataFrame, layer: str) -> DataFrame:
-    """df with exactly the layer's columns and types, missing nullable ones as null; a missing column that may not be null raises."""
+    """df with exactly the layer's columns and types, missing nullable ones as their default or null; a missing column that may not be null raises."""
     from pyspark.sql import functions as F
 
     schema = LAYERS[layer].schema
     if gone := [f.name for f in schema if f.name not in df.columns and not f.nullable]:
         raise ValueError(f"{layer} needs {', '.join(gone)}")
-    return df.select(*((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema))
+    return df.select(*((F.col(f.name) if f.name in df.columns else F.current_timestamp() if f.name in DEFAULT_NOW else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema))

@@ -27,6 +27,9 @@ def test_batch_and_nightly_twice_give_the_same(spark, tmp_path):
     assert a == b and scores == scores_again and ranks == ranks_again == len(scores) == 7
     assert a["bronze_raw_events"] == b["bronze_raw_events"] == 113 + 50 and a["silver_deduplicated_invoices"] == b["silver_deduplicated_invoices"] == 110
     assert b["gold_fraud_alerts"] == a["gold_fraud_alerts"] and b["vendor_daily_behavioral_features"] == 7
+    viewed = spark.sql("SELECT count(*) AS n, sum(total_alert_count) AS alerts FROM vendor_daily_features_view").first()
+    assert viewed["n"] == 7 and viewed["alerts"] == b["gold_fraud_alerts"]
+    assert store.read("silver_deduplicated_invoices").where("ingested_at is null").count() == 0
     rolled = store.read("vendor_daily_behavioral_features", since=cfg.as_of)
     assert rolled.where("invoice_count_7d is null").count() == 0
     batch.refresh_baseline(store, cfg)
