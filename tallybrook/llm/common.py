@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import gc
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybrook.session import shared_dir
@@ -104,3 +105,23 @@ def n_words(text: Column) -> Column:
     """Number of runs of other than white space; null: 0. Counts marks left in place of the words, so no word is copied."""
     marks = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), f"^{WS}+", ""), f"{NOT_WS}+{WS}*", "x")
     return F.length(marks).cast("long")
+
+
+def ranked(spark: SparkSession, df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """df with ``place``, a row's number from 0 within its group in ascending order (nulls first), and ``members``, the rows of the group. Groups hold rows whose columns
+    ``group`` are equal, null with null; ``order`` must not leave ties between rows that differ. df has no
+    columns named place or members.
+
+    Rows are dealt by ranges of (group, order) and written in order, so a group of any size is spread over tasks. What a part has of a group is counted; running sums of these counts, at most as many
+    as parts and groups together, give each part's first place."""
+    part, at, n, first = fresh_name(df, "part"), fresh_name(df, "at"), fresh_name(df, "n"), fresh_name(df, "first")
+    keys = [*group, *order]
+    dealt = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    rows = materialise(spark, dealt.withColumns({part: F.spark_partition_id(), at: row_id()}), name)
+    each = rows.groupBy(*group, part).agg(F.min(at).alias(first), F.count("*").alias(n))
+    within = Window.partitionBy(*group or [F.lit(0)])
+    before = F.sum(n).over(within.orderBy(part)) - F.col(n)
+    starts = each.select(*(F.col(c).alias(f"{part}_{c}") for c in group), F.col(part).alias(f"{part}_"), (before - F.col(first)).alias(first), F.sum(n).over(within).alias("members"))
+    starts = materialise(spark, starts, f"{name}-starts")
+    same = functools.reduce(Column.__and__, [F.col(part) == F.col(f"{part}_"), *(F.col(c).eqNullSafe(F.col(f"{part}_{c}")) for c in group)])
+    return rows.join(small(starts, starts.count()), same).withColumn("place", F.col(at) + F.col(first)).select(*df.columns, "place", "members")
