@@ -1,8 +1,8 @@
 """Phrase mining: n-grams that occur often and whose parts seldom occur apart, by language.
 
-All n-grams of one word up to MOST words become rows and are counted by hash aggregation. As nearly all of them are rare, they are counted by
-a 64-bit key of their words first, which is light to shuffle; no n-gram occurs more often than its key. The n-grams of the keys that reach the least count, and of no others,
-are then counted by their words, so that keys that meet change no count. Parts of a phrase occur at least as often as the phrase itself, so the counts that a score needs are all there.
+N-grams of one word up to MOST words become rows and are counted by hash aggregation: words first, then pairs of words, then all longer ones. An n-gram occurs no more often than
+any part of it, so pairs with a word that does not reach the least count, and longer n-grams with such a pair, are left out before they are counted: no count that
+matters changes, and the shuffle stays light. Words and pairs are looked up by 64-bit keys; keys that meet only let some more n-grams through. Counts are by the words themselves.
 """
 
 from __future__ import annotations
@@ -32,34 +32,57 @@ def pieces(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> D
     return each.select("lang", F.array_remove(F.split("piece", GAPS), "").alias("words")).where(F.size("words") > 0)
 
 
-def grams(found: DataFrame, most: int = MOST) -> DataFrame:
-    """(lang, w0 to w{most-1}, n, key) of all n-grams: the words at a place and after it, of which the n-gram has the first n. A key is made from the key of one word less and the last word."""
+def places(found: DataFrame, most: int) -> DataFrame:
+    """(lang, w0 to w{most-1}) of every place: its word and those after it in the piece, null beyond its end."""
     words = [F.col("words") if k == 0 else F.slice("words", k + 1, F.greatest(F.size("words") - k, F.lit(0))) for k in range(most)]
-    at = found.select("lang", F.explode(F.arrays_zip(*(w.alias(f"w{k}") for k, w in enumerate(words)))).alias("at")).select("lang", *(F.col(f"at.w{k}").alias(f"w{k}") for k in range(most)))
-    keys = [F.xxhash64("lang", "w0")]
-    for k in range(1, most):
-        keys.append(F.xxhash64(keys[-1], F.col(f"w{k}")))
-    kept = F.array(*(F.struct(F.lit(k + 1).alias("n"), F.when(F.col(f"w{k}").isNotNull(), key).alias("key")) for k, key in enumerate(keys)))
-    rows = at.select("*", F.explode(kept).alias("gram"))
-    return rows.select("lang", *(f"w{k}" for k in range(most)), F.col("gram.n").alias("n"), F.col("gram.key").alias("key")).where("key is not null")
-
-
-def counted(spark: SparkSession, docs: DataFrame, most: int = MOST, least: int = LEAST, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, words, a), written: the n-grams of one to ``most`` words that occur at least so often, each with its exact count."""
-    rows = grams(pieces(docs, lang_col, text_col), most)
-    keys = materialise(spark, rows.groupBy("key").agg(F.count("*").alias("a")).where(F.col("a") >= least).select("key"), "phrase-keys")
-    held = rows.join(small(keys, keys.count(), KEYS), "key", "left_semi")
-    words = F.slice(F.array(*(f"w{k}" for k in range(most))), 1, F.col("n"))
-    exact = held.select("lang", F.array_join(words, " ").alias("phrase")).groupBy("lang", "phrase").agg(F.count("*").alias("a"))
-    return materialise(spark, exact.where(F.col("a") >= least).select("lang", F.split("phrase", " ").alias("words"), "phrase", "a"), "phrase-counts")
-
-
-def n_words(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, n): all word occurrences of each language, counted by marks left in place of words."""
-    apart = r"[.,;:!?\x09-\x0D\x20]"
-    within = r"[^.,;:!?\x09-\x0D\x20]"
-    marks = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(text_col).cast("string"), F.lit("")), f"^{apart}+", ""), f"{within}+{apart}*", "x")
-    return docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.length(marks).cast("long").alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
+    at = found.select("lang", F.explode(F.arrays_zip(*(w.alias(f"w{k}") for k, w in enumerate(words)))).alias("at"))
+    return at.select("lang", *(F.col(f"at.w{k}").alias(f"w{k}") for k in range(most)))
+
+
+def _key(*words: str) -> Column:
+    return F.xxhash64("lang", *words)
+
+
+def counted(spark: SparkSession, docs: DataFrame, most: int = MOST, least: int = LEAST, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(lang, words, phrase, a), written: the n-grams of one to ``most`` words that occur at least so often, each with its exact count; and (lang, n), the occurrences of all words."""
+    found = pieces(docs, lang_col, text_col)
+    count = lambda df: df.groupBy("lang", "phrase").agg(F.count("*").alias("a"))
+    words = materialise(spark, count(found.select("lang", F.explode("words").alias("phrase"))), "phrase-words")
+    parts = [words.where(F.col("a") >= least)]
+
+    def keys(df: DataFrame, *cut: Column) -> DataFrame:
+        """The keys of n-grams, to be looked up."""
+        held = materialise(spark, df.select(F.xxhash64("lang", *cut).alias("held")).distinct(), "phrase-keys")
+        return small(held, held.count(), KEYS)
+
+    if most > 1:
+        known = keys(parts[0], F.col("phrase"))
+        pairs = places(found, 2).where("w1 is not null").join(known, _key("w0") == F.col("held"), "left_semi").join(known, _key("w1") == F.col("held"), "left_semi")
+        pairs = count(pairs.select("lang", F.concat_ws(" ", "w0", "w1").alias("phrase"))).where(F.col("a") >= least)
+        parts.append(materialise(spark, pairs, "phrase-pairs"))
+    if most > 2:
+        halves = F.split("phrase", " ")
+        known = keys(parts[1], halves[0], halves[1])
+        at = places(found, most).where("w2 is not null")
+        for k in range(2):
+            at = at.join(known, _key(f"w{k}", f"w{k + 1}") == F.col("held"), "left_semi")
+        longer = [F.concat_ws(" ", "w0", "w1", "w2")]
+        for k in range(3, most):  # null as soon as a pair on the way is rare
+            at = at.join(known.withColumnRenamed("held", f"held{k}"), F.when(F.col(f"w{k}").isNotNull(), _key(f"w{k - 1}", f"w{k}")) == F.col(f"held{k}"), "left")
+            longer.append(F.when(longer[-1].isNotNull() & F.col(f"held{k}").isNotNull(), F.concat_ws(" ", longer[-1], f"w{k}")))
+        rows = at.select("lang", F.explode(F.array(*longer)).alias("phrase")).where("phrase is not null")
+        parts.append(count(rows).where(F.col("a") >= least))
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    totals = words.groupBy("lang").agg(F.sum("a").alias("n"))
+    return materialise(spark, every.select("lang", F.split("phrase", " ").alias("words"), "phrase", "a"), "phrase-counts"), totals
+
+
+def score(a: Column, left: Column, right: Column) -> Column:
+    """floor(2000000 a / (left + right)), exact: products may pass 64 bits."""
+    wide = "decimal(19,0)"
+    return F.call_function("div", F.lit(2_000_000).cast("decimal(7,0)") * a.cast(wide), left.cast(wide) + right.cast(wide))
 
 
 def phrases(spark: SparkSession, docs: DataFrame, most: int = MOST, least: int = LEAST, top: int = TOP, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -68,7 +91,7 @@ def phrases(spark: SparkSession, docs: DataFrame, most: int = MOST, least: int =
     a, l and r are the counts of a phrase, of its part before and of its part after the cut with the lowest score, floor(2000000 a / (l + r)), made in decimals; n counts the language's words. Phrases within a longer
     one that has at least 80 % of their count are dropped. As each extension by one word occurs at least as often as a longer one, extensions by one word decide. Order: score and count downward, then UTF-8 bytes. Texts
     that are null, empty or without words give nothing; a null language is ``und``; repeated rows count as often as they occur; without candidates there are no rows. Other columns are not read."""
-    counts = counted(spark, docs, most, least, lang_col, text_col)
+    counts, totals = counted(spark, docs, most, least, lang_col, text_col)
     size = F.size("words")
     part = lambda first, n: F.array_join(F.slice("words", first, n), " ")
     candidates = counts.where(size >= 2)
@@ -76,13 +99,12 @@ def phrases(spark: SparkSession, docs: DataFrame, most: int = MOST, least: int =
     cuts = cuts.select("lang", "phrase", "a", "k", part(F.lit(1), F.col("k")).alias("left"), part(F.col("k") + 1, size - F.col("k")).alias("right"))
     of = lambda side, name: counts.select("lang", F.col("phrase").alias(side), F.col("a").alias(name))
     cuts = cuts.join(of("left", "l"), ["lang", "left"]).join(of("right", "r"), ["lang", "right"])
-    wide = "decimal(19,0)"
-    score = (F.lit(2_000_000).cast("decimal(7,0)") * F.col("a").cast(wide)).alias("x")
-    cuts = cuts.select("lang", "phrase", "a", "k", "l", "r", score, (F.col("l").cast(wide) + F.col("r").cast(wide)).alias("y")).withColumn("score", F.expr("x div y"))
+    cuts = cuts.withColumn("score", score(F.col("a"), F.col("l"), F.col("r")))
     best = cuts.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     longer = counts.where(size >= 3)
     inner = longer.select("lang", part(F.lit(1), size - 1).alias("inner"), "a").unionByName(longer.select("lang", part(F.lit(2), size - 1).alias("inner"), "a"))
     inner = inner.groupBy(F.col("lang").alias("lang_"), "inner").agg(F.max("a").alias("most"))
+    wide = "decimal(19,0)"
     stands = F.col("most").cast(wide) * 100 >= F.col("a").cast(wide) * STANDS
     kept = best.join(inner, (F.col("lang") == F.col("lang_")) & (F.col("phrase") == F.col("inner")) & stands, "left_anti")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
@@ -91,5 +113,4 @@ def phrases(spark: SparkSession, docs: DataFrame, most: int = MOST, least: int =
     parted = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
     first = kept.withColumn("rank", F.row_number().over(parted)).where(F.col("rank") <= top)
     ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
-    totals = n_words(docs, lang_col, text_col)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
