@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 import math
+import os
 import random
 
 import numpy as np
@@ -93,10 +95,23 @@ def _model(texts):
     return cut, flat, sizes, lambda: lm.start(rows, lm.classes_of(rows, pairs), counts, pairs)
 
 
+def _blocks(model, flat, sizes, share=1.0):
+    hashes = np.arange(len(sizes), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return lm.drawn(np.append(model.rows[-1], model.rows[flat]).astype(np.int64), sizes, hashes, share)
+
+
+def _trained(model, flat, sizes):
+    squares = {p: np.full(getattr(model, p).shape, 1e-4, np.float32) for p in lm.PARTS}
+    hashes, blocks = _blocks(model, flat, sizes)
+    lm.train(model, squares, blocks[np.argsort(hashes)])
+    model.tame = lm._tame(model)
+    return model
+
+
 def test_lm_attention_is_causal_and_a_distribution():
     texts = _texts(60, 1)
     cut, flat, sizes, start = _model(texts)
-    model = lm.train(start(), [b for t in texts for b in lm.blocks(start(), cut, t, 1.0)])
+    model = _trained(start(), flat, sizes)
     # the probabilities of all ids after a prefix sum to one
     prefix = flat[:5]
     every = np.arange(0, cut.end + 1)
@@ -113,21 +128,53 @@ def test_lm_attention_is_causal_and_a_distribution():
     assert lm.log_p(model, flat, sizes, cut.end).sum() > lm.log_p(start(), flat, sizes, cut.end).sum()
 
 
-def test_lm_blocks_are_the_text_in_order():
-    texts = _texts(30, 3)
-    cut, _, _, start = _model(texts)
+def test_lm_blocks_cover_whole_texts():
+    _, flat, sizes, start = _model([*_texts(30, 3), "", "one", " ".join(_texts(40, 5))])
     model = start()
-    for text in [*texts, "", None]:
-        ids, _ = cut.flat([*lm.words_of(text), lm.END_WORD])
-        before, target = model.rows[np.append(cut.end, ids[:-1])], model.cls[ids]
-        at = 0
-        for b, t in lm.blocks(model, cut, text, 1.0):  # a block may end before its words do
-            while not (np.array_equal(before[at : at + len(b)], b) and np.array_equal(target[at : at + len(t)], t)):
-                at += 1
-                assert at < len(ids)
-            assert len(b) == len(t) <= lm.WINDOW
-    drawn = [len(lm.blocks(model, cut, " ".join([t] * 50), 0.25)) / len(lm.blocks(model, cut, " ".join([t] * 50), 1.0)) for t in texts]
-    assert 0.2 < np.mean(drawn) < 0.3
+    rows = np.append(model.rows[-1], model.rows[flat])
+    hashes, blocks = _blocks(model, flat, sizes)
+    want, at = [], 0
+    for n in sizes.tolist():
+        want += [rows[at + k : at + min(k + lm.WINDOW, n) + 1].tolist() for k in range(0, n, lm.WINDOW)]
+        at += n
+    assert [b[b >= 0].tolist() for b in blocks] == want and len(set(hashes.tolist())) == len(hashes)
+    assert sum(len(w) - 1 for w in want) == len(flat)  # each id is a target once
+    _, some = _blocks(model, np.tile(flat, 30), np.tile(sizes, 30), 0.25)
+    assert 0.2 < len(some) / (30 * len(blocks)) < 0.3
+
+
+def test_lm_gradients_are_those_of_the_loss():
+    _, flat, sizes, start = _model(_texts(20, 6))
+    _, blocks = _blocks(start(), flat, sizes)
+    blocks = blocks[:2]
+
+    def loss(m):
+        before, target = np.maximum(blocks[:, :-1], 0).astype(int), blocks[:, 1:].astype(int)
+        of_row = np.zeros(len(m.last), int)
+        of_row[m.rows] = m.cls
+        z = lm.forward(m, before)[0].astype(np.float64)
+        p = z - np.log(np.exp(z - z.max(-1, keepdims=True)).sum(-1, keepdims=True)) - z.max(-1, keepdims=True)
+        use = target >= 0
+        return -np.take_along_axis(p, of_row[np.maximum(target, 0)][..., None], 2)[..., 0][use].mean()
+
+    rng, model = np.random.default_rng(1), start()
+    model.out += rng.normal(0, 0.3, model.out.shape).astype(np.float32)
+    for name in lm.PARTS:
+        stepped = dataclasses.replace(model, **{p: getattr(model, p).copy() for p in lm.PARTS})
+        squares = {p: np.full(getattr(model, p).shape, 1e12, np.float32) for p in lm.PARTS}  # so that a step is RATE / 1e6 times the gradient
+        before = {p: getattr(stepped, p).astype(np.float64) for p in lm.PARTS}
+        for p in lm.PARTS:
+            setattr(stepped, p, before[p].astype(np.float64))
+        lm.train(stepped, {p: x.astype(np.float64) for p, x in squares.items()}, blocks)
+        slope = (before[name] - getattr(stepped, name)) * 1e6 / lm.RATE
+        at = np.unravel_index(np.argmax(np.abs(slope)), slope.shape)
+        eps = 1e-2
+        moved = []
+        for sign in (1, -1):
+            other = dataclasses.replace(model, **{p: getattr(model, p).astype(np.float64) for p in lm.PARTS})
+            getattr(other, name)[at] += sign * eps
+            moved.append(loss(other))
+        assert math.isclose((moved[0] - moved[1]) / (2 * eps), slope[at], rel_tol=0.05, abs_tol=1e-5), name
 
 
 def _slow_log_p(m, ids, end):
@@ -170,10 +217,14 @@ def test_lm_scores_and_base_against_brute_force(spark, monkeypatch, head):
         words = [*lm.words_of(text), b""]
         ids, sizes = cut.flat(words)
         each, at, score = _slow_log_p(fitted[0][0], ids.tolist(), cut.end), 0, 0.0
-        for k, (w, n) in enumerate(zip(words, sizes.tolist(), strict=True)):
-            score += math.log10(0.82 * math.exp(sum(each[at : at + n])) + 0.1 * counts[w] / (total + 0.5 * (distinct + 1)) + (0.08 * words[:k].count(w) / k if k else 0.0))
+        for w, n in zip(words, sizes.tolist(), strict=True):
+            score += math.log10(0.9 * math.exp(sum(each[at : at + n])) + 0.1 * counts[w] / (total + 0.5 * (distinct + 1)))
             at += n
         scores.append((-1 if i is None else i, score))
+    alone = {-1 if r["id"] is None else r["id"]: r["attention_score"] for r in found}
+    for i, text, _ in rows:
+        ids, _ = cut.flat([*lm.words_of(text), b""])
+        assert math.isclose(alone[-1 if i is None else i], sum(_slow_log_p(fitted[0][0], ids.tolist(), cut.end)) / math.log(10), rel_tol=1e-4)
     got = sorted((-1 if r["id"] is None else r["id"], r["score"]) for r in found)
     assert np.allclose([s for _, s in got], [s for _, s in sorted(scores)], rtol=1e-4)
 
@@ -181,3 +232,31 @@ def test_lm_scores_and_base_against_brute_force(spark, monkeypatch, head):
 def test_lm_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert lm.score(spark, docs, vocabulary_path("byte_bpe_50k.tiktoken")).count() == 0
+
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="needs the given tables")
+def test_lm_beats_the_base_and_does_not_depend_on_tasks(spark):
+    """Bits a word of the held-out fold: the model's are fewer than the unigram base's, and the same from one task or sixteen."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    bits = []
+    for tasks in (1, 16):
+        found = lm.score(spark, docs.repartition(tasks), vocabulary_path("byte_bpe_50k.tiktoken")).where("held_out")
+        n, base, score = found.selectExpr("sum(n_tokens)", "sum(base_score)", "sum(score)").first()
+        bits.append(-score / n * math.log2(10))
+        assert bits[-1] < -base / n * math.log2(10)
+    assert abs(bits[0] - bits[1]) < 0.01
+
+
+def test_lm_shards_are_averaged(spark):
+    texts = _texts(400, 7)
+    _, flat, sizes, start = _model(texts)
+    hashes, blocks = _blocks(start(), flat, sizes)
+    df = spark.createDataFrame([(int(h), b.tobytes()) for h, b in zip(hashes, blocks, strict=True)], "hash long, block binary")
+    loss = lambda m: -lm.log_p(m, flat, sizes, len(start().rows) - 1).mean()
+    one, many = (lm.trained(df.repartition(parts), start(), len(blocks), shard=len(blocks) // shards) for parts, shards in ((2, 1), (5, 8)))
+    again = lm.trained(df.repartition(7), start(), len(blocks), shard=len(blocks) // 8)
+    assert all(np.allclose(getattr(many, p), getattr(again, p), atol=1e-3) for p in lm.PARTS)
+    assert loss(one) < loss(start()) and loss(many) < loss(start())
