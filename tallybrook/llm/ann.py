@@ -1,8 +1,8 @@
 """Approximate nearest neighbours: a forest of random-projection trees searched through one priority queue, then exact reranking.
 
 The trees' planes are fitted on a bounded sample of rows, chosen by hash, on the driver; every row is indexed. Equal vectors share
-one entry, so a very common vector fills no leaf: an entry holds the k + 1 smallest ids of its vector, all that k nearest with ties to the
-smaller id can ever use. A query walks all trees through one queue ordered by the smallest distance to a plane crossed on the way, and
+one entry, so a very common vector fills no leaf: an entry holds the 2 k smallest ids of its vector, all that k nearest with ties to the
+smaller id can ever use; repeated rows count as often as they occur. A query walks all trees through one queue ordered by the smallest distance to a plane crossed on the way, and
 takes leaves until they hold enough sample points. Queries meet the entries of their leaves in an equi-join; distances are exact,
 in double precision. While few rows are indexed, a query's leaves are all leaves, and the search is exact.
 
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import materialise, short_batches
+from tallybrook.llm.common import materialise, row_id, short_batches
 
 #: Vectors that planes are fitted on at most, trees, sample points of a leaf at most, and the share of the trees' sample points that a query visits (but at least LEAST_SEEN).
 SAMPLE, TREES, LEAF, SEEN, LEAST_SEEN = 16_384, 12, 32, 0.05, 4_000
@@ -135,18 +135,18 @@ def nearest(spark: SparkSession, vectors: DataFrame, k: int = 10, query_every: i
     rows = rows.where(F.size("v") == dim)
     kind = dict(rows.dtypes)["v"]
 
-    # the k + 1 smallest ids of each vector: of a run of ids, each task keeps its own smallest before they meet
-    of_vector = Window.partitionBy("v", "salt").orderBy("id")
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(64)))
-    first = salted.withColumn("n", F.row_number().over(of_vector)).where(F.col("n") <= k + 1)
-    entries = first.groupBy("v").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids"))  # at most 64 (k + 1) ids meet
-    entries = materialise(spark, entries, "ann-entries")
+    # the 2 k smallest ids of each vector, an id k times at most, so that k are left without the query's own: of a run of ids, each task keeps its own smallest before they meet
+    counted = rows.groupBy("v", "id").agg(F.least(F.count("*"), F.lit(k)).alias("times")).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(64)))
+    first = counted.withColumn("n", F.row_number().over(Window.partitionBy("v", "salt").orderBy("id"))).where(F.col("n") <= 2 * k)
+    each = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("id", "times"))), lambda x: F.array_repeat(x["id"], x["times"].cast("int"))))
+    entries = first.groupBy("v").agg(F.slice(each, 1, 2 * k).alias("ids"))  # at most 64 * 2 k ids meet
+    entries = materialise(spark, entries.withColumn("entry", row_id()), "ann-entries")
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = batch.column("v").flatten().to_numpy().reshape(-1, dim)
             for t, tree in enumerate(forest.value):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), t, np.int32)), pa.array(leaves_of(tree, v.astype(np.float32)).astype(np.int32)), batch.column("v"), batch.column("ids")], ["tree", "leaf", "v", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), t, np.int32)), pa.array(leaves_of(tree, v.astype(np.float32)).astype(np.int32)), batch.column("v"), batch.column("entry"), batch.column("ids")], ["tree", "leaf", "v", "entry", "ids"])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,26 +161,30 @@ def nearest(spark: SparkSession, vectors: DataFrame, k: int = 10, query_every: i
     n_leaves = int(np.mean([(tree.left < 0).sum() for tree in forest.value]))
     rows_blocks = 1 + n_entries // n_leaves // BLOCK
     query_blocks = 1 + int(n_queries * enough / (len(x) * trees)) // BLOCK
-    leaves = entries.mapInArrow(index, f"tree int, leaf int, v {kind}, ids array<long>").withColumn("block", F.pmod(F.xxhash64("v"), F.lit(rows_blocks)))
-    leaves = leaves.groupBy("tree", "leaf", "block").agg(F.collect_list(F.struct("v", "ids")).alias("held"))
+    leaves = entries.mapInArrow(index, f"tree int, leaf int, v {kind}, entry long, ids array<long>").withColumn("block", F.pmod(F.xxhash64("v"), F.lit(rows_blocks)))
+    leaves = leaves.groupBy("tree", "leaf", "block").agg(F.collect_list(F.struct("v", "entry", F.col("ids")[0].alias("least"), F.try_element_at("ids", F.lit(-1)).alias("most"))).alias("held"))
     walks = queries.select("id", "v").mapInArrow(walk, f"query_id long, tree int, leaf int, q {kind}").withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)))
     asked = walks.groupBy("tree", "leaf", "part").agg(F.collect_list(F.struct("query_id", "q")).alias("asked"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Blocks of a leaf's entries against blocks of its queries; of each query the ids of its k + 1 nearest entries leave, with ties."""
+        """Blocks of a leaf's entries against blocks of its queries; of each query its k + 1 nearest entries leave, with ties. Entries of the query's own id alone are not measured."""
         for batch in batches:
             for r in range(batch.num_rows):
                 held, asks = batch.column("held")[r].values, batch.column("asked")[r].values
                 v, q = (x.flatten().to_numpy().reshape(-1, dim).astype(np.float64) for x in (held.field("v"), asks.field("q")))
-                ids, qids = held.field("ids").to_pylist(), asks.field("query_id").to_pylist()
+                entry, least, last, qids = (x.to_numpy() for x in (held.field("entry"), held.field("least"), held.field("most"), asks.field("query_id")))
                 far = _distances(q, v)
+                far[(least[None, :] == qids[:, None]) & (last[None, :] == qids[:, None])] = np.inf
                 most = np.partition(far, k, 1)[:, k] if len(v) > k + 1 else np.full(len(q), np.inf)
-                near = [(qid, i, d) for row, (qid, m) in enumerate(zip(qids, most, strict=True)) for e in np.flatnonzero(far[row] <= m).tolist() for i in ids[e] for d in (float(far[row, e]),) if i != qid]
-                yield pa.RecordBatch.from_arrays([pa.array([n[0] for n in near], pa.int64()), pa.array([n[1] for n in near], pa.int64()), pa.array([n[2] for n in near], pa.float64())], ["query_id", "vec_id", "score"])
-
-    found = asked.join(leaves, ["tree", "leaf"]).select("held", "asked").mapInArrow(measure, "query_id long, vec_id long, score double")
-    once = found.groupBy("query_id", "vec_id", "score").agg(F.count("*").alias("seen"))
-    ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))
+                row, e = np.nonzero((far <= most[:, None]) & (far < np.inf))
+                yield pa.RecordBatch.from_arrays([pa.array(qids[row]), pa.array(entry[e]), pa.array(least[e]), pa.array(far[row, e])], ["query_id", "entry", "least", "score"])
+
+    found = asked.join(leaves, ["tree", "leaf"]).select("held", "asked").mapInArrow(measure, "query_id long, entry long, least long, score double")
+    once = found.groupBy("query_id", "entry").agg(F.min("least").alias("least"), F.min("score").alias("score"))
+    # each entry gives one id at least, and the k nearest rows are in the first k + 1 entries by distance and smallest id; only then do entries become rows again
+    near = once.withColumn("n", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "least"))).where(F.col("n") <= k + 1)
+    rows = near.join(entries.select("entry", "ids"), "entry").select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id != query_id")
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -251,23 +251,36 @@ def test_neighbours_of_few_rows_are_exact(spark):
     assert ann.nearest(spark, df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("clusters", [0, 200])
-def test_recall_of_the_search_as_it_is_registered(spark, clusters):
+def test_repeated_rows_are_found_as_often_as_they_occur(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(60, 6)).astype(np.float32)
+    rows = [(k, x[k]) for k in range(60)] + [(5, x[5])] * 2 + [(7, x[5])] + [(0, x[0])] * 9 + [(70, x[0]), (71, x[0])]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<float>").repartition(3)
+    for k in (3, 10):
+        found = ann.nearest(spark, df, k=k, query_every=5).collect()
+        for q in range(0, 60, 5):
+            want = sorted((float(np.sqrt(((x[q].astype(float) - v.astype(float)) ** 2).sum())), i) for i, v in rows if i != q)[:k]
+            got = sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == q)
+            assert [g[1] for g in got] == [i for _, i in want] and np.allclose([g[2] for g in got], [d for d, _ in want]), (k, q)
+
+
+@pytest.mark.parametrize(("clusters", "n", "every"), [(0, 8000, 100), (200, 8000, 100), (0, 40_000, 400)])
+def test_recall_of_the_search_as_it_is_registered(spark, clusters, n, every):
     rng = np.random.default_rng(10)
-    n, dim = 8000, 48
+    dim = 48
     x = rng.normal(size=(n, dim)) if not clusters else rng.normal(size=(clusters, dim))[rng.integers(0, clusters, n)] + 0.3 * rng.normal(size=(n, dim))
     x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
     df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
     found: dict[int, set] = {}
-    for r in ann.nearest(spark, df).collect():
+    for r in ann.nearest(spark, df, query_every=every).collect():
         found.setdefault(r["query_id"], set()).add(r["vec_id"])
         assert math.isclose(r["score"], float(np.sqrt(((x[r["query_id"]].astype(float) - x[r["vec_id"]].astype(float)) ** 2).sum())), rel_tol=1e-12)
     hits = 0
-    for q in range(0, n, 100):
+    for q in range(0, n, every):
         far = ((x.astype(float) - x[q].astype(float)) ** 2).sum(1)
         far[q] = np.inf
         hits += len(found[q] & set(np.argsort(far)[:10].tolist()))
-    assert hits / (n / 100 * 10) >= 0.9
+    assert hits / (n / every * 10) >= 0.9
 
 
 # ---- chats
