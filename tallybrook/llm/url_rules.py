@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from tallybrook.llm.common import LOWER, UPPER, materialise, row_id, small
 
-#: Least share of the labelled URLs that a rule's tokens and class are found in, least confidence, most tokens of a rule, and the item of a blocked URL.
-SUPPORT, CONFIDENCE, TOKENS, BLOCKED = 0.002, 0.6, 3, "=block"
+#: Least share of the labelled URLs that a rule's tokens and class are found in, least confidence, and the item of a blocked URL.
+SUPPORT, CONFIDENCE, BLOCKED = 0.002, 0.6, "=block"
 #: How much likelier than among all labelled URLs "block" must be under a rule, the blocked URLs that must support it, and by how many standard deviations they must be above what
 #: that share of its URLs would give by chance: thousands of token sets are looked at.
 LIFT, HITS, DEVIATIONS = 1.5, 10, 4.5
@@ -63,7 +63,7 @@ def mine(spark: SparkSession, labelled: DataFrame, support: float = SUPPORT, con
     baskets = rows.select(F.array_union(F.array_intersect("items", keep), F.when(F.col("blocked"), F.array(F.lit(BLOCKED))).otherwise(F.array().cast("array<string>"))).alias("items"))
     baskets = baskets.where(F.size("items") > 0)
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
-    sets = materialise(spark, model.freqItemsets.select(F.array_sort("items").alias("items"), "freq").where(F.size("items") <= TOKENS + 1), "url-sets")
+    sets = materialise(spark, model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "url-sets")
     with_class = sets.where(F.array_contains("items", BLOCKED) & (F.size("items") > 1)).select(F.array_sort(F.array_remove("items", BLOCKED)).alias("items"), F.col("freq").alias("hits"))
     rules = with_class.join(sets, "items").select("items", "hits", "freq", (F.col("hits") / F.col("freq")).alias("confidence"), (F.col("hits") / F.lit(float(n))).alias("support"))
     above = (F.col("hits") - F.col("freq") * share) / F.sqrt(F.col("freq") * (share * (1 - share)))
@@ -85,6 +85,12 @@ def index_rules(rules: DataFrame, sets: DataFrame) -> DataFrame:
     return rules.join(rare.select("rule", F.col("m.token").alias("token")), "rule")
 
 
+def _weight(index: DataFrame) -> int:
+    """The index' size in rows of 16 bytes."""
+    chars = F.aggregate("items", F.lit(0), lambda n, t: n + F.octet_length(t) + 8)
+    return index.agg(F.coalesce(F.sum(chars + F.octet_length("token") + 40), F.lit(0))).first()[0] // 16
+
+
 def given_rule(rules: list[tuple[str, str, str]], host: Column, path: Column) -> tuple[Column, Column]:
     """(rule, verdict) of the longest given (verdict, host, path) rule that fits: its host or a subdomain of it, and a path that begins with its path.
     Of equally long ones the first in code point order; null if none fits."""
@@ -106,7 +112,7 @@ def judge(spark: SparkSession, pages: DataFrame, rules: DataFrame, given: list[t
     # equal token sets are held against the index once
     sets = materialise(spark, urls.where("verdict is null").groupBy("tokens").agg(F.count("*").alias("n")), "url-sets")
     index = materialise(spark, index_rules(rules, sets), "url-index")
-    met = sets.select("tokens", F.explode("tokens").alias("token")).join(small(index, index.count()), "token").where(F.size(F.array_except("items", "tokens")) == 0)
+    met = sets.select("tokens", F.explode("tokens").alias("token")).join(small(index, _weight(index)), "token").where(F.size(F.array_except("items", "tokens")) == 0)
     best = met.groupBy("tokens").agg(F.max(F.struct("confidence", "support", "items")).alias("best")).select(F.xxhash64("tokens").alias("h"), "tokens", "best")
     found = urls.withColumn("h", F.xxhash64("tokens")).join(best, ["h", "tokens"], "left")
     mined = F.col("verdict").isNull()
