@@ -7,7 +7,8 @@ index is written in their order, a bucket in one file.
 
 Rows whose key is alone in its bucket need no comparison. Texts of all others go to the task that owns their bucket, which walks its keys in order
 and chains the rows of a key by comparing whole normalised texts. Before that, keys with very many rows are dealt out to several parts of
-their bucket, where equal texts become one link with its members, so that the owner meets a few links of a key, not its rows.
+their bucket, where equal texts become one link. Links are written with their members, and the owner meets the links alone, a few for each key; members are joined to
+what it finds by their link's number.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from tallybrook.llm.common import fresh_name, materialise, normalised, row_id, s
 
 #: Distinct keys that a bucket may hold.
 CAPACITY = 4096
-#: Rows of a key that one part of its bucket gets, and the most parts of a key.
-PART_ROWS, PARTS = 1000, 1024
+#: Rows of a key that one part of its bucket gets.
+PART_ROWS = 1000
 
 
 def entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -86,20 +87,21 @@ def build_index(spark: SparkSession, keys: DataFrame, capacity: int = CAPACITY)
     return materialise(spark, index.repartitionByRange("bucket").sortWithinPartitions("bucket", "key"), "dedup-index")
 
 
-def chained(docs: DataFrame, index: DataFrame, id_col: str, text_col: str, payload: list[str]) -> DataFrame:
-    """(bucket, n, keep, members, sha, payload), one row a link of a chain: of the rows of docs whose key several rows have, those with equal texts in a part of their bucket. n and keep
-    (last, id, row) are those of the whole chain; members: the link's ids and rows; payload: the named columns of the link's first row."""
-    several = index.where("n_rows > 1").select("bucket", "key", F.least(F.lit(PARTS), F.ceil(F.col("n_rows") / PART_ROWS)).cast("int").alias("parts"))
+def chained(spark: SparkSession, docs: DataFrame, index: DataFrame, id_col: str, text_col: str, payload: list[str]) -> DataFrame:
+    """(bucket, n, keep, first, members, sha, payload), one row a link of a chain: of the rows of docs whose key several rows have, those with equal texts in a part of their bucket. n and keep
+    (last, id, row) are those of the whole chain; members: the link's ids and rows, about PART_ROWS; payload: the named columns of the link's first row."""
+    several = index.where("n_rows > 1").select("bucket", "key", F.ceil(F.col("n_rows") / PART_ROWS).cast("int").alias("parts"))
     order = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("row"))
     texts = docs.select(row_id().alias("row"), F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"), F.struct(*payload).alias("payload") if payload else F.lit(True).alias("payload"))
     met = texts.withColumn("key", F.xxhash64("norm")).join(small(several, several.count()), "key")
     met = met.withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts"))).repartition("bucket", "part")
     of_link = [F.count("*").alias("k"), F.min(order).alias("first"), F.min_by("payload", order).alias("payload"), F.collect_list(F.struct("id", "row")).alias("members")]
-    links = met.groupBy("bucket", "part", "key", "norm").agg(*of_link).repartition("bucket")
+    links = materialise(spark, met.groupBy("bucket", "part", "key", "norm").agg(*of_link).withColumn("link", row_id()), "dedup-links")
     # the owner of a bucket: in order of its keys, and within a key of the bytes of its texts
     chain = Window.partitionBy("bucket", "key", "norm")
-    held = links.select("bucket", "norm", "payload", "members", F.sum("k").over(chain).alias("n"), F.min("first").over(chain).alias("keep"), "first")
-    return held.select("bucket", "n", "keep", "first", "members", F.sha2("norm", 256).alias("sha"), "payload")
+    owned = links.select("link", "bucket", "key", "norm", "k", "first").repartition("bucket")
+    owned = owned.select("link", "bucket", F.sum("k").over(chain).alias("n"), F.min("first").over(chain).alias("keep"), F.sha2("norm", 256).alias("sha"))
+    return materialise(spark, owned, "dedup-owned").join(links.select("link", "first", "members", "payload"), "link").drop("link")
 
 
 def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -112,7 +114,7 @@ def exact_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
     index = build_index(spark, rows.select("key"), capacity)
     alone = rows.join(index.where("n_rows = 1"), "key")
     alone = alone.select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), "bucket")
-    links = materialise(spark, chained(docs, index, id_col, text_col, []).drop("payload"), "dedup-chains")
+    links = chained(spark, docs, index, id_col, text_col, []).drop("payload")
     members = links.select(F.explode("members").alias("m"), "keep", "n", "sha", "bucket")
     members = members.select("m.id", F.col("keep.id").alias("keep_id"), F.col("n").cast("long").alias("group_size"), (F.col("m.row") == F.col("keep.row")).alias("kept"), F.col("sha").alias("text_sha256"), "bucket")
     return alone.union(members)
@@ -125,5 +127,5 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_i
     several = index.where("n_rows > 1").select(F.col("key").alias(key))
     keyed = docs.withColumn(key, F.xxhash64(normalised(F.col(text_col))))
     stay = keyed.join(small(several, several.count()), key, "left_anti").drop(key)
-    links = materialise(spark, chained(docs, index, id_col, text_col, docs.columns).where(F.col("first") == F.col("keep")).select("payload"), "dedup-chains")
+    links = chained(spark, docs, index, id_col, text_col, docs.columns).where(F.col("first") == F.col("keep")).select("payload")
     return stay.union(links.select("payload.*"))
