@@ -1,13 +1,13 @@
 """Line dedup by a log-template tree of fixed depth: token count, then leading tokens, then generalised fields.
 
-Every non-empty line is parsed: its path in the tree is its token count and its first DEPTH tokens, variable fields
+Every non-empty line is parsed: its path in the tree is its token count and its first DEPTH tokens (of short lines fewer, so that two are left), variable fields
 (numbers, addresses, long hexadecimal strings) generalised to one mark; the leaf's template is the whole generalised line. A
 template that several documents have is recurring; lines of very few tokens, which agree by chance, need more documents, and a short line of nothing but
 fields stands for itself.
 
 Leaves also learn which of their places vary. A line's places are its tokens, or CELLS runs of neighbouring tokens if it has more. A place is constant
-where at least half the leaf's lines have the same in it; lines that agree in all constants, which must be FIRM places at least and most of them, share the leaf's own
-template. Lines that do not go down one level more, by their last place and then by the one after the leading tokens, so that a leaf holds several templates.
+where at least half the leaf's lines have the same in it; lines that agree in all constants, which must be most places and two at least, share the leaf's own
+template. It recurs from LEAF_DOCS documents on, with fewer than FIRM constants from SHORT_DOCS on. Lines of one or two tokens, which would be left with one constant, learn nothing. Lines that do not go down one level more, by their last place and then by the one after the leading tokens, so that a leaf holds several templates.
 
 Recurring templates are dropped from all documents. Only hashes of lines are shuffled; sums
 are made before each shuffle, so a line that very many documents have costs no task more than another.
@@ -29,8 +29,9 @@ from tallybrook.llm.common import drop_table, materialise, numbered, row_column,
 DEPTH, DOCS = 3, 2
 #: Most tokens of a line that needs more documents to recur, and how many.
 FEW, FEW_DOCS = 2, 10
-#: Places of a line, documents that make a leaf's own template recurring, the least shares of lines that have a constant and of places that are constant, and least constants.
-CELLS, LEAF_DOCS, CONSTANT, SOLID, FIRM = 12, 5, 0.5, 0.6, 5
+#: Places of a line, the least shares of lines that have a constant and of places that are constant; documents that make a leaf's own template recurring, from so many constants on,
+#: and with fewer; and tokens of a line that learns.
+CELLS, CONSTANT, SOLID, LEAF_DOCS, FIRM, SHORT_DOCS, LEARN = 12, 0.5, 0.6, 5, 5, 10, 3
 #: The place by which lines of a leaf are told apart further, level by level; -1: the last.
 LEVELS = (None, -1, DEPTH)
 MARK = b"<*>"
@@ -40,7 +41,7 @@ _FIELD = re.compile(rb"\S*(?:[0-9@]|://)\S*")
 
 
 def parse(line: str, depth: int = DEPTH) -> tuple[int, int, list[int] | None] | None:
-    """(leaf, template, hash of each place of a line that can have FIRM constants and one that varies) as signed numbers of 64 bits, the places' of 32; None for a
+    """(leaf, template, hash of each place of a line that learns) as signed numbers of 64 bits, the places' of 32; None for a
     line without tokens."""
     raw = line.encode("utf-8", "surrogatepass")
     tokens = (_FIELD.sub(MARK, raw) if _MAYBE.search(raw) else raw).split()
@@ -49,10 +50,10 @@ def parse(line: str, depth: int = DEPTH) -> tuple[int, int, list[int] | None] |
     if len(tokens) <= FIRM and set(tokens) == {MARK}:
         tokens = raw.split()
     digest, short, n = xxhash.xxh64_intdigest, xxhash.xxh32_intdigest, len(tokens)
-    leaf = digest(b"%d " % n + b" ".join(tokens[:depth]))
+    leaf = digest(b"%d " % n + b" ".join(tokens[: min(depth, max(1, n - 2))]))
     whole = digest(b" ".join(tokens), 1)
     cells = None
-    if n > FIRM:
+    if n >= LEARN:
         k = min(n, CELLS)
         cells = [short(b" ".join(tokens[i * n // k : (i + 1) * n // k])) - (1 << 31) for i in range(k)]
     return leaf - (1 << 63), whole - (1 << 63), cells
@@ -73,7 +74,7 @@ def parsed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                     found: dict[int, tuple[int, list[int] | None, list[int], int]] = {}
                     for k, line in enumerate(lines):
                         if (p := parse(line)) is not None:
-                            few = p[2] is None and len(line.encode("utf-8", "surrogatepass").split()) <= FEW
+                            few = len(line.encode("utf-8", "surrogatepass").split()) <= FEW
                             found.setdefault(p[1], (p[0], p[2], [], FEW_DOCS if few else DOCS))[2].append(k)
                     out += [(row, i, len(lines), leaf, t, cells, ks, need) for t, (leaf, cells, ks, need) in found.items()] or [(row, i, len(lines), *[None] * 5)]
                 yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], t) for c, t in enumerate(types)], ["row", "id", "n_lines", "leaf", "template", "cells", "lines", "need"])
@@ -83,7 +84,7 @@ def parsed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def leaf_templates(spark: SparkSession, lines: DataFrame) -> DataFrame:
-    """(leaf, constants), written: of leaves (leaf, cells) with LEAF_DOCS lines, the constant of each place or null; mostly constant leaves only."""
+    """(leaf, constants, least), written: of leaves (leaf, cells) with LEAF_DOCS lines, the constant of each place or null, and the documents that make them recurring; mostly constant leaves only."""
     sizes = lines.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= LEAF_DOCS)
     sizes = materialise(spark, sizes, "line-sizes")  # written, so that the join has plain exchanges and a large leaf can be split
     cells = lines.join(sizes, "leaf").select("leaf", "n", F.posexplode("cells").alias("place", "cell"))
@@ -92,7 +93,8 @@ def leaf_templates(spark: SparkSession, lines: DataFrame) -> DataFrame:
     leaves = most.groupBy("leaf").agg(F.array_sort(F.collect_list(place)).alias("held"))  # at most CELLS places
     leaves = leaves.select("leaf", F.col("held.cell").alias("constants"))
     constants = F.size(F.filter("constants", lambda c: c.isNotNull()))
-    return materialise(spark, leaves.where((constants >= SOLID * F.size("constants")) & (constants >= FIRM)), "line-leaves")
+    leaves = leaves.where((constants >= SOLID * F.size("constants")) & (constants >= 2))
+    return materialise(spark, leaves.withColumn("least", F.when(constants >= FIRM, LEAF_DOCS).otherwise(SHORT_DOCS)), "line-leaves")
 
 
 def dropped_lines(spark: SparkSession, docs: DataFrame, keep_first: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -112,10 +114,10 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, keep_first: bool = False
     other = marked.where("first is null and cells is not null").select("row", "id", "leaf", "template", "cells", "lines")
     agree = F.forall(F.zip_with("cells", "constants", lambda a, b: b.isNull() | (a == b)), lambda x: x)
     for k, place in enumerate(LEVELS):
-        keyed = other if place is None else other.withColumn("leaf", F.xxhash64("leaf", F.lit(k), F.element_at("cells", place if place < 0 else place + 1)))
+        keyed = other if place is None else other.withColumn("leaf", F.xxhash64("leaf", F.lit(k), F.try_element_at("cells", F.lit(place if place < 0 else place + 1))))
         leaves = leaf_templates(spark, keyed)
         like = materialise(spark, keyed.join(leaves, "leaf").where(agree).drop("cells", "constants"), "line-like")
-        again = materialise(spark, like.join(recurring(like, "leaf", F.lit(LEAF_DOCS)), "leaf").select("row", "template", "lines", "first"), "line-again")
+        again = materialise(spark, like.join(recurring(like, "leaf", F.max("least")), "leaf").select("row", "template", "lines", "first"), "line-again")
         gone = gone.union(again.select("row", "lines", "first"))
         drop_table(spark, like)
         other = other.join(again.select("row", "template"), ["row", "template"], "left_anti").select(*other.columns)

@@ -264,12 +264,13 @@ def _brute_lines(rows):
     for r, _, t in lines:
         docs.setdefault(tuple(t), set()).add(r)
     gone = {(r, k) for r, k, t in lines if len(docs[tuple(t)]) >= (10 if len(t) <= 2 else 2)}
-    left = {(r, tuple(t)) for r, k, t in lines if (r, k) not in gone and len(t) > 5}
+    left = {(r, tuple(t)) for r, k, t in lines if (r, k) not in gone and len(t) >= 3}
     places = lambda t: [t[i * len(t) // min(len(t), 12) : (i + 1) * len(t) // min(len(t), 12)] for i in range(min(len(t), 12))]
     for place in (None, -1, 3):
         leaves: dict[tuple, list] = {}
         for r, t in left:
-            leaves.setdefault((len(t), t[:3], None if place is None else places(t)[place]), []).append((r, t))
+            told = None if place is None or place >= len(places(t)) else tuple(places(t)[place])
+            leaves.setdefault((len(t), t[: min(3, max(1, len(t) - 2))], told), []).append((r, t))
         found = set()
         for members in leaves.values():
             if len(members) < 5:
@@ -278,10 +279,11 @@ def _brute_lines(rows):
             for column in zip(*(places(t) for _, t in members), strict=True):
                 top = max(set(column), key=column.count)
                 constant.append(top if 2 * column.count(top) >= len(members) else None)
-            if sum(c is not None for c in constant) < max(5, 0.6 * len(constant)):
+            solid = sum(c is not None for c in constant)
+            if solid < max(2, 0.6 * len(constant)):
                 continue
             like = [(r, t) for r, t in members if all(c is None or c == p for c, p in zip(constant, places(t), strict=True))]
-            if len({r for r, _ in like}) >= 5:
+            if len({r for r, _ in like}) >= (5 if solid >= 5 else 10):
                 found |= set(like)
         gone |= {(r, k) for r, k, t in lines if (r, tuple(t)) in found}
         left -= found
@@ -298,8 +300,8 @@ def test_dropped_lines_against_brute_force(spark):
         lines = [" ".join(rng.choices(words, k=rng.randint(1, 70))) for _ in range(3)] + ["", f"{k} {k + 1}", " ".join(words[:40]) * (k % 2)]
         for shape in rng.sample(shapes, 6):
             line = list(shape)
-            if rng.random() < 0.7 and len(line) > 5:
-                line[rng.randrange(4, len(line))] = rng.choice([rng.choice(words), f"{k}.5", f"a{k}@b.c"])
+            if rng.random() < 0.7 and len(line) > 2:
+                line[rng.randrange(min(4, len(line) - 1), len(line))] = rng.choice([rng.choice(words), f"{k}.5", f"a{k}@b.c"])
             lines.append(" ".join(line))
         rows.append((k, "\n".join(rng.sample(lines, len(lines)))))
     rows += [(100, None), (101, ""), (102, "\n\n"), (103, "very " * 50_000)]
@@ -324,6 +326,20 @@ def test_short_and_long_recurring_lines_are_dropped_too(spark):
     assert all(found == [0, 1, 2, 6, 7] for found in _dropped(spark, rows).values())
 
 
+def test_short_lines_learn_their_fields(spark):
+    names = "ann bob cid dan eve fay gus hal ida jon kim lea".split()
+    rows = [(k, f"Posted by {n} today\nPage of {n}\nin {n}") for k, n in enumerate(names)]  # twelve documents
+    rows += [(100 + k, f"Sent to {n} yesterday\nThe {n} is {n[::-1]}") for k, n in enumerate(names[:9])]  # nine: too few for a short line
+    found = _dropped(spark, rows)
+    assert all(found[k] == [0, 1] for k in range(12)) and all(found[100 + k] == [] for k in range(9))
+
+
+def test_a_very_long_text_and_line(spark):
+    line = "word " * 400_000
+    found = _dropped(spark, [(1, line), (2, "x\n" + line + "\ny"), (3, "a b c\n" * 100_000)])
+    assert found[1] == [0] and found[2] == [1] and found[3] == []
+
+
 def test_places_that_vary_make_a_leaf_template(spark):
     names = "ann bob cid dan eve fay gus hal ida jon".split()
     rows = [(k, f"login of person {n} was accepted by the gate {n[::-1]}") for k, n in enumerate(names)]
