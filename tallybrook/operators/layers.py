@@ -10,16 +10,23 @@ def _payload(*names: str) -> Column:
     return F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
 
 
+#: Type, time and payload of each feed's events.
+EVENTS = {
+    "ERP": ("INVOICE", "invoice_timestamp", ("invoice_id", "po_no", "vendor_id", "upc_no", "invoice_amount", "bank_account_hash", "email_id")),
+    "WMS": ("RECEIVING", "received_timestamp", ("wh_id", "po_no", "vendor_id", "upc_no", "qty_received")),
+}
+
+
+def event(feed: str, columns: list[str], now: Column) -> list[Column]:
+    """The columns of a raw event from a feed with these columns."""
+    kind, ts, names = EVENTS[feed]
+    return [F.col("event_uuid"), F.lit(feed).alias("source_system"), F.lit(kind).alias("event_type"), F.col(ts).alias("event_timestamp"), _payload(*(c for c in names if c in columns)).alias("payload"), now.alias("ingested_at")]
+
+
 def bronze(invoices: DataFrame | None, receipts: DataFrame | None, now: Column | None = None) -> DataFrame:
     """Both feeds as raw events: system, type, event time and the payload as JSON."""
     now = F.current_timestamp() if now is None else now
-    parts = []
-    if invoices is not None:
-        names = [c for c in ("invoice_id", "po_no", "vendor_id", "upc_no", "invoice_amount", "bank_account_hash", "email_id") if c in invoices.columns]
-        parts.append(invoices.select("event_uuid", F.lit("ERP").alias("source_system"), F.lit("INVOICE").alias("event_type"), F.col("invoice_timestamp").alias("event_timestamp"), _payload(*names).alias("payload"), now.alias("ingested_at")))
-    if receipts is not None:
-        names = [c for c in ("wh_id", "po_no", "vendor_id", "upc_no", "qty_received") if c in receipts.columns]
-        parts.append(receipts.select("event_uuid", F.lit("WMS").alias("source_system"), F.lit("RECEIVING").alias("event_type"), F.col("received_timestamp").alias("event_timestamp"), _payload(*names).alias("payload"), now.alias("ingested_at")))
+    parts = [df.select(*event(feed, df.columns, now)) for feed, df in (("ERP", invoices), ("WMS", receipts)) if df is not None]
     if not parts:
         raise ValueError("bronze needs a feed")
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

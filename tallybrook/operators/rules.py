@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,8 @@ from tallybrook.functions.columns import amount_key, rounded, safe_divide
 
 #: The columns of an alert, before the time of detection.
 ALERT = ["invoice_id", "vendor_id", "rule_name", "severity", "reason", "evidence", "window_start", "window_end", "fraud_score", "alert_source", "invoice_timestamp"]
+#: Why an invoice of a vendor without a baseline can't be scored.
+NO_BASELINE = "No baseline available"
 
 
 def _json(**fields: Column) -> Column:
@@ -82,7 +85,7 @@ def scored(invoices: DataFrame, baseline: DataFrame, cfg: Config) -> DataFrame:
     joined = invoices.join(held, "vendor_id", "left").withColumn("z", safe_divide(amount - F.col("avg"), F.col("sd")))
     broken = F.isnan(amount) | (F.abs(amount) == float("inf"))
     reason = (
-        F.when(F.col("known").isNull(), "No baseline available")
+        F.when(F.col("known").isNull(), NO_BASELINE)
         .when(F.col("avg").isNull() | F.col("sd").isNull(), "Incomplete baseline")
         .when(F.col("sd") <= 0, "Degenerate stddev")
         .when(broken & ~F.isnan(amount), "Scoring error: amount is infinite")
@@ -116,7 +119,8 @@ def _alert(rows: DataFrame, rule: str, severity: Column, reason: Column, evidenc
     return rows.select("invoice_id", "vendor_id", F.lit(rule).alias("rule_name"), severity.alias("severity"), reason.alias("reason"), evidence.alias("evidence"), none.alias("window_start"), none.alias("window_end"), score.alias("fraud_score"), F.lit(source).alias("alert_source"), "invoice_timestamp")
 
 
-def gold(invoices: DataFrame, baseline: DataFrame, cfg: Config, detected_at: Column | None = None) -> DataFrame:
-    """All alerts, with the time of detection: of the invoice unless another is given."""
-    every = velocity_alerts(invoices, cfg).unionByName(anomaly_alerts(invoices, baseline, cfg)).unionByName(fallback_alerts(invoices, baseline, cfg))
+def gold(invoices: DataFrame, baseline: DataFrame, cfg: Config, detected_at: Column | None = None, days: list[dt.date] | None = None) -> DataFrame:
+    """All alerts, with the time of detection: of the invoice unless another is given. With ``days``, alerts on their invoices alone; other invoices count in windows with them."""
+    mine = (lambda df: df) if days is None else (lambda df: df.where(F.to_date("invoice_timestamp").isin(days)))
+    every = mine(velocity_alerts(invoices, cfg)).unionByName(anomaly_alerts(mine(invoices), baseline, cfg)).unionByName(fallback_alerts(mine(invoices), baseline, cfg))
     return every.withColumn("detected_at", F.col("invoice_timestamp") if detected_at is None else detected_at).drop("invoice_timestamp")

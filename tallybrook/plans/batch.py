@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallybrook.config import Config
 from tallybrook.functions.columns import safe_divide
 from tallybrook.operators import dedup, features, layers, rules, scores
-from tallybrook.plans.store import Store
+from tallybrook.plans.store import Store, refreshed
 from tallybrook.sources import jsonl
 
 
@@ -18,8 +18,7 @@ def run_batch(spark: SparkSession, store: Store, erp: str | None, wms: str | Non
     """Reads the feeds, writes bronze, silver, gold, dead letters and the vendor-day features; returns rows by layer.
 
     A feed is parsed once, into a staged table that holds masked lines of dead letters and typed columns of the others. Rows and dead letters without an id of their own have
-    one made from their line, so that a job that runs again changes nothing. Time of detection is now, or as given."""
-    now = F.current_timestamp()
+    one made from their line, so that a job that runs again changes nothing. Only what the run's own invoices can change is made anew: see judged(). Time of detection is now, or as given."""
     good = receipts = None
     staged = []
     if erp:
@@ -30,15 +29,34 @@ def run_batch(spark: SparkSession, store: Store, erp: str | None, wms: str | Non
     if good is not None:
         order = ["invoice_timestamp", "vendor_id", "invoice_amount", "event_uuid"]
         store.insert_missing(layers.silver(dedup.unique(good, "invoice_id", order)), "silver_deduplicated_invoices", None)
-        silver = store.read("silver_deduplicated_invoices")
-        store.overwrite_days(layers.gold_rows(rules.gold(silver, baseline, cfg, detected_at)), "gold_fraud_alerts")
-        gold = store.read("gold_fraud_alerts")
-        store.upsert(features.behavioral(silver).withColumn("computed_at", now), "vendor_daily_behavioral_features")
-        store.upsert(features.risk(gold).withColumn("computed_at", now), "vendor_daily_risk_features")
+        judged(store, good, baseline, cfg, detected_at)
     store.staged_drop(*staged)
     return {r["layer"]: r["row_count"] for r in store.counts().collect()}
 
 
+def judged(store: Store, invoices: DataFrame, baseline: DataFrame, cfg: Config, detected_at=None) -> None:
+    """Behaviour, alerts and risk of what invoices, which are in silver by now, can change; all other days of silver, gold and the features are neither read nor written.
+
+    An invoice changes the behaviour of its own day, and alerts of the days around it that a window with it reaches; these alerts need silver as far again. With a time of detection given,
+    alerts are dated by it, and those that gold lacks are added instead of days being replaced."""
+    reach = -(-cfg.window // 86_400)
+    days = store.days(invoices, "silver_deduplicated_invoices")
+    if not days:
+        return
+    around = lambda days, n: sorted({d + dt.timedelta(k) for d in days for k in range(-n, n + 1)})
+    refreshed(store, invoices, "silver_deduplicated_invoices", "invoice_timestamp", features.behavioral, "vendor_daily_behavioral_features")
+    touched = around(days, reach)
+    silver = store.read("silver_deduplicated_invoices", days=around(touched, reach))
+    alerts = rules.gold(silver, baseline, cfg, detected_at, days=touched)
+    alerts = store.staged(layers.gold_rows(alerts), "gold")
+    if detected_at is None:
+        store.overwrite_days(alerts, "gold_fraud_alerts")
+    else:
+        store.insert_missing(alerts, "gold_fraud_alerts", None)
+    refreshed(store, alerts, "gold_fraud_alerts", "detected_at", features.risk, "vendor_daily_risk_features")
+    store.staged_drop(alerts)
+
+
 def _ingested(store: Store, parsed: DataFrame, feed: str, staged: list[DataFrame]) -> tuple[DataFrame, list[DataFrame]]:
     """The feed's good rows; its dead letters are inserted into their layer."""
     kept = parsed.withColumns({"line_id": jsonl.line_id(F.col("raw")), "line": F.when(F.col("err").isNotNull(), jsonl.masked(F.col("raw")))}).drop("raw")

@@ -6,6 +6,7 @@ velocity rule are scaled to the tables: windows of a day every hour, amounts ali
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import functools
 import uuid
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 
 from tallybrook.config import Config
 from tallybrook.functions.columns import json_field, risk_tier, rounded, safe_divide, seconds_between
-from tallybrook.operators import dedup, features, layers, rules, scores
+from tallybrook.operators import daily, dedup, features, layers, rules, scores
 from tallybrook.plans.store import DAY, Store
 from tallybrook.session import shared_dir
 from tallybrook.sources import adapters, jsonl, tables
@@ -25,46 +26,75 @@ from tallybrook.sources import adapters, jsonl, tables
 CFG = Config(window=86_400, slide=3_600, amount_step="10", as_of=dt.date(2024, 1, 31))
 #: Reports look back to SINCE, reports on the stream to FRESH or to an hour before NOW, scores are of DATE.
 SINCE, FRESH, DATE = dt.date(2024, 1, 24), dt.datetime(2024, 1, 30, 0, 0), dt.date(2024, 1, 30)
-NOW = dt.datetime(2024, 1, 31, 0, 0)
+NOW = dt.datetime(2024, 1, 30, 4, 0)
+#: Invoices are judged by the baseline of the first days, which some vendors have no invoice or only one in.
+HISTORY = dataclasses.replace(CFG, as_of=dt.date(2024, 1, 2))
 
 
 class Layers:
     """Bronze to rankings over one folder of tables.
 
-    Each layer is built when it is first asked for and written, once a session, as a table partitioned by its day in the shared folder; reports read it by day. The folder's tables are taken not to change
-    while the session lasts."""
+    Each layer is built when it is first asked for and written, once a session, as a table partitioned by its day in the shared folder; reports read it by day. Where the folder's tables
+    have been written anew since, layers are built anew."""
 
     #: The column that a layer's date comes from, the span of its partitions, and the column that its files are sorted by after it. Receipts go back for years, a few a day.
     DATED = {
         "bronze": ("event_timestamp", "month", "source_system"), "silver": ("invoice_timestamp", "day", "vendor_id"), "gold": ("detected_at", "day", "rule_name"), "behavioral": ("feature_date", "day", "vendor_id"),
-        "risk": ("feature_date", "day", "vendor_id"), "trust": ("score_date", "day", "vendor_id"), "ranks": ("ranking_date", "day", "vendor_id"), "baseline": (None, None, None),
+        "risk": ("feature_date", "day", "vendor_id"), "trust": ("score_date", "day", "vendor_id"), "ranks": ("ranking_date", "day", "vendor_id"), "resent": ("invoice_timestamp", "day", "vendor_id"),
+        "days": ("feature_date", "day", "vendor_id"), "alert_hours": ("hour_bucket", "day", "rule_name"), "alert_bits": ("hour_bucket", "day", "rule_name"), "baseline": (None, None, None), "history": (None, None, None),
     }
-    _written: dict[tuple[str, str, str], DataFrame] = {}
+    _written: dict[tuple, tuple[str, DataFrame]] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
 
     def since(self, layer: str, day: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
         """The layer's rows of the days from ``day`` to ``until``: partitions of other dates are not read."""
-        key = self.spark.sparkContext.applicationId, self.sf_dir, layer
-        date, span, cluster = self.DATED[layer]
+        date, span, _ = self.DATED[layer]
         part = (lambda d: F.trunc(d, span)) if span == "month" else (lambda d: d)
+        df = self._table(layer)[1]  # its files are listed once
+        if day is not None:
+            df = df.where((F.col(DAY) >= part(F.lit(day))) & (F.to_date(date) >= F.lit(day)))
+        if until is not None:
+            df = df.where((F.col(DAY) <= part(F.lit(until))) & (F.to_date(date) <= F.lit(until)))
+        return df.drop(DAY) if date else df
+
+    def _table(self, layer: str) -> tuple[str, DataFrame]:
+        """Where the layer is, and its rows with their days."""
+        key = self.spark.sparkContext.applicationId, self.sf_dir, layer, self._stamp()
         if key not in self._written:
+            date, span, cluster = self.DATED[layer]
             made = getattr(self, f"make_{layer}")()
             path = f"{shared_dir(self.spark)}/layers-{uuid.uuid4().hex[:12]}-{layer}"
             if date:
-                dated = made.withColumn(DAY, part(F.to_date(date)))
-                dated.hint("rebalance", DAY).sortWithinPartitions(DAY, date, cluster).write.partitionBy(DAY).parquet(path)
-                self._written[key] = self.spark.read.schema(dated.schema).parquet(path)
+                day = F.to_date(date)
+                made = made.withColumn(DAY, F.trunc(day, span) if span == "month" else day)
+                made.hint("rebalance", DAY).sortWithinPartitions(DAY, date, cluster).write.partitionBy(DAY).parquet(path)
             else:
                 made.write.parquet(path)
-                self._written[key] = self.spark.read.schema(made.schema).parquet(path)
-        df = self._written[key]  # its files are listed once
-        if day is not None:
-            df = df.where((F.col(DAY) >= part(F.lit(day))) & (F.to_date(date) >= F.lit(day)))
-        if until is not None:
-            df = df.where((F.col(DAY) <= part(F.lit(until))) & (F.to_date(date) <= F.lit(until)))
-        return df.drop(DAY) if date else df
+            self._written[key] = path, self.spark.read.schema(made.schema).parquet(path)
+        return self._written[key]
+
+    def _stamp(self) -> tuple[int, ...]:
+        """When the tables that layers are made of were written."""
+        found = []
+        for name in ("events", "orders"):
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir}/{name}.parquet")
+            found.append(path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getFileStatus(path).getModificationTime())
+        return tuple(found)
+
+    def latest(self, layer: str) -> DataFrame:
+        """The layer's last day, which the names of its partitions tell; no other is read."""
+        where = self._table(layer)[0]
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(where)
+        names = (f.getPath().getName() for f in path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path))
+        days = [dt.date.fromisoformat(n.partition("=")[2]) for n in names if n.startswith(f"{DAY}=2")]
+        return self.since(layer, max(days), max(days)) if days else self.since(layer)
+
+    def written(self, df: DataFrame) -> DataFrame:
+        path = f"{shared_dir(self.spark)}/layers-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     @property
     def invoices(self) -> DataFrame:
@@ -84,8 +114,27 @@ class Layers:
     def make_baseline(self) -> DataFrame:
         return features.baseline(self.invoices, CFG)
 
+    def make_history(self) -> DataFrame:
+        return features.baseline(self.invoices, HISTORY)
+
+    def make_resent(self) -> DataFrame:
+        """Silver as it would be without dedup, where some invoices came twice or three times."""
+        number = F.col("invoice_id").cast("long")
+        again = [self.silver.where(number % every == 0).withColumn("invoice_timestamp", _later(F.col("invoice_timestamp"), F.lit(late))) for every, late in ((61, 30), (183, 95))]
+        return self.silver.unionByName(again[0]).unionByName(again[1])
+
+    def make_days(self) -> DataFrame:
+        return daily.vendor_days(self.invoices)
+
+    def make_alert_hours(self) -> DataFrame:
+        return daily.alert_hours(self.gold)
+
+    def make_alert_bits(self) -> DataFrame:
+        ids = {kind: daily.numbered(self.invoices.select(F.col(kind).alias("id")), self.written) for kind in ("vendor_id", "invoice_id")}
+        return daily.alert_bits(self.gold, ids)
+
     def make_gold(self) -> DataFrame:
-        alerts = rules.gold(self.invoices, self.baseline, CFG)
+        alerts = rules.gold(self.invoices, self.history, CFG)
         return alerts.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end", "detected_at")})
 
     def make_behavioral(self) -> DataFrame:
@@ -112,6 +161,11 @@ class Layers:
     def baseline(self) -> DataFrame:
         return self.since("baseline")
 
+    @property
+    def history(self) -> DataFrame:
+        """The baseline by which invoices are judged."""
+        return self.since("history")
+
     @property
     def gold(self) -> DataFrame:
         return self.since("gold")
@@ -126,7 +180,8 @@ class Layers:
 
     @property
     def last_hour(self) -> DataFrame:
-        return self.after("gold", "detected_at", NOW - dt.timedelta(hours=1))
+        """Alerts of the hour before NOW, as of then."""
+        return self.after("gold", "detected_at", NOW - dt.timedelta(hours=1)).where(F.col("detected_at") <= F.lit(NOW).cast("timestamp_ntz"))
 
     def after(self, layer: str, column: str, moment: dt.datetime) -> DataFrame:
         """Rows of a layer from a moment on, read from its day on."""
@@ -227,8 +282,18 @@ def dedup_ttl(x: Layers) -> DataFrame:
 
 @query
 def dedup_invariant(x: Layers) -> DataFrame:
-    """Ids that are still repeated: none."""
-    seen = x.since("silver", SINCE).groupBy("invoice_id", "vendor_id", "invoice_amount").agg(F.count("*").alias("occurrence_count"), F.min("invoice_timestamp").alias("first_seen"), F.max("invoice_timestamp").alias("last_seen"))
+    """Ids that are still repeated, in invoices some of which came again."""
+    return _repeated(x.since("resent", SINCE))
+
+
+@query
+def dedup_holds(x: Layers) -> DataFrame:
+    """The invariant itself: silver has no repeated id."""
+    return x.silver.groupBy("invoice_id").agg(F.count("*").alias("n")).agg(F.count("*").alias("ids"), _count(F.col("n") > 1).alias("repeated_ids"))
+
+
+def _repeated(invoices: DataFrame) -> DataFrame:
+    seen = invoices.groupBy("invoice_id", "vendor_id", "invoice_amount").agg(F.count("*").alias("occurrence_count"), F.min("invoice_timestamp").alias("first_seen"), F.max("invoice_timestamp").alias("last_seen"))
     return seen.withColumn("seconds_between", seconds_between(F.col("first_seen"), F.col("last_seen")).cast("long")).where("occurrence_count > 1").orderBy(F.desc("occurrence_count"), "seconds_between")
 
 
@@ -243,12 +308,12 @@ def _scored(alerts: DataFrame) -> DataFrame:
 
 @query
 def anomaly_alerts(x: Layers) -> DataFrame:
-    return _scored(rules.anomaly_alerts(x.invoices, x.baseline, CFG))
+    return _scored(rules.anomaly_alerts(x.invoices, x.history, CFG))
 
 
 @query
 def fallback_alerts(x: Layers) -> DataFrame:
-    return rules.fallback_alerts(x.invoices, x.baseline, CFG).select("invoice_id", "vendor_id", "severity", "fraud_score", "reason", _money("amount"), _field("fallback_reason", "string"))
+    return rules.fallback_alerts(x.invoices, x.history, CFG).select("invoice_id", "vendor_id", "severity", "fraud_score", "reason", _money("amount"), _field("fallback_reason", "string"))
 
 
 @query
@@ -332,21 +397,29 @@ def layer_health(x: Layers) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, each).orderBy("stage").drop("stage")
 
 
-def _by_rule(alerts: DataFrame, places: int) -> DataFrame:
+def _by_rule(hours: DataFrame, bits: DataFrame, places: int) -> DataFrame:
+    """From summaries of hours: sums of figures, and distinct ids from or-ed bitmaps."""
     rule = F.array_position(F.array(F.lit("VELOCITY"), F.lit("ANOMALY"), F.lit("FALLBACK")), F.col("rule_name"))
     level = F.array_position(F.array(*map(F.lit, ("CRITICAL", "HIGH", "MEDIUM", "LOW"))), F.col("severity"))
-    found = alerts.groupBy("rule_name", "severity").agg(F.count("*").alias("alert_count"), F.countDistinct("vendor_id").alias("unique_vendors"), F.countDistinct("invoice_id").alias("unique_invoices"), _mean("fraud_score", places).alias("avg_fraud_score"), F.min("detected_at").alias("first_alert"), F.max("detected_at").alias("last_alert"))
-    return found.orderBy(rule, level)
+    kind = F.col("kind")
+    ids = daily.distinct(bits, "rule_name", "severity").groupBy("rule_name", "severity").agg(F.sum(F.when(kind == "vendor_id", F.col("n"))).alias("unique_vendors"), F.sum(F.when(kind == "invoice_id", F.col("n"))).alias("unique_invoices"))
+    found = hours.groupBy("rule_name", "severity").agg(F.sum("alerts").alias("alert_count"), _of_sums(places).alias("avg_fraud_score"), F.min("first_alert").alias("first_alert"), F.max("last_alert").alias("last_alert"))
+    return found.join(ids, ["rule_name", "severity"]).select("rule_name", "severity", "alert_count", "unique_vendors", "unique_invoices", "avg_fraud_score", "first_alert", "last_alert").orderBy(rule, level)
+
+
+def _of_sums(places: int) -> Column:
+    """The mean score of summed hours."""
+    return rounded(F.sum("score_sum").cast("double") / F.sum("alerts"), places).cast("double")
 
 
 @query
 def alerts_by_rule(x: Layers) -> DataFrame:
-    return _by_rule(x.recent, 2)
+    return _by_rule(x.since("alert_hours", SINCE), x.since("alert_bits", SINCE), 2)
 
 
 @query
 def anomaly_fallback_by_rule(x: Layers) -> DataFrame:
-    return _by_rule(x.gold.where("rule_name <> 'VELOCITY'"), 2)
+    return _by_rule(*(x.since(f"alert_{t}").where("rule_name <> 'VELOCITY'") for t in ("hours", "bits")), 2)
 
 
 @query
@@ -398,16 +471,20 @@ def funnel(x: Layers) -> DataFrame:
 
 @query
 def hourly_pattern(x: Layers) -> DataFrame:
-    hour = F.date_trunc("hour", "detected_at").cast("timestamp_ntz").alias("hour_bucket")
-    return x.recent.groupBy(hour, "rule_name").agg(F.count("*").alias("alert_count"), F.countDistinct("vendor_id").alias("vendor_count"), _mean("fraud_score", 1).alias("avg_score"), _ordered("severity", 3).alias("severities")).orderBy(F.desc("hour_bucket"), F.desc("alert_count"))
+    found = x.since("alert_hours", SINCE).groupBy("hour_bucket", "rule_name").agg(F.sum("alerts").alias("alert_count"), _of_sums(1).alias("avg_score"), _ordered("severity", 3).alias("severities"))
+    vendors = daily.distinct(x.since("alert_bits", SINCE).where("kind = 'vendor_id'"), "hour_bucket", "rule_name").select("hour_bucket", "rule_name", F.col("n").alias("vendor_count"))
+    return found.join(vendors, ["hour_bucket", "rule_name"]).select("hour_bucket", "rule_name", "alert_count", "vendor_count", "avg_score", "severities").orderBy(F.desc("hour_bucket"), F.desc("alert_count"))
 
 
 @query
 def kpi_summary(x: Layers) -> DataFrame:
-    """Seven figures from one pass over the alerts and one over the invoices."""
+    """Seven figures, from summaries of hours and of vendors' days."""
+    some = lambda test: F.coalesce(F.sum(F.when(test, F.col("alerts"))), F.lit(0))
     rule = F.col("rule_name")
-    alerts = x.recent.agg(F.count("*").alias("a"), _count(rule == "VELOCITY").alias("b"), _count(rule == "ANOMALY").alias("c"), _count(F.col("severity") == "CRITICAL").alias("d"), _mean("fraud_score", 1).alias("e"), F.countDistinct("vendor_id").alias("f"))
-    invoices = x.since("silver", SINCE).agg(F.count("*").alias("g"))
+    sums = x.since("alert_hours", SINCE).agg(some(F.lit(True)).alias("a"), some(rule == "VELOCITY").alias("b"), some(rule == "ANOMALY").alias("c"), some(F.col("severity") == "CRITICAL").alias("d"), _of_sums(1).alias("e"))
+    vendors = daily.distinct(x.since("alert_bits", SINCE).where("kind = 'vendor_id'").select(F.lit(1).alias("k"), "*"), "k").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("f"))
+    alerts = sums.select(F.lit(1).alias("k"), "*").join(vendors.select(F.lit(1).alias("k"), "*"), "k").drop("k")
+    invoices = x.since("days", SINCE).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("g"))
     names = {"a": "Total Fraud Alerts", "b": "Velocity Alerts", "c": "Anomaly Alerts", "d": "Critical Severity", "e": "Avg Fraud Score", "f": "Flagged Vendors"}
     stacked = alerts.selectExpr(f"stack({len(names)}, {', '.join(f"'{v}', cast({k} as double)" for k, v in names.items())}) as (metric, value)")
     return stacked.union(invoices.select(F.lit("Total Invoices Processed"), F.col("g").cast("double"))).select(F.lit("SUMMARY").alias("category"), "metric", "value")
@@ -440,7 +517,7 @@ def streaming_last_alerts(x: Layers) -> DataFrame:
 
 @query
 def streaming_by_rule(x: Layers) -> DataFrame:
-    return _by_rule(x.fresh, 1)
+    return _by_rule(*(x.after(f"alert_{t}", "hour_bucket", FRESH) for t in ("hours", "bits")), 1)
 
 
 @query
@@ -452,7 +529,7 @@ def schema_columns(x: Layers) -> DataFrame:
 
 @query
 def streaming_duplicates(x: Layers) -> DataFrame:
-    seen = x.since("silver", DATE).groupBy("invoice_id").agg(F.count("*").alias("occurrence_count"), F.min("invoice_timestamp").alias("first_seen"), F.max("invoice_timestamp").alias("last_seen"))
+    seen = x.since("resent", DATE).groupBy("invoice_id").agg(F.count("*").alias("occurrence_count"), F.min("invoice_timestamp").alias("first_seen"), F.max("invoice_timestamp").alias("last_seen"))
     return seen.withColumn("seconds_apart", seconds_between(F.col("first_seen"), F.col("last_seen")).cast("long")).where("occurrence_count > 1").orderBy(F.desc("occurrence_count"), "invoice_id").limit(10)
 
 
@@ -490,6 +567,30 @@ def score_distribution(x: Layers) -> DataFrame:
     return _score_distribution(x.last_hour)
 
 
+@query
+def score_distribution_sketched(x: Layers) -> DataFrame:
+    """Scores by rule from the sketches of hours, and whether the median's and the ninth decile's ranks are right within the sketch's error."""
+    hours = x.since("alert_hours").groupBy("rule_name").agg(F.min("low").alias("min_score"), F.max("high").alias("max_score"), _of_sums(1).alias("avg_score"), F.sum("alerts").alias("alert_count"), F.sum("invalid").alias("invalid_scores"), F.kll_merge_agg_bigint("sketch").alias("sketch"))
+    at = {"median": 0.5, "p90": 0.9}
+    found = hours.withColumns({k: F.kll_sketch_get_quantile_bigint("sketch", F.lit(p)) for k, p in at.items()}).drop("sketch")
+    score = F.col("fraud_score")
+    ranks = x.gold.select("rule_name", "fraud_score").join(F.broadcast(found.select("rule_name", *at)), "rule_name").groupBy("rule_name").agg(  # a row a rule
+        F.count("*").alias("n"), *(_count(score < F.col(k)).alias(f"{k}_below") for k in at), *(_count(score <= F.col(k)).alias(f"{k}_most") for k in at))
+    held = ranks.select("rule_name", *(daily.rank_holds(F.col(f"{k}_below"), F.col(f"{k}_most"), F.col("n"), p).alias(f"{k}_holds") for k, p in at.items()))
+    return found.drop(*at).join(held, "rule_name")
+
+
+@query
+def baseline_sketched(x: Layers) -> DataFrame:
+    """The baseline from summaries of days, and whether the 99th percentile's rank is right within the sketch's error."""
+    found = daily.baseline(x.since("days"), CFG)
+    inside = x.invoices.where(F.to_date("invoice_timestamp").between(F.date_add(F.lit(CFG.as_of), 1 - CFG.history_days), F.lit(CFG.as_of)))
+    amount, p99 = F.col("invoice_amount").cast("decimal(15,2)"), F.col("p99_invoice_amount")
+    ranks = inside.join(found.select("vendor_id", "p99_invoice_amount"), "vendor_id").groupBy("vendor_id").agg(F.count("*").alias("seen"), _count(amount < p99).alias("below"), _count(amount <= p99).alias("most"))
+    held = ranks.select("vendor_id", daily.rank_holds(F.col("below"), F.col("most"), F.col("seen"), 0.99).alias("p99_holds"))
+    return found.join(held, "vendor_id").select("vendor_id", "n", "avg_invoice_amount", "stddev_invoice_amount", "avg_daily_invoice_cnt", "p99_holds")
+
+
 @query
 def score_distribution_all(x: Layers) -> DataFrame:
     return _score_distribution(x.gold)
@@ -569,22 +670,23 @@ def data_quality(x: Layers) -> DataFrame:
     }
     found = x.trust.agg(*(_count(c).alias(k) for k, c in checks.items()))
     stacked = found.selectExpr(f"stack({len(checks)}, {', '.join(f"'{k}', {k}" for k in checks)}) as (violation_type, violation_count)")
-    before = F.lag("risk_rank").over(Window.partitionBy("ranking_date").orderBy("risk_rank"))
-    gaps = x.ranks.withColumn("before", before).where(F.col("before").isNotNull() & (F.col("risk_rank") - F.col("before") != 1)).agg(F.count("*").alias("n"))
+    gaps = rank_gaps(x.ranks)
     return stacked.union(gaps.select(F.lit("ranking_gap"), "n"))
 
 
-def _latest(df: DataFrame, day: str) -> DataFrame:
-    """Rows of the last day, as a scalar subquery's filter: the last day is one value of an aggregate."""
-    last = df.agg(F.max(day).alias("last_day"))
-    return df.join(F.broadcast(last), F.col(day) == F.col("last_day")).drop("last_day")
+def rank_gaps(ranks: DataFrame) -> DataFrame:
+    """(n): ranks that don't follow the day's rank before them: repeated ones, and all but a day's first that have none before. By equality of ranks; no day is sorted."""
+    each = ranks.groupBy("ranking_date", "risk_rank").agg(F.count("*").alias("n"))
+    after = each.select("ranking_date", (F.col("risk_rank") + 1).alias("risk_rank"), F.lit(True).alias("follows"))
+    by_day = each.join(after, ["ranking_date", "risk_rank"], "left").groupBy("ranking_date").agg(F.sum(F.col("n") - 1).alias("again"), _count(F.col("follows").isNull()).alias("starts"))
+    return by_day.agg(F.coalesce(F.sum(F.col("again") + F.col("starts") - 1), F.lit(0)).alias("n"))
 
 
 @query
 def score_ranges(x: Layers) -> DataFrame:
     s = F.col("trust_score")
     band = F.when(s >= 90, "90-100 (EXCELLENT)").when(s >= 70, "70-89 (GOOD)").when(s >= 50, "50-69 (MODERATE)").otherwise("0-49 (HIGH)")
-    return _latest(x.trust, "score_date").groupBy(band.alias("score_range")).agg(F.count("*").alias("vendor_count"), _mean(s, 1).alias("avg_score"), F.min(s).alias("min_score"), F.max(s).alias("max_score")).orderBy(F.desc("min_score"))
+    return x.latest("trust").groupBy(band.alias("score_range")).agg(F.count("*").alias("vendor_count"), _mean(s, 1).alias("avg_score"), F.min(s).alias("min_score"), F.max(s).alias("max_score")).orderBy(F.desc("min_score"))
 
 
 def _tier(last: str) -> Column:
@@ -595,7 +697,7 @@ def _tier(last: str) -> Column:
 @query
 def rank_tiers(x: Layers) -> DataFrame:
     s, level = F.col("trust_score"), F.col("risk_level")
-    found = _latest(x.ranks, "ranking_date").groupBy(_tier("Beyond Top 100").alias("rank_tier")).agg(
+    found = x.latest("ranks").groupBy(_tier("Beyond Top 100").alias("rank_tier")).agg(
         F.count("*").alias("vendor_count"), F.min(s).alias("min_trust_score"), F.max(s).alias("max_trust_score"), _mean(s, 1).alias("avg_trust_score"), F.min("risk_rank").alias("first_rank"),
         *(_count(level == v).alias(f"{v.lower()}_risk_count") for v in ("HIGH", "MODERATE", "GOOD", "EXCELLENT")),
     )
@@ -621,19 +723,19 @@ def trend_categories(x: Layers) -> DataFrame:
 @query
 def explainability(x: Layers) -> DataFrame:
     said = lambda k: F.get_json_object("score_explanation", f"$.{k}")
-    return _latest(x.trust, "score_date").agg(F.count("*").alias("total_scores"), F.count("score_explanation").alias("explanations_exist"), _count(said("base_score") == "100").alias("has_base_score"), F.count(said("final_score")).alias("has_final_score"), F.count(said("risk_level")).alias("has_risk_level"), F.count(said("reasoning")).alias("has_reasoning"))
+    return x.latest("trust").agg(F.count("*").alias("total_scores"), F.count("score_explanation").alias("explanations_exist"), _count(said("base_score") == "100").alias("has_base_score"), F.count(said("final_score")).alias("has_final_score"), F.count(said("risk_level")).alias("has_risk_level"), F.count(said("reasoning")).alias("has_reasoning"))
 
 
 @query
 def top10_riskiest(x: Layers) -> DataFrame:
     change = F.col("rank_change")
     arrow = F.when(change.isNull(), "NEW").when(change < 0, F.concat(F.lit("up "), F.abs(change).cast("string"))).when(change > 0, F.concat(F.lit("down "), change.cast("string"))).otherwise("=")
-    return _latest(x.ranks, "ranking_date").orderBy("risk_rank").limit(10).select("risk_rank", "vendor_id", "trust_score", "risk_level", arrow.alias("rank_movement"))
+    return x.latest("ranks").orderBy("risk_rank").limit(10).select("risk_rank", "vendor_id", "trust_score", "risk_level", arrow.alias("rank_movement"))
 
 
 def _formula(x: Layers) -> DataFrame:
     should = F.greatest(F.lit(0), 100 - (F.col("anomaly_alert_count") * 15 + F.col("velocity_alert_count") * 10 + F.col("duplicate_alert_count") * 5)).cast("long")
-    rows = _latest(x.trust, "score_date").select("vendor_id", "trust_score", "anomaly_alert_count", "velocity_alert_count", "duplicate_alert_count", should.alias("calculated_score"))
+    rows = x.latest("trust").select("vendor_id", "trust_score", "anomaly_alert_count", "velocity_alert_count", "duplicate_alert_count", should.alias("calculated_score"))
     return rows.withColumn("verification", F.when(F.col("trust_score") == F.col("calculated_score"), "PASS").otherwise("FAIL"))
 
 
@@ -644,13 +746,13 @@ def formula_check(x: Layers) -> DataFrame:
 
 @query
 def random_sample(x: Layers) -> DataFrame:
-    """Twenty random rows of the formula check."""
-    return _formula(x).orderBy(F.rand(7)).limit(20)
+    """Twenty random rows of the formula check: those with the smallest keyed digests, the same ones however rows are dealt."""
+    return _formula(x).orderBy(F.sha2(F.concat(F.lit("7/"), "vendor_id"), 256), "vendor_id").limit(20)
 
 
 @query
 def ml_readiness(x: Layers) -> DataFrame:
-    return _latest(x.trust, "score_date").agg(F.count("*").alias("total_records"), _count(F.col("ml_fraud_probability").isNull()).alias("ml_prob_null_count"), _count(F.col("ml_model_version").isNull()).alias("ml_version_null_count"))
+    return x.latest("trust").agg(F.count("*").alias("total_records"), _count(F.col("ml_fraud_probability").isNull()).alias("ml_prob_null_count"), _count(F.col("ml_model_version").isNull()).alias("ml_version_null_count"))
 
 
 @query
@@ -753,6 +855,35 @@ def ingest_dead_letters(x: Layers) -> DataFrame:
     return rows.groupBy("feed", "err").agg(F.count("*").alias("n_lines"), F.countDistinct("line_id").alias("n_ids"), F.count_if(F.contains("raw", F.lit("DE00"))).alias("n_unmasked"))
 
 
+def receipt_lines(x: Layers) -> DataFrame:
+    """(value): the orders as a feed of receipts, some of them broken in ways that depend on their number; pieces as numbers, with a fraction or as text."""
+    n = F.pmod("o_orderkey", F.lit(40))
+    orders = adapters.read(x.spark, x.sf_dir, "orders").withColumn("n", n)
+    pieces = F.pmod(F.col("o_custkey"), F.lit(90)) + 1
+    ts = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.col("n") % 2 == 0, "Z").otherwise("+00:00"))
+    number = F.when(F.col("n") < 10, F.concat(pieces.cast("string"), F.lit(".75"))).otherwise(pieces.cast("string"))
+    quantity = F.when(F.col("n") == 2, '"1.5"').when(F.col("n") >= 30, F.concat(F.lit('" '), pieces.cast("string"), F.lit('"'))).otherwise(number)
+    line = F.concat(
+        F.lit('{"wh_id": "WH-'), F.pmod("o_orderkey", F.lit(7)).cast("string"), F.lit('", "po_no": "'), F.col("o_orderkey").cast("string"), F.lit('", "vendor_id": '),
+        F.when(F.col("n") == 1, "null").otherwise(F.concat(F.lit('"'), F.col("o_custkey").cast("string"), F.lit('"'))), F.lit(', "upc_no": "'), F.col("n").cast("string"),
+        F.lit('", "qty_received": '), quantity, F.lit(', "received_timestamp": "'), F.when(F.col("n") == 3, "soon").otherwise(ts), F.lit('"}'),
+    )
+    return orders.select(F.when(F.col("n") == 0, F.substring(line, 1, 60)).otherwise(line).alias("value"))
+
+
+@query
+def ingest_receipts(x: Layers) -> DataFrame:
+    """The receipts' good lines, typed, by the parser of the batch and stream jobs."""
+    good, _ = jsonl.split_ok(jsonl.parse_wms(receipt_lines(x)))
+    return good.select("wh_id", "po_no", "vendor_id", "upc_no", "qty_received", F.col("received_timestamp").cast("timestamp_ntz").alias("received_timestamp"))
+
+
+@query
+def ingest_receipt_dead_letters(x: Layers) -> DataFrame:
+    _, bad = jsonl.split_ok(jsonl.parse_wms(receipt_lines(x)))
+    return jsonl.dead_letters(bad, "WMS", F.current_timestamp()).groupBy("feed", "err").agg(F.count("*").alias("n_lines"), F.countDistinct("line_id").alias("n_ids"))
+
+
 @query
 def ingest_upsert(x: Layers) -> DataFrame:
     """Vendor-days of all invoices, upserted twice: first of those up to a day, then of those from some days before it on. The rows that both have are updated."""

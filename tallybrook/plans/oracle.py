@@ -22,8 +22,11 @@ LAYERS = {
     "base": f"""SELECT vendor_id, {_m("CAST(sum(invoice_amount) AS DOUBLE) / count(*)")} AS avg_invoice_amount, {_m("stddev_pop(CAST(invoice_amount AS DOUBLE))")} AS stddev_invoice_amount,
         {_m("quantile_cont(CAST(invoice_amount AS DOUBLE), 0.99)")} AS p99_invoice_amount, CAST(floor(count(*) / count(DISTINCT CAST(invoice_timestamp AS DATE))) AS BIGINT) AS avg_daily_invoice_cnt
         FROM inv WHERE CAST(invoice_timestamp AS DATE) > DATE '2023-11-02' AND CAST(invoice_timestamp AS DATE) <= DATE '2024-01-31' GROUP BY vendor_id""",
+    "resent": "SELECT * FROM silver UNION ALL SELECT * REPLACE (invoice_timestamp + INTERVAL 30 SECOND AS invoice_timestamp) FROM silver WHERE event_id % 61 = 0 UNION ALL SELECT * REPLACE (invoice_timestamp + INTERVAL 95 SECOND AS invoice_timestamp) FROM silver WHERE event_id % 183 = 0",
+    "history": f"""SELECT vendor_id, {_m("CAST(sum(invoice_amount) AS DOUBLE) / count(*)")} AS avg_invoice_amount, {_m("stddev_pop(CAST(invoice_amount AS DOUBLE))")} AS stddev_invoice_amount
+        FROM inv WHERE CAST(invoice_timestamp AS DATE) <= DATE '2024-01-02' AND CAST(invoice_timestamp AS DATE) > DATE '2023-10-04' GROUP BY vendor_id""",
     "scored": """SELECT inv.*, avg_invoice_amount AS baseline_avg, stddev_invoice_amount AS baseline_stddev, (CAST(invoice_amount AS DOUBLE) - CAST(avg_invoice_amount AS DOUBLE)) / nullif(CAST(stddev_invoice_amount AS DOUBLE), 0) AS z,
-        CASE WHEN base.vendor_id IS NULL THEN 'No baseline available' WHEN stddev_invoice_amount <= 0 THEN 'Degenerate stddev' END AS fallback_reason FROM inv LEFT JOIN base USING (vendor_id)""",
+        CASE WHEN history.vendor_id IS NULL THEN 'No baseline available' WHEN stddev_invoice_amount <= 0 THEN 'Degenerate stddev' END AS fallback_reason FROM inv LEFT JOIN history USING (vendor_id)""",
     "anomaly": f"""SELECT invoice_id, vendor_id, 'ANOMALY' AS rule_name, CASE WHEN abs(z) >= 5 THEN 'CRITICAL' ELSE 'HIGH' END AS severity, CAST(least(100, floor(abs(z) * 10)) AS BIGINT) AS fraud_score, invoice_amount AS amount, baseline_avg, baseline_stddev,
         'Invoice $' || format('{{:,.2f}}', CAST(invoice_amount AS DOUBLE)) || ' is ' || format('{{:.1f}}', abs(z)) || 'σ from vendor avg $' || format('{{:,.2f}}', CAST(baseline_avg AS DOUBLE)) AS reason,
         {_r("z", 3)} AS z_score, {_r("(CAST(invoice_amount AS DOUBLE) - CAST(baseline_avg AS DOUBLE)) / CAST(baseline_avg AS DOUBLE) * 100", 2)} AS deviation_pct, 'anomaly_check' AS alert_source, invoice_timestamp AS detected_at
@@ -71,7 +74,7 @@ QUERIES = {
     "bronze_union": "SELECT source_system, event_type, count(*) AS events, count(DISTINCT event_uuid) AS uuids, min(event_timestamp) AS first_event, max(event_timestamp) AS last_event FROM bronze GROUP BY ALL",
     "silver_dedup": "SELECT invoice_id, vendor_id, invoice_amount, invoice_timestamp FROM lines WHERE occurrence = 1",
     "dedup_duplicates": "SELECT invoice_id, vendor_id, invoice_amount, invoice_timestamp, occurrence FROM lines WHERE occurrence > 1",
-    "dedup_invariant": "SELECT invoice_id, vendor_id, invoice_amount, count(*) AS occurrence_count, min(invoice_timestamp) AS first_seen, max(invoice_timestamp) AS last_seen, date_diff('second', min(invoice_timestamp), max(invoice_timestamp)) AS seconds_between FROM silver WHERE CAST(invoice_timestamp AS DATE) >= DATE '2024-01-24' GROUP BY ALL HAVING count(*) > 1",
+    "dedup_invariant": "SELECT invoice_id, vendor_id, invoice_amount, count(*) AS occurrence_count, min(invoice_timestamp) AS first_seen, max(invoice_timestamp) AS last_seen, date_diff('second', min(invoice_timestamp), max(invoice_timestamp)) AS seconds_between FROM resent WHERE CAST(invoice_timestamp AS DATE) >= DATE '2024-01-24' GROUP BY ALL HAVING count(*) > 1",
     "baseline_90d": "SELECT * FROM base",
     "anomaly_alerts": "SELECT invoice_id, vendor_id, severity, fraud_score, amount, baseline_avg, z_score, deviation_pct FROM anomaly",
     "fallback_alerts": "SELECT invoice_id, vendor_id, severity, fraud_score, reason, amount, fallback_reason FROM fallback",
@@ -111,13 +114,20 @@ QUERIES = {
     "streaming_last_alerts": "SELECT detected_at, invoice_id, vendor_id, rule_name, severity, fraud_score, amount, z_score, occurrences, alert_source FROM fresh ORDER BY detected_at DESC, fraud_score DESC, invoice_id, rule_name, window_start NULLS FIRST LIMIT 20",
     "streaming_by_rule": _BY_RULE.format(avg=_MEAN_SCORE1, of="fresh"),
     "schema_columns": "SELECT 'gold_fraud_alerts' AS table_name, * FROM (VALUES ('invoice_id', 1, 'string'), ('vendor_id', 2, 'string'), ('rule_name', 3, 'string'), ('severity', 4, 'string'), ('reason', 5, 'string'), ('evidence', 6, 'string'), ('window_start', 7, 'timestamp_ntz'), ('window_end', 8, 'timestamp_ntz'), ('fraud_score', 9, 'bigint'), ('alert_source', 10, 'string'), ('detected_at', 11, 'timestamp_ntz')) AS t(column_name, ordinal_position, data_type)",
-    "streaming_duplicates": "SELECT invoice_id, count(*) AS occurrence_count, min(invoice_timestamp) AS first_seen, max(invoice_timestamp) AS last_seen, date_diff('second', min(invoice_timestamp), max(invoice_timestamp)) AS seconds_apart FROM silver WHERE CAST(invoice_timestamp AS DATE) >= DATE '2024-01-30' GROUP BY ALL HAVING count(*) > 1",
+    "streaming_duplicates": "SELECT invoice_id, count(*) AS occurrence_count, min(invoice_timestamp) AS first_seen, max(invoice_timestamp) AS last_seen, date_diff('second', min(invoice_timestamp), max(invoice_timestamp)) AS seconds_apart FROM resent WHERE CAST(invoice_timestamp AS DATE) >= DATE '2024-01-30' GROUP BY ALL HAVING count(*) > 1",
     "json_payload_extract": "SELECT event_uuid, source_system, event_type, invoice_id AS invoice_id_from_payload, vendor_id AS vendor_id_from_payload, invoice_amount AS amount_from_payload FROM bronze WHERE source_system = 'ERP' AND event_timestamp >= TIMESTAMP '2024-01-30 00:00:00' ORDER BY event_uuid LIMIT 50",
     "props_json": "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n, count(DISTINCT vendor_id) AS vendors FROM inv GROUP BY ALL",
     "json_evidence_extract": "SELECT invoice_id, vendor_id, rule_name, amount, baseline_avg, z_score, occurrences, fraud_pattern FROM fresh ORDER BY invoice_id, rule_name, window_start NULLS FIRST LIMIT 50",
-    "window_validation": "SELECT invoice_id, vendor_id, rule_name, window_start, window_end, CAST((epoch_us(window_end) - epoch_us(window_start)) // 1000000 AS BIGINT) AS window_duration_seconds, detected_at, CASE WHEN window_start IS NULL THEN 'No window (anomaly/fallback)' WHEN window_start > TIMESTAMP '2024-01-31 00:00:00' THEN 'Future timestamp!' WHEN window_start < TIMESTAMP '2024-01-24 00:00:00' THEN 'Very old' ELSE 'Valid' END AS window_validation FROM gold WHERE detected_at >= TIMESTAMP '2024-01-30 23:00:00' ORDER BY detected_at DESC, invoice_id, rule_name, window_start NULLS FIRST LIMIT 20",
+    "window_validation": "SELECT invoice_id, vendor_id, rule_name, window_start, window_end, CAST((epoch_us(window_end) - epoch_us(window_start)) // 1000000 AS BIGINT) AS window_duration_seconds, detected_at, CASE WHEN window_start IS NULL THEN 'No window (anomaly/fallback)' WHEN window_start > TIMESTAMP '2024-01-30 04:00:00' THEN 'Future timestamp!' WHEN window_start < TIMESTAMP '2024-01-23 04:00:00' THEN 'Very old' ELSE 'Valid' END AS window_validation FROM gold WHERE detected_at BETWEEN TIMESTAMP '2024-01-30 03:00:00' AND TIMESTAMP '2024-01-30 04:00:00' ORDER BY detected_at DESC, invoice_id, rule_name, window_start NULLS FIRST LIMIT 20",
     "score_distribution_all": f"SELECT rule_name, min(fraud_score) AS min_score, max(fraud_score) AS max_score, {_MEAN_SCORE1} AS avg_score, quantile_disc(fraud_score, 0.5) AS median_score, quantile_disc(fraud_score, 0.9) AS p90_score, count(*) AS alert_count, count(*) FILTER (fraud_score < 0 OR fraud_score > 100) AS invalid_scores FROM gold GROUP BY rule_name",
-    "score_distribution": f"SELECT rule_name, min(fraud_score) AS min_score, max(fraud_score) AS max_score, {_MEAN_SCORE1} AS avg_score, quantile_disc(fraud_score, 0.5) AS median_score, quantile_disc(fraud_score, 0.9) AS p90_score, count(*) AS alert_count, count(*) FILTER (fraud_score < 0 OR fraud_score > 100) AS invalid_scores FROM gold WHERE detected_at >= TIMESTAMP '2024-01-30 23:00:00' GROUP BY rule_name",
+    "score_distribution": f"SELECT rule_name, min(fraud_score) AS min_score, max(fraud_score) AS max_score, {_MEAN_SCORE1} AS avg_score, quantile_disc(fraud_score, 0.5) AS median_score, quantile_disc(fraud_score, 0.9) AS p90_score, count(*) AS alert_count, count(*) FILTER (fraud_score < 0 OR fraud_score > 100) AS invalid_scores FROM gold WHERE detected_at BETWEEN TIMESTAMP '2024-01-30 03:00:00' AND TIMESTAMP '2024-01-30 04:00:00' GROUP BY rule_name",
+    "score_distribution_sketched": f"SELECT rule_name, min(fraud_score) AS min_score, max(fraud_score) AS max_score, {_MEAN_SCORE1} AS avg_score, count(*) AS alert_count, count(*) FILTER (fraud_score < 0 OR fraud_score > 100) AS invalid_scores, true AS median_holds, true AS p90_holds FROM gold GROUP BY rule_name",
+    "baseline_sketched": "SELECT vendor_id, n, avg_invoice_amount, stddev_invoice_amount, avg_daily_invoice_cnt, true AS p99_holds FROM base JOIN (SELECT vendor_id, count(*) AS n FROM inv WHERE CAST(invoice_timestamp AS DATE) > DATE '2023-11-02' AND CAST(invoice_timestamp AS DATE) <= DATE '2024-01-31' GROUP BY 1) USING (vendor_id)",
+    "dedup_holds": "SELECT count(DISTINCT invoice_id) AS ids, count(*) - count(DISTINCT invoice_id) AS repeated_ids FROM silver",
+    "random_sample": f"SELECT vendor_id, trust_score, anomaly_alert_count, velocity_alert_count, duplicate_alert_count, {_SHOULD} AS calculated_score, CASE WHEN trust_score = {_SHOULD} THEN 'PASS' ELSE 'FAIL' END AS verification FROM last_trust ORDER BY sha256('7/' || vendor_id), vendor_id LIMIT 20",
+    "ingest_receipts": """SELECT 'WH-' || (o_orderkey % 7) AS wh_id, CAST(o_orderkey AS VARCHAR) AS po_no, CAST(o_custkey AS VARCHAR) AS vendor_id, CAST(o_orderkey % 40 AS VARCHAR) AS upc_no, CAST(o_custkey % 90 + 1 AS BIGINT) AS qty_received,
+        CAST(date_trunc('second', o_orderdate) AS TIMESTAMP) AS received_timestamp FROM orders WHERE o_orderkey % 40 > 3""",
+    "ingest_receipt_dead_letters": "SELECT 'WMS' AS feed, CASE o_orderkey % 40 WHEN 0 THEN 'not a JSON object' WHEN 1 THEN 'missing vendor_id' WHEN 2 THEN 'bad qty_received' ELSE 'bad received_timestamp' END AS err, count(*) AS n_lines, count(DISTINCT o_orderkey) AS n_ids FROM orders WHERE o_orderkey % 40 <= 3 GROUP BY o_orderkey % 40",
     "throughput_per_minute": "SELECT CAST(date_trunc('minute', ingested_at) AS TIMESTAMP) AS minute_bucket, count(*) AS messages_per_minute, count(DISTINCT vendor_id) AS unique_vendors FROM bronze WHERE ingested_at >= TIMESTAMP '2024-01-30 00:00:00' GROUP BY ALL ORDER BY minute_bucket DESC LIMIT 60",
     "e2e_latency": """SELECT b.invoice_id, count(*) AS alerts, CAST(floor((epoch_us(s.ingested_at) - epoch_us(b.ingested_at)) / 1000000) AS BIGINT) AS bronze_to_silver_sec, CAST(floor((epoch_us(g.detected_at) - epoch_us(s.ingested_at)) / 1000000) AS BIGINT) AS silver_to_gold_sec, CAST(floor((epoch_us(g.detected_at) - epoch_us(b.ingested_at)) / 1000000) AS BIGINT) AS total_latency_sec
         FROM (SELECT * FROM bronze WHERE source_system = 'ERP' AND ingested_at >= TIMESTAMP '2024-01-30 00:00:00') b LEFT JOIN (SELECT * FROM silver WHERE ingested_at >= TIMESTAMP '2024-01-30 00:00:00') s ON s.invoice_id = b.invoice_id JOIN fresh g ON g.invoice_id = b.invoice_id GROUP BY b.invoice_id, b.ingested_at, s.ingested_at, g.detected_at""",

@@ -5,16 +5,16 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybrook.schemas import LAYERS, conform
 
-#: The partition column that is added to every dated layer, and the days that may be broadcast.
-DAY, BROADCAST_DAYS = "day", 100_000
+#: The partition column that is added to every dated layer, and the days that are looked up one by one; of more, all between the first and the last are read.
+DAY, LISTED_DAYS = "day", 1000
 
 
 class Store:
@@ -26,20 +26,26 @@ class Store:
     def path(self, layer: str) -> str:
         return f"{self.root}/{layer}"
 
-    def read(self, layer: str, since=None, until=None) -> DataFrame:
-        """The layer, of days from since to until (partitions outside are not read). A layer whose contract requires it must be given a date."""
+    def read(self, layer: str, since=None, until=None, days: list[dt.date] | None = None) -> DataFrame:
+        """The layer, of days from since to until or of the days given (partitions outside are not read). A layer whose contract requires it must be given a date."""
+        if LAYERS[layer].filter_required and since is None and until is None and days is None:
+            raise ValueError(f"{layer} is read by date: give since, until or days")
+        return self._all(layer, since, until, days)
+
+    def stream(self, layer: str) -> DataFrame:
+        """The layer's rows as a stream, in the order of its files; for layers that are only appended to."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(layer))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(path)
+        return self.spark.readStream.schema(self._schema(layer)).parquet(self.path(layer)).select(*LAYERS[layer].schema.fieldNames())
+
+    def _schema(self, layer: str) -> T.StructType:
+        """The columns of a layer's files, and its day."""
         held = LAYERS[layer]
-        if held.filter_required and since is None and until is None:
-            raise ValueError(f"{layer} is read by date: give since or until")
-        try:
-            df = self.spark.read.parquet(self.path(layer))
-        except AnalysisException:
-            return self.spark.createDataFrame([], held.schema)
-        if since is not None:
-            df = df.where(F.col(DAY) >= F.lit(since))
-        if until is not None:
-            df = df.where(F.col(DAY) <= F.lit(until))
-        return df.select(*held.schema.fieldNames())
+        return T.StructType([*held.schema, *([T.StructField(DAY, T.DateType())] if held.date_of else [])])
+
+    def _exists(self, folder: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
     def _dated(self, df: DataFrame, layer: str) -> DataFrame:
         """Conforming rows with their day, dealt by day and sorted by the layer's order, so that files can be skipped by their ranges."""
@@ -76,30 +82,40 @@ class Store:
     def upsert(self, df: DataFrame, layer: str, columns: Iterable[str] | None = None, insert: bool = True) -> None:
         """Rows of the same key take df's values (of ``columns``, if given), others stay; new keys are inserted unless insert is False.
 
-        Days that df has rows of are rewritten, no others; they are read before they are replaced, through a written copy."""
+        Days that df has rows of are rewritten, no others, and no others are read; they are read before they are replaced, through a written copy."""
         held, key = LAYERS[layer], list(LAYERS[layer].key)
         new = conform(df.select(*df.columns), layer) if columns is None else df
         names = [c for c in (columns or held.schema.fieldNames()) if c not in key]
-        days = new.select(F.col(held.date_of).alias(DAY)).distinct() if held.date_of else None
-        old = self._all(layer)
-        if days is not None:
-            days = F.broadcast(days) if days.count() <= BROADCAST_DAYS else days
-            old = old.withColumn(DAY, F.to_date(held.date_of)).join(days, DAY, "left_semi").drop(DAY)
+        days = self.days(new, layer)
+        if days == []:
+            return
         new = new.dropDuplicates(key).select(*key, *(F.col(c).alias(f"__{c}") for c in names), F.lit(True).alias("__new"))
-        both = old.withColumn("__old", F.lit(True)).join(new, key, "full_outer" if insert and columns is None else "left")
+        both = self._all(layer, days=days).join(new, key, "full_outer" if insert and columns is None else "left")
         rows = both.select(*key, *(F.when(F.col("__new"), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in names else F.col(c) for c in held.schema.fieldNames() if c not in key))
         copy = f"{self.root}/_pending_{layer}_{uuid.uuid4().hex[:12]}"
         conform(rows, layer).write.parquet(copy)
-        self.overwrite_days(self.spark.read.parquet(copy), layer)
+        self.overwrite_days(self.spark.read.schema(held.schema).parquet(copy), layer)
         self._delete(copy)
 
-    def _all(self, layer: str, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
-        try:
-            df = self.spark.read.parquet(self.path(layer))
-        except AnalysisException:
+    def days(self, df: DataFrame, layer: str) -> list[dt.date] | None:
+        """The days that df has rows of, in order; None for a layer without dates."""
+        if LAYERS[layer].date_of is None:
+            return None
+        return sorted(r[0] for r in df.select(F.to_date(LAYERS[layer].date_of)).distinct().collect() if r[0] is not None)  # a row for each day of the calendar at most
+
+    def _all(self, layer: str, since: dt.date | None = None, until: dt.date | None = None, days: list[dt.date] | None = None) -> DataFrame:
+        """The layer, of days from since to until or of the days given: other partitions are not read. A layer that was not written is empty; one that can't be read raises."""
+        if not self._exists(self.path(layer)):
             return self.spark.createDataFrame([], LAYERS[layer].schema)
+        df = self.spark.read.schema(self._schema(layer)).parquet(self.path(layer))
+        if days is not None and len(days) > LISTED_DAYS:
+            since, until = days[0], days[-1]
+        elif days is not None:
+            df = df.where(F.col(DAY).isin(days))
         if since is not None:
-            df = df.where((F.col(DAY) >= F.lit(since)) & (F.col(DAY) <= F.lit(until)))
+            df = df.where(F.col(DAY) >= F.lit(since))
+        if until is not None:
+            df = df.where(F.col(DAY) <= F.lit(until))
         return df.select(*LAYERS[layer].schema.fieldNames())
 
     def staged(self, df: DataFrame, name: str) -> DataFrame:
@@ -152,3 +168,12 @@ class Store:
             held.createStatement().executeUpdate(f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} s WHERE NOT EXISTS (SELECT 1 FROM {table} t WHERE {same})")
         finally:
             held.close()
+
+
+def refreshed(store: Store, rows: DataFrame, source: str, date_of: str, made: Callable[[DataFrame], DataFrame], layer: str) -> None:
+    """Makes the vendor-days that rows touch anew from their source layer, of which only these days are read: one row a vendor-day, however often it is touched."""
+    touched = rows.select("vendor_id", F.to_date(date_of).alias("feature_date")).distinct()
+    days = store.days(rows, source)
+    if days:
+        found = made(store.read(source, days=days)).join(touched, ["vendor_id", "feature_date"], "left_semi")
+        store.upsert(found.withColumn("computed_at", F.current_timestamp()), layer)

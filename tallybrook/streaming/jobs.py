@@ -1,19 +1,20 @@
-"""Structured Streaming: dedup with and without its duplicates, velocity over sliding windows, anomaly against the baseline, and sinks."""
+"""Structured Streaming: dedup with and without its duplicates, anomaly against the baseline, daily windows, and the whole job with its sinks."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tallybrook.config import Config
-from tallybrook.functions.columns import amount_key
 from tallybrook.operators import features, layers, rules
-from tallybrook.plans.store import Store
+from tallybrook.plans.store import Store, refreshed
 from tallybrook.sources import jsonl
+from tallybrook.streaming.ledger import Ledger
+from tallybrook.streaming.velocity import velocity_stream
 
 
 def dedup_stream(invoices: DataFrame, cfg: Config, ts: str = "invoice_timestamp") -> DataFrame:
@@ -62,16 +63,6 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def velocity_stream(invoices: DataFrame, cfg: Config, ts: str = "invoice_timestamp", watermarked: bool = False) -> DataFrame:
-    """Groups of like amounts in sliding windows, each once, complete, when the watermark has passed its window."""
-    rows = invoices if watermarked else invoices.withWatermark(ts, f"{cfg.lateness} seconds")
-    rows = rows.withColumn("amount", amount_key(F.col("invoice_amount"), cfg.amount_step))
-    member = F.struct(F.col(ts).alias("invoice_timestamp"), "invoice_id")
-    groups = rows.groupBy(F.window(ts, f"{cfg.window} seconds", f"{cfg.slide} seconds"), "vendor_id", "amount").agg(F.count("*").alias("occurrences"), F.array_sort(F.collect_list(member)).alias("members"))
-    groups = groups.where(F.col("occurrences") >= cfg.min_repeats)
-    return groups.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "vendor_id", "amount", "occurrences", F.col("members.invoice_id").alias("invoice_ids"), "members")
-
-
 def anomaly_stream(invoices: DataFrame, baseline: DataFrame, cfg: Config) -> DataFrame:
     """Anomaly and fallback alerts, row by row against a static baseline."""
     return rules.anomaly_alerts(invoices, baseline, cfg).unionByName(rules.fallback_alerts(invoices, baseline, cfg))
@@ -83,28 +74,6 @@ def daily_stream(invoices: DataFrame, cfg: Config, ts: str = "invoice_timestamp"
     return days.agg(F.count("*").alias("invoice_count"), F.sum("invoice_amount").alias("total_invoice_amount")).select("vendor_id", F.to_date("window.start").alias("feature_date"), "invoice_count", "total_invoice_amount")
 
 
-def observed(alerts: DataFrame, name: str = "alerts") -> DataFrame:
-    """Counts by rule in each batch's progress, in place of a log line for each row."""
-    rule = F.col("rule_name")
-    return alerts.observe(name, F.count("*").alias("all"), *(F.count_if(rule == r).alias(r.lower()) for r in ("VELOCITY", "ANOMALY", "FALLBACK")))
-
-
-def observed_feed(parsed: DataFrame, name: str) -> DataFrame:
-    """Lines and dead letters of a parsed feed in each batch's progress."""
-    return parsed.observe(name, F.count("*").alias("lines"), F.count_if(F.col("err").isNotNull()).alias("dead_letters"))
-
-
-def observed_duplicates(flagged: DataFrame, name: str = "dedup") -> DataFrame:
-    """Accepted and suppressed invoices of dedup_with_duplicates() in each batch's progress."""
-    return flagged.observe(name, F.count_if(~F.col("is_duplicate")).alias("accepted"), F.count_if("is_duplicate").alias("suppressed"))
-
-
-def metrics(query: StreamingQuery, name: str) -> dict[str, int]:
-    """The sums of an observation over the batches that the query still remembers."""
-    rows = [p.observedMetrics[name].asDict() for p in query.recentProgress if name in p.observedMetrics]
-    return {k: sum(r[k] for r in rows) for k in (rows[0] if rows else {})}
-
-
 def _started(writer: DataStreamWriter, cfg: Config, checkpoint: str, once: bool) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{cfg.trigger} seconds")).start()
@@ -117,39 +86,94 @@ def to_files(df: DataFrame, path: str, checkpoint: str, cfg: Config, once: bool
 
 def to_layer(df: DataFrame, store: Store, layer: str, checkpoint: str, cfg: Config, once: bool = False) -> StreamingQuery:
     """Each batch's rows whose keys the layer lacks are appended, so that a batch that runs again changes nothing. Keys come again within the time to live: only its days are read."""
-    lookback = -(-cfg.dedup_ttl // 86_400)
-    return _started(df.writeStream.outputMode("append").foreachBatch(lambda batch, _: store.insert_missing(batch, layer, lookback)), cfg, checkpoint, once)
 
+    def write(batch: DataFrame) -> dict[str, int]:
+        store.insert_missing(batch, layer, _days(cfg.dedup_ttl))
+        return {}
+
+    return written(df, write, store.spark, checkpoint, cfg, once)
+
+
+def _days(seconds: int) -> int:
+    return -(-seconds // 86_400)
 
-def _refreshed(batch: DataFrame, store: Store, source: str, date_of: str, made: Callable[[DataFrame], DataFrame], layer: str) -> None:
-    """Recomputes from its source layer the vendor-days that a batch touches: one row a vendor-day, however many batches."""
-    touched = batch.select("vendor_id", F.to_date(date_of).alias("feature_date")).distinct()
-    since, until = touched.agg(F.min("feature_date"), F.max("feature_date")).first()
-    if since is not None:
-        found = made(store.read(source, since=since, until=until)).join(touched, ["vendor_id", "feature_date"], "left_semi")
-        store.upsert(found.withColumn("computed_at", F.current_timestamp()), layer)
 
+def written(df: DataFrame, write: Callable[[DataFrame], dict[str, int]], spark: SparkSession, checkpoint: str, cfg: Config, once: bool = False) -> StreamingQuery:
+    """Starts a query that hands each batch to ``write``, the one writer of its layers, and notes the figures that it returns in the ledger beside the checkpoint: a batch that was noted is not written again."""
+    ledger = Ledger(spark, f"{checkpoint}/written")
 
-def features_from_layer(silver_stream: DataFrame, store: Store, checkpoint: str, cfg: Config, once: bool = False) -> StreamingQuery:
-    """Behavioral features of the vendor-days that a batch touches, from silver."""
+    def run(batch: DataFrame, k: int) -> None:
+        if not ledger.has(k):
+            ledger.note(k, write(batch))
 
-    def recompute(batch: DataFrame, _: int) -> None:
-        _refreshed(batch, store, "silver_deduplicated_invoices", "invoice_timestamp", features.behavioral, "vendor_daily_behavioral_features")
+    return _started(df.writeStream.outputMode("append").foreachBatch(run), cfg, checkpoint, once)
 
-    return _started(silver_stream.writeStream.outputMode("append").foreachBatch(recompute), cfg, checkpoint, once)
 
+def metrics(spark: SparkSession, checkpoint: str) -> dict[str, int]:
+    """The sums of a query's figures over all its batches, also those before a restart."""
+    return Ledger(spark, f"{checkpoint}/written").sums()
 
-def gold_to_layers(alerts: DataFrame, store: Store, checkpoint: str, cfg: Config, once: bool = False) -> StreamingQuery:
-    """Alerts that gold lacks are appended, and risk features of the vendor-days that they touch recomputed from gold."""
-    lookback = -(-(cfg.window + cfg.lateness) // 86_400)
 
-    def write(batch: DataFrame, _: int) -> None:
-        batch = store.staged(layers.gold_rows(batch), "gold")
-        store.insert_missing(batch, "gold_fraud_alerts", lookback)
-        _refreshed(batch, store, "gold_fraud_alerts", "detected_at", features.risk, "vendor_daily_risk_features")
-        store.staged_drop(batch)
+def observed_duplicates(flagged: DataFrame, name: str = "dedup") -> DataFrame:
+    """Accepted and suppressed invoices of dedup_with_duplicates() in each batch's progress."""
+    return flagged.observe(name, F.count_if(~F.col("is_duplicate")).alias("accepted"), F.count_if("is_duplicate").alias("suppressed"))
+
+
+def _feed(parsed: DataFrame, feed: str) -> DataFrame:
+    """A parsed feed as rows that are either events of bronze or dead letters, whose lines are masked."""
+    bad = F.col("err").isNotNull()
+    return parsed.select(
+        F.lit(feed).alias("feed"), jsonl.line_id(F.col("raw")).alias("line_id"), F.when(bad, jsonl.masked(F.col("raw"))).alias("raw"), "err",
+        *layers.event(feed, parsed.columns, F.current_timestamp()),
+    )
+
+
+def bronze_query(erp: DataFrame | None, wms: DataFrame | None, store: Store, checkpoint: str, cfg: Config, once: bool = False) -> StreamingQuery:
+    """Bronze and dead letters of both feeds, which are one stream here: a layer has one writer, as two that append at once disturb each other."""
+    parts = [_feed(parse(lines), feed) for feed, parse, lines in (("ERP", jsonl.parse_erp, erp), ("WMS", jsonl.parse_wms, wms)) if lines is not None]
+    both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    feed, bad = F.col("feed"), F.col("err").isNotNull()
+
+    def write(batch: DataFrame) -> dict[str, int]:
+        seen = Observation()
+        counts = {f"{f.lower()}_{name}": F.count_if((feed == f) & test) for f in ("ERP", "WMS") for name, test in (("lines", F.lit(True)), ("dead_letters", bad))}
+        rows = store.staged(batch.observe(seen, *(c.alias(k) for k, c in counts.items())), "bronze")
+        store.insert_missing(rows.where("err is null"), "bronze_raw_events")
+        store.insert_missing(rows.where("err is not null").select("line_id", "raw", "err", "feed", "ingested_at"), "dead_letter")
+        store.staged_drop(rows)
+        return seen.get
+
+    return written(both, write, store.spark, checkpoint, cfg, once)
+
+
+def silver_query(unique: DataFrame, store: Store, checkpoint: str, cfg: Config, once: bool = False) -> StreamingQuery:
+    """Invoices that silver lacks are appended; then, in the same batch, the behaviour of the vendor-days that it touches is made anew from silver."""
+
+    def write(batch: DataFrame) -> dict[str, int]:
+        seen = Observation()
+        rows = store.staged(batch.observe(seen, F.count("*").alias("invoices")), "silver")
+        store.insert_missing(rows, "silver_deduplicated_invoices", _days(cfg.dedup_ttl))
+        refreshed(store, rows, "silver_deduplicated_invoices", "invoice_timestamp", features.behavioral, "vendor_daily_behavioral_features")
+        store.staged_drop(rows)
+        return seen.get
+
+    return written(unique, write, store.spark, checkpoint, cfg, once)
+
+
+def gold_query(alerts: DataFrame, store: Store, checkpoint: str, cfg: Config, once: bool = False) -> StreamingQuery:
+    """Alerts that gold lacks are appended, and the risk of the vendor-days that they touch is made anew from gold. Figures: alerts by rule, and invoices whose vendor has no baseline."""
+    rule = F.col("rule_name")
+
+    def write(batch: DataFrame) -> dict[str, int]:
+        seen = Observation()
+        counts = [F.count("*").alias("all"), *(F.count_if(rule == r).alias(r.lower()) for r in ("VELOCITY", "ANOMALY", "FALLBACK")), F.count_if(F.endswith("reason", F.lit(rules.NO_BASELINE))).alias("no_baseline")]
+        rows = store.staged(layers.gold_rows(batch).observe(seen, *counts), "gold")
+        store.insert_missing(rows, "gold_fraud_alerts", _days(cfg.window + cfg.lateness))
+        refreshed(store, rows, "gold_fraud_alerts", "detected_at", features.risk, "vendor_daily_risk_features")
+        store.staged_drop(rows)
+        return seen.get
 
-    return _started(alerts.writeStream.outputMode("append").foreachBatch(write), cfg, checkpoint, once)
+    return written(alerts, write, store.spark, checkpoint, cfg, once)
 
 
 def gold_stream(invoices: DataFrame, baseline: DataFrame, cfg: Config) -> DataFrame:
@@ -160,11 +184,11 @@ def gold_stream(invoices: DataFrame, baseline: DataFrame, cfg: Config) -> DataFr
 
 
 def run_stream(spark: SparkSession, store: Store, erp: DataFrame, wms: DataFrame | None, baseline: DataFrame, cfg: Config, checkpoint: str, once: bool = False) -> dict[str, StreamingQuery]:
-    """The whole job over feeds of lines (value): dead letters and bronze of both feeds, silver, gold, and both feature tables; one query a sink, by name.
+    """The whole job over feeds of lines (value), as three queries by name: ``bronze`` (with dead letters), ``silver`` (with behaviour) and ``gold`` (with risk). Each layer has one writer.
 
-    Each sink inserts what its layer lacks or replaces what it touches, so that after a restart from its checkpoint, or from none, the layers are the same. With once, all that is there is read, and the queries
-    have ended on return."""
-    now = F.current_timestamp()
+    Gold follows the files of silver, so that invoices are parsed and deduplicated once for both. Each query inserts what its layers lack or replaces what it touches, so that after a restart from its
+    checkpoint, or from none, the layers are the same. With once, all that is there is read, and the queries have ended on return. The state is kept in RocksDB."""
+    use_rocksdb(spark)
     started: dict[str, StreamingQuery] = {}
 
     def go(name: str, start: Callable[[str], StreamingQuery]) -> None:
@@ -172,25 +196,9 @@ def run_stream(spark: SparkSession, store: Store, erp: DataFrame, wms: DataFrame
         if once:
             started[name].awaitTermination()
 
-    def split(feed: str, parse: Callable[[DataFrame], DataFrame], lines: DataFrame) -> DataFrame:
-        """The good rows; the batch's rows are written once, to bronze and to the dead letters."""
-        parsed = observed_feed(parse(lines), feed.lower())
-
-        def write(batch: DataFrame, _: int) -> None:
-            rows = store.staged(batch.withColumns({"line_id": jsonl.line_id(F.col("raw")), "raw": F.when(F.col("err").isNotNull(), jsonl.masked(F.col("raw")))}), feed.lower())
-            good = rows.where("err is null")
-            store.insert_missing(layers.bronze(good if feed == "ERP" else None, good if feed == "WMS" else None), "bronze_raw_events")
-            store.insert_missing(rows.where("err is not null").select("line_id", "raw", "err", F.lit(feed).alias("feed"), now.alias("ingested_at")), "dead_letter")
-            store.staged_drop(rows)
-
-        go(f"bronze_{feed.lower()}", lambda c: _started(parsed.writeStream.outputMode("append").foreachBatch(write), cfg, c, once))
-        return jsonl.split_ok(parse(lines))[0]
-
-    if wms is not None:
-        split("WMS", jsonl.parse_wms, wms)
-    good = split("ERP", jsonl.parse_erp, erp)
-    unique = layers.silver(dedup_stream(good, cfg), now)
-    go("silver", lambda c: to_layer(unique, store, "silver_deduplicated_invoices", c, cfg, once))
-    go("behavioral", lambda c: features_from_layer(unique, store, c, cfg, once))
-    go("gold", lambda c: gold_to_layers(observed(gold_stream(unique, baseline, cfg)), store, c, cfg, once))
+    go("bronze", lambda c: bronze_query(erp, wms, store, c, cfg, once))
+    good = jsonl.split_ok(jsonl.parse_erp(erp))[0]
+    go("silver", lambda c: silver_query(layers.silver(dedup_stream(good, cfg)), store, c, cfg, once))
+    invoices = store.stream("silver_deduplicated_invoices").withWatermark("invoice_timestamp", f"{cfg.lateness} seconds")
+    go("gold", lambda c: gold_query(gold_stream(invoices, baseline, cfg), store, c, cfg, once))
     return started

@@ -25,8 +25,37 @@ def test_query_matches_sql(spark, con, name):
     assert_same(catalogue.queries()[name](spark, SF), con, oracle.oracle_sql()[name])
 
 
-def test_every_query_has_sql_but_the_random_one():
-    assert set(catalogue.queries()) - set(oracle.oracle_sql()) == {"random_sample"}
+def test_every_query_has_sql():
+    assert set(catalogue.queries()) == set(oracle.oracle_sql())
+
+
+def test_the_last_day_is_read_alone(spark):
+    x = catalogue.Layers(spark, SF)
+    last = x.latest("trust")
+    days = {f.rpartition("/")[0].rpartition("=")[2] for f in last.where("trust_score >= 0")._jdf.queryExecution().executedPlan().toString().split() if "day=" in f}
+    assert last.select("score_date").distinct().count() == 1 and last.first()["score_date"] == x.trust.agg(F.max("score_date")).first()[0] and len(days) <= 1
+    assert "PartitionFilters: [isnotnull(day" in last._jdf.queryExecution().toString()
+
+
+def test_layers_follow_tables_that_are_written_anew(spark, tmp_path):
+    folder = str(tmp_path)
+    for name in ("events", "orders"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    before = catalogue.Layers(spark, folder).silver.count()
+    half = spark.read.parquet(f"{SF}/events.parquet").where("event_id < 500")
+    half.write.mode("overwrite").parquet(f"{folder}/events.parquet")
+    spark.catalog.refreshByPath(f"{folder}/events.parquet")
+    assert before == 1000 and catalogue.Layers(spark, folder).silver.count() == 500
+
+
+def test_rank_gaps_are_those_of_a_sorted_day(spark):
+    rng, rows, want = random.Random(8), [], 0
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        ranks = sorted(rng.choices(range(1, 40), k=30))
+        rows += [(day, r) for r in ranks]
+        want += sum(b - a != 1 for a, b in zip(ranks, ranks[1:], strict=False))
+    df = spark.createDataFrame(rows, "ranking_date string, risk_rank long")
+    assert catalogue.rank_gaps(df).first()[0] == want and catalogue.rank_gaps(df.limit(0)).first()[0] == 0
 
 
 def test_reports_read_the_days_they_ask_for(spark):
