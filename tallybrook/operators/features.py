@@ -79,3 +79,46 @@ def alert_ratio(risks: DataFrame, behave: DataFrame, cfg: Config) -> DataFrame:
     """Alerts for each invoice of a vendor-day; above 1 where windows multiply alerts."""
     ratio = safe_divide(F.col("total_alert_count"), F.col("invoice_count"))
     return _recent(risks, cfg).join(behave.select("vendor_id", "feature_date", "invoice_count"), ["vendor_id", "feature_date"]).select("vendor_id", "feature_date", "total_alert_count", "invoice_count", ratio.alias("high_risk_alert_ratio"))
+
+
+def running(rows: DataFrame, held: DataFrame, values: list[str]) -> DataFrame:
+    """(vendor_id, feature_date, values, k, and a running sum of each value) of vendor-days from the first on that ``held``, rows of the same form from earlier runs, lacks or has other values of.
+
+    A vendor's rows are numbered in order of their dates; k is the number. Where nothing came late, these are the new days alone; after a late day they are all later days of that vendor."""
+    on = ["vendor_id", "feature_date"]
+    known = held.select(*on, F.struct(*values).alias("__known"))
+    changed = rows.join(known, on, "left").where(F.col("__known").isNull() | ~F.struct(*values).eqNullSafe(F.col("__known")))
+    first = changed.groupBy("vendor_id").agg(F.min("feature_date").alias("__from"))
+    before = _before(held, first).groupBy("vendor_id").agg(F.max_by(F.struct("k", *(f"{v}_sum" for v in values)), "feature_date").alias("__base"))
+    todo = rows.join(first, "vendor_id").where("feature_date >= __from").join(before, "vendor_id", "left")
+    order = Window.partitionBy("vendor_id").orderBy("feature_date")
+    zero = F.lit(0)
+    sums = [(F.coalesce(F.col(f"__base.{v}_sum"), zero) + F.sum(F.coalesce(v, zero)).over(order)).alias(f"{v}_sum") for v in values]
+    return todo.select(*on, *values, (F.coalesce(F.col("__base.k"), zero) + F.row_number().over(order)).cast("long").alias("k"), *sums)
+
+
+def _before(held: DataFrame, first: DataFrame) -> DataFrame:
+    """Rows of vendors that have something new, from before it."""
+    return held.join(first, "vendor_id").where("feature_date < __from").drop("__from")
+
+
+def rolled(new: DataFrame, held: DataFrame, values: list[str], spans: dict[str, int]) -> DataFrame:
+    """(vendor_id, feature_date, and for each span and value the sum over the vendor's last so many rows, named value_span, with the number of rows as rows_span) of the rows of running().
+
+    A sum is a difference of two running sums; the earlier one is looked up by its number among the vendor's rows of the history, of which there is one a day at most."""
+    names = ["k", *(f"{v}_sum" for v in values)]
+    first = new.groupBy("vendor_id").agg(F.min("feature_date").alias("__from"))
+    every = _before(held, first).select("vendor_id", *values, *names).unionByName(new.select("vendor_id", *values, *names))
+    of_vendor = every.groupBy("vendor_id").agg(F.array_sort(F.collect_list(F.struct(*names, *values))).alias("__rows"))
+    joined = new.join(of_vendor, "vendor_id")
+    start = F.col("__rows")[0]
+    out = []
+    for name, n in spans.items():
+        low = F.col("k") - n  # the number of the last row that is not in the span
+        at = F.try_element_at("__rows", F.greatest(low - start["k"] + 1, F.lit(1)).cast("int"))
+        inside = low >= start["k"]
+        out.append(F.when(inside, F.lit(n)).otherwise(F.col("k") - start["k"] + 1).cast("long").alias(f"rows_{name}"))
+        for v in values:
+            earlier = F.when(inside, at[f"{v}_sum"]).otherwise(start[f"{v}_sum"] - F.coalesce(start[v], F.lit(0)))
+            out.append((F.col(f"{v}_sum") - earlier).alias(f"{v}_{name}"))
+    return joined.select("vendor_id", "feature_date", *out)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.config import Config
-from tallybrook.functions.columns import safe_divide
+from tallybrook.functions.columns import money, safe_divide
 from tallybrook.operators import dedup, features, layers, rules, scores
 from tallybrook.plans.store import Store, refreshed
 from tallybrook.sources import jsonl
@@ -73,18 +73,36 @@ def refresh_baseline(store: Store, cfg: Config) -> None:
 
 
 def nightly_rolling(store: Store, cfg: Config) -> None:
-    """Rolling columns and the alert ratio, updated in the rows of the last days; risk first, as it reads the counts that are rewritten after."""
+    """Rolling columns and the alert ratio of the vendor-days that are new or came late since the last run, and of the later days of vendors with late ones; other days are not written.
+
+    Running sums are kept in layers of their own; a span's sum is a difference of two of them."""
     since = cfg.as_of - dt.timedelta(cfg.history_days)
+    short, long = cfg.short_rows, cfg.long_rows
     behave = store.read("vendor_daily_behavioral_features", since=since, until=cfg.as_of)
-    risk = store.read("vendor_daily_risk_features", since=since, until=cfg.as_of)
-    risk_rolled = features.rolling_risk(risk.drop("anomaly_alert_count_30d", "velocity_alert_count_30d", "total_alert_count_30d"), cfg)
-    ratio = behave.select("vendor_id", "feature_date", "invoice_count")
-    risk_rolled = risk_rolled.drop("high_risk_alert_ratio").join(ratio, ["vendor_id", "feature_date"], "left").withColumn("high_risk_alert_ratio", safe_divide(F.col("total_alert_count"), F.col("invoice_count")))
-    names = ["anomaly_alert_count_30d", "velocity_alert_count_30d", "total_alert_count_30d", "high_risk_alert_ratio"]
-    store.upsert(risk_rolled.select("vendor_id", "feature_date", *names), "vendor_daily_risk_features", names)
-    rolled = features.rolling_behavioral(behave.drop("invoice_count_7d", "invoice_count_30d", "avg_invoice_amount_7d", "avg_invoice_amount_30d"), cfg)
+    values = ["invoice_count", "avg_invoice_amount"]
+    found, new = _run(store, "vendor_running_behavior", behave, values, {"7d": short, "30d": long}, since, cfg)
+    mean = lambda span: money(F.col(f"avg_invoice_amount_{span}").cast("double") / F.col(f"rows_{span}")).alias(f"avg_invoice_amount_{span}")
     names = ["invoice_count_7d", "invoice_count_30d", "avg_invoice_amount_7d", "avg_invoice_amount_30d"]
-    store.upsert(rolled.select("vendor_id", "feature_date", *names), "vendor_daily_behavioral_features", names)
+    store.upsert(found.select("vendor_id", "feature_date", "invoice_count_7d", "invoice_count_30d", mean("7d"), mean("30d")), "vendor_daily_behavioral_features", names)
+    store.staged_drop(new, found)
+    risk = store.read("vendor_daily_risk_features", since=since, until=cfg.as_of)
+    values = ["anomaly_alert_count", "velocity_alert_count", "total_alert_count"]
+    rolled, new = _run(store, "vendor_running_risk", risk, values, {"30d": long}, since, cfg)
+    counts = store.read("vendor_daily_behavioral_features", since=since, until=cfg.as_of).select("vendor_id", "feature_date", "invoice_count")  # its files are new
+    ratio = safe_divide(F.col("total_alert_count"), F.col("invoice_count")).alias("high_risk_alert_ratio")
+    found = rolled.join(new.select("vendor_id", "feature_date", "total_alert_count"), ["vendor_id", "feature_date"]).join(counts, ["vendor_id", "feature_date"], "left")
+    names = [f"{v}_30d" for v in values]
+    store.upsert(found.select("vendor_id", "feature_date", *names, ratio), "vendor_daily_risk_features", [*names, "high_risk_alert_ratio"])
+    store.staged_drop(new, rolled)
+
+
+def _run(store: Store, layer: str, rows: DataFrame, values: list[str], spans: dict[str, int], since: dt.date, cfg: Config) -> tuple[DataFrame, DataFrame]:
+    """The rolled sums of new rows, and these rows with their running sums, staged; the layer of running sums holds them after it."""
+    held = store.read(layer, since=since, until=cfg.as_of)
+    new = store.staged(features.running(rows.select("vendor_id", "feature_date", *values), held, values), layer)
+    found = store.staged(features.rolled(new, held, values, spans), f"{layer}_rolled")
+    store.upsert(new, layer)
+    return found, new
 
 
 def features_view(store: Store, since: dt.date, until: dt.date, name: str = "vendor_daily_features_view") -> DataFrame:

@@ -80,12 +80,12 @@ class Store:
         (writer.partitionBy(DAY) if LAYERS[layer].date_of else writer).parquet(self.path(layer))
 
     def upsert(self, df: DataFrame, layer: str, columns: Iterable[str] | None = None, insert: bool = True) -> None:
-        """Rows of the same key take df's values (of ``columns``, if given), others stay; new keys are inserted unless insert is False.
+        """Rows of the same key take df's values (of ``columns``, if given; columns that df lacks stay), other rows stay; new keys are inserted unless insert is False.
 
         Days that df has rows of are rewritten, no others, and no others are read; they are read before they are replaced, through a written copy."""
         held, key = LAYERS[layer], list(LAYERS[layer].key)
         new = conform(df.select(*df.columns), layer) if columns is None else df
-        names = [c for c in (columns or held.schema.fieldNames()) if c not in key]
+        names = [c for c in (columns or [c for c in held.schema.fieldNames() if c in df.columns]) if c not in key]
         days = self.days(new, layer)
         if days == []:
             return

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 def _struct(*columns: str) -> T.StructType:
     """Columns as "name type" or "name type!" for those that may not be null."""
-    kinds = {"string": T.StringType(), "long": T.LongType(), "double": T.DoubleType(), "money": T.DecimalType(15, 2), "ts": T.TimestampType(), "date": T.DateType()}
+    kinds = {"string": T.StringType(), "long": T.LongType(), "double": T.DoubleType(), "money": T.DecimalType(15, 2), "sum": T.DecimalType(38, 2), "ts": T.TimestampType(), "date": T.DateType()}
     return T.StructType([T.StructField(name, kinds[kind.rstrip("!")], not kind.endswith("!")) for name, kind in (c.split() for c in columns)])
 
 
@@ -39,6 +39,8 @@ LAYERS = {
     "vendor_trust_scores": Layer(_struct("vendor_id string!", "score_date date!", "trust_score long!", "risk_level string!", "behavioral_penalty long!", "risk_penalty long!", "total_penalty long!", "anomaly_alert_count long!", "velocity_alert_count long!", "duplicate_alert_count long!", "total_alert_count long!", "score_explanation string", "ml_fraud_probability double", "ml_model_version string", "computed_at ts"), "score_date", ("vendor_id", "trust_score"), ("vendor_id", "score_date"), True),
     "vendor_risk_rankings": Layer(_struct("ranking_date date!", "vendor_id string!", "trust_score long!", "risk_rank long!", "risk_level string!", "rank_change long", "computed_at ts"), "ranking_date", ("vendor_id", "risk_rank"), ("ranking_date", "vendor_id"), True),
     "vendor_90day_baseline": Layer(BASELINE, None, (), ("vendor_id",)),
+    "vendor_running_behavior": Layer(_struct("vendor_id string!", "feature_date date!", "invoice_count long", "avg_invoice_amount money", "k long!", "invoice_count_sum long", "avg_invoice_amount_sum sum"), "feature_date", ("vendor_id",), ("vendor_id", "feature_date"), True),
+    "vendor_running_risk": Layer(_struct("vendor_id string!", "feature_date date!", "anomaly_alert_count long", "velocity_alert_count long", "total_alert_count long", "k long!", "anomaly_alert_count_sum long", "velocity_alert_count_sum long", "total_alert_count_sum long"), "feature_date", ("vendor_id",), ("vendor_id", "feature_date"), True),
     "dead_letter": Layer(_struct("line_id string!", "raw string", "err string", "feed string!", "ingested_at ts"), None, (), ("line_id", "feed")),
 }
 
