@@ -38,6 +38,11 @@ def json_field(column: str, name: str, kind: str = "string") -> Column:
     return F.get_json_object(F.col(column), f"$.{name}").try_cast(kind)
 
 
+def fact(column: str, name: str, kind: str = "string") -> Column:
+    """A field of a VARIANT column, null where it isn't of that kind; the JSON was parsed when the column was made."""
+    return F.try_variant_get(F.col(column), f"$.{name}", kind)
+
+
 def pii_hash(x: Column) -> Column:
     """SHA-256 in hex; a missing value counts as the empty text."""
     return F.sha2(F.coalesce(x, F.lit("")), 256)

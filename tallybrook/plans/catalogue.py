@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybrook.config import Config
-from tallybrook.functions.columns import json_field, risk_tier, rounded, safe_divide, seconds_between
+from tallybrook.functions.columns import fact, risk_tier, rounded, safe_divide, seconds_between
 from tallybrook.operators import daily, dedup, features, layers, rules, scores
 from tallybrook.plans.store import DAY, Store
 from tallybrook.session import shared_dir
@@ -105,7 +105,7 @@ class Layers:
         wms = adapters.receipts_from_orders(self.spark, self.sf_dir).select(F.concat(F.lit("wms-"), "po_no").alias("event_uuid"), F.lit(None).cast("string").alias("wh_id"), "*")
         both = layers.bronze(erp, wms, F.lit(None).cast("timestamp_ntz"))
         number = F.regexp_extract("event_uuid", r"(\d+)", 1).cast("long")
-        return both.withColumn("ingested_at", _later(F.col("event_timestamp"), F.pmod(number, F.lit(120))))
+        return _with_facts(both.withColumn("ingested_at", _later(F.col("event_timestamp"), F.pmod(number, F.lit(120)))), "payload")
 
     def make_silver(self) -> DataFrame:
         kept = dedup.unique(self.invoices, "invoice_id", ["invoice_timestamp", "vendor_id", "invoice_amount"])
@@ -135,7 +135,7 @@ class Layers:
 
     def make_gold(self) -> DataFrame:
         alerts = rules.gold(self.invoices, self.history, CFG)
-        return alerts.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end", "detected_at")})
+        return _with_facts(alerts.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end", "detected_at")}), "evidence")
 
     def make_behavioral(self) -> DataFrame:
         return features.behavioral(self.invoices)
@@ -144,7 +144,7 @@ class Layers:
         return features.risk(self.gold)
 
     def make_trust(self) -> DataFrame:
-        return scores.trust_scores(self.features, CFG)
+        return _with_facts(scores.trust_scores(self.features, CFG), "score_explanation")
 
     def make_ranks(self) -> DataFrame:
         return scores.rankings(self.trust)
@@ -227,7 +227,13 @@ def _count(condition: Column) -> Column:
 
 
 def _field(name: str, kind: str) -> Column:
-    return json_field("evidence", name, kind).alias(name)
+    """A field of an alert's evidence, from the facts that gold holds parsed."""
+    return fact("facts", name, kind).alias(name)
+
+
+def _with_facts(df: DataFrame, column: str) -> DataFrame:
+    """df with a JSON column as ``facts``, a VARIANT: parsed once, where a layer is made, and not for each field of each report."""
+    return df.withColumn("facts", F.parse_json(column))
 
 
 def _money(name: str) -> Column:
@@ -308,12 +314,12 @@ def _scored(alerts: DataFrame) -> DataFrame:
 
 @query
 def anomaly_alerts(x: Layers) -> DataFrame:
-    return _scored(rules.anomaly_alerts(x.invoices, x.history, CFG))
+    return _scored(_with_facts(rules.anomaly_alerts(x.invoices, x.history, CFG), "evidence"))
 
 
 @query
 def fallback_alerts(x: Layers) -> DataFrame:
-    return rules.fallback_alerts(x.invoices, x.history, CFG).select("invoice_id", "vendor_id", "severity", "fraud_score", "reason", _money("amount"), _field("fallback_reason", "string"))
+    return _with_facts(rules.fallback_alerts(x.invoices, x.history, CFG), "evidence").select("invoice_id", "vendor_id", "severity", "fraud_score", "reason", _money("amount"), _field("fallback_reason", "string"))
 
 
 @query
@@ -370,12 +376,12 @@ def alert_ratio(x: Layers) -> DataFrame:
 
 @query
 def trust_scores(x: Layers) -> DataFrame:
-    return x.trust.drop("score_explanation")
+    return x.trust.drop("score_explanation", "facts")
 
 
 @query
 def trust_explanation_fields(x: Layers) -> DataFrame:
-    part = lambda p, kind: F.get_json_object("score_explanation", f"$.{p}").cast(kind)
+    part = lambda p, kind: fact("facts", p, kind)
     return x.trust.select(
         "vendor_id", "score_date", part("base_score", "long").alias("base_score"), part("anomaly_alerts.penalty", "long").alias("anomaly_penalty"), part("velocity_alerts.penalty", "long").alias("velocity_penalty"),
         part("final_score", "long").alias("final_score"), part("risk_level", "string").alias("risk_level"), part("behavioral_context.invoice_count", "long").alias("invoice_count"),
@@ -463,7 +469,7 @@ def funnel(x: Layers) -> DataFrame:
         return found.select(F.lit(k).alias("k"), F.lit(name).alias("stage"), "*")
 
     erp = x.since("bronze", SINCE).where("source_system = 'ERP'")
-    rows = stage(1, "bronze_erp", erp, json_field("payload", "invoice_id")).union(stage(2, "silver_invoices", x.since("silver", SINCE), F.col("invoice_id"))).union(stage(3, "gold_alerts", x.recent, F.col("invoice_id")))
+    rows = stage(1, "bronze_erp", erp, fact("facts", "invoice_id")).union(stage(2, "silver_invoices", x.since("silver", SINCE), F.col("invoice_id"))).union(stage(3, "gold_alerts", x.recent, F.col("invoice_id")))
     share = lambda a, b: rounded(safe_divide(100.0 * a, b), 2).cast("double")
     rows = rows.withColumn("prev_stage_count", F.lag("event_count").over(Window.orderBy("k")))  # three rows
     return rows.select("stage", "event_count", "unique_invoices", share(F.col("unique_invoices"), F.col("event_count")).alias("dedup_effectiveness_pct"), "prev_stage_count", share(F.col("event_count"), F.col("prev_stage_count")).alias("conversion_pct"))
@@ -537,12 +543,12 @@ def streaming_duplicates(x: Layers) -> DataFrame:
 def json_payload_extract(x: Layers) -> DataFrame:
     """Fields of the payload, and of the JSON properties of events."""
     erp = x.after("bronze", "event_timestamp", FRESH).where("source_system = 'ERP'")
-    return erp.orderBy("event_uuid").limit(50).select("event_uuid", "source_system", "event_type", json_field("payload", "invoice_id").alias("invoice_id_from_payload"), json_field("payload", "vendor_id").alias("vendor_id_from_payload"), json_field("payload", "invoice_amount", "decimal(15,2)").alias("amount_from_payload"))
+    return erp.orderBy("event_uuid").limit(50).select("event_uuid", "source_system", "event_type", fact("facts", "invoice_id").alias("invoice_id_from_payload"), fact("facts", "vendor_id").alias("vendor_id_from_payload"), fact("facts", "invoice_amount", "decimal(15,2)").alias("amount_from_payload"))
 
 
 @query
 def props_json(x: Layers) -> DataFrame:
-    return x.invoices.groupBy(json_field("payload", "k", "long").alias("k")).agg(F.count("*").alias("n"), F.countDistinct("vendor_id").alias("vendors"))
+    return _with_facts(x.invoices, "payload").groupBy(fact("facts", "k", "long").alias("k")).agg(F.count("*").alias("n"), F.countDistinct("vendor_id").alias("vendors"))
 
 
 @query
@@ -610,13 +616,13 @@ def _score_distribution(alerts: DataFrame) -> DataFrame:
 def throughput_per_minute(x: Layers) -> DataFrame:
     minute = F.date_trunc("minute", "ingested_at").cast("timestamp_ntz").alias("minute_bucket")
     fresh = x.since("bronze", FRESH.date() - dt.timedelta(1)).where(F.col("ingested_at") >= F.lit(FRESH).cast("timestamp_ntz"))
-    return fresh.groupBy(minute).agg(F.count("*").alias("messages_per_minute"), F.countDistinct(json_field("payload", "vendor_id")).alias("unique_vendors")).orderBy(F.desc("minute_bucket")).limit(60)
+    return fresh.groupBy(minute).agg(F.count("*").alias("messages_per_minute"), F.countDistinct(fact("facts", "vendor_id")).alias("unique_vendors")).orderBy(F.desc("minute_bucket")).limit(60)
 
 
 @query
 def e2e_latency(x: Layers) -> DataFrame:
     fresh, before = F.lit(FRESH).cast("timestamp_ntz"), FRESH.date() - dt.timedelta(1)  # what came in after midnight may have happened the day before
-    b = x.since("bronze", before).where("source_system = 'ERP'").where(F.col("ingested_at") >= fresh).select(json_field("payload", "invoice_id").alias("invoice_id"), F.col("ingested_at").alias("bronze_at"))
+    b = x.since("bronze", before).where("source_system = 'ERP'").where(F.col("ingested_at") >= fresh).select(fact("facts", "invoice_id").alias("invoice_id"), F.col("ingested_at").alias("bronze_at"))
     s = x.since("silver", before).where(F.col("ingested_at") >= fresh).select("invoice_id", F.col("ingested_at").alias("silver_at"))
     g = x.fresh.select("invoice_id", F.col("detected_at").alias("gold_at"))
     joined = b.join(s, "invoice_id", "left").join(g, "invoice_id", "left").where("gold_at is not null")
@@ -722,7 +728,7 @@ def trend_categories(x: Layers) -> DataFrame:
 
 @query
 def explainability(x: Layers) -> DataFrame:
-    said = lambda k: F.get_json_object("score_explanation", f"$.{k}")
+    said = lambda k: fact("facts", k)
     return x.latest("trust").agg(F.count("*").alias("total_scores"), F.count("score_explanation").alias("explanations_exist"), _count(said("base_score") == "100").alias("has_base_score"), F.count(said("final_score")).alias("has_final_score"), F.count(said("risk_level")).alias("has_risk_level"), F.count(said("reasoning")).alias("has_reasoning"))
 
 
@@ -789,7 +795,7 @@ def score_degradation(x: Layers) -> DataFrame:
 @query
 def vendor_explanation(x: Layers) -> DataFrame:
     found = x.trust_of(DATE).where(F.col("vendor_id") == "1")
-    return found.select("vendor_id", "trust_score", "risk_level", F.get_json_object("score_explanation", "$.total_penalty").cast("long").alias("explained_penalty"))
+    return found.select("vendor_id", "trust_score", "risk_level", fact("facts", "total_penalty", "long").alias("explained_penalty"))
 
 
 def _movers(x: Layers, up: bool) -> DataFrame:
