@@ -68,11 +68,24 @@ def test_lm_words_cut_together_are_as_cut_alone(texts):
     with open(vocabulary_path("byte_bpe_50k.tiktoken"), encoding="ascii") as f:
         cut = lm._subwords(f.read())
     words = [w for t in texts for w in lm.words_of(t)]
-    cut.kept = {lm.END_WORD: cut.close}
+    cut.know({words[0]: 3, lm.END_WORD: 1} if words else {})
     ids, sizes = cut.flat(words)
+    assert [cut.count[n] for n in cut.numbers(words)] == [3 if w == words[0] else 0 for w in words] and cut.count[0] == bool(words)
     assert ids.tolist() == [i for w in words for i in cut.encode(" " + w.decode())] and sizes.tolist() == [len(cut.encode(" " + w.decode())) for w in words]
 
 
+def test_lm_words_are_forgotten_but_the_frequent_ones(monkeypatch):
+    monkeypatch.setattr(lm, "KEPT", 50)
+    with open(vocabulary_path("byte_bpe_50k.tiktoken"), encoding="ascii") as f:
+        cut = lm.Subwords(f.read()).know({b"often": 7, lm.END_WORD: 2})
+    for k in range(40):
+        words = [b"often", *(b"word%d" % (30 * k + j) for j in range(30)), lm.END_WORD]
+        numbers = cut.numbers(words)
+        ids, sizes = cut.ids(numbers)
+        assert ids.tolist() == [i for w in words for i in (cut.encode(" " + w.decode()) if w else [cut.end])] and cut.count[numbers].tolist() == [7] + [0] * 30 + [2]
+        assert len(cut.number) < 90
+
+
 def test_lm_windows_score_each_id_once():
     for sizes in ([1], [lm.WINDOW], [lm.WINDOW + 1], [3, 100, 1, 57, 24, 25]):
         sizes = np.array(sizes)
