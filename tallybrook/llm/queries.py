@@ -77,7 +77,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lm.score(spark, _read(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.tiktoken"))
+    found = lm.score(spark, _read(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_multi_50k.tiktoken"))
     return found.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "attention_score", "score")
 
 

@@ -256,7 +256,7 @@ def test_lm_beats_the_base_and_does_not_depend_on_tasks(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     bits = []
     for tasks in (1, 16):
-        found = lm.score(spark, docs.repartition(tasks), vocabulary_path("byte_bpe_50k.tiktoken")).where("held_out")
+        found = lm.score(spark, docs.repartition(tasks), vocabulary_path("byte_bpe_multi_50k.tiktoken")).where("held_out")
         n, base, score = found.selectExpr("sum(n_tokens)", "sum(base_score)", "sum(score)").first()
         bits.append(-score / n * math.log2(10))
         assert bits[-1] < -base / n * math.log2(10)
