@@ -99,7 +99,8 @@ def anomaly_alerts(invoices: DataFrame, baseline: DataFrame, cfg: Config) -> Dat
     z = F.col("z")
     out = scored(invoices, baseline, cfg).where(F.col("fallback_reason").isNull() & ~F.isnan(z) & (F.abs(z) >= cfg.z_threshold))
     amount = F.col("invoice_amount").cast("double")
-    reason = F.concat(F.lit("Invoice $"), F.format_number(amount, 2), F.lit(" is "), F.format_string("%.1f", F.abs(z)), F.lit("σ from vendor avg $"), F.format_number("avg", 2))
+    # format_number rounds the binary value, ties to even, as C's printf and so the SQL does; format_string rounds half up what Java prints
+    reason = F.concat(F.lit("Invoice $"), F.format_number(amount, 2), F.lit(" is "), F.call_function("format_number", F.abs(z), F.lit("0.0")), F.lit("σ from vendor avg $"), F.format_number("avg", 2))
     evidence = _json(
         amount=F.col("invoice_amount").cast("decimal(15,2)"), baseline_avg=F.col("avg").cast("decimal(15,2)"), baseline_stddev=F.col("sd").cast("decimal(15,2)"),
         z_score=rounded(z, 3), deviation_pct=rounded((amount - F.col("avg")) / F.col("avg") * 100, 2), fraud_pattern=F.lit("statistical_outlier"),

@@ -88,3 +88,12 @@ def test_invariants(spark):
     assert x.silver.count() == x.silver.select("invoice_id").distinct().count() == x.behavioral.agg({"invoice_count": "sum"}).first()[0]
     assert x.trust.where("trust_score < 0 or trust_score > 100").count() == 0
     assert x.ranks.groupBy("ranking_date").agg({"risk_rank": "max", "vendor_id": "count"}).where("`max(risk_rank)` <> `count(vendor_id)`").count() == 0
+
+
+def test_z_is_printed_as_the_sql_prints_it(spark):
+    baseline = spark.createDataFrame([("a", 27.68, 1.0), ("b", 41.73, 32.88), ("c", 1.2, 0.52), ("d", 0.5, 0.5)], "vendor_id string, avg_invoice_amount double, stddev_invoice_amount double")
+    rows = [("1", "a", 54.33), ("2", "a", 3.53), ("3", "b", 214.35), ("4", "c", 145.37), ("5", "d", 617.625)]
+    invoices = spark.createDataFrame(rows, "invoice_id string, vendor_id string, invoice_amount double").withColumn("invoice_timestamp", F.timestamp_micros(F.lit(0)))
+    of = {"a": (27.68, 1.0), "b": (41.73, 32.88), "c": (1.2, 0.52), "d": (0.5, 0.5)}
+    found = {r["invoice_id"]: r["reason"] for r in rules.anomaly_alerts(invoices, baseline, Config()).collect()}
+    assert {i: said.partition(" is ")[2].partition("σ")[0] for i, said in found.items()} == {i: f"{abs((x - of[v][0]) / of[v][1]):.1f}" for i, v, x in rows}
