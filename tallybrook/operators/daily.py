@@ -49,6 +49,14 @@ def alert_hours(alerts: DataFrame, size: int = SKETCH) -> DataFrame:
     )
 
 
+def alert_sums(alerts: DataFrame) -> DataFrame:
+    """The figures of alert_hours() without its sketch: sums, counts, least and greatest of each hour of alerts."""
+    score = F.col("fraud_score")
+    return alerts.groupBy(F.date_trunc("hour", "detected_at").cast("timestamp_ntz").alias("hour_bucket"), "rule_name", "severity").agg(
+        F.count("*").alias("alerts"), F.sum(score).alias("score_sum"), F.min("detected_at").alias("first_alert"), F.max("detected_at").alias("last_alert"),
+    )
+
+
 def numbered(ids: DataFrame, write) -> DataFrame:
     """(id, number): distinct ids, each with a number of its own, without gaps from 0. ``write`` writes a table and reads it again, so that all later reads see the same numbers.
 

@@ -106,3 +106,42 @@ def test_all_repeated_ids_are_reported(spark, tmp_path):
     spark.read.parquet(f"{SF}/orders.parquet").write.parquet(f"{folder}/orders.parquet")
     assert_same(catalogue.queries()["streaming_duplicates"](spark, folder), connect(folder), oracle.oracle_sql()["streaming_duplicates"])
     assert catalogue.queries()["streaming_duplicates"](spark, folder).count() == 60
+
+
+@pytest.mark.parametrize(("window", "slide"), [(600, 60), (90, 60), (100, 40), (60, 60)])
+def test_members_with_windows_are_the_velocity_alerts(spark, window, slide):
+    rng = random.Random(window + slide)
+    cfg = Config(window=window, slide=slide)
+    rows = [(str(k), rng.choice("ab"), rng.choice([5.0, 7.5, None]), rng.randrange(2000) * 1_000_000 + rng.randrange(1_000_000)) for k in range(300)]
+    df = spark.createDataFrame(rows, "invoice_id string, vendor_id string, invoice_amount double, at long").withColumn("invoice_timestamp", F.timestamp_micros("at"))
+    members = rules.velocity_members(df, cfg)
+    held = rules.velocity_windows(members, cfg)
+    amount, size = F.col("amount_key"), F.col("occurrences")
+    made = held.select("invoice_id", "vendor_id", rules.velocity_reason(amount, size, cfg), "window_start", "window_end", rules.velocity_score(size), "invoice_timestamp").collect()
+    want = rules.velocity_alerts(df, cfg).select("invoice_id", "vendor_id", "reason", "window_start", "window_end", "fraud_score", "invoice_timestamp").collect()
+    assert sorted(map(tuple, made)) == sorted(map(tuple, want)) and made
+    assert members.count() == members.select("invoice_id").distinct().count() <= 300
+
+
+def test_gold_says_what_its_evidence_says(spark):
+    x = catalogue.Layers(spark, SF)
+    names = ["invoice_id", "vendor_id", "rule_name", "severity", "reason", "window_start", "window_end", "fraud_score", "alert_source", "detected_at", *catalogue.FIELDS]
+    held, want = x.gold.select(*names), catalogue._with_fields(x.evident).select(*names)
+    assert held.schema.simpleString() == want.schema.simpleString()
+    assert held.exceptAll(want).count() == want.exceptAll(held).count() == 0 < held.count()
+
+
+def test_an_alert_does_not_list_its_group_in_the_layers(spark, tmp_path):
+    """A burst twice as large takes twice the rows of the layer, and a row is no longer for it."""
+    sizes = []
+    for n in (400, 800):
+        folder = str(tmp_path / str(n))
+        rows = spark.range(n).select(F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-30 01:00:00' + make_dt_interval(0, 0, 0, id / 10)").alias("ts"), F.lit(1).cast("long").alias("user_id"), F.lit("view").alias("event_type"), F.lit(5.0).alias("value"), F.lit('{"k": 1}').alias("props"))
+        rows.write.parquet(f"{folder}/events.parquet")
+        spark.read.parquet(f"{SF}/orders.parquet").write.parquet(f"{folder}/orders.parquet")
+        x = catalogue.Layers(spark, folder)
+        flags = x.since("flags").where("rule_name = 'VELOCITY'")
+        sizes.append((flags.count(), flags.select(F.length(F.to_json(F.struct("*"))).alias("n")).agg(F.max("n")).first()[0]))
+        assert_same(catalogue.queries()["alerts_by_rule"](spark, folder), connect(folder), oracle.oracle_sql()["alerts_by_rule"])
+        assert_same(catalogue.queries()["velocity_alerts"](spark, folder), connect(folder), oracle.oracle_sql()["velocity_alerts"])
+    assert [n for n, _ in sizes] == [400, 800] and sizes[1][1] <= sizes[0][1] + 2
