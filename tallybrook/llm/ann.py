@@ -116,13 +116,25 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.col("id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0))
 
 
+def few(rows: DataFrame, most: int) -> DataFrame:
+    """Distinct vectors among which are the ``most`` with the smallest hashes, and a few more, with their ``hash``. The hashes are counted by their first 16 bits, and vectors beyond the range that holds
+    enough stay where they are: a sort with a limit would send the driver that many vectors of each task."""
+    hashed = rows.select("v", F.xxhash64("v").alias("hash"))
+    span = F.shiftright("hash", 48)
+    counts = sorted(hashed.select("hash").distinct().groupBy(span.alias("span")).agg(F.count("*").alias("n")).collect())  # 65,536 rows at most
+    before = np.cumsum([r["n"] for r in counts])
+    if not len(before) or before[-1] <= most:
+        return hashed.distinct()
+    return hashed.where(span <= counts[int(np.searchsorted(before, most))]["span"]).distinct()
+
+
 def nearest(spark: SparkSession, vectors: DataFrame, k: int = 10, query_every: int = 100, trees: int = TREES, sample: int = SAMPLE, seen: float = SEEN, id_col: str = "vec_id", vector_col: str = "embedding", seed: int = 11) -> DataFrame:
     """(query_id, rank, vec_id, score): for each usable row whose id is divisible by query_every its k nearest other rows found, by Euclidean distance
     in double precision, ties to the smaller id. Rows of repeated ids are rows: an id may be found as often as it occurs, but never for its own
     query. Vectors of another length than most (of the sample's first) are not comparable and take no part. No rows: no rows."""
     short_batches(spark)
     rows = usable(vectors, id_col, vector_col)
-    picked = [r["v"] for r in rows.select("v").distinct().orderBy(F.xxhash64("v")).limit(sample).collect()]
+    picked = [r["v"] for r in few(rows, sample).orderBy("hash").limit(sample).collect()]
     schema = "query_id long, rank int, vec_id long, score double"
     if not picked:
         return spark.createDataFrame([], schema)
@@ -162,9 +174,10 @@ def nearest(spark: SparkSession, vectors: DataFrame, k: int = 10, query_every: i
     rows_blocks = 1 + n_entries // n_leaves // BLOCK
     query_blocks = 1 + int(n_queries * enough / (len(x) * trees)) // BLOCK
     leaves = entries.mapInArrow(index, f"tree int, leaf int, v {kind}, entry long, ids array<long>").withColumn("block", F.pmod(F.xxhash64("v"), F.lit(rows_blocks)))
-    leaves = leaves.groupBy("tree", "leaf", "block").agg(F.collect_list(F.struct("v", "entry", F.col("ids")[0].alias("least"), F.try_element_at("ids", F.lit(-1)).alias("most"))).alias("held"))
+    leaves = leaves.repartition("tree", "leaf").groupBy("tree", "leaf", "block").agg(F.collect_list(F.struct("v", "entry", F.col("ids")[0].alias("least"), F.try_element_at("ids", F.lit(-1)).alias("most"))).alias("held"))
     walks = queries.select("id", "v").mapInArrow(walk, f"query_id long, tree int, leaf int, q {kind}").withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)))
-    asked = walks.groupBy("tree", "leaf", "part").agg(F.collect_list(F.struct("query_id", "q")).alias("asked"))
+    # a query becomes a row for each of its leaves, which the size of the queries does not tell: no broadcast, which would go through the driver; both sides are dealt by leaf once
+    asked = walks.repartition("tree", "leaf").groupBy("tree", "leaf", "part").agg(F.collect_list(F.struct("query_id", "q")).alias("asked"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Blocks of a leaf's entries against blocks of its queries; of each query its k + 1 nearest entries leave, with ties. Entries of the query's own id alone are not measured."""
@@ -179,7 +192,7 @@ def nearest(spark: SparkSession, vectors: DataFrame, k: int = 10, query_every: i
                 row, e = np.nonzero((far <= most[:, None]) & (far < np.inf))
                 yield pa.RecordBatch.from_arrays([pa.array(qids[row]), pa.array(entry[e]), pa.array(least[e]), pa.array(far[row, e])], ["query_id", "entry", "least", "score"])
 
-    found = asked.join(leaves, ["tree", "leaf"]).select("held", "asked").mapInArrow(measure, "query_id long, entry long, least long, score double")
+    found = asked.hint("merge").join(leaves, ["tree", "leaf"]).select("held", "asked").mapInArrow(measure, "query_id long, entry long, least long, score double")
     once = found.groupBy("query_id", "entry").agg(F.min("least").alias("least"), F.min("score").alias("score"))
     # each entry gives one id at least, and the k nearest rows are in the first k + 1 entries by distance and smallest id; only then do entries become rows again
     near = once.withColumn("n", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "least"))).where(F.col("n") <= k + 1)

@@ -379,3 +379,24 @@ def test_the_pipeline_is_its_stages(spark):
         codec = bpe.Codec(bpe.Vocabulary(f.read()))
     text = {d["doc_id"]: d["text"] for d in docs}
     assert all(r["n_tokens"] == len(codec.encode([text[r["doc_id"]]])[0][0]) // 4 for r in run)
+
+
+def test_vectors_beyond_the_sample_do_not_leave_their_tasks(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(6000, 3))
+    df = spark.createDataFrame([(x[i // 2].tolist(),) for i in range(12000)], "v array<double>").repartition(12)
+    every = [r["v"] for r in df.distinct().orderBy(F.xxhash64("v")).collect()]
+    for most in (1, 100, 2000, 6000, 9000):
+        found = ann.few(df, most)
+        assert [r["v"] for r in found.orderBy("hash").limit(most).collect()] == every[:most]
+        assert min(most, 6000) <= found.count() <= most + 10
+    assert ann.few(df.limit(0), 5).count() == 0
+
+
+def test_queries_with_their_leaves_are_not_broadcast(spark):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(600)], "vec_id long, embedding array<double>")
+    found = ann.nearest(spark, df, k=3)
+    found.collect()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan
