@@ -24,10 +24,10 @@ BROADCAST_ROWS = 1_000_000
 ROW = "tallybrook.row"
 
 
-def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def materialise(spark: SparkSession, df: DataFrame, name: str, compression: str = "lz4") -> DataFrame:
     """Write df as a table in the shared folder and read it again: cuts lineage and survives lost executors."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "lz4").mode("error").parquet(path)
+    df.write.option("compression", compression).mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,8 +7,8 @@ smoothed counts. Long texts are read in overlapping windows; each id is scored o
 probability is mixed, with fixed weights, from the attention model's and its share of the training words.
 
 All of it is learned from all training texts: counts of words, of ids and of pairs of ids are summed in Spark, and the ids with rows and the classes are chosen by those
-counts. The attention weights are trained on blocks of WINDOW ids, which a text is cut into from end to end; a block is drawn, by its text's hash and its place, with a probability
-that is the same for every corpus. Drawn blocks are dealt out by hash, not by file, to as many shards as their number asks for. Training goes in rounds: each shard starts from the same
+counts. The attention weights are trained on blocks of WINDOW ids, which a text is cut into from end to end, on all blocks of all training texts, each once.
+Blocks are dealt out by hash, not by file, to as many shards as their number asks for. Training goes in rounds: each shard starts from the same
 weights, steps through its blocks of the round, and the weights of all shards are averaged in Spark before the next round. How texts are split over files and tasks changes nothing.
 The words with the largest counts, HEAD of them, are broadcast; all others are joined by a shuffle.
 """
@@ -18,7 +18,7 @@ from __future__ import annotations
 import base64
 import functools
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 from itertools import repeat
 
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from tallybrook.llm.common import materialise, row_id, short_batches
 
-#: Share of the blocks that is drawn, blocks of a shard, rounds, blocks of a step, and the first step's rate, which falls to a tenth.
-BLOCK_SHARE, SHARD, ROUNDS, STEP, RATE = 1 / 6, 16_384, 4, 16, 0.8
+#: Blocks of a shard, rounds, blocks of a step, and the first step's rate, which falls to a tenth.
+SHARD, ROUNDS, STEP, RATE = 98_304, 4, 96, 0.8
 #: Ids with a row of their own (all others share one), classes, width of a head, window, ids of context at least, windows at once.
 ROWS, CLASSES, WIDTH, WINDOW, OVERLAP, BATCH = 1500, 96, 16, 32, 4, 96
 #: Words whose counts are broadcast at most, other words that a worker keeps, and distinct words that a counting task holds at most.
@@ -188,10 +188,10 @@ def _windows(rows: np.ndarray, cls: np.ndarray, sizes: np.ndarray, start_row: in
 _MASK = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
 
-def forward(m: Model, before: np.ndarray, first: int = 0) -> tuple[np.ndarray, ...]:
-    """Logits of the classes after each place from ``first`` on, and what the backward pass needs; attention weights are not yet divided by their sums."""
+def attend(m: Model, before: np.ndarray, first: int = 0) -> tuple[np.ndarray, ...]:
+    """(heads at each place from ``first`` on, queries with keys and values, attention weights not yet divided by their sums, those sums)."""
     d = WIDTH
-    x = m.qkv[before]
+    x = m.qkv.take(before, 0)
     x += m.place
     q, k, v = x[:, first:, :d], x[..., d : 2 * d], x[..., 2 * d :]
     e = np.matmul(q, k.transpose(0, 2, 1))
@@ -199,11 +199,17 @@ def forward(m: Model, before: np.ndarray, first: int = 0) -> tuple[np.ndarray, .
         np.clip(e, -30, 30, out=e)
     np.exp(e, out=e)
     e *= _MASK[first:]
-    total = np.einsum("bij->bi", e)[..., None]
+    total = (e.reshape(-1, WINDOW) @ np.ones(WINDOW, e.dtype)).reshape(*e.shape[:2], 1)
     h = np.matmul(e, v)
     h /= total
-    z = m.last[before[:, first:]]
-    z += (h.reshape(-1, d) @ m.out).reshape(z.shape)
+    return h, x, e, total
+
+
+def forward(m: Model, before: np.ndarray, first: int = 0) -> tuple[np.ndarray, ...]:
+    """Logits of the classes after each place from ``first`` on, and what attend() gives."""
+    h, x, e, total = attend(m, before, first)
+    z = (h.reshape(-1, WIDTH) @ m.out).reshape(*h.shape[:2], -1)
+    z += m.last.take(before[:, first:], 0)
     return z, x, e, h, total
 
 
@@ -222,21 +228,21 @@ def log_p(m: Model, flat: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray
                 np.clip(z, -80, 80, out=z)
             picked = np.take_along_axis(z, target[w, first:, None], 2)[..., 0]
             np.exp(z, out=z)
-            got = picked - np.log(np.einsum("bij->bi", z))
+            got = picked - np.log(z.reshape(-1, z.shape[2]) @ np.ones(z.shape[2], z.dtype)).reshape(picked.shape)
             use = fresh[w, first:]
             out[at[w, first:][use]] += got[use]
     return out
 
 
-def drawn(rows: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, share: float = BLOCK_SHARE) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, rows) of blocks drawn from texts of so many ids each (rows: that of the end, then those of all ids): the row before a block and those of its ids, -1 after a text's end."""
+def drawn(rows: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, share: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, rows) of all blocks, or a share of them, of texts of so many ids each (rows: that of the end, then those of all ids): the row before a block and those of its ids, -1 after a text's end."""
     n = -(-sizes // WINDOW)
     text = np.repeat(np.arange(len(sizes)), n)
     k = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
     mix = (k.astype(np.uint64) + hashes[text]) * np.uint64(0x9E3779B97F4A7C15)
     mix = (mix ^ (mix >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     mix ^= mix >> np.uint64(29)
-    use = np.flatnonzero((mix >> np.uint64(11)) / float(1 << 53) < share)
+    use = np.flatnonzero((mix >> np.uint64(11)) / float(1 << 53) < share) if share < 1 else np.arange(len(mix))
     starts = np.cumsum(sizes) - sizes
     place = (k[use] * WINDOW)[:, None] + np.arange(WINDOW + 1)
     inside = place <= sizes[text[use]][:, None]
@@ -247,43 +253,70 @@ def drawn(rows: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, share: float
 PARTS = ("last", "qkv", "place", "out")
 
 
-def _by_row(rows: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct rows, and the sum of each one's gradients."""
-    order = np.argsort(rows, kind="stable")
-    held = rows[order]
-    first = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
-    return held[first], np.add.reduceat(g[order], first, axis=0)
+def _sums(first: np.ndarray, n: int) -> Callable[[np.ndarray], np.ndarray]:
+    """Sums of runs of rows that begin at ``first`` and end where the next begins, or at n: all runs' k-th rows are added at once, and the few long runs' other rows run by run."""
+    size = np.diff(np.append(first, n))
+    order = np.argsort(-size, kind="stable")
+    starts, size = first[order], size[order]
+    there = np.searchsorted(-size, -np.arange(2, size[0] + 1), "right")  # how many runs have a second row, a third, ...
+    levels = int((there >= 12).sum())
+
+    def run(g: np.ndarray) -> np.ndarray:
+        sums = g.take(starts, 0)
+        for k, some in enumerate(there[:levels].tolist(), 1):
+            sums[:some] += g.take(starts[:some] + k, 0)
+        for i in range(there[levels] if levels < len(there) else 0):
+            sums[i] += g[starts[i] + levels + 1 : starts[i] + size[i]].sum(0)
+        out = np.empty_like(sums)
+        out[order] = sums
+        return out
+
+    return run
 
 
 def train(m: Model, squares: dict[str, np.ndarray], found: np.ndarray, done: float = 0.0, until: float = 1.0) -> None:
     """Steps through blocks (as of drawn()) in their order, in place: gradients of the cross-entropy of the classes, each weight's step divided by the root of its summed
-    ``squares``. done and until: what part of the training is over before and after."""
+    ``squares``. done and until: what part of the training is over before and after. Logits are made in the order of the last ids' rows, so that a row's gradients lie together."""
     of_row = np.zeros(len(m.last) + 1, np.int64)
     of_row[m.rows] = m.cls
-    d, m.tame = WIDTH, False
+    d, m.tame, kind = WIDTH, False, m.last.dtype.type
     steps = -(-len(found) // STEP)
+    one = np.ones(m.last.shape[1], kind)
     for t in range(steps):
-        block = found[t * STEP : (t + 1) * STEP].astype(np.int64)
+        block = found[t * STEP : (t + 1) * STEP]
         before, target = np.maximum(block[:, :-1], 0), block[:, 1:]
-        use = target >= 0
-        z, x, e, h, total = forward(m, before)
+        order = np.argsort(before.ravel(), kind="stable")
+        before = before.astype(np.intp)
+        rows, wanted = before.ravel().take(order), target.ravel().take(order)
+        first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+        share = (wanted >= 0) / kind(max(1, np.count_nonzero(wanted >= 0)))
+        h, x, e, total = attend(m, before)
         e /= total
-        z -= z.max(-1, keepdims=True)
+        head = h.reshape(-1, d).take(order, 0)
+        z = head @ m.out
+        z += m.last.take(rows, 0)
+        np.clip(z, -80, 80, out=z)
         np.exp(z, out=z)
-        z /= z.sum(-1, keepdims=True)
-        dz = z.reshape(-1, z.shape[2])
-        dz[np.arange(len(dz)), of_row[target].ravel()] -= 1
-        dz *= (use.ravel() / np.float32(max(1, use.sum())))[:, None]
-        dh = (dz @ m.out.T).reshape(h.shape)
+        z *= (share / (z @ one))[:, None]
+        z[np.arange(len(z)), of_row[wanted]] -= share
+        dh = np.empty_like(head)
+        dh[order] = z @ m.out.T
+        dh = dh.reshape(h.shape)
         q, k, v = x[..., :d], x[..., d : 2 * d], x[..., 2 * d :]
-        de = np.matmul(dh, v.transpose(0, 2, 1))
-        ds = e * (de - (de * e).sum(-1, keepdims=True))
-        dx = np.concatenate([np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), np.matmul(e.transpose(0, 2, 1), dh)], -1)
-        pace = np.float32(RATE * (1 - 0.9 * (done + (until - done) * t / steps)))
-        rows = before.ravel()
-        for name, at, g in (("last", *_by_row(rows, dz)), ("qkv", *_by_row(rows, dx.reshape(-1, 3 * d))), ("place", slice(None), dx.sum(0)), ("out", slice(None), h.reshape(-1, d).T @ dz)):
-            squares[name][at] += g * g
-            getattr(m, name)[at] -= pace * g / np.sqrt(squares[name][at])
+        ds = np.matmul(dh, v.transpose(0, 2, 1))
+        ds -= (dh * h).sum(-1, keepdims=True)  # the mean of ds by the attention weights
+        ds *= e
+        dx = np.empty_like(x)
+        for part, a, b in ((0, ds, k), (1, ds.transpose(0, 2, 1), q), (2, e.transpose(0, 2, 1), dh)):
+            np.matmul(a, b, out=dx[..., part * d : (part + 1) * d])
+        pace = kind(RATE * (1 - 0.9 * (done + (until - done) * t / steps)))
+        own, sums = rows[first], _sums(first, len(rows))
+        for name, at, g in (("last", own, sums(z)), ("qkv", own, sums(dx.reshape(-1, 3 * d).take(order, 0))), ("place", slice(None), dx.sum(0)), ("out", slice(None), head.T @ z)):
+            root = squares[name][at] + g * g
+            squares[name][at] = root
+            g *= pace
+            g /= np.sqrt(root, out=root)
+            getattr(m, name)[at] -= g
 
 
 def _tame(m: Model) -> bool:
@@ -365,8 +398,22 @@ def count_ids(words: DataFrame, shared) -> DataFrame:
     return words.select("key", "n").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
+def _binary(found: np.ndarray) -> pa.Array:
+    """Each row's bytes."""
+    ends = np.arange(len(found) + 1, dtype=np.int32) * (found.shape[1] * found.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(found), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(found))])
+
+
+def _blocks(column: pa.Array) -> np.ndarray:
+    """The blocks whose bytes a column holds."""
+    size = (WINDOW + 1) * 2
+    held = np.frombuffer(column.buffers()[2] or b"", np.uint8) if len(column) else np.zeros(0, np.uint8)
+    first = np.frombuffer(column.buffers()[1], np.int32)[column.offset] if len(column) else 0
+    return held[first : first + size * len(column)].view(np.int16).reshape(-1, WINDOW + 1)
+
+
 def pairs_and_blocks(texts: DataFrame, shared, head, rows: np.ndarray) -> DataFrame:
-    """(a, b, n, hash, block) over all texts (text): how often row b follows row a, as far as a task has seen (before a text stands the end's row); and the drawn blocks."""
+    """(a, b, n, hash, block) over all texts (text): how often row b follows row a, as far as a task has seen (before a text stands the end's row); and all blocks."""
     table = texts.sparkSession.sparkContext.broadcast(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -382,7 +429,7 @@ def pairs_and_blocks(texts: DataFrame, shared, head, rows: np.ndarray) -> DataFr
                 hashes = np.fromiter((xxhash.xxh64_intdigest(b" ".join(words)) for words in held), np.uint64, len(held))
                 hashed, found = drawn(of, np.add.reduceat(each[1:], np.cumsum(n_words) - n_words), hashes)
                 none = pa.nulls(len(found), pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, none, pa.array(hashed), pa.array([f.tobytes() for f in found], pa.binary())], ["a", "b", "n", "hash", "block"])
+                yield pa.RecordBatch.from_arrays([none, none, none, pa.array(hashed), _binary(found)], ["a", "b", "n", "hash", "block"])
                 waiting.append(of[:-1] * n_rows + of[1:])
                 if sum(map(len, waiting)) > len(pairs):
                     pairs += np.bincount(np.concatenate(waiting), minlength=len(pairs))
@@ -436,7 +483,7 @@ def trained(blocks: DataFrame, model: Model, n_blocks: int, shard: int = SHARD,
             now, parts = None, []
             for batch in batches:
                 own = batch.column(0).to_numpy()
-                whole = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int16).reshape(-1, WINDOW + 1)
+                whole = _blocks(batch.column(1))
                 for first in np.flatnonzero(np.append(True, own[1:] != own[:-1])).tolist() if len(own) else []:
                     after = first + int(np.argmin(np.append(own[first:] == own[first], False)))
                     if own[first] != now and parts:
@@ -485,7 +532,7 @@ def fit(spark: SparkSession, docs: DataFrame, vocabulary: str) -> tuple[Model, D
     ids[held.id.to_numpy()] = held.n
     rows = rows_of(ids)
     head = spark.sparkContext.broadcast(frequent(words))
-    found = materialise(spark, pairs_and_blocks(texts, shared, head, rows), "lm-pairs")
+    found = materialise(spark, pairs_and_blocks(texts, shared, head, rows), "lm-pairs", "zstd")
     pairs = np.zeros((int(rows.max()) + 1,) * 2)
     held = found.where("n is not null").groupBy("a", "b").agg(F.sum("n").alias("n")).toPandas()  # bounded by ROWS squared
     pairs[held.a.to_numpy(), held.b.to_numpy()] = held.n

@@ -273,3 +273,23 @@ def test_lm_shards_are_averaged(spark):
     again = lm.trained(df.repartition(7), start(), len(blocks), shard=len(blocks) // 8)
     assert all(np.allclose(getattr(many, p), getattr(again, p), atol=1e-3) for p in lm.PARTS)
     assert loss(one) < loss(start()) and loss(many) < loss(start())
+
+
+def test_lm_trains_on_every_id_of_every_training_text(spark, monkeypatch):
+    texts = [*_texts(300, 8), "", None, " ".join(_texts(30, 9))]
+    seen, trained = [], lm.trained
+    monkeypatch.setattr(lm, "trained", lambda blocks, model, n: seen.append((blocks.collect(), n)) or trained(blocks, model, n))
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    lm.fit(spark, docs, vocabulary_path("byte_bpe_50k.tiktoken"))
+    (rows, n), cut = seen[0], _model(["a"])[0]
+    learned = [r.text for r in docs.where(lm.in_training(docs.id)).collect()]
+    blocks = [np.frombuffer(r["block"], np.int16) for r in rows]
+    assert n == len(rows) and all(len(b) == lm.WINDOW + 1 for b in blocks)
+    assert sum((b[1:] >= 0).sum() for b in blocks) == sum(len(cut.flat([*lm.words_of(t), lm.END_WORD])[0]) for t in learned)
+
+
+def test_lm_sums_of_runs():
+    rng = np.random.default_rng(4)
+    for sizes in ([1], [5], [1] * 40, [300, 2, 1, 90, *rng.integers(1, 6, 50).tolist()], [7] * 30):
+        g, first = rng.normal(size=(sum(sizes), 3)), np.cumsum([0, *sizes[:-1]])
+        assert np.allclose(lm._sums(first, len(g))(g), np.add.reduceat(g, first, axis=0))
