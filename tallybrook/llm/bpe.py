@@ -1,9 +1,10 @@
 """BPE encoding and decoding in batched numpy merge rounds.
 
-A text is cut at white space into chunks; a chunk's ids never depend on its neighbours. Chunks that a worker hasn't met yet are cut into
-words, and the symbols of all their words lie in one flat array. In each round a binary search over the sorted pair keys gives
+A text is cut at white space into chunks; a chunk's ids never depend on its neighbours. Chunks that a worker hasn't met yet are cut together into
+words, and the symbols of all new words lie in one flat array. In each round a table of hashed pair keys gives
 each adjacent pair its rank, the lowest rank of each word is taken, and all its occurrences merge at once; words without a
-known pair leave the array. The vocabulary's file is read by the driver and broadcast (about 2 MB).
+known pair leave the array. Ids of words and chunks are kept in flat arrays, from which the ids and decoded texts of a batch are taken
+at once. The vocabulary's file is read by the driver and broadcast (about 2 MB).
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ import functools
 import json
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,8 @@ END = "</w>"
 _SPACES = re.compile(f"[{SPACE}]+")
 _ODD = re.compile("[\x1c-\x1f]")
 NONE = np.iinfo(np.int32).max
+#: Bits of a slot's number in the table of pairs.
+TABLE = 18
 
 
 def byte_characters() -> list[str]:
@@ -44,8 +48,13 @@ def byte_characters() -> list[str]:
     return out
 
 
+def slots(keys: np.ndarray) -> np.ndarray:
+    """The first slot of each pair key in the table of pairs."""
+    return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE)).view(np.int64)
+
+
 class Vocabulary:
-    """Tokens, sorted pair keys with their ranks and merged ids, and special tokens of a tokenizer file."""
+    """Tokens, a table of pair keys with their ranks, merged ids by rank, and special tokens of a tokenizer file."""
 
     def __init__(self, file_text: str) -> None:
         held = json.loads(file_text)
@@ -57,93 +66,167 @@ class Vocabulary:
         merges = [m if isinstance(m, list) else m.split(" ") for m in held["model"]["merges"]]
         pairs = np.array([(ids[a], ids[b], ids[a + b]) for a, b in merges], np.int64)
         keys = (pairs[:, 0] << 32) | pairs[:, 1]
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.ranks, self.merged = keys[order], order.astype(np.int32), pairs[order, 2].astype(np.int32)
+        self.keys, self.ranks = np.full(1 << TABLE, -1, np.int64), np.full(1 << TABLE, NONE, np.int32)
+        at, left = slots(keys), np.arange(len(keys))
+        while len(left):  # a taken slot sends on to the next one
+            free = np.flatnonzero(self.keys[at[left]] < 0)
+            own = left[free[np.unique(at[left[free]], return_index=True)[1]]]
+            self.keys[at[own]], self.ranks[at[own]] = keys[own], own
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) % len(self.keys)
         chars = byte_characters()
         self.inner = np.array([ids[c] for c in chars], np.int32)
         self.final = np.array([ids[c + END] for c in chars], np.int32)
         self.rank_to = pairs[:, 2].astype(np.int32)
 
+    def ranks_of(self, keys: np.ndarray) -> np.ndarray:
+        """The rank of each pair key, NONE for unknown ones."""
+        at = slots(keys)
+        met = self.keys.take(at)
+        rank = np.where(met == keys, self.ranks.take(at), NONE)
+        left = np.flatnonzero((met != keys) & (met >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) % len(self.keys)
+            met = self.keys[at[left]]
+            rank[left] = np.where(met == keys[left], self.ranks[at[left]], NONE)
+            left = left[(met != keys[left]) & (met >= 0)]
+        return rank
+
+
+class Runs:
+    """Runs of ids by number, one after another in an array that grows."""
+
+    def __init__(self) -> None:
+        self.ids, self.first, self.size, self.n, self.used = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0, 0
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Runs of so many ids each get the next numbers."""
+        n, used = self.n + len(sizes), self.used + len(ids)
+        for name, least in (("ids", used), ("first", n), ("size", n)):
+            held = getattr(self, name)
+            if len(held) < least:
+                setattr(self, name, np.concatenate([held, np.zeros(max(least, 2 * len(held)) - len(held), held.dtype)]))
+        self.ids[self.used : used] = ids
+        self.first[self.n : n], self.size[self.n : n] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.n, self.used = n, used
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of runs in one array, and how many each has."""
+        size = self.size.take(numbers)
+        shift = self.first.take(numbers) - (np.cumsum(size) - size)
+        return self.ids.take(np.repeat(shift, size) + np.arange(size.sum())), size
+
 
-def merge_rounds(v: Vocabulary, words: list[bytes]) -> list[np.ndarray]:
-    """The ids of each word (at least one byte long)."""
+def merge_rounds(v: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of words (at least one byte long each) in one array, and how many each has."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     raw = np.frombuffer(b"".join(words), np.uint8)
     symbols = v.inner[raw]
     last = np.cumsum(lengths) - 1
     symbols[last] = v.final[raw[last]]
     word = np.repeat(np.arange(len(words)), lengths)
-    out: list[np.ndarray] = [symbols[:0]] * len(words)
+    out: list[tuple[np.ndarray, np.ndarray]] = [(word[:0], symbols[:0])]
     while len(symbols):
-        keys = (symbols[:-1].astype(np.int64) << 32) | symbols[1:]
-        at = np.minimum(np.searchsorted(v.keys, keys), len(v.keys) - 1)
-        known = (v.keys[at] == keys) & (word[:-1] == word[1:])
-        rank = np.append(np.where(known, v.ranks[at], NONE), NONE)  # of the pair that begins here
+        rank = v.ranks_of((symbols[:-1].astype(np.int64) << 32) | symbols[1:])
+        rank[word[:-1] != word[1:]] = NONE
+        rank = np.append(rank, np.int32(NONE))  # of the pair that begins here
         starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
         best = np.minimum.reduceat(rank, starts)
         sizes = np.diff(np.append(starts, len(word)))
         over = best == NONE
         if over.any():
-            for s, n in zip(starts[over].tolist(), sizes[over].tolist(), strict=True):
-                out[word[s]] = symbols[s : s + n]
             stay = np.repeat(~over, sizes)
+            out.append((word[~stay], symbols[~stay]))
             symbols, word, rank = symbols[stay], word[stay], rank[stay]
             best, sizes = best[~over], sizes[~over]
             if not len(symbols):
                 break
         hit = rank == np.repeat(best, sizes)
         # of overlapping occurrences (one symbol repeated) the first, third, ... merge
-        runs = np.flatnonzero(hit & ~np.append(False, hit[:-1]))
-        place = np.arange(len(hit)) - runs[np.maximum(np.searchsorted(runs, np.arange(len(hit)), "right") - 1, 0)]
-        hit &= place % 2 == 0
-        symbols = np.where(hit, v.rank_to[np.minimum(rank, len(v.rank_to) - 1)], symbols)
-        gone = np.append(False, hit[:-1])
-        symbols, word = symbols[~gone], word[~gone]
-    return out
+        if (hit[1:] & hit[:-1]).any():
+            runs = np.flatnonzero(hit & ~np.append(False, hit[:-1]))
+            place = np.arange(len(hit)) - runs[np.maximum(np.searchsorted(runs, np.arange(len(hit)), "right") - 1, 0)]
+            hit &= place % 2 == 0
+        symbols[hit] = v.rank_to[rank[hit]]
+        kept = np.append(True, ~hit[:-1])
+        symbols, word = symbols[kept], word[kept]
+    word, symbols = (np.concatenate(x) for x in zip(*out, strict=True))
+    return symbols[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(words))
 
 
 class Codec:
-    """Encodes and decodes, keeping the ids and decoded bytes of the chunks it has met."""
+    """Encodes and decodes, keeping the ids of the chunks it has met, and of their words."""
 
     def __init__(self, v: Vocabulary) -> None:
-        self.v, self.words = v, regex.compile(WORDS)
+        self.v, self.words = v, regex.compile(WORDS + r"|\n")
         self.special = re.compile("(" + "|".join(map(re.escape, v.special)) + ")") if v.special else None
-        self.ids: dict[str, bytes] = {}
-        self.text: dict[str, bytes] = {}
-        self.token = [t.encode() for t in v.tokens]
-
-    def pieces(self, chunk: str) -> list[bytes | int]:
-        """The words of a chunk as bytes, special tokens as ids."""
-        if self.special and "<" in chunk and len(parts := self.special.split(chunk)) > 1:
-            return [x for i, p in enumerate(parts) for x in ([self.v.special[p]] if i % 2 else self.pieces(p))]
-        if not chunk.isascii():
-            chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")  # sigma never as at a word's end
-        return [w.encode() for w in self.words.findall(chunk.lower())]
-
-    def learn(self, chunks: Iterable[str]) -> None:
-        """Ids and decoded bytes of chunks that are new."""
-        if len(self.ids) > KEPT:
-            self.ids.clear()
-            self.text.clear()
-        new = [c for c in dict.fromkeys(chunks) if c not in self.ids]
-        cut = [self.pieces(c) for c in new]
-        words = list({w for p in cut for w in p if isinstance(w, bytes)})
-        found = {w: x.tolist() for w, x in zip(words, merge_rounds(self.v, words) if words else [], strict=True)}
-        token = self.token
-        for c, p in zip(new, cut, strict=True):
-            ids = [i for w in p for i in ([w] if isinstance(w, int) else found[w])]
-            self.ids[c] = np.array(ids, "<u4").tobytes()
-            self.text[c] = b" ".join([token[i] for i in ids])
+        # each token after a space, then each as a text's first
+        self.token = pa.array([*(" " + t for t in v.tokens), *v.tokens], pa.string())
+        self.length = np.diff(np.frombuffer(self.token.buffers()[1], np.int32)[: len(self.token) + 1]).astype(np.int64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.number, self.ids = {}, Runs()
+        self.of_word, self.word_ids = {"\n": 0}, Runs()  # the end of a chunk is a word without ids
+        self.word_ids.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
+
+    def lowered(self, text: str) -> str:
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # sigma never as at a word's end
+        return text.lower()
+
+    def pieces(self, chunk: str) -> list[str | int]:
+        """The words of a chunk with special tokens; these as ids."""
+        return [x for i, p in enumerate(self.special.split(chunk)) for x in ([self.v.special[p]] if i % 2 else self.words.findall(self.lowered(p)))]
+
+    def learn(self, new: list[str]) -> None:
+        """Takes in new chunks: all are cut into words together, line by line."""
+        odd = [c for c in new if "<" in c and self.special.search(c)] if self.special else []
+        if odd:
+            held = set(odd)
+            new = [c for c in new if c not in held]
+        words: list[str | int] = self.words.findall(self.lowered("\n".join([*new, ""])))
+        for c in odd:
+            words += [*self.pieces(c), "\n"]
+        fresh = [w for w in dict.fromkeys(words) if w not in self.of_word]
+        cut = [w.encode() for w in fresh if isinstance(w, str)]
+        whole = [w for w in fresh if isinstance(w, int)]
+        self.of_word.update(zip([*(w for w in fresh if isinstance(w, str)), *whole], range(len(self.of_word), len(self.of_word) + len(fresh)), strict=True))
+        if cut:
+            self.word_ids.add(*merge_rounds(self.v, cut))
+        self.word_ids.add(np.array(whole, np.uint32), np.ones(len(whole), np.int64))
+        numbers = np.fromiter(map(self.of_word.__getitem__, words), np.int64, len(words))
+        ids, sizes = self.word_ids.take(numbers)
+        ends = np.cumsum(sizes)[numbers == 0]
+        self.ids.add(ids, np.diff(ends, prepend=0))
+        self.number.update(zip(chain(new, odd), range(len(self.number), len(self.number) + len(new) + len(odd)), strict=True))
+
+    def arrays(self, texts: list[str | None]) -> tuple[pa.Array, pa.Array]:
+        """Each text's ids as little-endian unsigned 32-bit integers, and its decoded text."""
+        if len(self.number) > KEPT:
+            self.forget()
+        cut = [[] if not t else _SPACES.split(t) if _ODD.search(t) else t.split() for t in texts]
+        cut = [chunks if "" not in chunks else [c for c in chunks if c] for chunks in cut]
+        chunks = list(chain.from_iterable(cut))
+        found = np.fromiter(map(self.number.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            fresh = [chunks[k] for k in new.tolist()]
+            self.learn(list(dict.fromkeys(fresh)))
+            found[new] = np.fromiter(map(self.number.__getitem__, fresh), np.int64, len(fresh))
+        ids, sizes = self.ids.take(found)
+        ends = np.append(0, np.cumsum(sizes))[np.cumsum([0, *map(len, cut)])]
+        which = ids.astype(np.int64)
+        which[ends[:-1][ends[:-1] < ends[1:]]] += len(self.token) // 2
+        decoded = self.token.take(pa.array(which))
+        at = np.append(0, np.cumsum(self.length.take(which)))[ends]
+        held = lambda kind, ends, data: pa.Array.from_buffers(kind, len(texts), [None, pa.py_buffer(ends.astype(np.int32)), data])
+        return held(pa.binary(), 4 * ends, pa.py_buffer(ids.astype("<u4"))), held(pa.string(), at, decoded.buffers()[2] or pa.py_buffer(b""))
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """(ids as little-endian unsigned 32-bit integers, decoded text in UTF-8) of each text."""
-        cut = [[] if not t else _SPACES.split(t) if _ODD.search(t) else t.split() for t in texts]
-        self.learn(c for chunks in cut for c in chunks if c)
-        out = []
-        for chunks in cut:
-            chunks = chunks if "" not in chunks else [c for c in chunks if c]
-            out.append((b"".join(map(self.ids.__getitem__, chunks)), b" ".join(map(self.text.__getitem__, chunks))))
-        return out
+        ids, decoded = self.arrays(texts)
+        return list(zip(ids.to_pylist(), decoded.cast(pa.binary()).to_pylist(), strict=True))
 
     def decode(self, ids: bytes) -> str:
         """The tokens of ids with a space between, as a tokenizer without a decoder gives them; special tokens are kept."""
@@ -170,8 +253,7 @@ def encode_decode(spark: SparkSession, docs: DataFrame, vocabulary: str, id_col:
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
-                found = codec.encode(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary()).cast(pa.string())], ["id", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([part.column(0), *codec.arrays(part.column(1).to_pylist())], ["id", "ids", "decoded"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "id long, ids binary, decoded string")

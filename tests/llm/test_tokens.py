@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import dataclasses
 import hashlib
+import json
 import math
 import os
 import random
@@ -293,3 +294,30 @@ def test_lm_sums_of_runs():
     for sizes in ([1], [5], [1] * 40, [300, 2, 1, 90, *rng.integers(1, 6, 50).tolist()], [7] * 30):
         g, first = rng.normal(size=(sum(sizes), 3)), np.cumsum([0, *sizes[:-1]])
         assert np.allclose(lm._sums(first, len(g))(g), np.add.reduceat(g, first, axis=0))
+
+
+def test_new_chunks_of_a_batch_are_cut_in_one_go(codec, library):
+    own, calls = bpe.Codec(codec.v), []
+    cut = own.words
+
+    class Counting:
+        def findall(self, text):
+            calls.append(text)
+            return cut.findall(text)
+
+    own.words = Counting()
+    texts = [*_texts(50, 11), None, "", *(f"Wörd{k}, x{k}Σ don't" for k in range(500))]
+    _same(own, library, texts)
+    assert len(calls) == 1  # before: one for each of some 1,600 chunks
+    _same(own, library, [*ODD, *texts])
+
+
+def test_ranks_of_pairs_are_those_of_the_file(codec):
+    with open(vocabulary_path(), encoding="utf-8") as f:
+        held = json.load(f)["model"]
+    merges = [m if isinstance(m, list) else m.split(" ") for m in held["merges"]]
+    ids = np.array([(held["vocab"][a], held["vocab"][b]) for a, b in merges], np.int64)
+    keys = (ids[:, 0] << 32) | ids[:, 1]
+    assert codec.v.ranks_of(keys).tolist() == list(range(len(keys)))
+    other = np.setdiff1d(np.random.default_rng(2).integers(0, 49_000, 100_000) << 32 | np.arange(100_000) % 49_000, keys)
+    assert (codec.v.ranks_of(other) == bpe.NONE).all()
