@@ -17,13 +17,13 @@ from __future__ import annotations
 
 import base64
 import functools
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,8 +34,8 @@ from tallybrook.llm.common import materialise, row_id, short_batches
 #: Blocks of a shard, rounds, blocks of a step, and the first step's rate, which falls to a tenth.
 SHARD, ROUNDS, STEP, RATE = 98_304, 4, 96, 0.8
 #: Ids with a row of their own (all others share one), classes, width of a head, window, ids of context at least, windows at once.
-ROWS, CLASSES, WIDTH, WINDOW, OVERLAP, BATCH = 1500, 96, 16, 32, 4, 96
-#: Words whose counts are broadcast at most, other words that a worker keeps, and distinct words that a counting task holds at most.
+ROWS, CLASSES, WIDTH, WINDOW, OVERLAP, BATCH = 1500, 96, 16, 32, 4, 48
+#: Words whose counts are broadcast at most, other words that a worker keeps, and distinct words that a counting task sums at least before it hands them on.
 HEAD, KEPT, HELD = 150_000, 300_000, 300_000
 #: Weight of a word's share of the corpus; the attention model has the rest.
 OF_CORPUS = 0.1
@@ -171,18 +171,18 @@ def classes_of(rows: np.ndarray, pair_counts: np.ndarray, classes: int = CLASSES
 
 def _windows(rows: np.ndarray, cls: np.ndarray, sizes: np.ndarray, start_row: int) -> tuple[np.ndarray, ...]:
     """(inputs, targets' classes, targets' places in the flat array, which are scored) as rows of WINDOW places, and which windows have others before them. An input is the id before its target;
-    before a text's first id stands the end's row."""
+    before a text's first id stands the end's row. What a window has beyond its text is not scored, and nothing scored looks at it."""
     starts = np.cumsum(sizes) - sizes
     step = WINDOW - OVERLAP
     n = np.maximum(1, -(-(sizes - OVERLAP) // step))
-    text = np.repeat(np.arange(len(sizes)), n)
-    k = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
-    place = (k * step)[:, None] + np.arange(WINDOW)
-    inside = place < sizes[text][:, None]
-    at = np.where(inside, starts[text][:, None] + place, 0)
-    before = np.where(place == 0, start_row, rows[np.maximum(at - 1, 0)])
+    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    first = np.repeat(starts, n) + k * step
+    at = np.minimum(first[:, None] + np.arange(WINDOW), len(rows) - 1)
+    last = np.append(rows.dtype.type(start_row), rows[:-1])
+    last[starts] = start_row
     later = k > 0
-    return before, cls[at], at, inside & (~later[:, None] | (np.arange(WINDOW) >= OVERLAP)), later
+    place = np.arange(WINDOW)
+    return last.take(at), cls.take(at), at, (place < (np.repeat(starts + sizes, n) - first)[:, None]) & (place >= np.where(later, OVERLAP, 0)[:, None]), later
 
 
 _MASK = np.tril(np.ones((WINDOW, WINDOW), np.float32))
@@ -215,22 +215,27 @@ def forward(m: Model, before: np.ndarray, first: int = 0) -> tuple[np.ndarray, .
 
 def log_p(m: Model, flat: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
     """Natural logarithm of the probability of each id of texts with so many ids each. Of later windows only the places that are scored ask the others."""
-    cls, rows = m.cls[flat], m.rows[flat]
+    if not len(flat):
+        return np.zeros(0)
+    cls, rows = m.cls.take(flat), m.rows.take(flat)
     before, target, at, fresh, later = _windows(rows, cls, sizes, int(m.rows[end]))
-    last = np.append(m.rows[end], rows[:-1]) if len(rows) else rows
+    last = np.append(m.rows[end], rows[:-1])
     last[np.cumsum(sizes) - sizes] = m.rows[end]
-    out = (m.within[last, rows] + m.shared[flat]).astype(np.float64)
+    out = (m.within[last, rows] + m.shared.take(flat)).astype(np.float64)
+    classes = m.last.shape[1]
+    one, first_of = np.ones(classes, m.last.dtype), np.arange(BATCH * WINDOW) * classes
     for which, first in ((np.flatnonzero(~later), 0), (np.flatnonzero(later), OVERLAP)):
         for i in range(0, len(which), BATCH):
             w = which[i : i + BATCH]
             z, *_ = forward(m, before[w], first)
+            z = z.reshape(-1, classes)
             if not m.tame:
                 np.clip(z, -80, 80, out=z)
-            picked = np.take_along_axis(z, target[w, first:, None], 2)[..., 0]
+            use = np.flatnonzero(fresh[w, first:])
+            picked = z.ravel().take(first_of[: len(z)] + target[w, first:].ravel())
             np.exp(z, out=z)
-            got = picked - np.log(z.reshape(-1, z.shape[2]) @ np.ones(z.shape[2], z.dtype)).reshape(picked.shape)
-            use = fresh[w, first:]
-            out[at[w, first:][use]] += got[use]
+            picked -= np.log(z @ one)
+            out[at[w, first:].ravel().take(use)] += picked.take(use)
     return out
 
 
@@ -253,22 +258,43 @@ def drawn(rows: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, share: float
 PARTS = ("last", "qkv", "place", "out")
 
 
+def _levels(of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """(rows, order, levels, left) for places with rows ``of``, below n: the rows that occur, the most frequent ones first, and an order in which their first places lie together, then all second ones, and
+    so on, then what the few most frequent ones have left, row by row. levels: (from, to, number of rows, from the first on); left: (from, to, the row's place among rows)."""
+    count = np.bincount(of, minlength=n)
+    rows = np.argsort(-count, kind="stable")[: np.count_nonzero(count)]
+    size = count[rows]
+    there = np.searchsorted(-size, -np.arange(1, size[0] + 1), "right")  # how many rows have a first place, a second, ...
+    deep = max(1, int((there >= 12).sum()))
+    ends = np.cumsum(there[:deep]).tolist()
+    levels = list(zip([0, *ends[:-1]], ends, there[:deep].tolist(), strict=True))
+    more = size[: there[deep] if deep < len(there) else 0] - deep
+    after = (ends[-1] + np.cumsum(more)).tolist()
+    left = list(zip([ends[-1], *after[:-1]], after, range(len(more)), strict=False))
+    rank = np.zeros(n, np.int16)
+    rank[rows] = np.arange(len(rows))
+    level = np.minimum(np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size), deep).astype(np.int16)
+    order = np.argsort(rank.take(of), kind="stable").take(np.argsort(level, kind="stable"))  # 16 bits are sorted by radix
+    return rows, order, levels, left
+
+
+def _summed(g: np.ndarray, levels: list[tuple[int, int, int]], left: list[tuple[int, int, int]]) -> np.ndarray:
+    """For each row of _levels(), the sum of its places of an array in that order."""
+    total = g[: levels[0][1]].copy()
+    for a, b, c in levels[1:]:
+        total[:c] += g[a:b]
+    for a, b, i in left:
+        total[i] += np.add.reduce(g[a:b], 0)
+    return total
+
+
 def _sums(first: np.ndarray, n: int) -> Callable[[np.ndarray], np.ndarray]:
-    """Sums of runs of rows that begin at ``first`` and end where the next begins, or at n: all runs' k-th rows are added at once, and the few long runs' other rows run by run."""
-    size = np.diff(np.append(first, n))
-    order = np.argsort(-size, kind="stable")
-    starts, size = first[order], size[order]
-    there = np.searchsorted(-size, -np.arange(2, size[0] + 1), "right")  # how many runs have a second row, a third, ...
-    levels = int((there >= 12).sum())
+    """Sums of runs of rows that begin at ``first`` and end where the next begins, or at n."""
+    runs, order, levels, left = _levels(np.repeat(np.arange(len(first)), np.diff(np.append(first, n))), len(first))
 
     def run(g: np.ndarray) -> np.ndarray:
-        sums = g.take(starts, 0)
-        for k, some in enumerate(there[:levels].tolist(), 1):
-            sums[:some] += g.take(starts[:some] + k, 0)
-        for i in range(there[levels] if levels < len(there) else 0):
-            sums[i] += g[starts[i] + levels + 1 : starts[i] + size[i]].sum(0)
-        out = np.empty_like(sums)
-        out[order] = sums
+        out = np.empty_like(g, shape=(len(first), *g.shape[1:]))
+        out[runs] = _summed(g.take(order, 0), levels, left)
         return out
 
     return run
@@ -276,42 +302,49 @@ def _sums(first: np.ndarray, n: int) -> Callable[[np.ndarray], np.ndarray]:
 
 def train(m: Model, squares: dict[str, np.ndarray], found: np.ndarray, done: float = 0.0, until: float = 1.0) -> None:
     """Steps through blocks (as of drawn()) in their order, in place: gradients of the cross-entropy of the classes, each weight's step divided by the root of its summed
-    ``squares``. done and until: what part of the training is over before and after. Logits are made in the order of the last ids' rows, so that a row's gradients lie together."""
+    ``squares``. done and until: what part of the training is over before and after. Equal blocks that follow each other in a step, as those of equal texts do, are worked out once and weigh as many as
+    they are. Logits are made in the order of _levels() by the last ids' rows, so that sums over the places of a row are sums of whole slices."""
     of_row = np.zeros(len(m.last) + 1, np.int64)
     of_row[m.rows] = m.cls
-    d, m.tame, kind = WIDTH, False, m.last.dtype.type
+    d, m.tame, kind, classes = WIDTH, False, m.last.dtype.type, m.last.shape[1]
     steps = -(-len(found) // STEP)
-    one = np.ones(m.last.shape[1], kind)
+    one, ones = np.ones(classes, kind), np.ones(d, kind)
     for t in range(steps):
         block = found[t * STEP : (t + 1) * STEP]
-        before, target = np.maximum(block[:, :-1], 0), block[:, 1:]
-        order = np.argsort(before.ravel(), kind="stable")
-        before = before.astype(np.intp)
-        rows, wanted = before.ravel().take(order), target.ravel().take(order)
-        first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-        share = (wanted >= 0) / kind(max(1, np.count_nonzero(wanted >= 0)))
+        distinct = np.flatnonzero(np.append(True, (block[1:] != block[:-1]).any(1)))
+        weight = np.diff(np.append(distinct, len(block)))
+        block = block.take(distinct, 0)
+        before, target = np.maximum(block[:, :-1], 0).astype(np.intp), block[:, 1:]
+        share = (target >= 0) * weight[:, None]
+        share = (share / kind(max(1, share.sum()))).astype(kind)
+        own, order, levels, left = _levels(before.ravel(), len(m.last))
+        wanted, share = of_row.take(target.ravel().take(order), mode="wrap"), share.ravel().take(order)  # -1, after a text's end, has no share
         h, x, e, total = attend(m, before)
         e /= total
         head = h.reshape(-1, d).take(order, 0)
         z = head @ m.out
-        z += m.last.take(rows, 0)
-        np.clip(z, -80, 80, out=z)
+        last = m.last.take(own, 0)
+        for a, b, c in levels:
+            z[a:b] += last[:c]
+        for a, b, i in left:
+            z[a:b] += last[i]
+        if not -80 < z.min() <= z.max() < 80:
+            np.clip(z, -80, 80, out=z)
         np.exp(z, out=z)
         z *= (share / (z @ one))[:, None]
-        z[np.arange(len(z)), of_row[wanted]] -= share
+        z.reshape(-1)[np.arange(0, z.size, classes) + wanted] -= share
         dh = np.empty_like(head)
         dh[order] = z @ m.out.T
         dh = dh.reshape(h.shape)
         q, k, v = x[..., :d], x[..., d : 2 * d], x[..., 2 * d :]
         ds = np.matmul(dh, v.transpose(0, 2, 1))
-        ds -= (dh * h).sum(-1, keepdims=True)  # the mean of ds by the attention weights
+        ds -= ((dh * h).reshape(-1, d) @ ones).reshape(total.shape)  # the mean of ds by the attention weights
         ds *= e
         dx = np.empty_like(x)
         for part, a, b in ((0, ds, k), (1, ds.transpose(0, 2, 1), q), (2, e.transpose(0, 2, 1), dh)):
             np.matmul(a, b, out=dx[..., part * d : (part + 1) * d])
         pace = kind(RATE * (1 - 0.9 * (done + (until - done) * t / steps)))
-        own, sums = rows[first], _sums(first, len(rows))
-        for name, at, g in (("last", own, sums(z)), ("qkv", own, sums(dx.reshape(-1, 3 * d).take(order, 0))), ("place", slice(None), dx.sum(0)), ("out", slice(None), head.T @ z)):
+        for name, at, g in (("last", own, _summed(z, levels, left)), ("qkv", own, _summed(dx.reshape(-1, 3 * d).take(order, 0), levels, left)), ("place", slice(None), dx.sum(0)), ("out", slice(None), (z.T @ head).T)):
             root = squares[name][at] + g * g
             squares[name][at] = root
             g *= pace
@@ -356,29 +389,54 @@ def in_training(id_col: Column, held_out: int = 1) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 5 != held_out
 
 
-def _texts(batch: pa.RecordBatch, column: int, at_once: int = 64) -> Iterator[tuple[int, list[str | None]]]:
-    for at in range(0, batch.num_rows, at_once):
-        yield at, batch.column(column).slice(at, at_once).to_pylist()
+def cut_texts(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, pa.Array]:
+    """(distinct words, the place among them of each word of each text in turn, how many words each text has, each text's words with single spaces). A text's last word is its end, the empty word,
+    which is the last of the distinct ones. Words are those of words_of()."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.ascii_trim_whitespace(pc.fill_null(column, ""))))
+    coded = lists.flatten().dictionary_encode()
+    sizes, found = pc.list_value_length(lists).to_numpy(), coded.indices.to_numpy()
+    empty = coded.dictionary.index(pa.scalar("", coded.dictionary.type)).as_py()
+    if empty >= 0:  # an empty text is one empty word
+        there = found != empty
+        sizes = np.diff(np.append(0, np.cumsum(there))[np.append(0, np.cumsum(sizes))])
+        found = found[there]
+    place = np.full(len(found) + len(sizes), len(coded.dictionary), np.int64)
+    place[np.arange(len(found)) + np.repeat(np.arange(len(sizes)), sizes)] = found
+    return pa.concat_arrays([coded.dictionary, pa.array([""], coded.dictionary.type)]), place, sizes.astype(np.int64) + 1, pc.binary_join(lists, " ")
+
+
+def _bytes(words: pa.Array) -> list[bytes]:
+    return words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+
+
+def _together(n_words: np.ndarray, most: int = 8192) -> Iterator[tuple[int, int, int, int]]:
+    """Texts that are taken at once, up to so many words or one text: (first, after, its first word, after its last)."""
+    ends, at, word = np.cumsum(n_words), 0, 0
+    while at < len(ends):
+        after = max(at + 1, int(np.searchsorted(ends, word + most, "right")))
+        yield at, after, word, int(ends[after - 1])
+        at, word = after, int(ends[after - 1])
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """(key, n) over all texts (text): each word, and the end as the empty word. Tasks sum what they meet in a bounded dictionary before anything is shuffled."""
+    """(key, n) over all texts (text): each word, and the end as the empty word. Tasks sum what they meet in bounded tables before anything is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter[bytes] = Counter()
+        held: list[pa.Table] = []
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.binary()).cast(pa.string()), pa.array(words.values(), pa.int64())], ["key", "n"])
+        def summed() -> pa.Table:
+            return pa.concat_tables(held).group_by("key", use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).select(["key", "n"])
 
         for batch in batches:
-            for _, some in _texts(batch, 0):
-                for t in some:
-                    words.update(words_of(t))
-                words[END_WORD] += len(some)
-                if len(words) > HELD:
-                    yield out()
-                    words.clear()
-        yield out()
+            words, place, _, _ = cut_texts(batch.column(0))
+            n = np.bincount(place, minlength=len(words))
+            held.append(pa.table({"key": words, "n": pa.array(n, pa.int64())}).filter(pa.array(n > 0)))
+            if sum(map(len, held)) > 2 * HELD:
+                held = [summed()]
+                if len(held[0]) > HELD:
+                    yield from held.pop().to_batches(10_000)
+        if held:
+            yield from summed().to_batches(10_000)
 
     return texts.mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -390,7 +448,7 @@ def count_ids(words: DataFrame, shared) -> DataFrame:
         cut = _subwords(shared.value)
         ids = np.zeros(cut.end + 1, np.int64)
         for batch in batches:
-            flat, sizes = cut.flat([k.encode("utf-8", "surrogatepass") for k in batch.column(0).to_pylist()])
+            flat, sizes = cut.flat(_bytes(batch.column(0)))
             np.add.at(ids, flat, np.repeat(batch.column(1).to_numpy(), sizes))
         some = np.flatnonzero(ids)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(ids[some])], ["id", "n"])
@@ -421,13 +479,13 @@ def pairs_and_blocks(texts: DataFrame, shared, head, rows: np.ndarray) -> DataFr
         n_rows = int(rows.max()) + 1
         pairs, waiting = np.zeros(n_rows * n_rows, np.int64), []
         for batch in batches:
-            for _, some in _texts(batch, 0):
-                held = [[*words_of(t), END_WORD] for t in some]
-                n_words = np.fromiter(map(len, held), np.int64, len(held))
-                flat, each = cut.flat([END_WORD, *(w for words in held for w in words)])
+            words, place, n_words, joined = cut_texts(batch.column(0))
+            numbers = cut.numbers(_bytes(words))
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, _bytes(joined)), np.uint64, len(n_words))
+            for at, after, word, end in _together(n_words):
+                flat, each = cut.ids(numbers.take(np.append(len(words) - 1, place[word:end])))
                 of = rows[flat].astype(np.int64)
-                hashes = np.fromiter((xxhash.xxh64_intdigest(b" ".join(words)) for words in held), np.uint64, len(held))
-                hashed, found = drawn(of, np.add.reduceat(each[1:], np.cumsum(n_words) - n_words), hashes)
+                hashed, found = drawn(of, np.add.reduceat(each[1:], np.cumsum(n_words[at:after]) - n_words[at:after]), hashes[at:after])
                 none = pa.nulls(len(found), pa.int64())
                 yield pa.RecordBatch.from_arrays([none, none, none, pa.array(hashed), _binary(found)], ["a", "b", "n", "hash", "block"])
                 waiting.append(of[:-1] * n_rows + of[1:])
@@ -556,12 +614,12 @@ def score(spark: SparkSession, docs: DataFrame, vocabulary: str, id_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, model = _subwords(shared.value).know(head.value), table.value
         for batch in batches:
-            for at, some in _texts(batch, 1):
-                texts = [[*words_of(t), END_WORD] for t in some]
-                words = [w for t in texts for w in t]
-                n_words = np.fromiter(map(len, texts), np.int64, len(texts))
+            words, place, all_words, _ = cut_texts(batch.column(1))
+            distinct = cut.numbers(_bytes(words))
+            for at, after, word, end in _together(all_words):
+                own = place[word:end]
+                n_words, numbers = all_words[at:after], distinct.take(own)
                 first = np.cumsum(n_words) - n_words
-                numbers = cut.numbers(words)
                 flat, sizes = cut.ids(numbers)
                 of_word = np.add.reduceat(log_p(model, flat, np.add.reduceat(sizes, first), cut.end), np.cumsum(sizes) - sizes)
                 c = cut.count[numbers]
@@ -569,14 +627,13 @@ def score(spark: SparkSession, docs: DataFrame, vocabulary: str, id_col: str = "
                 alone = np.add.reduceat(of_word, first) / np.log(10)
                 of_word += np.log(1 - OF_CORPUS)
                 base = np.where(there, np.log10((c + 0.5) / below), 0.0)
-                mixed = np.where(there, np.log10(np.exp(of_word) + OF_CORPUS * c / below, where=there, out=np.zeros(len(words))), 0.0)
+                mixed = np.where(there, np.log10(np.exp(of_word) + OF_CORPUS * c / below, where=there, out=np.zeros(len(c))), 0.0)
                 other = np.flatnonzero(~there)
-                keys = pa.array([words[k] for k in other.tolist()], pa.binary()).cast(pa.string())
-                tail = pa.StructArray.from_arrays([keys, pa.array(of_word[other])], ["key", "p"])
+                tail = pa.StructArray.from_arrays([words.take(pa.array(own[other])), pa.array(of_word[other])], ["key", "p"])
                 rest = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.add.reduceat((~there).astype(np.int32), first))).astype(np.int32)), tail)
                 sums = [np.add.reduceat(x, first) for x in (there.astype(np.int64), base, mixed)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)), pa.array(n_words), pa.array(alone), *map(pa.array, sums), rest],
+                    [batch.column(0).slice(at, after - at), pa.array(n_words), pa.array(alone), *map(pa.array, sums), rest],
                     ["id", "n_tokens", "attention_score", "head_known", "head_base", "head_score", "tail"],
                 )
 

@@ -296,6 +296,34 @@ def test_lm_sums_of_runs():
         assert np.allclose(lm._sums(first, len(g))(g), np.add.reduceat(g, first, axis=0))
 
 
+def test_lm_equal_blocks_of_a_step_are_worked_out_once(monkeypatch):
+    _, flat, sizes, start = _model(_texts(20, 12))
+    _, blocks = _blocks(start(), flat, sizes)
+    seen, attend = [], lm.attend
+    monkeypatch.setattr(lm, "attend", lambda m, before, first=0: seen.append(len(before)) or attend(m, before, first))
+    copies = lm.STEP // 12
+    models = []
+    for found in (np.repeat(blocks[:12], copies, 0), np.tile(blocks[:12], (copies, 1))):  # side by side, and apart
+        models.append(start())
+        lm.train(models[-1], {p: np.full(getattr(models[-1], p).shape, 1e-4, np.float32) for p in lm.PARTS}, found)
+    assert seen == [12, 12 * copies]  # before: all copies both times
+    assert all(np.allclose(getattr(models[0], p), getattr(models[1], p), atol=1e-3) for p in lm.PARTS)
+
+
+def test_lm_texts_of_a_batch_are_cut_as_alone():
+    import pyarrow as pa
+
+    for texts in ([*ODD, " x Y  z\n", *_texts(40, 13)], [""], [None, "a", ""], []):
+        words, place, sizes, joined = lm.cut_texts(pa.array(texts, pa.string()))
+        want = [[*lm.words_of(t), lm.END_WORD] for t in texts]
+        held = lm._bytes(words)
+        assert [held[k] for k in place] == [w for t in want for w in t] and sizes.tolist() == [len(t) for t in want] and held[-1] == lm.END_WORD
+        assert lm._bytes(joined) == [b" ".join(t[:-1]) for t in want]
+        spans = list(lm._together(sizes, 30))
+        assert [k for at, after, _, _ in spans for k in range(at, after)] == list(range(len(texts)))
+        assert all(sizes[:at].sum() == word and sizes[:after].sum() == end and (end - word <= 30 or after == at + 1) for at, after, word, end in spans)
+
+
 def test_new_chunks_of_a_batch_are_cut_in_one_go(codec, library):
     own, calls = bpe.Codec(codec.v), []
     cut = own.words
